@@ -51,9 +51,11 @@ def reindex(documents: DataFrame, collections: Sequence[str], database: str | No
     that arrive during the scan are folded on top of it."""
 
     def run(store: IndexStore) -> Commit:
-        as_of = store.latest_seq()
-        rows = reindex_rows(store.rows(as_of), documents, collections, store.config, store.policy, as_of, database)
-        return store.commit(rows, as_of, "reindex")
+        cut = store.cut()
+        rows = reindex_rows(
+            store.rows(cut), documents, collections, store.config, store.policy, cut.as_of, database
+        )
+        return store.commit(rows, cut, "reindex")
 
     return run
 
@@ -62,9 +64,9 @@ def backfill(documents: DataFrame) -> Action:
     """Action: upsert all documents of a snapshot into the index."""
 
     def run(store: IndexStore) -> Commit:
-        as_of = store.latest_seq()
-        rows = backfill_rows(store.rows(as_of), documents, store.config, store.policy, as_of)
-        return store.commit(rows, as_of, "backfill")
+        cut = store.cut()
+        rows = backfill_rows(store.rows(cut), documents, store.config, store.policy, cut.as_of)
+        return store.commit(rows, cut, "backfill")
 
     return run
 

@@ -20,15 +20,20 @@ from pyspark.sql import types as T
 
 from foldex.functions.sizing import BROADCAST_ROWS
 from foldex.model import CONTROL_OPS, NAMESPACE, ApplyPolicy, IndexConfig
-from foldex.operators.fold import apply_changes
+from foldex.operators.fold import apply_changes, clear_collections
 from foldex.operators.project import index_documents, payload_columns, project
 from foldex.operators.read import IndexView
 from foldex.operators.rejects import accepted, rejected
 
 CONTROL = "__control"
 BEFORE_ALL = -1
-COMMIT_SCHEMA = T.StructType.fromDDL(
-    "version BIGINT, as_of_seq BIGINT, log_until TIMESTAMP, base STRING, reason STRING"
+COMMIT_SCHEMA = (
+    T.StructType()
+    .add("version", T.LongType())
+    .add("as_of_seq", T.LongType())
+    .add("log_until", T.LongType())
+    .add("base", T.StringType())
+    .add("reason", T.StringType())
 )
 
 
@@ -36,11 +41,19 @@ COMMIT_SCHEMA = T.StructType.fromDDL(
 class Commit:
     version: int
     as_of_seq: int
-    log_until: object
+    log_until: int
     base: str | None
     reason: str
 
 
+@dataclass(frozen=True)
+class Cut:
+    """A point in the log: the highest ``seq`` and the latest arrival it contains."""
+
+    as_of: int
+    until: int
+
+
 class IndexStore:
     """An index under ``root``; ``doc_schema`` is the type of the change rows' ``doc`` column."""
 
@@ -77,7 +90,7 @@ class IndexStore:
         rows = project(changes, self.config, self.policy)
         control = F.coalesce(F.col("op").isin(*CONTROL_OPS), F.lit(False))
         name = F.when(control, CONTROL).otherwise(F.col("index_name"))
-        return rows.withColumns({"index_name": name, "batch_at": F.current_timestamp()})
+        return rows.withColumns({"index_name": name, "batch_at": F.unix_micros(F.current_timestamp())})
 
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         try:
@@ -106,7 +119,7 @@ class IndexStore:
     def rejects(self) -> DataFrame:
         """Rows that were not applied: unusable ones, and those that came after their base."""
         head = self.head()
-        late = self.log().where((F.col("seq") <= head.as_of_seq) & (F.col("batch_at") > F.lit(head.log_until)))
+        late = self.log().where((F.col("seq") <= head.as_of_seq) & (F.col("batch_at") > head.log_until))
         return rejected(self.log()).unionByName(rejected(late, as_of=head.as_of_seq)).distinct()
 
     # -- versions -----------------------------------------------------------------------------
@@ -125,7 +138,7 @@ class IndexStore:
         if version is not None:
             commits = commits.where(F.col("version") == version)
         newest = commits.orderBy(F.col("version").desc()).first()
-        return Commit(*newest) if newest else Commit(0, BEFORE_ALL, None, None, "empty")
+        return Commit(*newest) if newest else Commit(0, BEFORE_ALL, BEFORE_ALL, None, "empty")
 
     def base_rows(self, commit: Commit | None = None) -> DataFrame | None:
         """Index rows of a version, each carrying the ``seq`` the version covers."""
@@ -136,11 +149,12 @@ class IndexStore:
         rows = self._read(f"{self.root}/bases/{commit.base}", schema)
         return rows.withColumn("seq", F.lit(commit.as_of_seq).cast("bigint"))
 
-    def rows(self, as_of: int | None = None) -> DataFrame:
-        """Current index rows: newest base plus the log above it (up to ``as_of`` if given)."""
-        events = self.pending().drop("batch_at", "index_name")
-        if as_of is not None:
-            events = events.where(F.col("seq") <= as_of)
+    def rows(self, cut: Cut | None = None) -> DataFrame:
+        """Current index rows: newest base plus the log above it (up to ``cut`` if given)."""
+        pending = self.pending()
+        if cut is not None:
+            pending = pending.where((F.col("seq") <= cut.as_of) & (F.col("batch_at") <= cut.until))
+        events = pending.drop("batch_at", "index_name")
         return apply_changes(events, self.policy, self.config.route, self.base_rows(), self.broadcast_rows)
 
     def view(self, index: str | None = None) -> IndexView:
@@ -161,39 +175,39 @@ class IndexStore:
             raise LookupError(f"no version {number}")
         return IndexView(index_documents(rows), self.config)
 
-    def latest_seq(self) -> int:
-        """The highest ``seq`` the index knows: of the log or of its base."""
-        newest = accepted(self.log()).agg(F.max("seq")).first()[0]
-        return max(self.head().as_of_seq, BEFORE_ALL if newest is None else newest)
-
-    def commit(self, rows: DataFrame, as_of: int, reason: str) -> Commit:
-        """Writes ``rows`` as a new base and makes it visible."""
+    def cut(self) -> Cut:
+        """The point the index has reached: highest ``seq`` and latest arrival, log and base alike."""
         head = self.head()
-        log_until = self.log().agg(F.max("batch_at")).first()[0]
+        newest = accepted(self.log()).agg(F.max("seq"), F.max("batch_at")).first()
+        return Cut(
+            max(head.as_of_seq, BEFORE_ALL if newest[0] is None else newest[0]),
+            max(head.log_until, BEFORE_ALL if newest[1] is None else newest[1]),
+        )
+
+    def commit(self, rows: DataFrame, cut: Cut, reason: str) -> Commit:
+        """Writes ``rows``, which cover the log up to ``cut``, as a new base and makes it visible."""
         base = uuid.uuid4().hex
         columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows)]
         rows.select(columns).write.partitionBy("index_name").parquet(f"{self.root}/bases/{base}")
-        record = Commit(head.version + 1, as_of, log_until, base, reason)
+        record = Commit(self.head().version + 1, cut.as_of, cut.until, base, reason)
         values = [(record.version, record.as_of_seq, record.log_until, record.base, record.reason)]
         self.spark.createDataFrame(values, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.commit_path)
         return record
 
     def compact(self) -> Commit:
         """Folds the log into a new base, so later reads fold only what comes after."""
-        as_of = self.latest_seq()
-        return self.commit(self.rows(as_of), as_of, "compact")
+        cut = self.cut()
+        return self.commit(self.rows(cut), cut, "compact")
 
     def drop_all(self) -> Commit:
         """Removes every index."""
-        as_of = self.latest_seq()
-        return self.commit(self.rows(as_of).where(F.lit(False)), as_of, "drop_all")
+        cut = self.cut()
+        return self.commit(self.rows(cut).where(F.lit(False)), cut, "drop_all")
 
     def clear(self, database: str, collection: str) -> Commit:
         """Removes one collection at once, without a drop event."""
-        from foldex.operators.fold import clear_collections
-
-        as_of = self.latest_seq()
-        return self.commit(clear_collections(self.rows(as_of), [(database, collection)]), as_of, "clear")
+        cut = self.cut()
+        return self.commit(clear_collections(self.rows(cut), [(database, collection)]), cut, "clear")
 
 
 def save_table(rows: DataFrame, table: str, buckets: int | None = None, path: str | None = None) -> None:

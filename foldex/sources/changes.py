@@ -20,9 +20,13 @@ EVENT_TYPES = {
 }
 
 # Fixed value: the shape of a change event; keys and documents stay JSON text here.
-EVENT_SCHEMA = T.StructType.fromDDL(
-    "seq BIGINT, operationType STRING, ns STRUCT<db: STRING, coll: STRING>,"
-    " documentKey STRUCT<_id: STRING>, fullDocument STRING"
+EVENT_SCHEMA = (
+    T.StructType()
+    .add("seq", T.LongType())
+    .add("operationType", T.StringType())
+    .add("ns", T.StructType().add("db", T.StringType()).add("coll", T.StringType()))
+    .add("documentKey", T.StructType().add("_id", T.StringType()))
+    .add("fullDocument", T.StringType())
 )
 
 
