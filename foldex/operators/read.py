@@ -28,6 +28,10 @@ def match_all() -> Column:
     return F.lit(True)
 
 
+def _labelled(dimension: str, values: Column) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(dimension).alias("dim"), v.alias("value")))
+
+
 class IndexView:
     """Index documents plus the configuration they were built with."""
 
@@ -139,10 +143,7 @@ class IndexView:
             if name in self.config.facets:
                 own = own | ~F.col("index_name").isin(list(per_index))
             values = F.when(own, self._dimension(name)) if per_index else self._dimension(name)
-            pairs.append(F.transform(
-                F.coalesce(values, F.array().cast("array<string>")),
-                lambda v, dim=name: F.struct(F.lit(dim).alias("dim"), v.alias("value")),
-            ))
+            pairs.append(_labelled(name, F.coalesce(values, F.array().cast("array<string>"))))
         rows = self.documents.select(*METADATA, F.explode(F.concat(*pairs)).alias("_f"))
         return rows.select(*METADATA, "_f.dim", "_f.value")
 
