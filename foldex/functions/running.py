@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 BUCKETS = 128
 
 
-def _bucket(order: Column, bounds: list[float], first: int = 0) -> Column:
+def _bucket(order: Column, bounds: list[int], first: int = 0) -> Column:
     """Index of the range that holds ``order``: a balanced tree of comparisons."""
     if not bounds:
         return F.lit(first)
@@ -19,16 +19,20 @@ def _bucket(order: Column, bounds: list[float], first: int = 0) -> Column:
     return F.when(order < F.lit(bounds[mid]), below).otherwise(above)
 
 
+def order_bounds(df: DataFrame, order: str, buckets: int = BUCKETS) -> list[int]:
+    """Cut points that split the rows into ranges of about equal size; reads one column."""
+    probabilities = [i / buckets for i in range(1, buckets)]
+    return sorted({int(b) for b in df.approxQuantile(order, probabilities, 0.5 / buckets)})
+
+
 def running_max(df: DataFrame, keys: list[str], order: str, values: dict[str, Column],
-                buckets: int = BUCKETS) -> DataFrame:
+                bounds: list[int]) -> DataFrame:
     """For each row the maximum of every value over rows of the same key with a smaller order.
 
-    Rows are cut into ranges of ``order``. Ranges are summarised with partial aggregation, the
+    Rows are cut into ranges of ``order`` (see ``order_bounds``; any cut gives the same result). Ranges are summarised with partial aggregation, the
     summaries (at most one per key and range) carry the maximum forward, and the exact running
     value is then a window within one key *and* range.
     """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    bounds = sorted({int(b) for b in df.approxQuantile(order, probabilities, 0.5 / buckets)})
     inputs = {f"_in_{n}": c for n, c in values.items()}
     rows = df.withColumns({**inputs, "_bucket": _bucket(F.col(order), bounds)})
 

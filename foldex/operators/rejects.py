@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldex.functions.running import running_max
+from foldex.functions.running import order_bounds, running_max
 from foldex.model import (
     CHANGE_COLUMNS,
     DELETE,
@@ -150,9 +150,10 @@ def updates_without_target(events: DataFrame, policy: ApplyPolicy, route: Router
         rows = rows.unionByName(seeds)
     rows = rows.withColumn("index_name", route(F.col("database"), F.col("collection")))
     op, seq = F.col("op"), F.col("seq")
+    bounds = order_bounds(events, "seq")
     documents = running_max(
         rows.where(op.isin(*DOCUMENT_OPS)), list(policy.key_columns), "seq",
-        {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq)},
+        {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq)}, bounds,
     )
     updates = documents.where(op == UPDATE)
     removed: list[Column] = [F.col("_deleted")]
@@ -160,20 +161,21 @@ def updates_without_target(events: DataFrame, policy: ApplyPolicy, route: Router
         if drops.isEmpty():
             continue
         name = f"_dropped_{i}"
-        updates = _last_drop(updates, drops, list(keys), name)
+        updates = _last_drop(updates, drops, list(keys), name, bounds)
         removed.append(F.col(name))
     gone = F.greatest(*removed, F.lit(None).cast("bigint"))
     orphan = F.col("_inserted").isNull() | (F.coalesce(gone, F.col("_inserted") - 1) > F.col("_inserted"))
     return updates.where(orphan).select(*CHANGE_COLUMNS, F.lit("update_without_target").alias("reason"))
 
 
-def _last_drop(updates: DataFrame, drops: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _last_drop(updates: DataFrame, drops: DataFrame, keys: list[str], name: str, bounds: list[int]) -> DataFrame:
     """The last drop before each update, found by running both through one ordered pass."""
     marks = drops.select(*keys, "seq", F.lit(DROP).alias("op"))
     both = updates.unionByName(marks, allowMissingColumns=True)
     if not keys:
         both = both.withColumn("_all", F.lit(0))
-    running = running_max(both, keys or ["_all"], "seq", {name: F.when(F.col("op") == DROP, F.col("seq"))})
+    last = {name: F.when(F.col("op") == DROP, F.col("seq"))}
+    running = running_max(both, keys or ["_all"], "seq", last, bounds)
     return running.where(F.col("op") == UPDATE).drop("_all")
 
 

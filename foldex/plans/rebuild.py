@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldex.model import INSERT, NAMESPACE, ApplyPolicy, IndexConfig
-from foldex.operators.fold import apply_changes
 from foldex.operators.project import project
 from foldex.plans.store import Commit, IndexStore
 from foldex.sources.snapshot import scan_collections
@@ -40,10 +39,14 @@ def reindex_rows(current: DataFrame, documents: DataFrame, collections: Sequence
 
 def backfill_rows(current: DataFrame, documents: DataFrame, config: IndexConfig, policy: ApplyPolicy,
                   as_of: int) -> DataFrame:
-    """Index rows after upserting all documents without clearing first."""
-    fresh = snapshot_rows(documents, config, policy, as_of).drop("index_name")
-    upserts = fresh.withColumn("op", F.lit(INSERT))
-    return apply_changes(upserts, policy, config.route, current)
+    """Index rows after upserting all documents without clearing first.
+
+    Keys are unique in a snapshot, so only the keys of both sides meet in one anti join.
+    """
+    fresh = snapshot_rows(documents, config, policy, as_of)
+    keys = list(policy.key_columns)
+    kept = current.join(fresh.select(*keys), keys, "left_anti")
+    return kept.select(fresh.columns).unionByName(fresh)
 
 
 def reindex(documents: DataFrame, collections: Sequence[str], database: str | None = None) -> Action:
