@@ -1,52 +1,82 @@
-"""Running maximum per key that stays parallel when one key holds most of the rows."""
+"""Ordered lookups per key that stay parallel when one key holds most of the rows.
+
+Rows are cut into ranges of their order, so a hot key is shared by as many tasks as there are
+ranges. What earlier ranges contribute is carried by one summary row per key and range.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 128
+BUCKETS = 4096
 
 
-def _bucket(order: Column, bounds: list[int], first: int = 0) -> Column:
-    """Index of the range that holds ``order``: a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(first)
-    mid = len(bounds) // 2
-    below = _bucket(order, bounds[:mid], first)
-    above = _bucket(order, bounds[mid + 1:], first + mid + 1)
-    return F.when(order < F.lit(bounds[mid]), below).otherwise(above)
+@dataclass(frozen=True)
+class Ranges:
+    """Equal ranges of the order between its smallest and largest value.
 
+    A sequence that counts events fills them evenly, whichever keys the events belong to. Other
+    orders only lose balance: any ranges give the same results.
+    """
 
-def order_bounds(df: DataFrame, order: str, buckets: int = BUCKETS) -> list[int]:
-    """Cut points that split the rows into ranges of about equal size; reads one column."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    return sorted({int(b) for b in df.approxQuantile(order, probabilities, 0.5 / buckets)})
+    low: int
+    high: int
+    count: int = BUCKETS
 
+    def of(self, order: str) -> Column:
+        return F.width_bucket(F.col(order), F.lit(self.low), F.lit(self.high + 1), F.lit(self.count))
 
-def running_max(df: DataFrame, keys: list[str], order: str, values: dict[str, Column],
-                bounds: list[int]) -> DataFrame:
-    """For each row the maximum of every value over rows of the same key with a smaller order.
 
-    Rows are cut into ranges of ``order`` (see ``order_bounds``; any cut gives the same result). Ranges are summarised with partial aggregation, the
-    summaries (at most one per key and range) carry the maximum forward, and the exact running
-    value is then a window within one key *and* range.
-    """
-    inputs = {f"_in_{n}": c for n, c in values.items()}
-    rows = df.withColumns({**inputs, "_bucket": _bucket(F.col(order), bounds)})
+def order_ranges(df: DataFrame, order: str, count: int = BUCKETS) -> Ranges:
+    """Ranges over all rows of ``df``; reads one column."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    return Ranges(low or 0, high or 0, count)
+
+
+def _within(keys: list[str], order: str) -> W:
+    return W.partitionBy(*keys, "_bucket").orderBy(order).rangeBetween(W.unboundedPreceding, -1)
+
 
+def running_max(df: DataFrame, keys: list[str], order: str, values: dict[str, Column],
+                ranges: Ranges) -> DataFrame:
+    """For each row the maximum of every value over rows of the same key with a smaller order."""
+    inputs = {f"_in_{n}": c for n, c in values.items()}
+    rows = df.withColumns({**inputs, "_bucket": ranges.of(order)})
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     carried = (
         rows.groupBy(*keys, "_bucket")
         .agg(*[F.max(f"_in_{n}").alias(f"_sum_{n}") for n in values])
         .select(*keys, "_bucket", *[F.max(f"_sum_{n}").over(before).alias(f"_carry_{n}") for n in values])
     )
-    within = (
-        W.partitionBy(*keys, "_bucket").orderBy(order).rangeBetween(W.unboundedPreceding, -1)
-    )
-    local = rows.withColumns({f"_run_{n}": F.max(f"_in_{n}").over(within) for n in values})
+    local = rows.withColumns({f"_run_{n}": F.max(f"_in_{n}").over(_within(keys, order)) for n in values})
     joined = local.join(carried, [*keys, "_bucket"])
     result = {n: F.greatest(f"_run_{n}", f"_carry_{n}") for n in values}
     helpers = ["_bucket"] + [p + n for n in values for p in ("_in_", "_run_", "_carry_")]
     return joined.withColumns(result).drop(*helpers)
+
+
+def last_before(df: DataFrame, marks: DataFrame, keys: list[str], order: str, name: str,
+                ranges: Ranges) -> DataFrame:
+    """For each row of ``df`` the order of the last mark of its key before it, as column ``name``.
+
+    ``marks`` (``keys`` and ``order``) should have few distinct keys: their summary is filled up
+    to one row per key and range, which spares a second pass over ``df``.
+    """
+    bucketed = marks.withColumn("_bucket", ranges.of(order))
+    by_range = W.partitionBy(*keys).orderBy("_bucket")
+    filled = (
+        bucketed.groupBy(*keys, "_bucket").agg(F.max(order).alias("_carry"))
+        .withColumn("_next", F.coalesce(F.lead("_bucket").over(by_range), F.lit(ranges.count + 1).cast("bigint")))
+        .where(F.col("_bucket") < F.col("_next"))
+        .select(*keys, "_carry", F.explode(F.sequence(F.col("_bucket") + 1, F.col("_next"))).alias("_bucket"))
+    )
+    probes = df.withColumn("_bucket", ranges.of(order)).withColumn("_probe", F.lit(True))
+    both = probes.unionByName(bucketed.select(*keys, order, "_bucket"), allowMissingColumns=True)
+    mark = F.when(F.col("_probe").isNull(), F.col(order))
+    local = both.withColumn("_run", F.max(mark).over(_within(keys, order))).where(F.col("_probe"))
+    joined = local.join(filled, [*keys, "_bucket"], "left")
+    return joined.withColumn(name, F.greatest("_run", "_carry")).drop("_bucket", "_probe", "_run", "_carry")

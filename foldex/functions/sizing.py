@@ -5,34 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Narrow rows only (keys and a sequence number): about 100 bytes each, so some 10 MB.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no further than it must."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(keys: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame of key columns is small enough to broadcast, by rows and by text bytes.
 
-
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a local table if it has at most ``rows`` rows, else ``None``."""
-    found = df.take(rows + 1)
-    if len(found) > rows:
-        return None
-    return df.sparkSession.createDataFrame(found, df.schema)
+    Reads no further than ``rows`` rows.
+    """
+    text = [F.octet_length(c) for c, kind in keys.dtypes if kind == "string"]
+    size = sum((F.coalesce(t, F.lit(0)) for t in text), F.lit(0)).cast("bigint")
+    seen = keys.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
+    return seen.n <= rows and (seen.bytes or 0) <= BROADCAST_BYTES
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Column,
-                rows: int = BROADCAST_ROWS, how: str = "left") -> DataFrame:
-    """Joins a keyed side table (one row per key) to a large table whose keys may be skewed.
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Column) -> DataFrame:
+    """Left join of a large table with skewed keys to a side with one row per key.
 
-    A side proven small is broadcast. Otherwise each side row is repeated once per salt and the
-    large side is spread over the salts, so that one hot key never lands in a single task.
+    Each side row is repeated once per salt and the large side is spread over the salts, so that
+    a key holding most of the rows is shared by many tasks.
     """
-    local = bounded(right, rows)
-    if local is not None:
-        return left.join(F.broadcast(local), keys, how)
     salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    return left.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
+    return left.withColumn("_salt", salt).join(salted, [*keys, "_salt"], "left").drop("_salt")

@@ -7,38 +7,66 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldex.functions.sizing import BROADCAST_ROWS, lookup_join
-from foldex.model import DROP, DROP_DATABASE, ApplyPolicy, Router
+from foldex.functions.sizing import BROADCAST_ROWS, salted_join
+from foldex.model import CONTROL_OPS, DROP, DROP_DATABASE, ApplyPolicy, Router
 
 
 @dataclass(frozen=True)
 class Barrier:
-    """Cleared keys with the seq of the last clearing; no keys means every row."""
+    """Cleared keys with the seq of the last clearing; without keys it covers every row.
+
+    ``small`` says the rows were counted and are held as a local table.
+    """
 
     keys: tuple[str, ...]
     rows: DataFrame
+    small: bool
 
 
-def drop_keys(events: DataFrame, policy: ApplyPolicy, route: Router) -> list[tuple[tuple[str, ...], DataFrame]]:
-    """Drop events by scope, as (key columns, rows with those columns and ``seq``)."""
-    routed = events.withColumn("index_name", route(F.col("database"), F.col("collection")))
-    scopes = [(policy.drop_columns, routed.where(F.col("op") == DROP))]
+def scopes(policy: ApplyPolicy) -> list[tuple[str, tuple[str, ...]]]:
+    """Which drop op clears rows by which key columns."""
+    found = [(DROP, policy.drop_columns)]
     if policy.drop_database != "ignore":
-        keys = ("database",) if policy.drop_database == "database" else ()
-        scopes.append((keys, events.where(F.col("op") == DROP_DATABASE)))
-    return [(keys, rows.select(*keys, "seq")) for keys, rows in scopes]
+        found.append((DROP_DATABASE, ("database",) if policy.drop_database == "database" else ()))
+    return found
 
 
-def barriers(events: DataFrame, policy: ApplyPolicy, route: Router) -> list[Barrier]:
-    """One small aggregation per scope over the drop events only."""
-    return [
-        Barrier(keys, rows.groupBy(*keys).agg(F.max("seq").alias("barrier")))
-        for keys, rows in drop_keys(events, policy, route)
-    ]
+def drop_events(events: DataFrame, route: Router) -> DataFrame:
+    """The drop events of a feed: a filter on ``op`` that reaches the scan."""
+    drops = events.where(F.col("op").isin(*CONTROL_OPS))
+    named = drops.withColumn("index_name", route(F.col("database"), F.col("collection")))
+    return named.select("op", "index_name", "collection", "database", "seq")
+
 
+def barriers(events: DataFrame, policy: ApplyPolicy, route: Router,
+             broadcast_rows: int = BROADCAST_ROWS) -> list[Barrier]:
+    """The barriers of a feed, from one pass over its drop events.
 
-def mark_cleared(rows: DataFrame, found: list[Barrier], seq: str,
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    The pass runs at once, to learn how many barriers there are: up to ``broadcast_rows`` they
+    become local tables, beyond that they stay distributed.
+    """
+    wanted = scopes(policy)
+    columns = ["index_name", "collection", "database"]
+    used = {op: keys for op, keys in wanted}
+    drops = drop_events(events, route).where(F.col("op").isin(*used))
+    keyed = [
+        F.when(F.col("op").isin([op for op, keys in wanted if c in keys]), F.col(c)).alias(c) for c in columns
+    ]
+    totals = drops.select("op", *keyed, "seq").groupBy("op", *columns).agg(F.max("seq").alias("barrier"))
+    found = totals.take(broadcast_rows + 1)
+    spark = events.sparkSession
+    result = []
+    for op, keys in wanted:
+        if len(found) > broadcast_rows:
+            result.append(Barrier(keys, totals.where(F.col("op") == op).select(*keys, "barrier"), False))
+            continue
+        rows = [tuple(r[k] for k in (*keys, "barrier")) for r in found if r.op == op]
+        if rows:
+            result.append(Barrier(keys, spark.createDataFrame(rows, totals.select(*keys, "barrier").schema), True))
+    return result
+
+
+def mark_cleared(rows: DataFrame, found: list[Barrier], seq: str) -> DataFrame:
     """Adds ``_cleared``: whether a barrier that covers the row lies at or above its ``seq``.
 
     ``rows`` should be folded already: clearing commutes with the fold, and folded rows are far
@@ -46,19 +74,21 @@ def mark_cleared(rows: DataFrame, found: list[Barrier], seq: str,
     """
     cleared = F.lit(False)
     for i, barrier in enumerate(found):
-        if barrier.keys:
-            name = f"_barrier_{i}"
-            side = barrier.rows.withColumnRenamed("barrier", name)
-            rows = lookup_join(rows, side, list(barrier.keys), F.col("uid"), broadcast_rows)
-            limit = F.col(name)
+        name = f"_barrier_{i}"
+        if not barrier.keys:
+            limit = F.lit(barrier.rows.agg(F.max("barrier")).first()[0]).cast("bigint")
         else:
-            limit = F.lit(barrier.rows.first().barrier).cast("bigint")  # one value: a global maximum
+            side, keys = barrier.rows.withColumnRenamed("barrier", name), list(barrier.keys)
+            if barrier.small:
+                rows = rows.join(F.broadcast(side), keys, "left")
+            else:
+                rows = salted_join(rows, side, keys, F.col("uid"))
+            limit = F.col(name)
         cleared = cleared | F.coalesce(F.col(seq) <= limit, F.lit(False))
     helpers = [c for c in rows.columns if c.startswith("_barrier_")]
     return rows.withColumn("_cleared", cleared).drop(*helpers)
 
 
-def above_barriers(rows: DataFrame, found: list[Barrier], seq: str,
-                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def above_barriers(rows: DataFrame, found: list[Barrier], seq: str) -> DataFrame:
     """Keeps the rows no barrier covers."""
-    return mark_cleared(rows, found, seq, broadcast_rows).where(~F.col("_cleared")).drop("_cleared")
+    return mark_cleared(rows, found, seq).where(~F.col("_cleared")).drop("_cleared")

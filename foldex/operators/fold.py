@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldex.functions.sizing import BROADCAST_ROWS, has_at_most
+from foldex.functions.sizing import BROADCAST_ROWS, fits_broadcast
 from foldex.model import (
     DELETE,
     DOCUMENT_OPS,
@@ -52,7 +52,7 @@ def allow_collections(events: DataFrame, collections: list[str] | DataFrame,
     whole_database = F.col("op") == DROP_DATABASE
     if isinstance(collections, DataFrame):
         names = collections.select("collection").where(F.col("collection").isNotNull()).distinct()
-        if has_at_most(names, broadcast_rows):
+        if fits_broadcast(names, broadcast_rows):
             names = F.broadcast(names)
         passed = events.where(~F.coalesce(whole_database, F.lit(False))).join(names, "collection", "left_semi")
         return passed.select(events.columns).unionByName(events.where(whole_database))
@@ -101,19 +101,19 @@ def fold_keys(events: DataFrame, policy: ApplyPolicy, route: Router = by_collect
     """
     if policy.key != "namespace":
         return materialise(fold(events.select("seq", "op", *NAMESPACE, "uid"), policy, route, broadcast_rows))
-    found = barriers(events, policy, route)
+    found = barriers(events, policy, route, broadcast_rows)
     state = relevant(events, policy).groupBy(*policy.key_columns).agg(
         *[c.alias(n) for n, c in _sequences().items()]
     )
     state = state.withColumn("index_name", route(F.col("database"), F.col("collection")))
     live = state.where(_state(policy) == LIVE).withColumn("_anchor", _anchor(policy))
-    return above_barriers(live, found, "_anchor", broadcast_rows).select(*NAMESPACE, "uid", "index_name")
+    return above_barriers(live, found, "_anchor").select(*NAMESPACE, "uid", "index_name")
 
 
 def fold(events: DataFrame, policy: ApplyPolicy, route: Router = by_collection,
          broadcast_rows: int = BROADCAST_ROWS) -> Delta:
     """Net effect of projected change rows (one row per key), drop events included."""
-    found = barriers(events, policy, route)
+    found = barriers(events, policy, route, broadcast_rows)
     routed = events.withColumn("index_name", route(F.col("database"), F.col("collection")))
     rows = relevant(routed, policy)
     payload = payload_columns(events)
@@ -146,7 +146,7 @@ def fold(events: DataFrame, policy: ApplyPolicy, route: Router = by_collection,
         folded = _attach_ext(folded, rows, policy)
 
     # Cleared keys stay in the delta as dead: they still have to hide a row of the base.
-    marked = mark_cleared(folded, found, "_anchor", broadcast_rows)
+    marked = mark_cleared(folded, found, "_anchor")
     state = F.when((F.col("state") == LIVE) & F.col("_cleared"), F.lit(DEAD)).otherwise(F.col("state"))
     columns = [*NAMESPACE, "uid", "index_name", F.col("image_seq").alias("seq"), state.alias("state"), *payload]
     return Delta(marked.withColumn("index_name", _routed_name(policy, route)).select(*columns), found, policy)
@@ -182,25 +182,27 @@ def materialise(delta: Delta) -> DataFrame:
     return delta.rows.where(F.col("state") == LIVE).drop("state")
 
 
-def overlay(base: DataFrame, delta: Delta, small_delta: bool = False,
-            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def overlay(base: DataFrame, delta: Delta, small_delta: bool = False) -> DataFrame:
     """Index rows of a base (same columns as a fold result) with a delta folded on top.
 
-    ``small_delta`` says the delta's size was checked: then it is broadcast and the base is not
-    shuffled at all. Otherwise both sides shuffle once on the document key.
+    ``small_delta`` says the delta's keys were measured: then they are broadcast and the base is
+    not shuffled at all. Otherwise both sides shuffle once on the document key.
     """
     policy, keys = delta.policy, list(delta.policy.key_columns)
     columns = base.columns
-    kept = above_barriers(base, delta.barriers, "seq", broadcast_rows)
+    kept = above_barriers(base, delta.barriers, "seq")
     touched = delta.rows.select(*keys)
     untouched = kept.join(F.broadcast(touched) if small_delta else touched, keys, "left_anti")
     result = untouched.select(columns).unionByName(materialise(delta).select(columns))
     if policy.update != "merge":
         return result
+    # Only keys are ever broadcast; the waiting documents then meet the few base rows they change.
     waiting = delta.rows.where(F.col("state") == PENDING)
-    hidden = [F.col(c).alias(f"_base_{c}") for c in columns if c in (*NAMESPACE, EXT) and c not in keys]
-    targets = kept.select(*keys, *hidden)
-    merged = (F.broadcast(waiting) if small_delta else waiting).join(targets, keys)
+    wanted = waiting.select(*keys)
+    older_ext = [F.col(EXT).alias("_base_ext")] if EXT in columns else []
+    targets = kept.select(*keys, *older_ext)
+    hit = targets.join(F.broadcast(wanted) if small_delta else wanted, keys)
+    merged = waiting.join(hit, keys)
     if EXT in columns:
         older = F.map_filter(
             F.coalesce("_base_ext", F.create_map().cast(EXT_TYPE)),
@@ -219,8 +221,8 @@ def apply_changes(events: DataFrame, policy: ApplyPolicy, route: Router = by_col
     delta = fold(events, policy, route, broadcast_rows)
     if base is None:
         return materialise(delta)
-    small = has_at_most(events.select("seq"), broadcast_rows)
-    return overlay(base, delta, small, broadcast_rows)
+    small = fits_broadcast(events.select(*NAMESPACE, "uid"), broadcast_rows)
+    return overlay(base, delta, small)
 
 
 def clear_collections(index: DataFrame, namespaces: list[tuple[str, str]] | DataFrame,
@@ -228,7 +230,7 @@ def clear_collections(index: DataFrame, namespaces: list[tuple[str, str]] | Data
     """Removes all rows of the given (database, collection) pairs from index rows."""
     if isinstance(namespaces, DataFrame):
         pairs = namespaces.select(*NAMESPACE).distinct()
-        if has_at_most(pairs, broadcast_rows):
+        if fits_broadcast(pairs, broadcast_rows):
             pairs = F.broadcast(pairs)
         return index.join(pairs, list(NAMESPACE), "left_anti").select(index.columns)
     for database, collection in namespaces:

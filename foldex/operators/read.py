@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldex.functions.analysis import Analyzer
-from foldex.functions.sizing import BROADCAST_ROWS, has_at_most
+from foldex.functions.sizing import fits_broadcast
 from foldex.model import EXT, IndexConfig
 
 METADATA = ("index_name", "_id", "_collection", "_database")
@@ -63,7 +63,7 @@ class IndexView:
     def get_many(self, ids: DataFrame, column: str = "_id") -> DataFrame:
         """Documents whose id is in ``ids``; a small id list is broadcast after a size check."""
         wanted = ids.select(F.col(column).alias("_id")).distinct()
-        if has_at_most(wanted, BROADCAST_ROWS):
+        if fits_broadcast(wanted):
             wanted = F.broadcast(wanted)
         return self.documents.join(wanted, "_id", "left_semi")
 
@@ -164,16 +164,16 @@ class IndexView:
         The tokens of one document are sorted and the lengths of equal runs counted, so nothing
         but finished postings leaves a task.
         """
-        words = self.documents.select(*METADATA, F.array_sort(self.tokens(field)).alias("_w"))
-        starts = F.filter(
-            F.sequence(F.lit(1), F.size("_w")),
-            lambda i: (i == 1) | (F.col("_w")[i - 1] != F.col("_w")[i - 2]),
-        )
-        runs = words.where(F.size("_w") > 0).withColumn("_s", starts)
+        # sort_array and an outer explode keep the optimiser from computing the tokens twice.
+        words = self.documents.select(*METADATA, F.sort_array(self.tokens(field)).alias("_w"))
+        positions = F.when(F.size("_w") > 0, F.sequence(F.lit(1), F.size("_w")))
+        starts = F.filter(positions, lambda i: (i == 1) | (F.col("_w")[i - 1] != F.col("_w")[i - 2]))
+        runs = words.withColumn("_s", starts)
         ends = F.concat(F.slice(F.col("_s"), 2, F.size("_s")), F.array(F.size("_w") + 1))
         entries = F.zip_with(
             "_s", ends,
             lambda s, e: F.struct(F.col("_w")[s - 1].alias("term"), (e - s).cast("bigint").alias("tf")),
         )
-        rows = runs.select(*METADATA, F.explode(entries).alias("_p"))
-        return rows.select(F.col("_p.term").alias("term"), *METADATA, F.col("_p.tf").alias("tf"))
+        rows = runs.select(*METADATA, F.explode_outer(entries).alias("_p"))
+        postings = rows.select(F.col("_p.term").alias("term"), *METADATA, F.col("_p.tf").alias("tf"))
+        return postings.where(F.col("term").isNotNull())

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldex.functions.running import order_bounds, running_max
+from foldex.functions.running import last_before, order_ranges, running_max
 from foldex.model import (
     CHANGE_COLUMNS,
     DELETE,
     DOCUMENT_OPS,
-    DROP,
     DROP_DATABASE,
     INSERT,
     NAMESPACE,
@@ -25,7 +24,7 @@ from foldex.model import (
     Router,
     by_collection,
 )
-from foldex.operators.barriers import drop_keys
+from foldex.operators.barriers import drop_events, scopes
 
 # Fixed value: a document key is the text form of a 12-byte object id.
 OBJECT_ID = "^[0-9a-f]{24}$"
@@ -150,33 +149,31 @@ def updates_without_target(events: DataFrame, policy: ApplyPolicy, route: Router
         rows = rows.unionByName(seeds)
     rows = rows.withColumn("index_name", route(F.col("database"), F.col("collection")))
     op, seq = F.col("op"), F.col("seq")
-    bounds = order_bounds(events, "seq")
+    ranges = order_ranges(rows, "seq")
     documents = running_max(
         rows.where(op.isin(*DOCUMENT_OPS)), list(policy.key_columns), "seq",
-        {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq)}, bounds,
+        {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq)}, ranges,
     )
     updates = documents.where(op == UPDATE)
     removed: list[Column] = [F.col("_deleted")]
-    for i, (keys, drops) in enumerate(drop_keys(events, policy, route)):
-        if drops.isEmpty():
+    drops = drop_events(events, route)
+    seen = {r.op for r in drops.select("op").distinct().collect()}  # at most the two drop ops
+    for i, (kind, keys) in enumerate(scopes(policy)):
+        if kind not in seen:
             continue
         name = f"_dropped_{i}"
-        updates = _last_drop(updates, drops, list(keys), name, bounds)
+        updates = last_before(*_keyed(updates, drops.where(op == kind), keys), "seq", name, ranges).drop("_all")
         removed.append(F.col(name))
     gone = F.greatest(*removed, F.lit(None).cast("bigint"))
     orphan = F.col("_inserted").isNull() | (F.coalesce(gone, F.col("_inserted") - 1) > F.col("_inserted"))
     return updates.where(orphan).select(*CHANGE_COLUMNS, F.lit("update_without_target").alias("reason"))
 
 
-def _last_drop(updates: DataFrame, drops: DataFrame, keys: list[str], name: str, bounds: list[int]) -> DataFrame:
-    """The last drop before each update, found by running both through one ordered pass."""
-    marks = drops.select(*keys, "seq", F.lit(DROP).alias("op"))
-    both = updates.unionByName(marks, allowMissingColumns=True)
-    if not keys:
-        both = both.withColumn("_all", F.lit(0))
-    last = {name: F.when(F.col("op") == DROP, F.col("seq"))}
-    running = running_max(both, keys or ["_all"], "seq", last, bounds)
-    return running.where(F.col("op") == UPDATE).drop("_all")
+def _keyed(updates: DataFrame, drops: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Updates and drops with the key columns they meet on; without any, one constant."""
+    if keys:
+        return updates, drops.select(*keys, "seq"), list(keys)
+    return updates.withColumn("_all", F.lit(0)), drops.select(F.lit(0).alias("_all"), "seq"), ["_all"]
 
 
 def reject_counts(reasons: Mapping[str, DataFrame] | DataFrame) -> DataFrame:

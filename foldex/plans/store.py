@@ -188,7 +188,9 @@ class IndexStore:
         """Writes ``rows``, which cover the log up to ``cut``, as a new base and makes it visible."""
         base = uuid.uuid4().hex
         columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows)]
-        rows.select(columns).write.partitionBy("index_name").parquet(f"{self.root}/bases/{base}")
+        # Rebalancing gives each index few, evenly sized files and splits a large index over many.
+        files = rows.select(columns).hint("rebalance", "index_name")
+        files.write.partitionBy("index_name").parquet(f"{self.root}/bases/{base}")
         record = Commit(self.head().version + 1, cut.as_of, cut.until, base, reason)
         values = [(record.version, record.as_of_seq, record.log_until, record.base, record.reason)]
         self.spark.createDataFrame(values, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.commit_path)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from replay import orphan_updates, random_events, replay, route
 
-from foldex.functions.running import order_bounds, running_max
+from foldex.functions.running import last_before, order_ranges, running_max
 from foldex.model import EMBEDDED, FULL_REPLACE, PARTIAL_UPDATE, ApplyPolicy
 from foldex.operators import rejects as R
 from foldex.operators.fold import allow_collections, apply_changes, clear_collections, fold, fold_keys
@@ -141,7 +141,7 @@ def test_running_max_over_a_hot_key(spark):
         F.when(F.col("id") % 5 == 0, F.concat(F.lit("k"), F.col("id") % 7)).otherwise("hot").alias("k"),
         F.col("id").alias("o"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("v"))
     out = running_max(rows, ["k"], "o", {"m": F.when(F.col("v") < 500, F.col("v"))},
-                      order_bounds(rows, "o", 16)).collect()
+                      order_ranges(rows, "o", 16)).collect()
     best = {}
     for r in sorted(out, key=lambda r: r.o):
         assert r.m == best.get(r.k)
@@ -150,6 +150,21 @@ def test_running_max_over_a_hot_key(spark):
     assert len(out) == 5000
 
 
+def test_last_before_over_a_hot_key(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("k"), F.col("id") % 7)).otherwise("hot").alias("k"),
+        F.col("id").alias("o"))
+    marks = rows.where("o % 97 = 3")
+    ranges = order_ranges(rows, "o", 16)
+    out = last_before(rows, marks, ["k"], "o", "m", ranges).collect()
+    last = {}
+    for r in sorted(out, key=lambda r: r.o):
+        assert r.m == last.get(r.k)
+        if r.o % 97 == 3:
+            last[r.k] = r.o
+    assert len(out) == 3000
+
+
 def test_rejected_rows(spark):
     rows = [
         (1, "insert", "db", "c", "a" * 24, 1, {}),

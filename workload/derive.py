@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldex.model import CHANGE_COLUMNS
-from foldex.sources.snapshot import snapshot
+from foldex.sources.snapshot import snapshot, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +111,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by language as collections: whole text, source, length."""
-    return snapshot(table(spark, sf_dir, "documents"), "corpus", F.col("lang"), uid(F.col("doc_id")),
+    return snapshot(spread(table(spark, sf_dir, "documents"), "doc_id"), "corpus", F.col("lang"), uid(F.col("doc_id")),
                     ["text", "source", "n_chars", "lang"])
 
 
@@ -143,7 +143,7 @@ def outline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(p != "", F.transform(sentences, sentence)).alias("sentences"),
         )
 
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     outline = docs.select(
         "doc_id", "lang", "source",
         F.split("text", "\n").alias("lines"),
