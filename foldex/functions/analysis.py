@@ -35,8 +35,8 @@ class Analyzer:
 
     def query_terms(self, spark: SparkSession, text: str) -> list[str]:
         """The distinct tokens of a query text (one short string, analysed by the same rule)."""
-        row = spark.range(1).select(F.array_distinct(self.tokens(F.lit(text))).alias("t")).first()
-        return list(row.t)
+        one_row = spark.sql("select 1")
+        return list(one_row.select(F.array_distinct(self.tokens(F.lit(text))).alias("t")).first().t)
 
 
 STANDARD = Analyzer()

@@ -8,6 +8,8 @@ before the one shuffle, and a key that holds a large share of the feed costs one
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ from foldex.model import (
 )
 from foldex.operators.barriers import Barrier, above_barriers, barriers, mark_cleared
 from foldex.operators.project import payload_columns
+from foldex.session import scratch
 
 LIVE = "live"
 DEAD = "dead"
@@ -191,18 +194,27 @@ def overlay(base: DataFrame, delta: Delta, small_delta: bool = False) -> DataFra
     policy, keys = delta.policy, list(delta.policy.key_columns)
     columns = base.columns
     kept = above_barriers(base, delta.barriers, "seq")
-    touched = delta.rows.select(*keys)
-    untouched = kept.join(F.broadcast(touched) if small_delta else touched, keys, "left_anti")
+    names = {c: f"_delta_{c}" for c in (*keys, *NAMESPACE, "state")}
+    touched = delta.rows.select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = reduce(and_, [F.col(k) == F.col(names[k]) for k in keys])
+    foreign = [c for c in NAMESPACE if c not in keys]
+    if policy.update == "merge" and foreign:
+        # An update from another namespace leaves the base row alone: see rejects.namespace_collisions.
+        own = reduce(and_, [F.col(c) == F.col(names[c]) for c in foreign])
+        same = same & ((F.col(names["state"]) != PENDING) | own)
+    untouched = kept.join(F.broadcast(touched) if small_delta else touched, same, "left_anti")
     result = untouched.select(columns).unionByName(materialise(delta).select(columns))
     if policy.update != "merge":
         return result
     # Only keys are ever broadcast; the waiting documents then meet the few base rows they change.
     waiting = delta.rows.where(F.col("state") == PENDING)
     wanted = waiting.select(*keys)
-    older_ext = [F.col(EXT).alias("_base_ext")] if EXT in columns else []
-    targets = kept.select(*keys, *older_ext)
+    base_columns = {c: f"_base_{c}" for c in (*NAMESPACE, EXT) if c in columns and c not in keys}
+    targets = kept.select(*keys, *[F.col(c).alias(n) for c, n in base_columns.items()])
     hit = targets.join(F.broadcast(wanted) if small_delta else wanted, keys)
     merged = waiting.join(hit, keys)
+    for c in foreign:
+        merged = merged.where(F.col(c) == F.col(base_columns[c]))
     if EXT in columns:
         older = F.map_filter(
             F.coalesce("_base_ext", F.create_map().cast(EXT_TYPE)),
@@ -222,7 +234,16 @@ def apply_changes(events: DataFrame, policy: ApplyPolicy, route: Router = by_col
     if base is None:
         return materialise(delta)
     small = fits_broadcast(events.select(*NAMESPACE, "uid"), broadcast_rows)
-    return overlay(base, delta, small)
+    return overlay(base, delta if small else _written(delta), small)
+
+
+def _written(delta: Delta) -> Delta:
+    """A large delta as a table in the shared folder: folded once, though the overlay reads it
+    several times with different columns."""
+    spark = delta.rows.sparkSession
+    path = scratch(spark, "delta")
+    delta.rows.write.parquet(path)
+    return Delta(spark.read.schema(delta.rows.schema).parquet(path), delta.barriers, delta.policy)
 
 
 def clear_collections(index: DataFrame, namespaces: list[tuple[str, str]] | DataFrame,

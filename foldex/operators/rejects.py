@@ -123,12 +123,15 @@ def sequence_conflicts(events: DataFrame) -> DataFrame:
     )
 
 
-def namespace_collisions(events: DataFrame, route: Router = by_collection) -> DataFrame:
+def namespace_collisions(events: DataFrame, route: Router = by_collection,
+                         base: DataFrame | None = None) -> DataFrame:
     """Keys of one index that several namespaces write; merging updates are undefined for them."""
-    routed = events.withColumn("index_name", route(F.col("database"), F.col("collection")))
+    keys = events.where(F.col("op").isin(*DOCUMENT_OPS)).select(*NAMESPACE, "uid")
+    if base is not None:
+        keys = keys.unionByName(base.select(*NAMESPACE, "uid"))
     namespace = F.struct(*NAMESPACE)
     return (
-        routed.where(F.col("op").isin(*DOCUMENT_OPS))
+        keys.withColumn("index_name", route(F.col("database"), F.col("collection")))
         .groupBy("index_name", "uid")
         .agg(F.min(namespace).alias("_low"), F.max(namespace).alias("_high"))
         .where(F.col("_low") != F.col("_high"))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldex.model import INSERT, NAMESPACE, ApplyPolicy, IndexConfig
+from foldex.model import ApplyPolicy, IndexConfig
 from foldex.operators.project import project
 from foldex.plans.store import Commit, IndexStore
 from foldex.sources.snapshot import scan_collections
@@ -72,13 +72,3 @@ def backfill(documents: DataFrame) -> Action:
         return store.commit(rows, cut, "backfill")
 
     return run
-
-
-def document_upserts(documents: DataFrame, first_seq: int) -> DataFrame:
-    """Documents as insert changes, for indexing outside the feed: ``seq`` is ``first_seq`` for all.
-
-    Keys must be unique in ``documents``.
-    """
-    return documents.select(
-        F.lit(first_seq).cast("bigint").alias("seq"), F.lit(INSERT).alias("op"), *NAMESPACE, "uid", "doc"
-    )

@@ -23,7 +23,8 @@ from foldex.model import CONTROL_OPS, NAMESPACE, ApplyPolicy, IndexConfig
 from foldex.operators.fold import apply_changes, clear_collections
 from foldex.operators.project import index_documents, payload_columns, project
 from foldex.operators.read import IndexView
-from foldex.operators.rejects import accepted, rejected
+from foldex.operators.rejects import accepted, namespace_collisions, rejected, updates_without_target
+from foldex.sources.snapshot import document_upserts
 
 CONTROL = "__control"
 BEFORE_ALL = -1
@@ -116,11 +117,27 @@ class IndexStore:
         """Log rows the current base does not cover."""
         return accepted(self.log().where(F.col("seq") > self.head().as_of_seq))
 
+    def upsert(self, documents: DataFrame) -> None:
+        """Indexes documents (``database, collection, uid, doc``; unique keys) outside the feed."""
+        self.append(document_upserts(documents, self.cut().as_of + 1))
+
     def rejects(self) -> DataFrame:
-        """Rows that were not applied: unusable ones, and those that came after their base."""
-        head = self.head()
+        """Changes that were not applied, with the reason.
+
+        Unusable rows, rows that came after their base, and for merging updates also those
+        without a document and keys shared by several namespaces.
+        """
+        head, route = self.head(), self.config.route
         late = self.log().where((F.col("seq") <= head.as_of_seq) & (F.col("batch_at") > head.log_until))
-        return rejected(self.log()).unionByName(rejected(late, as_of=head.as_of_seq)).distinct()
+        found = rejected(self.log()).unionByName(rejected(late, as_of=head.as_of_seq)).distinct()
+        if self.policy.update != "merge":
+            return found
+        events, base = self.pending(), self.base_rows()
+        found = found.unionByName(updates_without_target(events, self.policy, route, base))
+        if self.policy.key == "index":
+            shared = namespace_collisions(events, route, base).drop("index_name")
+            found = found.unionByName(shared, allowMissingColumns=True)
+        return found
 
     # -- versions -----------------------------------------------------------------------------
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldex.model import NAMESPACE
+from foldex.model import INSERT, NAMESPACE
 
 
 def snapshot(table: DataFrame, database: str | Column, collection: str | Column, key: Column,
@@ -45,3 +45,13 @@ def scan_collections(documents: DataFrame, collections: list[str]) -> DataFrame:
 def source_counts(documents: DataFrame) -> DataFrame:
     """Number of source documents per collection."""
     return documents.groupBy(*NAMESPACE).agg(F.count(F.lit(1)).alias("n"))
+
+
+def document_upserts(documents: DataFrame, first_seq: int) -> DataFrame:
+    """Documents as insert changes, for indexing outside the feed: ``seq`` is ``first_seq`` for all.
+
+    Keys must be unique in ``documents``.
+    """
+    return documents.select(
+        F.lit(first_seq).cast("bigint").alias("seq"), F.lit(INSERT).alias("op"), *NAMESPACE, "uid", "doc"
+    )

@@ -121,6 +121,19 @@ def test_reindex_and_backfill(spark, folder):
     assert docs(store.view())[("db0", "c0", "n")][0] == 10
 
 
+def test_single_documents_and_merge_rejects(spark, folder):
+    store = new_store(spark, folder, ApplyPolicy(update="merge", key="index"))
+    store.append(frame(spark, [(1, "insert", "db0", "c0", "a", 1, {}), (2, "update", "db0", "c0", "lost", 1, {})]))
+    store.upsert(snapshot(spark, [("c0", "a", 5), ("c1", "n", 9)]))
+    store.compact()
+    store.append(frame(spark, [(20, "update", "db1", "c0", "n", 3, {}), (21, "update", "db0", "c1", "n", 4, {}),
+                               (22, "update", "db1", "c0", "a", 6, {}), (23, "update", "db0", "c1", "none", 6, {})]))
+    assert {k[2]: v[0] for k, v in docs(store.view()).items()} == {"a": 5, "n": 4}
+    got = {(r.uid, r.reason) for r in store.rejects().collect()}
+    assert got == {
+        ("a", "namespace_collision"), ("n", "update_without_target"), ("none", "update_without_target")}
+
+
 def write_files(spark, events, path, files, by):
     for i in range(files):
         part = [e for j, e in enumerate(events) if by(j, e) == i]
