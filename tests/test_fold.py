@@ -101,10 +101,10 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("uid"),
         (F.col("id") * 2).alias("value"),
     )
-    df = apply_changes(rows, ApplyPolicy())
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
-    assert df.where("uid = 'hot'").first().value == 2 * 19998
+    for policy, step in ((ApplyPolicy(), "row_number(), 1, Partial"), (ApplyPolicy(update="merge"), "partial_max_by")):
+        df = apply_changes(rows, policy)
+        assert step in df._jdf.queryExecution().executedPlan().toString()
+        assert df.where("uid = 'hot'").first().value == 2 * 19998
 
 
 def test_allow_list(spark):

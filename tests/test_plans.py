@@ -37,8 +37,10 @@ def test_rebuild_does_not_shuffle(spark, sf_dir):
 def test_fold_shuffles_once_after_projection(spark, sf_dir):
     df = change_queries.cdc_full_replay(spark, sf_dir)
     assert shuffles(df) == 1
-    assert "partial_max_by" in plan(df) and "CartesianProduct" not in plan(df)
+    assert "row_number(), 1, Partial" in plan(df) and "CartesianProduct" not in plan(df)
     assert "BroadcastNestedLoopJoin" not in plan(df)
+    merged = change_queries.cdc_update_merge(spark, sf_dir)
+    assert shuffles(merged) == 1 and "partial_max_by" in plan(merged)
 
 
 def test_live_keys_use_hash_aggregation_over_key_columns(spark, sf_dir):

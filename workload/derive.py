@@ -93,7 +93,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     fields = {
         "status": F.col("o_orderstatus"),
-        "placed": F.col("o_orderdate").cast("timestamp"),
+        "placed": F.col("o_orderdate"),
         "total": F.col("o_totalprice"),
         "cents": F.round(F.col("o_totalprice") * 100).cast("bigint"),
         "weight": F.col("o_totalprice").cast("float"),
