@@ -49,10 +49,11 @@ class Commit:
 
 @dataclass(frozen=True)
 class Cut:
-    """A point in the log: the highest ``seq`` and the latest arrival it contains."""
+    """A point in the log: its highest ``seq``, its latest arrival, and the commit below it."""
 
     as_of: int
     until: int
+    head: Commit
 
 
 class IndexStore:
@@ -113,9 +114,10 @@ class IndexStore:
         stream = self._read(f"{self.log_path}/stream", self.log_schema)
         return batch.unionByName(stream)
 
-    def pending(self) -> DataFrame:
-        """Log rows the current base does not cover."""
-        return accepted(self.log().where(F.col("seq") > self.head().as_of_seq))
+    def pending(self, head: Commit | None = None) -> DataFrame:
+        """Log rows the base of a commit (the newest by default) does not cover."""
+        head = head or self.head()
+        return accepted(self.log().where(F.col("seq") > head.as_of_seq))
 
     def upsert(self, documents: DataFrame) -> None:
         """Indexes documents (``database, collection, uid, doc``; unique keys) outside the feed."""
@@ -132,7 +134,7 @@ class IndexStore:
         found = rejected(self.log()).unionByName(rejected(late, as_of=head.as_of_seq)).distinct()
         if self.policy.update != "merge":
             return found
-        events, base = self.pending(), self.base_rows()
+        events, base = self.pending(head), self.base_rows(head)
         found = found.unionByName(updates_without_target(events, self.policy, route, base))
         if self.policy.key == "index":
             shared = namespace_collisions(events, route, base).drop("index_name")
@@ -168,19 +170,21 @@ class IndexStore:
 
     def rows(self, cut: Cut | None = None) -> DataFrame:
         """Current index rows: newest base plus the log above it (up to ``cut`` if given)."""
-        pending = self.pending()
+        head = cut.head if cut else self.head()  # log and base must belong to one commit
+        pending = self.pending(head)
         if cut is not None:
             pending = pending.where((F.col("seq") <= cut.as_of) & (F.col("batch_at") <= cut.until))
         events = pending.drop("batch_at", "index_name")
-        return apply_changes(events, self.policy, self.config.route, self.base_rows(), self.broadcast_rows)
+        return apply_changes(events, self.policy, self.config.route, self.base_rows(head), self.broadcast_rows)
 
     def view(self, index: str | None = None) -> IndexView:
         """The index as documents; naming one index prunes the partitions of all others."""
         if index is None:
             return IndexView(index_documents(self.rows()), self.config)
         mine = F.col("index_name").isin(index, CONTROL)
-        events = self.pending().where(mine).drop("batch_at", "index_name")
-        base = self.base_rows()
+        head = self.head()
+        events = self.pending(head).where(mine).drop("batch_at", "index_name")
+        base = self.base_rows(head)
         base = None if base is None else base.where(F.col("index_name") == index)
         rows = apply_changes(events, self.policy, self.config.route, base, self.broadcast_rows)
         return IndexView(index_documents(rows.where(F.col("index_name") == index)), self.config)
@@ -199,16 +203,22 @@ class IndexStore:
         return Cut(
             max(head.as_of_seq, BEFORE_ALL if newest[0] is None else newest[0]),
             max(head.log_until, BEFORE_ALL if newest[1] is None else newest[1]),
+            head,
         )
 
     def commit(self, rows: DataFrame, cut: Cut, reason: str) -> Commit:
-        """Writes ``rows``, which cover the log up to ``cut``, as a new base and makes it visible."""
+        """Writes ``rows``, which cover the log up to ``cut``, as a new base and makes it visible.
+
+        One writer at a time: a commit that another one overtook fails and leaves the index as it is.
+        """
         base = uuid.uuid4().hex
         columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows)]
         # Rebalancing gives each index few, evenly sized files and splits a large index over many.
         files = rows.select(columns).hint("rebalance", "index_name")
         files.write.partitionBy("index_name").parquet(f"{self.root}/bases/{base}")
-        record = Commit(self.head().version + 1, cut.as_of, cut.until, base, reason)
+        if self.head().version != cut.head.version:
+            raise RuntimeError("the index was committed by someone else meanwhile")
+        record = Commit(cut.head.version + 1, cut.as_of, cut.until, base, reason)
         values = [(record.version, record.as_of_seq, record.log_until, record.base, record.reason)]
         self.spark.createDataFrame(values, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.commit_path)
         return record

@@ -93,6 +93,16 @@ def test_clear_and_drop_all(spark, folder):
     assert docs(store.view()) == {("db0", "c0", "u1"): (5, {})}
 
 
+def test_overtaken_commit_fails(spark, folder):
+    store = new_store(spark, folder)
+    store.append(frame(spark, [(1, "insert", "db0", "c0", "a", 1, {})]))
+    cut = store.cut()
+    store.compact()
+    with pytest.raises(RuntimeError):
+        store.commit(store.rows(cut), cut, "stale")
+    assert set(docs(store.view())) == {("db0", "c0", "a")}
+
+
 def test_late_and_unusable_rows_are_reported(spark, folder):
     store = new_store(spark, folder)
     store.append(frame(spark, [(10, "insert", "db0", "c0", "u1", 1, {}), (11, "insert", "db0", "c0", None, 1, {})]))
