@@ -143,7 +143,7 @@ def _latest_changes(rows: DataFrame, policy: ApplyPolicy) -> DataFrame:
     """The last change per key decides alone.
 
     A rank of one is limited on both sides of the shuffle, and rows pass through as they are;
-    on a feed of three million rows this took little more than half the time of ``max_by``.
+    in a trial on three million rows this took about three quarters of the time of ``max_by``.
     """
     last_first = W.partitionBy("_key_hash", *policy.key_columns).orderBy(F.col("seq").desc())
     hashed = rows.withColumn("_key_hash", F.xxhash64(*policy.key_columns))

@@ -42,7 +42,7 @@ CONFIG = IndexConfig(
     rules={"dokumente": RULES}, extender=tag_facet, facets=("tag_facet",),
     analyzer=Analyzer(by_field={"name": Analyzer(stop_words=("der", "die"))}),
 )
-FULL = ("thorsten", ["eins", "zwei"], [("Bochum",), ("Dortmund",), ("Essen",)], ("Kaiserslautern",),
+FULL = ("tilo", ["eins", "zwei"], [("Bochum",), ("Dortmund",), ("Essen",)], ("Kaiserslautern",),
         dt.datetime(2023, 9, 1, 23, 0), False)
 PLAIN = ("lara", ["drei", "zwei"], None, None, None, True)
 
@@ -59,7 +59,7 @@ def first(spark, doc, config=CONFIG, policy=None, **kw):
 def test_mapping_and_metadata(spark):
     r = first(spark, FULL)
     assert (r.index_name, r._id, r._collection, r._database) == ("dokumente", "0" * 24, "dokumente", "search")
-    assert r.name == "thorsten" and r.tags == ["eins", "zwei"]
+    assert r.name == "tilo" and r.tags == ["eins", "zwei"]
     assert r.created == "2023-09-01" and r.draft == "false"
     assert first(spark, PLAIN).draft == "true"
 
@@ -118,7 +118,7 @@ def test_scalar_and_list_rules_share_an_index_field(spark):
     })
     both = rows(spark, FULL).unionByName(rows(spark, FULL, collection="books"))
     got = {r._collection: r.labels for r in index_documents(project(both, config)).collect()}
-    assert got == {"dokumente": ["eins", "zwei"], "books": ["thorsten"]}
+    assert got == {"dokumente": ["eins", "zwei"], "books": ["tilo"]}
 
 
 def test_conflicting_types_fail_when_rules_compile(spark):
@@ -143,13 +143,13 @@ def test_json_documents(spark):
         "books": [FieldRule("author", "name", m.to_string)],
     }, schemas=schemas)
     data = [
-        ("db", "dokumente", "a", '{"name": "thorsten", "cities": [{"name": "Bochum"}, {"x": 1}]}'),
-        ("db", "books", "b", '{"author": "marx"}'),
+        ("db", "dokumente", "a", '{"name": "tilo", "cities": [{"name": "Bochum"}, {"x": 1}]}'),
+        ("db", "books", "b", '{"author": "lem"}'),
         ("db", "books", "c", None),
     ]
     df = spark.createDataFrame(data, "database string, collection string, uid string, doc string")
     got = {r._id: (r.name, r.cities) for r in index_documents(project(df, config)).collect()}
-    assert got == {"a": ("thorsten", ["Bochum"]), "b": ("marx", None), "c": (None, None)}
+    assert got == {"a": ("tilo", ["Bochum"]), "b": ("lem", None), "c": (None, None)}
 
 
 @pytest.fixture(scope="module")
@@ -161,7 +161,7 @@ def test_reads(view):
     assert view.size("search", "dokumente") == 2 and view.size("search", "bilder") == 0
     assert [tuple(r) for r in view.sizes().collect()] == [("search", "dokumente", 2)]
     assert [tuple(r) for r in view.index_counts().collect()] == [("dokumente", 2)]
-    assert view.get("0" * 24).first().name == "thorsten"
+    assert view.get("0" * 24).first().name == "tilo"
     assert view.stored().columns == ["index_name", "_id", "_collection", "_database", "name", "tags", "cities",
                                      "created", "draft"]
 
@@ -177,11 +177,11 @@ def test_predicates(view):
     def names(condition):
         return sorted(r.name for r in view.where(condition).documents.collect())
 
-    assert names(view.term("tags", "zwei")) == ["lara", "thorsten"]
+    assert names(view.term("tags", "zwei")) == ["lara", "tilo"]
     assert names(view.term("draft", "true")) == ["lara"]
-    assert names(view.match("cities", "ESSEN und Bonn")) == ["thorsten"]
+    assert names(view.match("cities", "ESSEN und Bonn")) == ["tilo"]
     assert names(view.match("name", "der die")) == []
-    assert names(all_of()) == ["lara", "thorsten"]
+    assert names(all_of()) == ["lara", "tilo"]
 
 
 def test_postings(spark):
@@ -215,23 +215,23 @@ def run(spark, *events, policy=None):
 
 
 def test_two_collections_in_one_index(spark):
-    two = [("insert", "s", "dokumente", "1", "thorsten"), ("insert", "s", "books", "2", "marx")]
-    assert run(spark, *two) == {("s", "dokumente", "1"): "thorsten", ("s", "books", "2"): "marx"}
-    assert run(spark, *two, ("drop", "s", "books", None, None)) == {("s", "dokumente", "1"): "thorsten"}
+    two = [("insert", "s", "dokumente", "1", "tilo"), ("insert", "s", "books", "2", "lem")]
+    assert run(spark, *two) == {("s", "dokumente", "1"): "tilo", ("s", "books", "2"): "lem"}
+    assert run(spark, *two, ("drop", "s", "books", None, None)) == {("s", "dokumente", "1"): "tilo"}
 
 
 def test_change_sequences(spark):
-    a, b = ("insert", "s", "books", "1", "thorsten"), ("insert", "s", "books", "2", "x")
+    a, b = ("insert", "s", "books", "1", "tilo"), ("insert", "s", "books", "2", "x")
     update = ("update", "s", "books", "1", "lara")
     delete = ("delete", "s", "books", "1", None)
     one, two = ("s", "books", "1"), ("s", "books", "2")
     assert run(spark, a, update) == {one: "lara"}
     assert run(spark, a, b, delete) == {two: "x"}
     assert run(spark, a, b, ("drop", "s", "books", None, None)) == {}
-    assert run(spark, a, delete, a) == {one: "thorsten"}
+    assert run(spark, a, delete, a) == {one: "tilo"}
     assert run(spark, a, delete, update) == {one: "lara"}
     assert run(spark, a, delete, update, policy=ApplyPolicy(update="merge")) == {}
     assert run(spark, update, policy=ApplyPolicy(update="merge")) == {}
-    assert run(spark, a, ("drop", "s", "books", None, None), a) == {one: "thorsten"}
+    assert run(spark, a, ("drop", "s", "books", None, None), a) == {one: "tilo"}
     assert run(spark, a, ("drop_database", "s", None, None, None), b) == {two: "x"}
-    assert run(spark, a, update, policy=ApplyPolicy(update="ignore")) == {one: "thorsten"}
+    assert run(spark, a, update, policy=ApplyPolicy(update="ignore")) == {one: "tilo"}
