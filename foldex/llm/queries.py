@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, packing, secrets
+from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, near_dedup, packing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sources(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -51,5 +55,5 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_line_dedup, op3_source_mixing, op5_secrets, op6_warc, op7_exact_dedup, op9_packing, op10_languages)
+        op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op9_packing, op10_languages)
 }
