@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, near_dedup, packing, secrets
+from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, near_dedup, neighbours, packing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
@@ -55,5 +59,6 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op9_packing, op10_languages)
+        op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op8_neighbours, op9_packing,
+        op10_languages)
 }
