@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, near_dedup, neighbours, packing, secrets
+from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, near_dedup, neighbours, packing, scoring, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc.doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -59,6 +63,6 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op8_neighbours, op9_packing,
+        op1_scoring, op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op8_neighbours, op9_packing,
         op10_languages)
 }
