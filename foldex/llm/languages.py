@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldex.llm.common import written
 
@@ -197,7 +198,8 @@ def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
     names, model = language_model(docs)
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     rows = docs.select(doc, "text")
-    kinds = rows.select("doc").schema.add("lang_pred", "string").add("score", "double").add(
-        "langs", "array<string>").add("shares", "array<double>")
+    kinds = rows.select("doc").schema.add("lang_pred", "string").add("score", "double")
+    for name, of in (("langs", T.StringType()), ("shares", T.DoubleType())):
+        kinds = kinds.add(name, T.ArrayType(of))
     found = rows.mapInArrow(identified(names, model), kinds)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
