@@ -11,10 +11,13 @@ the shared folder, written and read by Spark.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import re
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +30,7 @@ FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-RECORDS_PER_FILE = 2_000
-SLICE_BYTES = 16_000_000
+RECORDS_PER_FILE = 5_000
 
 
 # --- ARC ---------------------------------------------------------------------------------------
@@ -120,19 +122,19 @@ def warc_record(arc: dict, extra: dict[str, str], revisit_of: tuple[str, str] |
     return b"WARC/1.0\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The records of a WARC file: header fields and block, by declared lengths."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if not data.startswith(b"WARC/", at) or end < 0:
-            raise ValueError(f"not a WARC record at byte {at}")
-        fields = dict(x.split(": ", 1) for x in data[at:end].decode().split("\r\n")[1:])
-        start, length = end + 4, int(fields["Content-Length"])
-        if data[start + length:start + length + 4] != b"\r\n\r\n":
-            raise ValueError(f"the block at byte {start} does not end where its length says")
-        yield fields, data[start:start + length]
-        at = start + length + 4
+def parse_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The records of a WARC file, one after another: header fields and block, by declared lengths."""
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"not the first line of a WARC record: {first[:40]!r}")
+        fields = {}
+        while (line := stream.readline().rstrip(b"\r\n")):
+            name, _, value = line.decode().partition(": ")
+            fields[name] = value
+        block = stream.read(int(fields["Content-Length"]))
+        if stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"{fields.get('WARC-Record-ID')}: the block does not end where its length says")
+        yield fields, block
 
 
 # --- Spark -------------------------------------------------------------------------------------
@@ -178,17 +180,15 @@ def converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Page number, payload length and digest, type and reference of each record of WARC files."""
-    import zlib
     kinds = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                        ("record_type", pa.string()), ("refers_to", pa.int64()), ("warc_id", pa.string()),
                        ("warc_date", pa.string()), ("target_uri", pa.string())])
     number = lambda text: int(text) if text is not None else None
     for batch in batches:
         for data in batch.column("content").to_pylist():
-            if data[:2] == b"\x1f\x8b":
-                data = zlib.decompress(data, 31)
+            stream = io.BytesIO(data)
             rows = []
-            for fields, block in parse_warc(data):
+            for fields, block in parse_warc(gzip.GzipFile(fileobj=stream) if data.startswith(b"\x1f\x8b") else stream):
                 digest, size = fields["WARC-Payload-Digest"].partition(":")[2], int(fields["X-Payload-Length"])
                 if fields["WARC-Type"] != "revisit" and (sha1_base32(payload_of(block)), len(payload_of(block))) != (digest, size):
                     raise ValueError(f"{fields['WARC-Record-ID']}: the payload is not what its header says")
