@@ -28,12 +28,11 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 #: Bits per character above which a window counts, for strings of hexadecimal digits and for others.
 THRESHOLD = {"hex": 3.0, "mixed": 3.8}
-#: Strings that are no secrets though they look random: identifiers, placeholders, counting.
+#: Strings that are no secrets though they look random: identifiers, placeholders, counting, words and numbers side by side.
 ALLOW = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)example|sample|placeholder|changeme|xxxx|0123456789|1234567890|abcdefgh",
-    r"^[A-Za-z]+([/_=+-]+[A-Za-z]+)*$",
-    r"^[0-9/_=+-]+$",
+    r"^(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z]))",
 )
 
 
