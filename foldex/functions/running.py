@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -23,18 +23,19 @@ class Ranges:
     orders only lose balance: any ranges give the same results.
     """
 
-    low: int
-    high: int
-    count: int = BUCKETS
+    low: float
+    high: float
+    count: int
 
     def of(self, order: str) -> Column:
-        return F.width_bucket(F.col(order), F.lit(self.low), F.lit(self.high + 1), F.lit(self.count))
+        return F.width_bucket(F.col(order).cast("double"), F.lit(self.low), F.lit(self.high), F.lit(self.count).cast("bigint"))
 
 
-def order_ranges(df: DataFrame, order: str, count: int = BUCKETS) -> Ranges:
-    """Ranges over all rows of ``df``; reads one column."""
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    return Ranges(low or 0, high or 0, count)
+def order_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS) -> Ranges:
+    """Ranges over all rows of ``df``, so many that one has about ``rows_per_range`` rows; reads one column."""
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    low, high = float(low or 0), float(high or 0)
+    return Ranges(low, high + max(1.0, abs(high) * 1e-9), max(1, n // rows_per_range))
 
 
 def _within(keys: list[str], order: str) -> W:

@@ -1,10 +1,12 @@
-"""Drop events as barriers: the highest ``seq`` at which a namespace was cleared."""
+"""Drop events as barriers: the first and the last ``seq`` at which a namespace was cleared."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldex.functions.sizing import BROADCAST_ROWS, salted_join
@@ -13,7 +15,7 @@ from foldex.model import CONTROL_OPS, DROP, DROP_DATABASE, ApplyPolicy, Router
 
 @dataclass(frozen=True)
 class Barrier:
-    """Cleared keys with the seq of the last clearing; without keys it covers every row.
+    """Cleared keys with the seq of the last (``barrier``) and ``first`` clearing; without keys it covers every row.
 
     ``small`` says the rows were counted and are held as a local table.
     """
@@ -52,17 +54,18 @@ def barriers(events: DataFrame, policy: ApplyPolicy, route: Router,
     keyed = [
         F.when(F.col("op").isin([op for op, keys in wanted if c in keys]), F.col(c)).alias(c) for c in columns
     ]
-    totals = drops.select("op", *keyed, "seq").groupBy("op", *columns).agg(F.max("seq").alias("barrier"))
+    totals = drops.select("op", *keyed, "seq").groupBy("op", *columns).agg(
+        F.max("seq").alias("barrier"), F.min("seq").alias("first"))
     found = totals.take(broadcast_rows + 1)
     spark = events.sparkSession
     result = []
     for op, keys in wanted:
         if len(found) > broadcast_rows:
-            result.append(Barrier(keys, totals.where(F.col("op") == op).select(*keys, "barrier"), False))
+            result.append(Barrier(keys, totals.where(F.col("op") == op).select(*keys, "barrier", "first"), False))
             continue
-        rows = [tuple(r[k] for k in (*keys, "barrier")) for r in found if r.op == op]
+        rows = [tuple(r[k] for k in (*keys, "barrier", "first")) for r in found if r.op == op]
         if rows:
-            result.append(Barrier(keys, spark.createDataFrame(rows, totals.select(*keys, "barrier").schema), True))
+            result.append(Barrier(keys, spark.createDataFrame(rows, totals.select(*keys, "barrier", "first").schema), True))
     return result
 
 
@@ -72,21 +75,38 @@ def mark_cleared(rows: DataFrame, found: list[Barrier], seq: str) -> DataFrame:
     ``rows`` should be folded already: clearing commutes with the fold, and folded rows are far
     fewer than events.
     """
-    cleared = F.lit(False)
-    for i, barrier in enumerate(found):
-        name = f"_barrier_{i}"
+    rows, limits = _with_limits(rows, found, "barrier")
+    hit = [F.coalesce(F.col(seq) <= limit, F.lit(False)) for limit in limits]
+    return rows.withColumn("_cleared", reduce(or_, hit, F.lit(False))).drop(*_helpers(found))
+
+
+def uncleared_until(rows: DataFrame, found: list[Barrier], seq: str) -> DataFrame:
+    """Keeps the rows whose namespace was not cleared before ``seq``."""
+    rows, limits = _with_limits(rows, found, "first")
+    hit = [F.coalesce(limit < F.col(seq), F.lit(False)) for limit in limits]
+    return rows.where(~reduce(or_, hit, F.lit(False))).drop(*_helpers(found))
+
+
+def _helpers(found: list[Barrier]) -> list[str]:
+    return [f"_barrier_{i}" for i in range(len(found))]
+
+
+def _with_limits(rows: DataFrame, found: list[Barrier], which: str) -> tuple[DataFrame, list[Column]]:
+    """Adds each barrier's ``seq`` (``which``: barrier or first) to the rows it covers."""
+    limits = []
+    for name, barrier in zip(_helpers(found), found):
         if not barrier.keys:
-            limit = F.lit(barrier.rows.agg(F.max("barrier")).first()[0]).cast("bigint")
+            total = F.max if which == "barrier" else F.min
+            limits.append(F.lit(barrier.rows.agg(total(which)).first()[0]).cast(barrier.rows.schema[which].dataType))
+            continue
+        keys = list(barrier.keys)
+        side = barrier.rows.select(*keys, F.col(which).alias(name))
+        if barrier.small:
+            rows = rows.join(F.broadcast(side), keys, "left")
         else:
-            side, keys = barrier.rows.withColumnRenamed("barrier", name), list(barrier.keys)
-            if barrier.small:
-                rows = rows.join(F.broadcast(side), keys, "left")
-            else:
-                rows = salted_join(rows, side, keys, F.col("uid"))
-            limit = F.col(name)
-        cleared = cleared | F.coalesce(F.col(seq) <= limit, F.lit(False))
-    helpers = [c for c in rows.columns if c.startswith("_barrier_")]
-    return rows.withColumn("_cleared", cleared).drop(*helpers)
+            rows = salted_join(rows, side, keys, F.col("uid"))
+        limits.append(F.col(name))
+    return rows, limits
 
 
 def above_barriers(rows: DataFrame, found: list[Barrier], seq: str) -> DataFrame:

@@ -29,7 +29,16 @@ from foldex.model import (
     Router,
     by_collection,
 )
-from foldex.operators.barriers import Barrier, above_barriers, barriers, mark_cleared
+from foldex.functions.running import last_before, order_ranges, running_max
+from foldex.operators.barriers import (
+    Barrier,
+    above_barriers,
+    barriers,
+    drop_events,
+    mark_cleared,
+    scopes,
+    uncleared_until,
+)
 from foldex.operators.project import payload_columns
 from foldex.session import scratch
 
@@ -84,15 +93,28 @@ def _sequences() -> dict[str, Column]:
 
 
 def _anchor(policy: ApplyPolicy) -> Column:
-    """The seq that makes a document exist: its insert when updates merge, else its last image."""
+    """The seq above which a drop clears the document: its insert when updates merge, else its last image.
+
+    Where updates merge into a key that namespaces share, a drop clears the document only if the image
+    before it is of that namespace: the last image counts, and ``previous_images`` finds the ones before.
+    """
+    return F.col("insert_seq" if policy.update == "merge" and policy.key == "namespace" else "image_seq")
+
+
+def _exists_from(policy: ApplyPolicy) -> Column:
     return F.col("insert_seq" if policy.update == "merge" else "image_seq")
 
 
 def _state(policy: ApplyPolicy) -> Column:
-    anchor, deleted = _anchor(policy), F.col("delete_seq")
-    state = F.when(anchor.isNotNull() & (deleted.isNull() | (anchor > deleted)), F.lit(LIVE))
+    start, deleted = _exists_from(policy), F.col("delete_seq")
+    alive = start.isNotNull() & (deleted.isNull() | (start > deleted))
+    waiting = F.col("insert_seq").isNull() & F.col("delete_seq").isNull()
+    if policy.update == "merge" and policy.key == "index":
+        cleared = F.col("cleared_seq")
+        alive = alive & (cleared.isNull() | (cleared < start))
+        waiting = waiting & cleared.isNull()
+    state = F.when(alive, F.lit(LIVE))
     if policy.update == "merge":
-        waiting = F.col("insert_seq").isNull() & F.col("delete_seq").isNull()
         state = state.when(waiting, F.lit(PENDING))
     return state.otherwise(F.lit(DEAD))
 
@@ -126,6 +148,8 @@ def fold(events: DataFrame, policy: ApplyPolicy, route: Router = by_collection,
     own = [c for c in payload if not (merged_ext and c == EXT)]
 
     if policy.update == "merge":
+        if policy.key == "index":
+            rows = cleared_since_image(rows, drop_events(events, route), policy, bool(found))
         folded = _latest_images(rows, policy, [*carried, *own])
     else:
         folded = _latest_changes(rows, policy)
@@ -135,7 +159,8 @@ def fold(events: DataFrame, policy: ApplyPolicy, route: Router = by_collection,
     # Cleared keys stay in the delta as dead: they still have to hide a row of the base.
     marked = mark_cleared(folded, found, "_anchor")
     state = F.when((F.col("state") == LIVE) & F.col("_cleared"), F.lit(DEAD)).otherwise(F.col("state"))
-    columns = [*NAMESPACE, "uid", "index_name", F.col("image_seq").alias("seq"), state.alias("state"), *payload]
+    first = F.col("first_seq" if policy.update == "merge" else "image_seq").alias("first_seq")
+    columns = [*NAMESPACE, "uid", "index_name", F.col("image_seq").alias("seq"), first, state.alias("state"), *payload]
     return Delta(marked.withColumn("index_name", _routed_name(policy, route)).select(*columns), found, policy)
 
 
@@ -156,18 +181,14 @@ def _latest_changes(rows: DataFrame, policy: ApplyPolicy) -> DataFrame:
 
 
 def _latest_images(rows: DataFrame, policy: ApplyPolicy, fields: list[str]) -> DataFrame:
-    """Merging updates: the last image counts if the last insert lies above the last delete."""
+    """Merging updates: the last image counts if the last insert lies above the last delete and last clearing."""
     image_seq = F.when(F.col("op") != DELETE, F.col("seq"))
     image = F.when(F.col("op") != DELETE, F.struct("seq", *fields))
     totals = [c.alias(n) for n, c in _sequences().items() if n != "image_seq"]
-    shared = policy.key == "index"
-    if shared:
-        namespace = F.struct(*NAMESPACE)
-        totals += [F.min(namespace).alias("_first_ns"), F.max(namespace).alias("_last_ns")]
+    totals.append(F.min(image_seq).alias("first_seq"))
+    if policy.key == "index":
+        totals.append(F.max(F.when((F.col("op") == UPDATE) & F.col("_cleared"), F.col("seq"))).alias("cleared_seq"))
     folded = rows.groupBy(*_grouping(policy)).agg(F.max_by(image, image_seq).alias("_image"), *totals)
-    if shared:
-        # Merging is undefined where two namespaces write one key; see rejects.namespace_collisions.
-        folded = folded.where(F.col("_first_ns") == F.col("_last_ns"))
     folded = folded.withColumn("image_seq", F.col("_image.seq"))
     return folded.withColumns({
         "state": _state(policy),
@@ -176,6 +197,30 @@ def _latest_images(rows: DataFrame, policy: ApplyPolicy, fields: list[str]) -> D
     })
 
 
+def cleared_since_image(rows: DataFrame, drops: DataFrame, policy: ApplyPolicy, any_drops: bool = True) -> DataFrame:
+    """Adds ``_cleared``: whether the image before each row was cleared by a drop before the row came.
+
+    Namespaces that share a key take its document over from each other, and a drop clears it only from the
+    one that holds it. Ranges of ``seq`` share a hot key among tasks; see ``functions.running``.
+    """
+    if not any_drops:
+        return rows.withColumn("_cleared", F.lit(False))
+    ranges = order_ranges(rows, "seq")
+    image = F.when(F.col("op") != DELETE, F.struct("seq", *NAMESPACE))
+    seen = running_max(rows, list(policy.key_columns), "seq", {"_before": image}, ranges)
+    seen = seen.withColumns({"_was_index_name": F.col("index_name"), **{f"_was_{c}": F.col(f"_before.{c}") for c in NAMESPACE}})
+    cleared = F.lit(False)
+    for i, (kind, keys) in enumerate(scopes(policy)):
+        if not keys:
+            seen = seen.withColumn("_was_all", F.lit(0))
+        was = [f"_was_{k}" for k in keys] or ["_was_all"]
+        marks = drops.where(F.col("op") == kind).select(
+            *([F.col(k).alias(f"_was_{k}") for k in keys] or [F.lit(0).alias("_was_all")]), "seq")
+        seen = last_before(seen, marks, was, "seq", f"_drop_{i}", ranges)
+        cleared = cleared | F.coalesce(F.col(f"_drop_{i}") > F.col("_before.seq"), F.lit(False))
+    return seen.select(*rows.columns, cleared.alias("_cleared"))
+
+
 def _routed_name(policy: ApplyPolicy, route: Router) -> Column:
     if policy.key == "index":
         return F.col("index_name")
@@ -203,7 +248,7 @@ def _attach_ext(folded: DataFrame, rows: DataFrame, policy: ApplyPolicy) -> Data
 
 def materialise(delta: Delta) -> DataFrame:
     """Index rows of a feed that starts from nothing."""
-    return delta.rows.where(F.col("state") == LIVE).drop("state")
+    return delta.rows.where(F.col("state") == LIVE).drop("state", "first_seq")
 
 
 def overlay(base: DataFrame, delta: Delta, small_delta: bool = False) -> DataFrame:
@@ -219,23 +264,20 @@ def overlay(base: DataFrame, delta: Delta, small_delta: bool = False) -> DataFra
     touched = delta.rows.select(*[F.col(c).alias(n) for c, n in names.items()])
     same = reduce(and_, [F.col(k) == F.col(names[k]) for k in keys])
     foreign = [c for c in NAMESPACE if c not in keys]
-    if policy.update == "merge" and foreign:
-        # An update from another namespace leaves the base row alone: see rejects.namespace_collisions.
-        own = reduce(and_, [F.col(c) == F.col(names[c]) for c in foreign])
-        same = same & ((F.col(names["state"]) != PENDING) | own)
     untouched = kept.join(F.broadcast(touched) if small_delta else touched, same, "left_anti")
     result = untouched.select(columns).unionByName(materialise(delta).select(columns))
     if policy.update != "merge":
         return result
     # Only keys are ever broadcast; the waiting documents then meet the few base rows they change.
     waiting = delta.rows.where(F.col("state") == PENDING)
-    wanted = waiting.select(*keys)
-    base_columns = {c: f"_base_{c}" for c in (*NAMESPACE, EXT) if c in columns and c not in keys}
-    targets = kept.select(*keys, *[F.col(c).alias(n) for c, n in base_columns.items()])
+    base_columns = {c: f"_base_{c}" for c in (EXT,) if c in columns}
+    # A shared key passes to the update's namespace, unless a drop cleared the base row before that.
+    held = base if foreign else kept
+    targets = held.select(*keys, *foreign, *[F.col(c).alias(n) for c, n in base_columns.items()])
+    wanted = waiting.select(*keys, F.col("first_seq").alias("_first"))
     hit = targets.join(F.broadcast(wanted) if small_delta else wanted, keys)
-    merged = waiting.join(hit, keys)
-    for c in foreign:
-        merged = merged.where(F.col(c) == F.col(base_columns[c]))
+    hit = uncleared_until(hit, delta.barriers, "_first") if foreign else hit
+    merged = waiting.join(hit.drop("_first", *foreign), keys)
     if EXT in columns:
         older = F.map_filter(
             F.coalesce("_base_ext", F.create_map().cast(EXT_TYPE)),

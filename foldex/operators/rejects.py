@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +23,7 @@ from foldex.model import (
     by_collection,
 )
 from foldex.operators.barriers import drop_events, scopes
+from foldex.operators.fold import cleared_since_image
 
 # Fixed value: a document key is the text form of a 12-byte object id.
 OBJECT_ID = "^[0-9a-f]{24}$"
@@ -114,7 +113,8 @@ def _embedded(schema: T.StructType, path: str) -> bool:
 
 def sequence_conflicts(events: DataFrame) -> DataFrame:
     """Sequence numbers carried by different events; the same event delivered twice is fine."""
-    identity = F.xxhash64("op", *NAMESPACE, "uid")
+    content = [c for c in events.columns if c not in ("seq", "batch")]
+    identity = F.xxhash64(F.to_json(F.struct(*content)))
     return (
         events.groupBy("seq")
         .agg(F.min(identity).alias("_low"), F.max(identity).alias("_high"))
@@ -123,51 +123,40 @@ def sequence_conflicts(events: DataFrame) -> DataFrame:
     )
 
 
-def namespace_collisions(events: DataFrame, route: Router = by_collection,
-                         base: DataFrame | None = None) -> DataFrame:
-    """Keys of one index that several namespaces write; merging updates are undefined for them."""
-    keys = events.where(F.col("op").isin(*DOCUMENT_OPS)).select(*NAMESPACE, "uid")
-    if base is not None:
-        keys = keys.unionByName(base.select(*NAMESPACE, "uid"))
-    namespace = F.struct(*NAMESPACE)
-    return (
-        keys.withColumn("index_name", route(F.col("database"), F.col("collection")))
-        .groupBy("index_name", "uid")
-        .agg(F.min(namespace).alias("_low"), F.max(namespace).alias("_high"))
-        .where(F.col("_low") != F.col("_high"))
-        .select("index_name", "uid", F.lit("namespace_collision").alias("reason"))
-    )
-
-
 def updates_without_target(events: DataFrame, policy: ApplyPolicy, route: Router = by_collection,
                            base: DataFrame | None = None) -> DataFrame:
     """Merging updates that found no document when they arrived.
 
     The document existed if the key's last insert before the update lies above its last delete
-    and above the last drop of its namespace.
+    and above the last drop of its namespace (of the namespace that held it, where keys are shared).
     """
     rows = events.select(*CHANGE_COLUMNS)
     if base is not None:
         seeds = base.select("seq", F.lit(INSERT).alias("op"), *NAMESPACE, "uid")
         rows = rows.unionByName(seeds)
     rows = rows.withColumn("index_name", route(F.col("database"), F.col("collection")))
-    op, seq = F.col("op"), F.col("seq")
-    ranges = order_ranges(rows, "seq")
-    documents = running_max(
-        rows.where(op.isin(*DOCUMENT_OPS)), list(policy.key_columns), "seq",
-        {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq)}, ranges,
-    )
-    updates = documents.where(op == UPDATE)
-    removed: list[Column] = [F.col("_deleted")]
-    drops = drop_events(events, route)
+    op, seq, keys = F.col("op"), F.col("seq"), list(policy.key_columns)
+    documents, drops = rows.where(op.isin(*DOCUMENT_OPS)), drop_events(events, route)
     seen = {r.op for r in drops.select("op").distinct().collect()}  # at most the two drop ops
-    for i, (kind, keys) in enumerate(scopes(policy)):
-        if kind not in seen:
-            continue
-        name = f"_dropped_{i}"
-        updates = last_before(*_keyed(updates, drops.where(op == kind), keys), "seq", name, ranges).drop("_all")
-        removed.append(F.col(name))
-    gone = F.greatest(*removed, F.lit(None).cast("bigint"))
+    if policy.key == "index":
+        # A drop clears the document only from the namespace that holds it at the time.
+        documents = cleared_since_image(documents, drops, policy, bool(seen))
+        ranges = order_ranges(rows, "seq")
+        sums = {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq),
+                "_emptied": F.when((op == UPDATE) & F.col("_cleared"), seq)}
+        updates = running_max(documents, keys, "seq", sums, ranges).where(op == UPDATE)
+        removed: list[Column] = [F.col("_deleted"), F.col("_emptied"), F.when(F.col("_cleared"), seq)]
+    else:
+        ranges = order_ranges(rows, "seq")
+        sums = {"_inserted": F.when(op == INSERT, seq), "_deleted": F.when(op == DELETE, seq)}
+        updates = running_max(documents, keys, "seq", sums, ranges).where(op == UPDATE)
+        removed = [F.col("_deleted")]
+        for i, (kind, of) in enumerate(scopes(policy)):
+            if kind in seen:
+                name = f"_dropped_{i}"
+                updates = last_before(*_keyed(updates, drops.where(op == kind), of), "seq", name, ranges).drop("_all")
+                removed.append(F.col(name))
+    gone = F.greatest(*removed, F.lit(None).cast(events.schema["seq"].dataType))
     orphan = F.col("_inserted").isNull() | (F.coalesce(gone, F.col("_inserted") - 1) > F.col("_inserted"))
     return updates.where(orphan).select(*CHANGE_COLUMNS, F.lit("update_without_target").alias("reason"))
 
@@ -177,13 +166,3 @@ def _keyed(updates: DataFrame, drops: DataFrame, keys: tuple[str, ...]) -> tuple
     if keys:
         return updates, drops.select(*keys, "seq"), list(keys)
     return updates.withColumn("_all", F.lit(0)), drops.select(F.lit(0).alias("_all"), "seq"), ["_all"]
-
-
-def reject_counts(reasons: Mapping[str, DataFrame] | DataFrame) -> DataFrame:
-    """Number of rejected rows per reason."""
-    frames = [reasons] if isinstance(reasons, DataFrame) else list(reasons.values())
-    narrow = [f.select("reason") for f in frames]
-    union = narrow[0]
-    for other in narrow[1:]:
-        union = union.unionByName(other)
-    return union.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

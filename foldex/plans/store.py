@@ -23,7 +23,7 @@ from foldex.model import CONTROL_OPS, NAMESPACE, ApplyPolicy, IndexConfig
 from foldex.operators.fold import apply_changes, clear_collections
 from foldex.operators.project import index_documents, payload_columns, project
 from foldex.operators.read import IndexView
-from foldex.operators.rejects import accepted, namespace_collisions, rejected, updates_without_target
+from foldex.operators.rejects import accepted, rejected, updates_without_target
 from foldex.sources.snapshot import document_upserts
 
 CONTROL = "__control"
@@ -136,9 +136,6 @@ class IndexStore:
             return found
         events, base = self.pending(head), self.base_rows(head)
         found = found.unionByName(updates_without_target(events, self.policy, route, base))
-        if self.policy.key == "index":
-            shared = namespace_collisions(events, route, base).drop("index_name")
-            found = found.unionByName(shared, allowMissingColumns=True)
         return found
 
     # -- versions -----------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from replay import orphan_updates, random_events, replay, route
 from foldex.functions.running import last_before, order_ranges, running_max
 from foldex.model import EMBEDDED, FULL_REPLACE, PARTIAL_UPDATE, ApplyPolicy
 from foldex.operators import rejects as R
-from foldex.operators.fold import allow_collections, apply_changes, clear_collections, fold, fold_keys
+from foldex.operators.fold import allow_collections, apply_changes, clear_collections, fold_keys
 
 SCHEMA = ("seq bigint, op string, database string, collection string, uid string, value bigint,"
           " ext map<string,array<string>>")
@@ -22,12 +22,12 @@ def route_column(database, collection):
         F.concat(database, F.lit("_"), collection))
 
 
-def base_docs(ns_uids):
+def base_docs():
     docs = []
     for database, collection, i in itertools.product(["db0", "db1"], ["c0", "c1", "c2"], range(6)):
-        if not ns_uids and database == "db1":
+        if database == "db1":
             continue  # keys of one index must be unique in a base
-        uid = f"{database}-{collection}-u{i}" if ns_uids else f"u{i}"
+        uid = f"u{i}"
         docs.append((database, collection, uid, -i, {"y": [f"base{i}"], "z": ["kept"]}))
     return docs
 
@@ -59,9 +59,8 @@ CASES = [
 @pytest.mark.parametrize("update,key,scope,database,with_base", CASES)
 def test_fold_equals_replay(spark, update, key, scope, database, with_base):
     policy = ApplyPolicy(update=update, key=key, drop_scope=scope, drop_database=database)
-    own_uids = update == "merge" and key == "index"  # collisions are rejected there
-    events = random_events(CASES.index((update, key, scope, database, with_base)), ns_uids=own_uids)
-    docs = base_docs(own_uids) if with_base else []
+    events = random_events(CASES.index((update, key, scope, database, with_base)))
+    docs = base_docs() if with_base else []
     base = as_base(spark, docs) if with_base else None
     df = spark.createDataFrame(events, SCHEMA).repartition(3)
     got = result(apply_changes(df, policy, route_column, base), policy)
@@ -70,9 +69,8 @@ def test_fold_equals_replay(spark, update, key, scope, database, with_base):
 
 @pytest.mark.parametrize("policy", [EMBEDDED, FULL_REPLACE, PARTIAL_UPDATE])
 def test_presets_equal_replay_beyond_the_broadcast_bound(spark, policy):
-    own = policy.update == "merge"
-    events = random_events(11, ns_uids=own)
-    docs = base_docs(own)
+    events = random_events(11)
+    docs = base_docs()
     df = spark.createDataFrame(events, SCHEMA).repartition(3)
     got = result(apply_changes(df, policy, route_column, as_base(spark, docs), broadcast_rows=1), policy)
     assert got == replay(events, policy, docs)
@@ -118,19 +116,20 @@ def test_allow_list(spark):
 
 
 def test_clear_collections(spark):
-    base = as_base(spark, base_docs(True))
+    base = as_base(spark, base_docs())
     pairs = [("db0", "c0"), ("db1", "c2")]
     listed = clear_collections(base, pairs)
     joined = clear_collections(base, spark.createDataFrame(pairs, "database string, collection string"))
-    assert listed.count() == joined.count() == 24
+    assert listed.count() == joined.count() == 12
     assert {(r.database, r.collection) for r in listed.collect()}.isdisjoint(pairs)
 
 
+@pytest.mark.parametrize("key", ["namespace", "index"])
 @pytest.mark.parametrize("scope,database", DROPS)
-def test_updates_without_target(spark, scope, database):
-    policy = ApplyPolicy(update="merge", drop_scope=scope, drop_database=database)
+def test_updates_without_target(spark, scope, database, key):
+    policy = ApplyPolicy(update="merge", key=key, drop_scope=scope, drop_database=database)
     events = random_events(7, n=250)
-    docs = base_docs(True)[:3]
+    docs = base_docs()[:3]
     df = spark.createDataFrame(events, SCHEMA)
     found = R.updates_without_target(df, policy, route_column, as_base(spark, docs))
     assert sorted(r.seq for r in found.collect()) == orphan_updates(events, policy, docs)
@@ -184,15 +183,22 @@ def test_rejected_rows(spark):
     assert late[1] == late[6] == "late" and 7 not in late
 
 
-def test_sequence_conflicts_and_collisions(spark):
+def test_sequence_conflicts(spark):
     rows = [
         (1, "insert", "db0", "c0", "u", 1, {}), (1, "insert", "db0", "c0", "u", 1, {}),
         (2, "insert", "db0", "c0", "u", 1, {}), (2, "delete", "db0", "c0", "u", None, None),
-        (3, "insert", "db1", "c0", "u", 1, {}),
+        (3, "insert", "db1", "c0", "u", 1, {"x": ["1"]}), (3, "insert", "db1", "c0", "u", 1, {"x": ["2"]}),
     ]
-    df = spark.createDataFrame(rows, SCHEMA)
-    assert [r.seq for r in R.sequence_conflicts(df).collect()] == [2]
-    found = R.namespace_collisions(df, route_column).collect()
-    assert [(r.index_name, r.uid) for r in found] == [("c0_shared", "u")]
-    merged = fold(df, ApplyPolicy(update="merge", key="index"), route_column)
-    assert merged.rows.count() == 0
+    assert sorted(r.seq for r in R.sequence_conflicts(spark.createDataFrame(rows, SCHEMA)).collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("seed", range(30, 36))
+@pytest.mark.parametrize("scope,database", DROPS)
+def test_merging_into_shared_keys_equals_replay(spark, seed, scope, database):
+    policy = ApplyPolicy(update="merge", key="index", drop_scope=scope, drop_database=database)
+    events = random_events(seed, n=600)
+    docs = base_docs() if seed % 2 else []
+    base = as_base(spark, docs) if docs else None
+    df = spark.createDataFrame(events, SCHEMA).repartition(3)
+    got = result(apply_changes(df, policy, route_column, base, broadcast_rows=1 if seed % 3 == 0 else 1000), policy)
+    assert got == replay(events, policy, docs)
