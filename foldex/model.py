@@ -80,6 +80,8 @@ class IndexConfig:
 
     ``schemas`` declares the document schema of collections whose ``doc`` column is JSON text.
     ``text_values`` renders dates and booleans as text; switch it off to keep them typed.
+    ``strict_types`` has stores reject JSON documents with a value that a mapper would convert;
+    ``store_tokens`` has them analyse text once, when it is written, into ``<field>_tokens``.
     """
 
     rules: Mapping[str, Sequence[FieldRule]] = field(default_factory=dict)
@@ -89,6 +91,8 @@ class IndexConfig:
     date_format: str = "yyyy-MM-dd"
     text_values: bool = True
     strict_paths: bool = False
+    strict_types: bool = False
+    store_tokens: bool = False
     analyzer: Analyzer = STANDARD
     analyzers: Mapping[str, Analyzer] = field(default_factory=dict)
     facets: Sequence[str] = ()
@@ -106,18 +110,22 @@ class IndexConfig:
     def with_facets(self, index: str, *dimensions: str) -> IndexConfig:
         return replace(self, facets_by_index={**self.facets_by_index, index: dimensions})
 
-    def rules_for_field(self, index_field: str) -> list[FieldRule]:
-        return [r for rules in self.rules.values() for r in rules if r.index_field == index_field]
+    def collections_where(self, index_field: str, test: Callable[[FieldRule], bool]) -> list[str]:
+        """The collections with a rule for the field that passes a test."""
+        return [c for c, rules in self.rules.items() if any(r.index_field == index_field and test(r) for r in rules)]
 
-    def is_keyword(self, index_field: str) -> bool:
-        return any(r.keyword for r in self.rules_for_field(index_field))
+    def text_collections(self, index_field: str) -> list[str]:
+        """Collections whose field is analysed text: mapped from strings and not marked as keyword."""
+        return self.collections_where(
+            index_field, lambda r: isinstance(r.mapper.data_type, T.StringType) and not r.keyword)
 
     def is_text(self, index_field: str) -> bool:
-        """Analysed text: mapped from strings and not marked as keyword."""
-        return any(
-            isinstance(r.mapper.data_type, T.StringType) and not r.keyword
-            for r in self.rules_for_field(index_field)
-        )
+        """Whether any collection has the field as analysed text."""
+        return bool(self.text_collections(index_field))
+
+    def text_fields(self) -> list[str]:
+        names = dict.fromkeys(r.index_field for rules in self.rules.values() for r in rules)
+        return [n for n in names if self.is_text(n)]
 
     def stored_fields(self) -> list[str]:
         stored = (r.index_field for rules in self.rules.values() for r in rules if r.stored)

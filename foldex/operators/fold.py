@@ -40,7 +40,6 @@ from foldex.operators.barriers import (
     uncleared_until,
 )
 from foldex.operators.project import payload_columns
-from foldex.session import scratch
 
 LIVE = "live"
 DEAD = "dead"
@@ -288,25 +287,22 @@ def overlay(base: DataFrame, delta: Delta, small_delta: bool = False) -> DataFra
 
 
 def apply_changes(events: DataFrame, policy: ApplyPolicy, route: Router = by_collection,
-                  base: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                  base: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS,
+                  delta_path: str | None = None) -> DataFrame:
     """Index rows after all events, optionally on top of ``base`` rows.
 
-    Every base row counts as an insert at its own ``seq``; events must lie above it.
+    Every base row counts as an insert at its own ``seq``; events must lie above it. A large delta is
+    read several times by the overlay: with ``delta_path`` it is folded once and written there.
     """
     delta = fold(events, policy, route, broadcast_rows)
     if base is None:
         return materialise(delta)
     small = fits_broadcast(events.select(*NAMESPACE, "uid"), broadcast_rows)
-    return overlay(base, delta if small else _written(delta), small)
-
-
-def _written(delta: Delta) -> Delta:
-    """A large delta as a table in the shared folder: folded once, though the overlay reads it
-    several times with different columns."""
-    spark = delta.rows.sparkSession
-    path = scratch(spark, "delta")
-    delta.rows.write.parquet(path)
-    return Delta(spark.read.schema(delta.rows.schema).parquet(path), delta.barriers, delta.policy)
+    if not small and delta_path:
+        delta.rows.write.parquet(delta_path)
+        rows = delta.rows.sparkSession.read.schema(delta.rows.schema).parquet(delta_path)
+        delta = Delta(rows, delta.barriers, policy)
+    return overlay(base, delta, small)
 
 
 def clear_collections(index: DataFrame, namespaces: list[tuple[str, str]] | DataFrame,

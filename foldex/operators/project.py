@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldex.functions.extended_json import plain_json
 from foldex.functions.mappers import Mapped, render_text
 from foldex.model import (
     EXT,
@@ -24,21 +25,12 @@ from foldex.model import (
 DEFAULT_POLICY = ApplyPolicy()
 
 
-def _default_column(rule: FieldRule) -> Column:
-    value = rule.default() if callable(rule.default) else rule.default
-    return value if isinstance(value, Column) else F.lit(value)
-
-
-def _is_list_default(rule: FieldRule) -> bool:
-    value = rule.default() if callable(rule.default) else rule.default
-    return isinstance(value, list | tuple)
-
-
 def _with_default(mapped: Mapped, rule: FieldRule) -> Mapped:
-    default = _default_column(rule)
+    value = rule.default() if callable(rule.default) else rule.default
+    default = value if isinstance(value, Column) else F.lit(value)
     if not mapped.multi:
         return Mapped(F.coalesce(mapped.value, default), mapped.data_type, False)
-    if not _is_list_default(rule):
+    if not isinstance(value, list | tuple):
         default = F.array(default)
     default = default.cast(T.ArrayType(mapped.data_type))
     empty = mapped.value.isNull() | (F.size(mapped.value) == 0)
@@ -174,7 +166,7 @@ def _parse_json(docs: DataFrame, config: IndexConfig, doc: str):
         parsed.setdefault(name, (schema, []))[1].append(collection)
         sources[collection] = F.col(name)
     out = out.withColumns({
-        name: F.when(F.col("collection").isin(users), F.from_json(F.col(doc), schema))
+        name: F.when(F.col("collection").isin(users), F.from_json(plain_json(F.col(doc)), schema))
         for name, (schema, users) in parsed.items()
     })
     return out, dict(config.schemas), sources
@@ -182,7 +174,7 @@ def _parse_json(docs: DataFrame, config: IndexConfig, doc: str):
 
 def payload_columns(projected: DataFrame) -> list[str]:
     """Index fields (and ``ext``) of a projected frame, without keys and change metadata."""
-    reserved = {"seq", "op", *NAMESPACE, "uid", "index_name", "batch_at"}
+    reserved = {"seq", "op", *NAMESPACE, "uid", "index_name", "nth", "reject", "batch"}
     return [c for c in projected.columns if c not in reserved]
 
 

@@ -6,6 +6,7 @@ or facet dimensions. Predicates are columns, combined with ``&`` and ``|``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,42 @@ def _labelled(dimension: str, values: Column) -> Column:
     return F.transform(values, lambda v: F.struct(F.lit(dimension).alias("dim"), v.alias("value")))
 
 
+def _by_index(config: IndexConfig, value: Callable[[Analyzer], Column]) -> Column:
+    """A value that depends on the analyser of a document's index."""
+    chain = None
+    for index, analyzer in config.analyzers.items():
+        hit = F.col("index_name") == index
+        chain = F.when(hit, value(analyzer)) if chain is None else chain.when(hit, value(analyzer))
+    default = value(config.analyzer)
+    return default if chain is None else chain.otherwise(default)
+
+
+def _tokens(field: str, multi: bool, config: IndexConfig, collection: str) -> Column:
+    """Token array of a field, whether it is text or a keyword in a document's collection."""
+    exact = F.col(field) if multi else F.array_compact(F.array(F.col(field)))
+    text = config.text_collections(field)
+    if not text:
+        return exact
+
+    def analysed(analyzer: Analyzer) -> Column:
+        chosen = analyzer.for_field(field)
+        if not multi:
+            return chosen.tokens(F.col(field))
+        return F.flatten(F.transform(F.array_compact(F.col(field)), chosen.tokens))
+
+    words = _by_index(config, analysed)
+    if set(text) == set(config.collections_where(field, lambda r: True)):
+        return words
+    return F.when(F.col(collection).isin(text), words).otherwise(exact.cast("array<string>"))
+
+
+def with_tokens(rows: DataFrame, config: IndexConfig) -> DataFrame:
+    """Index rows with ``<field>_tokens`` for their text fields, so that reading need not analyse again."""
+    found = [f for f in config.text_fields() if f in rows.columns]
+    multi = {f: isinstance(rows.schema[f].dataType, T.ArrayType) for f in found}
+    return rows.withColumns({f"{f}_tokens": _tokens(f, multi[f], config, "collection") for f in found})
+
+
 class IndexView:
     """Index documents plus the configuration they were built with."""
 
@@ -68,34 +105,27 @@ class IndexView:
         return self.documents.join(wanted, "_id", "left_semi")
 
     def stored(self) -> DataFrame:
-        """What a reader can get back: metadata and the fields marked as stored."""
-        return self.documents.select(*METADATA, *self.config.stored_fields())
+        """What a reader can get back: metadata and the fields marked as stored, per collection."""
+        def value(field: str) -> Column:
+            own = self.config.collections_where(field, lambda r: r.stored)
+            has = self.config.collections_where(field, lambda r: True)
+            return F.col(field) if set(own) == set(has) else F.when(F.col("_collection").isin(own), F.col(field)).alias(field)
+
+        return self.documents.select(*METADATA, *[value(f) for f in self.config.stored_fields()])
 
     # -- text -------------------------------------------------------------------------------
 
     def _multi(self, field: str) -> bool:
         return isinstance(self.documents.schema[field].dataType, T.ArrayType)
 
-    def _analyze(self, field: str, analyzer: Analyzer) -> Column:
-        chosen = analyzer.for_field(field)
-        if not self._multi(field):
-            return chosen.tokens(F.col(field))
-        return F.flatten(F.transform(F.array_compact(F.col(field)), chosen.tokens))
-
     def tokens(self, field: str) -> Column:
-        """Token array of a field: analysed text per index analyser, exact values for keywords."""
-        if not self.config.is_text(field):
-            value = F.col(field)
-            return value if self._multi(field) else F.array_compact(F.array(value))
-        default = self._analyze(field, self.config.analyzer)
-        if not self.config.analyzers:
-            return default
-        chain = None
-        for index, analyzer in self.config.analyzers.items():
-            hit = F.col("index_name") == index
-            tokens = self._analyze(field, analyzer)
-            chain = F.when(hit, tokens) if chain is None else chain.when(hit, tokens)
-        return chain.otherwise(default)
+        """Token array of a field: analysed text per index analyser, exact values for keywords.
+
+        A column written with the index is used where there is one.
+        """
+        if f"{field}_tokens" in self.documents.columns:
+            return F.col(f"{field}_tokens")
+        return _tokens(field, self._multi(field), self.config, "_collection")
 
     def analysed(self, *fields: str) -> DataFrame:
         """Adds a ``<field>_tokens`` array per field."""
@@ -110,13 +140,20 @@ class IndexView:
         return F.array_contains(self.tokens(field), F.lit(value))
 
     def match(self, field: str, text: str, index: str | None = None) -> Column:
-        """Analysed match: at least one token of ``text`` occurs in the field."""
-        analyzer = self.config.analyzers.get(index, self.config.analyzer).for_field(field)
-        terms = analyzer.query_terms(self.documents.sparkSession, text)
-        return F.arrays_overlap(self.tokens(field), F.array(*[F.lit(t) for t in terms]).cast("array<string>"))
+        """Analysed match: at least one token of ``text`` occurs in the field.
+
+        The text is analysed as the field is, index by index, or as in ``index`` if given. It is a literal,
+        so the optimiser folds its tokens to constants.
+        """
+        def hit(analyzer: Analyzer) -> Column:
+            return F.arrays_overlap(self.tokens(field), analyzer.for_field(field).tokens(F.lit(text)))
+
+        if index is not None:
+            return hit(self.config.analyzers.get(index, self.config.analyzer))
+        return _by_index(self.config, hit)
 
     def between(self, field: str, low, high) -> Column:
-        """Inclusive range on a typed field; the comparison is pushed to the Parquet scan."""
+        """Inclusive range on a typed field; on a written index the comparison is pushed to the scan."""
         if not self._multi(field):
             return F.col(field).between(low, high)
         return F.exists(field, lambda v: v.between(low, high))

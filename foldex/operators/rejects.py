@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldex.functions.extended_json import plain_json
 from foldex.functions.running import last_before, order_ranges, running_max
 from foldex.model import (
     CHANGE_COLUMNS,
@@ -80,13 +81,9 @@ def _type_mismatch(rule: FieldRule, doc: Column) -> Column:
     return kind.isNotNull() & (kind != "VOID") & ~scalar_kind.isin(allowed)
 
 
-def type_mismatches(events: DataFrame, config: IndexConfig, doc: str = "doc") -> DataFrame:
-    """Strict typing for JSON documents: rows in which a rule would have to convert a value.
-
-    Paths through arrays of documents are left to the declared schema.
-    """
+def _mismatch(config: IndexConfig, variant: Column) -> Column:
+    """Whether a rule of the row's collection would have to convert a value of the parsed document."""
     found = F.lit(False)
-    parsed = events.withColumn("_variant", F.try_parse_json(F.col(doc)))
     for collection, rules in config.rules.items():
         schema = config.schemas[collection]
         for rule in rules:
@@ -94,11 +91,32 @@ def type_mismatches(events: DataFrame, config: IndexConfig, doc: str = "doc") ->
                 continue
             if not _embedded(schema, rule.field):
                 continue
-            hit = F.coalesce(_type_mismatch(rule, F.col("_variant")), F.lit(False))
+            hit = F.coalesce(_type_mismatch(rule, variant), F.lit(False))
             found = found | ((F.col("collection") == collection) & hit)
-    unreadable = F.col(doc).isNotNull() & F.col("_variant").isNull()
-    reason = F.when(unreadable, "unreadable_document").when(found, "type_mismatch")
-    return parsed.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
+    return found
+
+
+def document_reason(changes: DataFrame, config: IndexConfig, doc: str = "doc", strict: bool | None = None) -> Column:
+    """Why a change's JSON document cannot be used, or null; documents that are structs have no faults.
+
+    Strict typing (the configuration's by default) also refuses values that a rule would convert; paths
+    through arrays of documents are left to the declared schema.
+    """
+    if not isinstance(changes.schema[doc].dataType, T.StringType):
+        return F.lit(None).cast("string")
+    variant = F.try_parse_json(plain_json(F.col(doc)))
+    kind = F.schema_of_variant(variant)
+    unreadable = F.col(doc).isNotNull() & (variant.isNull() | ~kind.startswith("OBJECT"))
+    reason = F.when(unreadable, "unreadable_document")
+    if config.strict_types if strict is None else strict:
+        reason = reason.when(_mismatch(config, variant), "type_mismatch")
+    return reason
+
+
+def type_mismatches(events: DataFrame, config: IndexConfig, doc: str = "doc") -> DataFrame:
+    """Strict typing for JSON documents: the rows that a strict store would reject for their document."""
+    reason = document_reason(events, config, doc, strict=True)
+    return events.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def _embedded(schema: T.StructType, path: str) -> bool:

@@ -4,44 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foldex.model import ApplyPolicy, IndexConfig
+from foldex.model import INSERT, NAMESPACE, ApplyPolicy, IndexConfig
 from foldex.operators.project import project
+from foldex.operators.read import with_tokens
 from foldex.plans.store import Commit, IndexStore
 from foldex.sources.snapshot import scan_collections
 
 Action = Callable[[IndexStore], object]
 
 
-def snapshot_rows(documents: DataFrame, config: IndexConfig, policy: ApplyPolicy, as_of: int) -> DataFrame:
-    """Index rows of snapshot documents. Keys are unique in a collection, so nothing is shuffled."""
-    keyed = documents.where(F.col("uid").isNotNull() & (F.col("uid") != ""))
-    return project(keyed, config, policy).withColumn("seq", F.lit(as_of).cast("bigint"))
+def keyed(documents: DataFrame) -> DataFrame:
+    return documents.where(F.col("uid").isNotNull() & (F.col("uid") != ""))
 
 
-def reindex_rows(current: DataFrame, documents: DataFrame, collections: Sequence[str],
-                 config: IndexConfig, policy: ApplyPolicy, as_of: int, database: str | None = None) -> DataFrame:
-    """Index rows after clearing ``collections`` and indexing their documents again.
+def snapshot_rejects(documents: DataFrame, as_of: int) -> DataFrame:
+    """The documents of a snapshot that have no key."""
+    unkeyed = documents.where(F.col("uid").isNull() | (F.col("uid") == ""))
+    return unkeyed.select(F.lit(as_of).cast("bigint").alias("seq"), F.lit(INSERT).alias("op"), *NAMESPACE, "uid",
+                          F.lit("missing_key").alias("reason"))
 
-    Other collections pass through untouched; neither side is shuffled.
+
+def snapshot_rows(documents: DataFrame, config: IndexConfig, policy: ApplyPolicy, as_of: int,
+                  collections: Sequence[str] = ()) -> DataFrame:
+    """Index rows of snapshot documents, one per document key.
+
+    Keys are unique in a collection, so nothing is shuffled unless collections share the keys of an
+    index: then the one that is written last wins, in the order of ``collections`` or else of their names.
+    """
+    rows = project(keyed(documents), config, policy)
+    rows = (with_tokens(rows, config) if config.store_tokens else rows).withColumn("seq", F.lit(as_of).cast("bigint"))
+    if policy.key == "namespace":
+        return rows
+    place = F.array_position(F.array(*[F.lit(c) for c in collections]).cast("array<string>"), F.col("collection"))
+    last = W.partitionBy(*policy.key_columns).orderBy(place.desc(), F.col("collection").desc(), F.col("database").desc())
+    return rows.withColumn("_nth", F.row_number().over(last)).where("_nth = 1").drop("_nth")
+
+
+def reindex_rows(current: DataFrame, documents: DataFrame, collections: Sequence[str], config: IndexConfig,
+                 policy: ApplyPolicy, as_of: int, databases: str | Sequence[str]) -> DataFrame:
+    """Index rows after clearing the collections of exactly these databases and indexing their documents again.
+
+    Other namespaces pass through untouched; neither side is shuffled unless namespaces share keys.
     """
-    names = list(collections)
-    cleared = F.col("collection").isin(names)
-    if database is not None:
-        cleared = cleared & (F.col("database") == database)
-        documents = documents.where(F.col("database") == database)
-    fresh = snapshot_rows(scan_collections(documents, names), config, policy, as_of)
-    columns = fresh.columns
-    return current.where(~cleared).select(columns).unionByName(fresh)
+    names, cleared = list(collections), _cleared(collections, databases)
+    fresh = snapshot_rows(scan_collections(documents, names).where(cleared), config, policy, as_of, names)
+    rest = current.where(~F.coalesce(cleared, F.lit(False)))
+    if policy.key == "index":
+        keys = list(policy.key_columns)
+        rest = rest.join(fresh.select(*keys), keys, "left_anti")
+    return rest.select(fresh.columns).unionByName(fresh)
+
+
+def _cleared(collections: Sequence[str], databases: str | Sequence[str]) -> Column:
+    databases = [databases] if isinstance(databases, str) else list(databases)
+    return F.col("collection").isin(list(collections)) & F.col("database").isin(databases)
 
 
 def backfill_rows(current: DataFrame, documents: DataFrame, config: IndexConfig, policy: ApplyPolicy,
                   as_of: int) -> DataFrame:
     """Index rows after upserting all documents without clearing first.
 
-    Keys are unique in a snapshot, so only the keys of both sides meet in one anti join.
+    Keys are unique among the fresh rows, so only the keys of both sides meet in one anti join.
     """
     fresh = snapshot_rows(documents, config, policy, as_of)
     keys = list(policy.key_columns)
@@ -49,16 +76,25 @@ def backfill_rows(current: DataFrame, documents: DataFrame, config: IndexConfig,
     return kept.select(fresh.columns).unionByName(fresh)
 
 
-def reindex(documents: DataFrame, collections: Sequence[str], database: str | None = None) -> Action:
-    """Action: rebuild collections. The covered ``seq`` is taken before the scan starts, so events
-    that arrive during the scan are folded on top of it."""
+def _routes(store: IndexStore, namespaces: DataFrame) -> set[str]:
+    """The indices of some namespaces: one row per index."""
+    name = store.config.route(F.col("database"), F.col("collection")).alias("index_name")
+    return {r.index_name for r in namespaces.select(name).distinct().collect()}
+
+
+def reindex(documents: DataFrame, collections: Sequence[str], databases: str | Sequence[str]) -> Action:
+    """Action: rebuild collections of the given databases. What the log holds is taken before the scan
+    starts, so events that arrive during the scan are folded on top of it."""
 
     def run(store: IndexStore) -> Commit:
         cut = store.cut()
-        rows = reindex_rows(
-            store.rows(cut), documents, collections, store.config, store.policy, cut.as_of, database
-        )
-        return store.commit(rows, cut, "reindex")
+        touched = store.touched(cut)
+        rows = reindex_rows(store.rows(cut), documents, collections, store.config, store.policy, cut.as_of, databases)
+        own = scan_collections(documents, list(collections)).where(_cleared(collections, databases))
+        asked = [(d, c) for d in ([databases] if isinstance(databases, str) else databases) for c in collections]
+        routes = _routes(store, store.spark.createDataFrame(asked, "database string, collection string"))
+        return store.commit(rows, cut, "reindex", None if touched is None else touched | routes,
+                            snapshot_rejects(own, cut.as_of))
 
     return run
 
@@ -68,7 +104,9 @@ def backfill(documents: DataFrame) -> Action:
 
     def run(store: IndexStore) -> Commit:
         cut = store.cut()
+        touched = store.touched(cut)
         rows = backfill_rows(store.rows(cut), documents, store.config, store.policy, cut.as_of)
-        return store.commit(rows, cut, "backfill")
+        indices = None if touched is None else touched | _routes(store, documents.select(*NAMESPACE))
+        return store.commit(rows, cut, "backfill", indices, snapshot_rejects(documents, cut.as_of))
 
     return run

@@ -1,63 +1,76 @@
 """Versioned index store on a shared file system.
 
-``log/``      change rows as they arrive, partitioned by index; drop events in one control partition
-``bases/``    complete index rows, one folder per version, partitioned by index
-``commits/``  one small JSON row per version: where its base is and which ``seq`` it covers
+``log/``      one folder per batch of change rows, partitioned by index; drop events in one control partition
+``bases/``    complete rows of single indices, in folders that versions share
+``rejects/``  changes that compactions left out, with the reason
+``commits/``  one small file per version: its bases, and by name the batches folded into them
 
-A version is visible once its commit row is: readers take the newest commit. The current index is
-the newest base with the log above its ``as_of_seq`` folded on top.
+A batch is there once its folder is complete, a version once its file is; the file's name can be published only
+once. The current index is the newest version with the batches it does not name folded on top, so a
+batch that lands after a compaction began is never mistaken for part of it.
+
+Changes are ordered by ``seq``; documents indexed outside the feed come after the feed's head without using up
+its next number: they share the head's ``seq`` and are told apart by ``nth``.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldex.functions.sizing import BROADCAST_ROWS
-from foldex.model import CONTROL_OPS, NAMESPACE, ApplyPolicy, IndexConfig
-from foldex.operators.fold import apply_changes, clear_collections
+from foldex.model import CHANGE_COLUMNS, CONTROL_OPS, DROP, DROP_DATABASE, NAMESPACE, ApplyPolicy, IndexConfig
+from foldex.operators.barriers import barriers
+from foldex.operators.export import actions
+from foldex.operators.fold import apply_changes
 from foldex.operators.project import index_documents, payload_columns, project
-from foldex.operators.read import IndexView
-from foldex.operators.rejects import accepted, rejected, updates_without_target
+from foldex.operators.read import METADATA, IndexView, with_tokens
+from foldex.operators.rejects import document_reason, row_reason, sequence_conflicts, updates_without_target
+from foldex.plans import files
 from foldex.sources.snapshot import document_upserts
 
 CONTROL = "__control"
 BEFORE_ALL = -1
-COMMIT_SCHEMA = (
-    T.StructType()
-    .add("version", T.LongType())
-    .add("as_of_seq", T.LongType())
-    .add("log_until", T.LongType())
-    .add("base", T.StringType())
-    .add("reason", T.StringType())
-)
+REJECT_SCHEMA = "seq bigint, op string, database string, collection string, uid string, reason string"
+#: How the names of batches from outside the feed end.
+UPSERT = "-upsert"
+#: Room for ``nth`` below each ``seq``.
+NTH = 10**19
+ORDER = T.DecimalType(38, 0)
 
 
 @dataclass(frozen=True)
 class Commit:
-    version: int
-    as_of_seq: int
-    log_until: int
-    base: str | None
-    reason: str
+    """A version: the last change it covers, a base folder per index, the batches folded into them."""
+
+    version: int = 0
+    as_of_seq: int = BEFORE_ALL
+    as_of_nth: int = 0
+    bases: dict[str, str] = field(default_factory=dict)
+    batches: tuple[str, ...] = ()
+    rejects: tuple[str, ...] = ()
+    reason: str = "empty"
 
 
 @dataclass(frozen=True)
 class Cut:
-    """A point in the log: its highest ``seq``, its latest arrival, and the commit below it."""
+    """The batches to fold above a version, and the last change among them."""
 
     as_of: int
-    until: int
+    nth: int
+    batches: tuple[str, ...]
     head: Commit
 
 
 class IndexStore:
-    """An index under ``root``; ``doc_schema`` is the type of the change rows' ``doc`` column."""
+    """An index under ``root``; ``doc_type`` is the type of the change rows' ``doc`` column."""
 
     def __init__(self, spark: SparkSession, root: str, config: IndexConfig, doc_type: T.DataType,
                  policy: ApplyPolicy | None = None, broadcast_rows: int = BROADCAST_ROWS):
@@ -85,106 +98,172 @@ class IndexStore:
             *[T.StructField(c, T.StringType()) for c in ("op", *NAMESPACE, "uid")],
             T.StructField("doc", self.doc_type),
         ])
-        return self.log_rows(self.spark.createDataFrame([], template)).schema
+        rows = self.log_rows(self.spark.createDataFrame([], template))
+        return T.StructType([*rows.schema.fields, T.StructField("batch", T.StringType())])
 
-    def log_rows(self, changes: DataFrame) -> DataFrame:
-        """Change rows in log form: projected first, so whole documents are never stored or moved."""
-        rows = project(changes, self.config, self.policy)
-        control = F.coalesce(F.col("op").isin(*CONTROL_OPS), F.lit(False))
-        name = F.when(control, CONTROL).otherwise(F.col("index_name"))
-        return rows.withColumns({"index_name": name, "batch_at": F.unix_micros(F.current_timestamp())})
+    def log_rows(self, changes: DataFrame, nth: int = 0) -> DataFrame:
+        """Change rows in log form: projected first, so whole documents are never stored or moved.
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        ``reject`` says why a row cannot be applied; it is known before the fold, so a broken change
+        never replaces a good document.
+        """
+        reason = F.coalesce(row_reason(), document_reason(changes, self.config))
+        rows = project(changes.withColumn("reject", reason), self.config, self.policy)
+        rows = with_tokens(rows, self.config) if self.config.store_tokens else rows
+        control = F.coalesce(F.col("op").isin(*CONTROL_OPS), F.lit(False))
+        name = F.when(control, CONTROL).otherwise(F.coalesce("index_name", F.lit(CONTROL)))
+        return rows.withColumns({"index_name": name, "nth": F.lit(nth).cast("bigint")})
 
     # -- log --------------------------------------------------------------------------------
 
-    def append(self, changes: DataFrame) -> None:
-        """Appends a batch of change rows; streams write the same folder through a file sink."""
-        self.log_rows(changes).write.mode("append").partitionBy("index_name").parquet(f"{self.log_path}/batch")
+    def append(self, changes: DataFrame, batch: str | None = None, nth: int = 0, files_per_index: int | None = None) -> str:
+        """Appends a batch of change rows and returns its name.
+
+        Writing a named batch again replaces it, which makes a repeated micro-batch harmless.
+        """
+        batch = batch or f"{time.time_ns():020d}-{uuid.uuid4().hex}{UPSERT if nth else ''}"
+        rows = self.log_rows(changes, nth)
+        if files_per_index:
+            # Fewer, larger files; the hash spreads a hot index over several tasks.
+            rows = rows.repartition(F.col("index_name"), F.pmod(F.xxhash64("uid"), F.lit(files_per_index)))
+        rows.write.mode("overwrite").partitionBy("index_name").parquet(f"{self.log_path}/batch={batch}")
+        return batch
+
+    def batches(self) -> list[str]:
+        """The complete batches of the log."""
+        found = files.names(self.spark, self.log_path)
+        return [n.removeprefix("batch=") for n in found if files.exists(self.spark, f"{self.log_path}/{n}/_SUCCESS")]
+
+    def log(self, batches: Iterable[str] | None = None) -> DataFrame:
+        """The rows of the given batches, or of all that are kept."""
+        paths = [f"{self.log_path}/batch={b}" for b in (self.batches() if batches is None else batches)]
+        if not paths:
+            return self.spark.createDataFrame([], self.log_schema)
+        return self.spark.read.schema(self.log_schema).option("basePath", self.log_path).parquet(*paths)
+
+    def cut(self) -> Cut:
+        """The point the index has reached; reads nothing but ``seq`` of the batches above the head."""
+        head = self.head()
+        folded = set(head.batches)
+        above = tuple(b for b in self.batches() if b not in folded)
+        newest = F.max(F.struct("seq", "nth"))
+        last = self._usable(self.log(above), head).agg(newest).first()[0] if above else None
+        return Cut(*(tuple(last) if last else (head.as_of_seq, head.as_of_nth)), above, head)
+
+    @staticmethod
+    def _late(head: Commit) -> Column:
+        return (F.col("seq") < head.as_of_seq) | ((F.col("seq") == head.as_of_seq) & (F.col("nth") <= head.as_of_nth))
 
-    def log(self) -> DataFrame:
-        """All change rows that arrived, exactly once."""
-        batch = self._read(f"{self.log_path}/batch", self.log_schema)
-        stream = self._read(f"{self.log_path}/stream", self.log_schema)
-        return batch.unionByName(stream)
+    def _usable(self, rows: DataFrame, head: Commit) -> DataFrame:
+        return rows.where(F.col("reject").isNull() & ~self._late(head))
 
-    def pending(self, head: Commit | None = None) -> DataFrame:
-        """Log rows the base of a commit (the newest by default) does not cover."""
-        head = head or self.head()
-        return accepted(self.log().where(F.col("seq") > head.as_of_seq))
+    def pending(self, cut: Cut | None = None) -> DataFrame:
+        """The changes above a version's bases (the newest version's by default) that can be applied."""
+        cut = cut or self.cut()
+        return self._usable(self.log(cut.batches), cut.head)
 
     def upsert(self, documents: DataFrame) -> None:
         """Indexes documents (``database, collection, uid, doc``; unique keys) outside the feed."""
-        self.append(document_upserts(documents, self.cut().as_of + 1))
+        self.append(document_upserts(documents, self.cut().as_of), nth=time.time_ns())
+
+    # -- rejects ------------------------------------------------------------------------------
+
+    def _left_out(self, cut: Cut) -> DataFrame:
+        """What the batches of a cut hold that is not applied, and why."""
+        rows, head = self.log(cut.batches), cut.head
+        reason = F.coalesce("reject", F.when(self._late(head), "late"))
+        found = rows.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
+        usable = self._usable(rows, head).where("nth = 0").drop("nth", "index_name", "reject")
+        conflicts = sequence_conflicts(usable).join(usable.select(*CHANGE_COLUMNS).distinct(), "seq")
+        found = found.unionByName(conflicts.select(*CHANGE_COLUMNS, "reason"))
+        if self.policy.update == "merge":
+            base = self.base_rows(head)
+            events = usable.select(*CHANGE_COLUMNS)
+            found = found.unionByName(updates_without_target(events, self.policy, self.config.route, base))
+        return found
 
     def rejects(self) -> DataFrame:
-        """Changes that were not applied, with the reason.
+        """Changes that were not applied, with the reason, of all versions and above.
 
-        Unusable rows, rows that came after their base, and for merging updates also those
-        without a document and keys shared by several namespaces.
+        Unusable rows, rows that came after their version, merging updates without a document, and
+        changes that share a ``seq`` (one of them is applied).
         """
-        head, route = self.head(), self.config.route
-        late = self.log().where((F.col("seq") <= head.as_of_seq) & (F.col("batch_at") > head.log_until))
-        found = rejected(self.log()).unionByName(rejected(late, as_of=head.as_of_seq)).distinct()
-        if self.policy.update != "merge":
-            return found
-        events, base = self.pending(head), self.base_rows(head)
-        found = found.unionByName(updates_without_target(events, self.policy, route, base))
+        cut = self.cut()
+        found = self._left_out(cut)
+        if cut.head.rejects:
+            paths = [f"{self.root}/rejects/{name}" for name in cut.head.rejects]
+            found = found.unionByName(self.spark.read.schema(REJECT_SCHEMA).parquet(*paths))
         return found
 
     # -- versions -----------------------------------------------------------------------------
 
+    def _versions(self) -> list[int]:
+        return [int(n.removesuffix(".json")) for n in files.names(self.spark, self.commit_path) if n.endswith(".json")]
+
+    def _commit(self, version: int) -> Commit:
+        values = json.loads(files.read_text(self.spark, f"{self.commit_path}/{version:020d}.json"))
+        return Commit(**values | {"batches": tuple(values["batches"]), "rejects": tuple(values["rejects"])})
+
     def history(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self.commit_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        """(version, as_of_seq, reason) of the versions that are kept."""
+        commits = [self._commit(v) for v in self._versions()]
+        return self.spark.createDataFrame([(c.version, c.as_of_seq, c.reason) for c in commits],
+                                          "version bigint, as_of_seq bigint, reason string")
 
     def head(self, version: int | None = None) -> Commit:
         """The newest commit, or the one asked for."""
-        commits = self.history()
+        versions = self._versions()
         if version is not None:
-            commits = commits.where(F.col("version") == version)
-        newest = commits.orderBy(F.col("version").desc()).first()
-        return Commit(*newest) if newest else Commit(0, BEFORE_ALL, BEFORE_ALL, None, "empty")
+            return self._commit(version) if version in versions else Commit()
+        return self._commit(versions[-1]) if versions else Commit()
+
+    def base_rows(self, commit: Commit | None = None, indices: Sequence[str] | None = None) -> DataFrame | None:
+        """Index rows of a version, each carrying the ``seq`` the version covers; some indices' only, if named.
 
-    def base_rows(self, commit: Commit | None = None) -> DataFrame | None:
-        """Index rows of a version, each carrying the ``seq`` the version covers."""
+        A base that is missing is an error: only an index that was never written is empty.
+        """
         commit = commit or self.head()
-        if commit.base is None:
+        if not commit.version:
             return None
-        schema = T.StructType([f for f in self.log_schema.fields if f.name not in ("op", "batch_at", "seq")])
-        rows = self._read(f"{self.root}/bases/{commit.base}", schema)
+        data = T.StructType([f for f in self.log_schema.fields
+                             if f.name not in ("op", "seq", "nth", "reject", "batch", "index_name")])
+        rows = None
+        for folder in sorted(set(commit.bases.values())):
+            own = [i for i, f in commit.bases.items() if f == folder and (indices is None or i in indices)]
+            if own:
+                whole = T.StructType([*data.fields, T.StructField("index_name", T.StringType())])
+                part = self.spark.read.schema(whole).parquet(f"{self.root}/bases/{folder}")
+                part = part.where(F.col("index_name").isin(own))
+                rows = part if rows is None else rows.unionByName(part)
+        if rows is None:
+            rows = self.spark.createDataFrame([], T.StructType([*data.fields, T.StructField("index_name", T.StringType())]))
         return rows.withColumn("seq", F.lit(commit.as_of_seq).cast("bigint"))
 
-    def rows(self, cut: Cut | None = None) -> DataFrame:
-        """Current index rows: newest base plus the log above it (up to ``cut`` if given)."""
-        head = cut.head if cut else self.head()  # log and base must belong to one commit
-        pending = self.pending(head)
-        if cut is not None:
-            pending = pending.where((F.col("seq") <= cut.as_of) & (F.col("batch_at") <= cut.until))
-        events = pending.drop("batch_at", "index_name")
-        return apply_changes(events, self.policy, self.config.route, self.base_rows(head), self.broadcast_rows)
+    def _fold(self, events: DataFrame, cut: Cut, base: DataFrame | None, delta_path: str | None) -> DataFrame:
+        head, events = cut.head, events.drop("batch", "index_name", "reject")
+        if head.as_of_nth or any(b.endswith(UPSERT) for b in cut.batches):
+            # ``seq`` and ``nth`` as one number; a feed alone does without.
+            order = F.col("seq").cast(ORDER) * F.lit(str(NTH)).cast("decimal(20,0)") + F.col("nth")
+            events = events.withColumn("seq", order.cast(ORDER))
+            if base is not None:
+                base = base.withColumn("seq", F.lit(str(head.as_of_seq * NTH + head.as_of_nth)).cast(ORDER))
+        return apply_changes(events.drop("nth"), self.policy, self.config.route, base, self.broadcast_rows, delta_path)
+
+    def rows(self, cut: Cut | None = None, index: str | None = None, delta_path: str | None = None) -> DataFrame:
+        """Current index rows: the newest bases with the batches above them folded on top.
+
+        With ``delta_path`` a large folded delta is written there at once and read from there.
+        """
+        cut = cut or self.cut()
+        events, base = self.pending(cut), self.base_rows(cut.head, None if index is None else [index])
+        if index is not None:
+            events = events.where(F.col("index_name").isin(index, CONTROL))
+        rows = self._fold(events, cut, base, delta_path)
+        return rows if index is None else rows.where(F.col("index_name") == index)
 
     def view(self, index: str | None = None) -> IndexView:
         """The index as documents; naming one index prunes the partitions of all others."""
-        if index is None:
-            return IndexView(index_documents(self.rows()), self.config)
-        mine = F.col("index_name").isin(index, CONTROL)
-        head = self.head()
-        events = self.pending(head).where(mine).drop("batch_at", "index_name")
-        base = self.base_rows(head)
-        base = None if base is None else base.where(F.col("index_name") == index)
-        rows = apply_changes(events, self.policy, self.config.route, base, self.broadcast_rows)
-        return IndexView(index_documents(rows.where(F.col("index_name") == index)), self.config)
+        return IndexView(index_documents(self.rows(index=index)), self.config)
 
     def version(self, number: int) -> IndexView:
         """Index documents exactly as committed in a version."""
@@ -193,47 +272,125 @@ class IndexStore:
             raise LookupError(f"no version {number}")
         return IndexView(index_documents(rows), self.config)
 
-    def cut(self) -> Cut:
-        """The point the index has reached: highest ``seq`` and latest arrival, log and base alike."""
-        head = self.head()
-        newest = accepted(self.log()).agg(F.max("seq"), F.max("batch_at")).first()
-        return Cut(
-            max(head.as_of_seq, BEFORE_ALL if newest[0] is None else newest[0]),
-            max(head.log_until, BEFORE_ALL if newest[1] is None else newest[1]),
-            head,
-        )
+    def changes(self, old: int, new: int, columns: Sequence[str] | None = None) -> DataFrame:
+        """Actions that turn one version into a later one.
 
-    def commit(self, rows: DataFrame, cut: Cut, reason: str) -> Commit:
-        """Writes ``rows``, which cover the log up to ``cut``, as a new base and makes it visible.
+        If only compactions lie between them, the log names the keys and namespaces that can differ, and
+        nothing else is compared; ``columns`` restricts the documents' fields.
+        """
+        first, last = self.head(old), self.head(new)
+        between = [self._commit(v) for v in self._versions() if old < v <= new]
+        folded = set(last.batches) - set(first.batches)
+        told = all(c.reason == "compact" for c in between) and folded <= set(self.batches())
+        pick = lambda df: df.select(*METADATA, *columns) if columns else df
+        before, after = (pick(self.version(n).documents) for n in (old, new))
+        if not told:
+            return actions(before, after, self.policy)
+        log = self.log(sorted(folded)).where("reject is null")
+        touched = log.where(F.col("index_name") != CONTROL).select(
+            "index_name", F.col("uid").alias("_id"), F.col("collection").alias("_collection"), F.col("database").alias("_database"))
+        cleared = barriers(log.drop("index_name"), self.policy, self.config.route, self.broadcast_rows)
+        return actions(before, after, self.policy, touched, cleared)
+
+    # -- commits ------------------------------------------------------------------------------
+
+    def touched(self, cut: Cut) -> set[str] | None:
+        """The indices that the changes of a cut can alter; None for all."""
+        if not cut.batches:
+            return set()
+        pending = self.pending(cut)
+        named = pending.where(F.col("index_name") != CONTROL).select("index_name")
+        drops = pending.where((F.col("index_name") == CONTROL) & F.col("op").isin(DROP, DROP_DATABASE))
+        kinds = {r.op for r in drops.select("op").distinct().collect()}
+        if DROP_DATABASE in kinds and self.policy.drop_database != "ignore":
+            return None
+        dropped = drops.where(F.col("op") == DROP).select(self.config.route(F.col("database"), F.col("collection")).alias("index_name"))
+        # One row per index.
+        return {r.index_name for r in named.unionByName(dropped).distinct().collect()}
+
+    def commit(self, rows: DataFrame, cut: Cut, reason: str, indices: set[str] | None = None,
+               left_out: DataFrame | None = None) -> Commit:
+        """Makes ``rows``, which cover the batches of ``cut``, the next version; ``left_out`` are further rejects.
 
-        One writer at a time: a commit that another one overtook fails and leaves the index as it is.
+        With ``indices``, ``rows`` replace these alone and other indices keep their base folders. Of two
+        writers that start from one version, the second fails and leaves the index as it is.
         """
-        base = uuid.uuid4().hex
-        columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows)]
-        # Rebalancing gives each index few, evenly sized files and splits a large index over many.
-        files = rows.select(columns).hint("rebalance", "index_name")
-        files.write.partitionBy("index_name").parquet(f"{self.root}/bases/{base}")
-        if self.head().version != cut.head.version:
+        head, name = cut.head, uuid.uuid4().hex
+        known = set(head.bases) | {r.index_name for r in rows.select("index_name").distinct().collect()} if indices is None else indices
+        if indices is not None:
+            rows = rows.where(F.col("index_name").isin(sorted(indices)))
+        bases = {i: f for i, f in head.bases.items() if i not in known}
+        if known:
+            # Rebalancing gives each index few, evenly sized files and splits a large index over many; within a file keys
+            # are in order, and a bloom filter tells which files may hold an id.
+            columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows)]
+            out = rows.select(columns).hint("rebalance", "index_name").sortWithinPartitions("index_name", "uid")
+            path = f"{self.root}/bases/{name}"
+            out.write.option("parquet.bloom.filter.enabled#uid", "true").partitionBy("index_name").parquet(path)
+            there = {n.removeprefix("index_name=") for n in files.names(self.spark, path)}
+            bases |= {i: name for i in known if i in there}
+            if not there:
+                files.remove(self.spark, path)
+        rejects = head.rejects
+        if cut.batches or left_out is not None:
+            found = self._left_out(cut)
+            found = found if left_out is None else found.unionByName(left_out)
+            found.write.parquet(f"{self.root}/rejects/{name}")
+            rejects = (*rejects, name)
+        kept = set(self.batches())
+        batches = tuple(b for b in head.batches if b in kept) + cut.batches
+        record = Commit(head.version + 1, cut.as_of, cut.nth, bases, batches, rejects, reason)
+        if not files.publish(self.spark, f"{self.commit_path}/{record.version:020d}.json", json.dumps(asdict(record))):
             raise RuntimeError("the index was committed by someone else meanwhile")
-        record = Commit(cut.head.version + 1, cut.as_of, cut.until, base, reason)
-        values = [(record.version, record.as_of_seq, record.log_until, record.base, record.reason)]
-        self.spark.createDataFrame(values, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.commit_path)
         return record
 
     def compact(self) -> Commit:
-        """Folds the log into a new base, so later reads fold only what comes after."""
+        """Folds the log into new bases of the indices it touches, so later reads fold only what comes after."""
         cut = self.cut()
-        return self.commit(self.rows(cut), cut, "compact")
+        draft = f"{self.root}/drafts/{uuid.uuid4().hex}"
+        try:
+            return self.commit(self.rows(cut, delta_path=draft), cut, "compact", self.touched(cut))
+        finally:
+            files.remove(self.spark, draft)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Removes what only versions older than the ``keep`` newest need: their files, bases and folded batches.
+
+        Readers of an older version must have ended.
+        """
+        versions = self._versions()
+        commits = [self._commit(v) for v in versions]
+        old, kept = commits[:-keep], commits[-keep:]
+        if not old:
+            return
+        # Only what an old version names is removed: other folders may belong to a commit under way.
+        used = {f for c in kept for f in c.bases.values()}
+        for name in {f for c in old for f in c.bases.values()} - used:
+            files.remove(self.spark, f"{self.root}/bases/{name}")
+        for batch in kept[0].batches:
+            files.remove(self.spark, f"{self.log_path}/batch={batch}")
+        for commit in old:
+            files.remove(self.spark, f"{self.commit_path}/{commit.version:020d}.json")
 
     def drop_all(self) -> Commit:
         """Removes every index."""
         cut = self.cut()
         return self.commit(self.rows(cut).where(F.lit(False)), cut, "drop_all")
 
+    def drop_index(self, index: str) -> Commit:
+        """Removes one index; the others keep their folders unless the log above touches them."""
+        cut = self.cut()
+        touched = self.touched(cut)
+        rows = self.rows(cut).where(F.col("index_name") != index)
+        return self.commit(rows, cut, "drop_index", None if touched is None else touched | {index})
+
     def clear(self, database: str, collection: str) -> Commit:
         """Removes one collection at once, without a drop event."""
         cut = self.cut()
-        return self.commit(clear_collections(self.rows(cut), [(database, collection)]), cut, "clear")
+        touched = self.touched(cut)
+        name = self.spark.range(1).select(self.config.route(F.lit(database), F.lit(collection)).alias("i")).first().i
+        rows = self.rows(cut).where(~((F.col("database") == database) & (F.col("collection") == collection)))
+        return self.commit(rows, cut, "clear", None if touched is None else touched | {name})
 
 
 def save_table(rows: DataFrame, table: str, buckets: int | None = None, path: str | None = None) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldex.model import CHANGE_COLUMNS, DELETE, DROP, DROP_DATABASE, INSERT, UPDATE
+from foldex.model import DELETE, DROP, DROP_DATABASE, INSERT, UPDATE
 
 # Event type names of the change feed and the ops they stand for.
 EVENT_TYPES = {
@@ -27,6 +27,7 @@ EVENT_SCHEMA = (
     .add("ns", T.StructType().add("db", T.StringType()).add("coll", T.StringType()))
     .add("documentKey", T.StructType().add("_id", T.StringType()))
     .add("fullDocument", T.StringType())
+    .add("clusterTime", T.StructType().add("$timestamp", T.StructType().add("t", T.LongType()).add("i", T.LongType())))
 )
 
 
@@ -54,24 +55,27 @@ def normalise(events: DataFrame, event_types: Mapping[str, str] = EVENT_TYPES) -
     )
 
 
-def parse_events(lines: DataFrame, column: str = "value",
-                 event_types: Mapping[str, str] = EVENT_TYPES) -> DataFrame:
-    """JSON change events, one per row, to change rows with the document as JSON text."""
-    event = F.from_json(F.col(column).cast("string"), EVENT_SCHEMA)
-    return normalise(lines.select(event.alias("_e")).select("_e.*"), event_types)
-
+def parse_events(lines: DataFrame, column: str = "value", event_types: Mapping[str, str] = EVENT_TYPES,
+                 order: str | None = None) -> DataFrame:
+    """JSON change events, one per row, to change rows with the document as JSON text.
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """A batch of JSON-lines event files."""
-    return parse_events(spark.read.text(path))
+    ``order`` names a column of the source that gives the order of arrival, such as the offset of a
+    message queue. Without it an event's own ``seq`` counts, or else its cluster time.
+    """
+    event = F.from_json(F.col(column).cast("string"), EVENT_SCHEMA)
+    time = F.col("_e.clusterTime").getField("$timestamp")
+    stamp = F.shiftleft(time["t"], 32) + time["i"]
+    seq = F.col("_order") if order else F.coalesce(F.col("_e.seq"), stamp)
+    arrived = F.col(order).cast("bigint") if order else F.lit(None).cast("bigint")
+    events = lines.select(event.alias("_e"), arrived.alias("_order"))
+    return normalise(events.select(seq.alias("seq"), *[f"_e.{f.name}" for f in EVENT_SCHEMA if f.name not in ("seq", "clusterTime")]), event_types)
 
 
-def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                  event_types: Mapping[str, str] = EVENT_TYPES) -> DataFrame:
     """A stream over a growing folder of JSON-lines event files."""
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return parse_events(reader.text(path))
+    options = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
+    return stream_source(spark, "text", {**options, "path": path}, event_types)
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -83,11 +87,8 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path)
 
 
-def stream_source(spark: SparkSession, source_format: str, options: Mapping[str, str]) -> DataFrame:
+def stream_source(spark: SparkSession, source_format: str, options: Mapping[str, str],
+                  event_types: Mapping[str, str] = EVENT_TYPES, order: str | None = None) -> DataFrame:
     """JSON events from any streaming source with a ``value`` column whose package is present."""
-    return parse_events(spark.readStream.format(source_format).options(**options).load())
-
-
-def with_documents(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Change rows whose document is made of the given flat columns."""
-    return rows.select(*CHANGE_COLUMNS, F.struct(*columns).alias("doc"))
+    lines = spark.readStream.format(source_format).options(**options).load()
+    return parse_events(lines, event_types=event_types, order=order)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from foldex.operators.fold import allow_collections
+from foldex.plans import files
 from foldex.plans.rebuild import Action
 from foldex.plans.store import IndexStore
 
@@ -16,40 +17,44 @@ from foldex.plans.store import IndexStore
 class IndexService:
     """Runs a feed into a store and pauses it for actions.
 
-    ``feed`` returns a streaming DataFrame of change rows. The stream only projects and appends:
-    a micro-batch is visible when its file-sink commit is, exactly once across restarts. Paused
-    time costs nothing, as unread events wait in the source.
+    ``feed`` returns a streaming DataFrame of change rows. The stream only projects and appends: each
+    micro-batch is a batch of the log, named by its number, so one that is repeated after a failure
+    replaces itself. Paused time costs nothing, as unread events wait in the source. With
+    ``compact_after`` the log is folded whenever that many batches lie above the newest version.
     """
 
     def __init__(self, store: IndexStore, feed: Callable[[], DataFrame], collections: Sequence[str] | None = None,
-                 commit_delay: str = "1 second", files_per_index: int | None = None):
+                 commit_delay: str = "1 second", files_per_index: int = 1, compact_after: int | None = None):
         self.store = store
         self.feed = feed
         self.collections = collections
         self.commit_delay = commit_delay
         self.files_per_index = files_per_index
+        self.compact_after = compact_after
         self.query: StreamingQuery | None = None
 
     @property
     def checkpoint(self) -> str:
         return f"{self.store.root}/checkpoint"
 
+    def _feed_id(self) -> str:
+        """Tells batches of this checkpoint from those of an earlier one that was removed."""
+        path = f"{self.checkpoint}/feed-id"
+        files.publish(self.store.spark, path, uuid.uuid4().hex)
+        return files.read_text(self.store.spark, path)
+
     def _writer(self):
-        changes = self.feed()
+        changes, name = self.feed(), self._feed_id()
         if self.collections is not None:
             changes = allow_collections(changes, list(self.collections))
-        rows = self.store.log_rows(changes)
-        if self.files_per_index:
-            # Fewer, larger files; the hash spreads a hot index over several tasks.
-            spread: Column = F.pmod(F.xxhash64("uid"), F.lit(self.files_per_index))
-            rows = rows.repartition(F.col("index_name"), spread)
-        return (
-            rows.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", f"{self.store.log_path}/stream")
-            .option("checkpointLocation", self.checkpoint)
-            .partitionBy("index_name")
-        )
+
+        def append(rows: DataFrame, number: int) -> None:
+            self.store.append(rows, f"stream-{name}-{number:012d}", files_per_index=self.files_per_index)
+            if self.compact_after and len(self.store.cut().batches) >= self.compact_after:
+                self.store.compact()
+                self.store.vacuum()
+
+        return changes.writeStream.foreachBatch(append).option("checkpointLocation", self.checkpoint)
 
     def open(self) -> StreamingQuery:
         """Starts (or resumes) applying; changes become visible every ``commit_delay``."""

@@ -24,12 +24,11 @@ from foldex import (
 )
 from foldex.functions import mappers as m
 from foldex.operators import rejects as R
-from foldex.operators.export import actions
 from foldex.plans.rebuild import backfill_rows, reindex, reindex_rows, snapshot_rows
 from foldex.session import scratch
 from foldex.sources.changes import parse_events, stream_table
 from workload import derive
-from workload.mapping_queries import LANGUAGES, TEXT_CONFIG
+from workload.mapping_queries import TEXT_CONFIG
 
 ALLOWED = ["c0", "c1", "c2"]
 EVENT_RULES = (
@@ -132,6 +131,12 @@ def cdc_index_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applied(shared_feed(spark, sf_dir), ApplyPolicy(key="index"), config).select(*OUTPUT)
 
 
+def cdc_index_key_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates merge into documents that namespaces take over from each other."""
+    config = IndexConfig(rules=EVENT_CONFIG.rules, route=lambda database, collection: F.lit("shared"))
+    return applied(shared_feed(spark, sf_dir), ApplyPolicy(update="merge", key="index"), config).select(*OUTPUT)
+
+
 def policy_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applied(feed(spark, sf_dir), EMBEDDED).select(*OUTPUT)
 
@@ -150,6 +155,45 @@ def collection_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.groupBy("database", "collection").agg(F.count(F.lit(1)).alias("n"))
 
 
+# -- JSON documents --------------------------------------------------------------------------------
+
+
+def change_extended_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose ids, numbers and dates are written in extended JSON."""
+    events = derive.table(spark, sf_dir, "events")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    document = F.struct(
+        F.struct(derive.uid(F.col("user_id")).alias("$oid")).alias("user"),
+        F.struct(F.col("event_id").cast("string").alias("$numberLong")).alias("number"),
+        F.struct(F.col("value").cast("string").alias("$numberDouble")).alias("value"),
+        F.struct(F.struct(millis.alias("$numberLong")).alias("$date")).alias("ts"),
+        F.array(F.struct(F.struct(F.lit("7").alias("$numberInt")).alias("n"))).alias("list"),
+        F.lit('{"$oid": "kept"}').alias("props"))
+    schema = (T.StructType().add("user", T.StringType()).add("number", T.LongType()).add("value", T.DoubleType())
+              .add("ts", T.TimestampType()).add("list", T.ArrayType(T.StructType().add("n", T.IntegerType())))
+              .add("props", T.StringType()))
+    rules = [FieldRule("user", "user", m.to_string), FieldRule("number", "number", m.to_long),
+             FieldRule("value", "value", m.to_double), FieldRule("ts", "at", m.to_date, date_format="yyyy-MM-dd HH:mm:ss"),
+             FieldRule("list.n", "numbers", m.to_integer_list), FieldRule("props", "props", m.to_string)]
+    config = IndexConfig(rules={"c": rules}, schemas={"c": schema})
+    event = F.struct(F.col("event_id").alias("seq"), F.lit("insert").alias("operationType"),
+                     F.struct(F.lit("db").alias("db"), F.lit("c").alias("coll")).alias("ns"),
+                     F.struct(derive.uid(F.col("event_id")).alias("_id")).alias("documentKey"), document.alias("fullDocument"))
+    rows = project(parse_events(events.select(F.to_json(event).alias("value"))), config)
+    return rows.select("seq", "uid", "user", "number", "value", "at", F.col("numbers")[0].alias("n"), "props")
+
+
+def reject_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unreadable change leaves the document as it was."""
+    schema = derive.event_doc_type(spark, sf_dir)
+    config = IndexConfig(rules=EVENT_CONFIG.rules, schemas={c: schema for c in ALLOWED})
+    store = IndexStore(spark, scratch(spark, "store"), config, T.StringType(), REPLACE)
+    text = F.to_json("doc")
+    broken = F.when(F.col("doc.event_type") == "click", F.substring(text, 1, F.length(text) - 1)).otherwise(text)
+    store.append(feed(spark, sf_dir).withColumn("doc", broken))
+    return output(store)
+
+
 # -- rejects ---------------------------------------------------------------------------------------
 
 
@@ -198,14 +242,34 @@ def clear_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reindex_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = derive.text_documents(spark, sf_dir)
-    return text_output(reindex_rows(stale_index(spark, sf_dir), docs, ["en", "de"], TEXT_CONFIG, REPLACE, 0))
+    return text_output(reindex_rows(stale_index(spark, sf_dir), docs, ["en", "de"], TEXT_CONFIG, REPLACE, 0, "corpus"))
 
 
 def initial_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = derive.text_documents(spark, sf_dir).where(F.col("collection").isin(LANGUAGES))
+    docs = derive.text_documents(spark, sf_dir)
     return text_output(backfill_rows(stale_index(spark, sf_dir), docs, TEXT_CONFIG, REPLACE, 0))
 
 
+def reindex_two_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rebuilding the collections of one database leaves another database's collections of these names alone."""
+    stale = stale_index(spark, sf_dir)
+    both = stale.unionByName(stale.withColumn("database", F.lit("other")))
+    docs = derive.text_documents(spark, sf_dir)
+    docs = docs.unionByName(docs.withColumn("database", F.lit("third")))
+    return text_output(reindex_rows(both, docs, ["en", "de"], TEXT_CONFIG, REPLACE, 0, "corpus"))
+
+
+def backfill_index_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections share the ids of one index: the document that is written last stays."""
+    number = F.col("uid").cast("bigint")
+    config = IndexConfig(rules={c: TEXT_CONFIG.rules["en"] for c in ("c0", "c1", "old")},
+                         route=lambda database, collection: F.lit("shared"))
+    docs = derive.text_documents(spark, sf_dir)
+    halves = docs.withColumns({"collection": F.concat(F.lit("c"), number % 2), "uid": derive.uid(F.floor(number / 2))})
+    old = snapshot_rows(docs.withColumn("collection", F.lit("old")), config, REPLACE, -1)
+    return text_output(backfill_rows(old, halves, config, ApplyPolicy(key="index"), 0))
+
+
 # -- store and streams -----------------------------------------------------------------------------
 
 
@@ -264,7 +328,7 @@ def stream_pause_reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = images.groupBy(*keys).agg(F.struct(
         F.lit("snapshot").alias("event_type"), F.max("doc.value").alias("value"), F.max("doc.ts").alias("ts"),
         F.max("doc.props").alias("props")).alias("doc"))
-    service.execute(reindex(snapshot, ["c0"]))
+    service.execute(reindex(snapshot, ["c0"], ["db0", "db1"]))
     staged.arrive(2)
     service.drain()
     return output(store)
@@ -286,6 +350,44 @@ def custom_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output(store)
 
 
+def store_overlapping_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that lands while the log is being compacted is folded on top of the compacted version."""
+    store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
+    events = allow_collections(staged.rows, ALLOWED)
+    store.append(events.where(F.col("seq") <= staged.half))
+    cut = store.cut()
+    store.append(events.where(F.col("seq") > staged.half))
+    store.commit(store.rows(cut), cut, "compact", store.touched(cut))
+    return output(store)
+
+
+def store_upsert_then_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents indexed outside the feed do not use up its next number."""
+    store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
+    events = allow_collections(staged.rows, ALLOWED)
+    store.append(events.where(F.col("seq") <= staged.half))
+    document = F.struct(F.lit("supplier").alias("event_type"), F.col("s_acctbal").alias("value"),
+                        F.lit("2024-02-03").cast("timestamp").cast("timestamp_ntz").alias("ts"), F.col("s_name").alias("props"))
+    suppliers = derive.table(spark, sf_dir, "supplier").select(
+        F.lit("db2").alias("database"), F.lit("c1").alias("collection"), derive.uid(F.col("s_suppkey")).alias("uid"), document.alias("doc"))
+    store.upsert(suppliers)
+    store.compact()
+    store.append(events.where(F.col("seq") > staged.half))
+    return output(store)
+
+
+def store_late_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that come after the version they belong to stay on record over later versions."""
+    store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
+    events = allow_collections(staged.rows, ALLOWED)
+    store.append(events.where(F.col("seq") > staged.half))
+    store.compact()
+    store.append(events.where(F.col("seq") <= staged.half))
+    store.compact()
+    store.compact()
+    return store.rejects().select("seq", "op", "reason")
+
+
 def action_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net changes between two committed versions of the index."""
     store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
@@ -295,10 +397,7 @@ def action_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = store.compact()
     store.append(events.where(late))
     second = store.compact()
-    columns = ("index_name", "_id", "_collection", "_database", "event_type", "value", "day")
-    old = store.version(first.version).documents.select(*columns)
-    new = store.version(second.version).documents.select(*columns)
-    return actions(old, new)
+    return store.changes(first.version, second.version, ["event_type", "value", "day"]).select("index_name", "uid", "action", "body")
 
 
 QUERIES = {
@@ -314,6 +413,9 @@ QUERIES = {
     "cdc_full_replay": cdc_full_replay,
     "cdc_merge_ext": cdc_merge_ext,
     "cdc_index_key": cdc_index_key,
+    "cdc_index_key_merge": cdc_index_key_merge,
+    "change_extended_json": change_extended_json,
+    "reject_unreadable": reject_unreadable,
     "policy_embedded": policy_embedded,
     "policy_partial_update": policy_partial_update,
     "policy_full_replace": policy_full_replace,
@@ -323,6 +425,11 @@ QUERIES = {
     "clear_collection": clear_collection,
     "reindex_collections": reindex_collections,
     "initial_backfill": initial_backfill,
+    "reindex_two_databases": reindex_two_databases,
+    "backfill_index_key": backfill_index_key,
+    "store_overlapping_append": store_overlapping_append,
+    "store_upsert_then_feed": store_upsert_then_feed,
+    "store_late_rejects": store_late_rejects,
     "stream_cdc_apply": stream_cdc_apply,
     "stream_restart": stream_restart,
     "stream_pause_reindex": stream_pause_reindex,

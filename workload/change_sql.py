@@ -106,6 +106,25 @@ ORACLE_SQL = {
         from live l""",
     "cdc_index_key": f"""with {CHANGES}, {ALLOWED}, {SHARED}, {live("shared", key="uid")}
         select * replace ('shared' as index_name) from (select {OUTPUT} from live)""",
+    "cdc_index_key_merge": f"""with {CHANGES}, {ALLOWED}, {SHARED},
+        images as (select *, lead(seq) over (partition by uid order by seq) as next_seq
+          from shared where op in ('insert', 'update')),
+        keys as (select uid, max(case when op = 'insert' then seq end) as inserted,
+            max(case when op = 'delete' then seq end) as deleted, max(case when op <> 'delete' then seq end) as last
+          from shared where op in ('insert', 'update', 'delete') group by uid),
+        cleared as (select i.uid from images i join keys k on i.uid = k.uid and i.seq >= k.inserted
+          where exists (select 1 from shared d where d.seq > i.seq and d.seq < coalesce(i.next_seq, 1e18)
+            and d.database = i.database
+            and (d.op = 'drop_database' or (d.op = 'drop' and d.collection = i.collection)))),
+        live as (select i.* from images i join keys k on i.uid = k.uid and i.seq = k.last
+          where k.inserted > coalesce(k.deleted, -1) and i.uid not in (select uid from cleared))
+        select * replace ('shared' as index_name) from (select {OUTPUT} from live)""",
+    "change_extended_json": f"""select event_id as seq, {DOC_ID.format("event_id")} as uid,
+        {DOC_ID.format("user_id")} as "user", event_id as number, value, strftime(ts, '%Y-%m-%d %H:%M:%S') as at,
+        cast(7 as integer) as n, '{{"$oid": "kept"}}' as props from events""",
+    "reject_unreadable": f"""with {CHANGES}, {ALLOWED}, usable as (select * from allowed
+          where not (event_type = 'click' and op in ('insert', 'update', 'delete'))),
+        {live("usable")} select {OUTPUT} from live""",
     "policy_embedded": applied(update="ignore", drop="collection", drop_database="all"),
     "policy_partial_update": applied(update="merge", drop="collection", drop_database=None, key="collection, uid"),
     "policy_full_replace": applied(drop_database=None, key="collection, uid"),
@@ -125,6 +144,22 @@ ORACLE_SQL = {
     + text_rows("doc_id", "source", "lang in ('en', 'de')"),
     "initial_backfill": text_rows("doc_id", "source", "true") + " union all "
     + text_rows("doc_id + 10000000000", "'old'", "true"),
+    "reindex_two_databases": stale("lang not in ('en', 'de')") + " union all "
+    + text_rows("doc_id", "source", "lang in ('en', 'de')")
+    + f" union all select * replace ('other' as _database) from ({stale()})",
+    "backfill_index_key": f"""with fresh as (select *, doc_id // 2 as id, concat('c', cast(doc_id % 2 as varchar)) as c
+          from documents),
+        kept as (select * from fresh qualify row_number() over (partition by id order by c desc) = 1)
+        select 'shared' as index_name, {DOC_ID.format("id")} as _id, c as _collection, 'corpus' as _database,
+          source, n_chars, md5(text) as text_md5 from kept
+        union all
+        select 'shared', {DOC_ID.format("doc_id")}, 'old', 'corpus', source, n_chars, md5(text) from documents
+        where doc_id not in (select id from kept)""",
+    "store_overlapping_append": applied(),
+    "store_upsert_then_feed": applied() + f""" union all select 'c1', {DOC_ID.format("s_suppkey")}, 'c1', 'db2',
+        'supplier', s_acctbal, '2024-02-03', s_name from supplier""",
+    "store_late_rejects": f"""with {CHANGES}, {ALLOWED} select seq, op, 'late' as reason from allowed
+        where seq <= {HALF}""",
     "stream_cdc_apply": applied(),
     "stream_restart": applied(),
     "stream_pause_reindex": f"""with {CHANGES}, {ALLOWED}, rebuilt as (

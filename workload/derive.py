@@ -153,9 +153,3 @@ def outline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return snapshot(outline, "corpus", F.col("lang"), uid(F.col("doc_id")),
                     ["source", "lines", "numbers", "origin", "paragraphs"])
-
-
-def change_schema(doc_type: T.DataType) -> T.StructType:
-    """The schema of change rows with the given document type."""
-    fields = [T.StructField(c, T.LongType() if c == "seq" else T.StringType()) for c in CHANGE_COLUMNS]
-    return T.StructType([*fields, T.StructField("doc", doc_type)])

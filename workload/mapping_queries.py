@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldex import Analyzer, ApplyPolicy, FieldRule, IndexConfig, IndexView, all_of, index_documents, match_all, project
+from foldex import Analyzer, ApplyPolicy, FieldRule, IndexConfig, IndexStore, IndexView, all_of, index_documents, match_all, project
 from foldex.functions import mappers as m
+from foldex.plans.rebuild import backfill
+from foldex.plans.store import save_table
 from foldex.session import scratch
 from foldex.sources.snapshot import scan_collections, source_counts
 from workload import derive
@@ -304,15 +309,56 @@ def term_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_view(spark, sf_dir).postings("text").select("term", "_id", "tf")
 
 
+def stored_index(spark: SparkSession, sf_dir: str, config: IndexConfig = TEXT_CONFIG) -> IndexStore:
+    """The text documents committed to a store, from nothing but a backfill."""
+    docs = derive.text_documents(spark, sf_dir)
+    store = IndexStore(spark, scratch(spark, "store"), config, docs.schema["doc"].dataType)
+    backfill(docs)(store)
+    return store
+
+
 def index_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index documents written as a table with one partition per index, and read back."""
-    path, view = scratch(spark, "table"), text_view(spark, sf_dir)
-    view.documents.write.partitionBy("index_name").parquet(path)
-    back = spark.read.schema(view.documents.schema).parquet(path)
+    """Index documents committed to a store, one folder per index, and read back."""
+    back = stored_index(spark, sf_dir).view().documents
     return back.select("index_name", "_id", "_collection", "_database", "source", "n_chars",
                        F.md5("text").alias("text_md5"))
 
 
+def catalog_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index documents as a catalog table bucketed by id."""
+    name = f"roundtrip_{uuid.uuid4().hex}"
+    save_table(text_view(spark, sf_dir).documents, name, buckets=4, path=scratch(spark, "table"))
+    return spark.table(name).select("index_name", "_id", "_collection", "_database", "source", "n_chars",
+                                    F.md5("text").alias("text_md5"))
+
+
+def term_query_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A term in an index whose text was analysed when it was written."""
+    view = stored_index(spark, sf_dir, replace(TEXT_CONFIG, store_tokens=True)).view()
+    return view.where(view.term("text", "la")).documents.select("_id", "_collection", "source")
+
+
+def match_per_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query text is analysed as each index analyses: English keeps its case."""
+    view = text_view(spark, sf_dir, TEXT_CONFIG.with_analyzer("en", Analyzer(lower=False)))
+    return view.where(view.match("text", "The LA")).documents.select("_id", "_collection")
+
+
+def keyword_per_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole German texts are keywords, other texts are analysed; a source is text in English alone."""
+    keyword = (rule("text", "text", m.to_string, keyword=True), *TEXT_RULES[1:])
+    text = (TEXT_RULES[0], rule("source", "source", m.to_string), TEXT_RULES[2])
+    view = text_view(spark, sf_dir, replace(TEXT_CONFIG, rules={**TEXT_CONFIG.rules, "de": keyword, "en": text}))
+    found = view.term("text", "die") | view.term("source", "src4")
+    return view.where(found).documents.select("_id", "_collection", "source")
+
+
+def stored_per_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values come back from the collections that store them."""
+    hidden = tuple(replace(r, stored=False) for r in TEXT_RULES)
+    return text_view(spark, sf_dir, replace(TEXT_CONFIG, rules={**TEXT_CONFIG.rules, "en": hidden, "de": TEXT_RULES[:2]})).stored()
+
+
 QUERIES = {
     "snapshot_scan": snapshot_scan,
     "source_counts": count_sources,
@@ -351,4 +397,9 @@ QUERIES = {
     "facet_counts_filtered": facet_counts_filtered,
     "term_postings": term_postings,
     "index_table_roundtrip": index_table_roundtrip,
+    "catalog_table_roundtrip": catalog_table_roundtrip,
+    "term_query_stored": term_query_stored,
+    "match_per_index": match_per_index,
+    "keyword_per_collection": keyword_per_collection,
+    "stored_per_collection": stored_per_collection,
 }

@@ -118,4 +118,15 @@ ORACLE_SQL = {
         select term, {DOC_ID} as _id, count(*) as tf from w group by term, doc_id""",
     "index_table_roundtrip": f"""select lang as index_name, {DOC_ID} as _id, lang as _collection,
         'corpus' as _database, source, n_chars, md5(text) as text_md5 from documents""",
+    "catalog_table_roundtrip": f"""select lang as index_name, {DOC_ID} as _id, lang as _collection,
+        'corpus' as _database, source, n_chars, md5(text) as text_md5 from documents""",
+    "term_query_stored": docs("lang as _collection, source", f"list_contains({TOKENS}, 'la')"),
+    "match_per_index": docs("lang as _collection", f"""case when lang = 'en'
+        then list_has_any(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+'), ['The', 'LA'])
+        else list_has_any({TOKENS}, ['the', 'la']) end"""),
+    "keyword_per_collection": docs("lang as _collection, source",
+                                   f"(lang <> 'de' and list_contains({TOKENS}, 'die')) or source = 'src4'"),
+    "stored_per_collection": f"""select lang as index_name, {DOC_ID} as _id, lang as _collection, 'corpus' as _database,
+        case when lang <> 'en' then source end as source, case when lang in ('es', 'fr') then n_chars end as n_chars
+        from documents""",
 }
