@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldex.llm.common import utf8
+from foldex.llm.common import utf8, written
 from foldex.session import scratch
 
 FIELDS = {
@@ -210,8 +210,8 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
     keys = rows.select("page_id", "url", digest.alias("digest"), size.alias("size")).where(F.col("size") >= min_revisit_bytes)
     first = keys.groupBy("digest", "size").agg(
         F.max_by("url", "page_id").alias("refers_url"), F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-    shared = first.where("n > 1 and refers_to is not null").drop("n")
-    # The number of responses of shared payloads may be large; the adaptive join deals a hot digest to many tasks.
+    # Written first: a join of two shuffled sides can deal a hot digest to many tasks.
+    shared = written(first.where("n > 1 and refers_to is not null").drop("n"), "payloads")
     linked = rows.withColumns({"digest": digest, "size": size}).join(shared, ["digest", "size"], "left")
     own = F.col("page_id") == F.col("refers_to")
     linked = linked.select("page_id", "url", "html", *[
