@@ -8,8 +8,10 @@ on have one process each, whose points also have a place in the interval and cou
 number. Points are made in order of time, only up to the time by which all registers are filled.
 
 Documents with equal bags are one node. Nodes that share a band are compared with the band's smallest node first,
-then only across the components this leaves, so a large group of copies never meets in pairs. Every link is
-verified on the whole bags.
+which joins most of a group of copies. What is left are pairs of a band in different components. Blocks of nodes
+meet for them: signatures are compared, the most similar pairs are verified first, and a pair that links have
+meanwhile joined is passed over. So no pairs leave a task but links, yet no pair that shares a band is left out
+unless its signatures differ far more than chance lets similar bags differ. Every link is verified on whole bags.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ THRESHOLD = 0.8
 #: 21 bands of 6 registers: a pair of similarity 0.8 shares a band with probability 0.998.
 BANDS, ROWS = 21, 6
 REGISTERS = BANDS * ROWS
+#: Signatures of similar bags agree in a smaller share than the similarity by this with probability 0.0004.
+SLACK = 0.12
+#: Nodes of a band that meet another as many in one task.
+BLOCK = 1000
 U = np.uint64
 
 
@@ -126,6 +132,70 @@ def bands(times: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def short(times: np.ndarray) -> np.ndarray:
+    """The registers in two bytes each, to estimate similarities."""
+    return mix(times.view(np.uint64)).astype(np.uint16)
+
+
+def agreement(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """The share of equal registers of pairs of signatures."""
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(len(c), REGISTERS) for c in (a, b))
+    return (x == y).mean(axis=1)
+
+
+def promising(least: float) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs whose signatures agree enough."""
+        for batch in batches:
+            yield batch.select(["a", "b"]).filter(pa.array(agreement(batch.column("signature_a"), batch.column("signature_b")) >= least))
+    return run
+
+
+def joined(words: int, threshold: float, least: float) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        """Links between components, from two blocks of a band (``side`` 1 and 2, or 0: both).
+
+        Looks at pairs for which this is the first band they share and whose signatures agree enough, the
+        most similar first, while their components are apart.
+        """
+        side, row = table.column("side").to_numpy(), table.column("row").to_numpy()
+        component, here = table.column("component").to_numpy(), table.column("band")[0].as_py()
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        band = np.stack(table.column("bands").to_pylist())
+        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+        found = []
+        for i in left:
+            other = right[(component[right] != component[i]) & ((side[i] != 0) | (row[right] > row[i]))]
+            share = (signature[other] == signature[i]).mean(axis=1)
+            keep = share >= least
+            if here:
+                keep[keep] = ~(band[other[keep], :here] == band[i, :here]).any(axis=1)
+            found.append((np.full(keep.sum(), i), other[keep], share[keep]))
+        a, b, share = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        hashes, bags, texts = WordHashes(), {}, {i: table.column("text")[int(i)] for i in {*a.tolist(), *b.tolist()}}
+        parent = {c: c for c in component.tolist()}
+
+        def top(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        def bag_of(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in bags:
+                bags[i] = bag((texts[i].as_py() or "").encode(), words, hashes)
+            return bags[i]
+
+        links = []
+        for k in np.argsort(-share, kind="stable").tolist():
+            i, j = int(a[k]), int(b[k])
+            x, y = top(int(component[i])), top(int(component[j]))
+            if x != y and similarity(bag_of(i), bag_of(j)) >= threshold:
+                parent[x] = y
+                links.append((int(row[i]), int(row[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+    return run
+
+
 def signed(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per document a 128-bit hash of its bag and its bands (none for an empty bag)."""
@@ -138,13 +208,15 @@ def signed(words: int) -> Callable:
                 size += len(held[-1][0])
                 if size > 200_000 or i == len(texts) - 1:
                     batch = whole.slice(start, len(held))
-                    found = bands(signatures(held))
+                    times = signatures(held)
+                    found = bands(times)
                     names = [xxhash.xxh3_128_digest(b[0].tobytes() + b[1].tobytes()) for b in held]
                     halves = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays([
                         batch.column("row"), batch.column("doc_id"), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
                         pa.array([f if len(b[0]) else [] for f, b in zip(found, held)], pa.list_(pa.int64())),
-                    ], ["row", "doc_id", "bag1", "bag2", "bands"])
+                        pa.array([x.tobytes() for x in short(times)], pa.binary()),
+                    ], ["row", "doc_id", "bag1", "bag2", "bands", "signature"])
                     start, held, size = i + 1, [], 0
     return run
 
@@ -170,19 +242,17 @@ def verified(words: int, threshold: float) -> Callable:
 def components(links: DataFrame) -> DataFrame:
     """(node, component): each linked node's component, named by its smallest node.
 
-    Labels spread along the links and then along labels, so chains of any length need few rounds.
+    Labels spread along the links and from label to label, so chains need few rounds.
     """
-    both = written(links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(
-        links.select(F.col("b"), F.col("a"))), "links")
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(links.select(F.col("b"), F.col("a")))
     labels = written(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")), "labels")
     while True:
         around = both.join(labels.select(F.col("node").alias("other"), "component"), "other").groupBy("node").agg(
             F.min("component").alias("near"))
-        spread = written(labels.join(around, "node").select(
-            "node", F.col("component").alias("was"), F.least("component", "near").alias("component")), "labels")
-        jump = spread.select(F.col("node").alias("component"), F.col("component").alias("beyond"))
-        new = written(spread.join(jump, "component").select(
-            "node", F.least("component", "beyond").alias("component"), (F.least("component", "beyond") != F.col("was")).alias("new")), "labels")
+        beyond = labels.select(F.col("node").alias("component"), F.col("component").alias("beyond"))
+        smallest = F.least("component", "near", "beyond")
+        new = written(labels.join(around, "node").join(beyond, "component").select(
+            "node", smallest.alias("component"), (smallest != F.col("component")).alias("new")), "labels")
         labels = new.drop("new")
         if new.where("new").isEmpty():
             return labels
@@ -191,32 +261,40 @@ def components(links: DataFrame) -> DataFrame:
 # --- operator ----------------------------------------------------------------------------------
 
 def near_links(docs: DataFrame, nodes: DataFrame, words: int, threshold: float) -> DataFrame:
-    """(node, component) of the nodes that have a verified link; ``nodes``: row, bands."""
-    banded = written(nodes.select("row", F.posexplode("bands").alias("band", "hash")), "bands")
+    """(node, component) of the nodes that have a verified link; ``nodes``: row, bands, signature."""
+    least = threshold - SLACK
+    banded = nodes.select("row", F.posexplode("bands").alias("band", "hash"))
     shared = banded.groupBy("band", "hash").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-    shared = written(shared.where("n > 1").drop("n"), "buckets")
+    shared = written(shared.where("n > 1"), "buckets")
     members = written(banded.join(shared, ["band", "hash"]), "members")
-    texts = docs.select(row_key("doc_id", "text").alias("row"), "text").join(
-        members.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"])
-    texts = written(texts, "texts")
-
-    def check(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a").join(
-            texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-        return written(full.mapInArrow(verified(words, threshold), "a long, b long"), "verified")
+    some = members.select("row").distinct()
+    # Always by sorting: a broadcast that fits small inputs only would make them look cheaper than they are.
+    texts = docs.select(row_key("doc_id", "text").alias("row"), "text").join(some.hint("merge"), "row", "left_semi")
+    texts = written(texts.dropDuplicates(["row"]).join(nodes, "row"), "texts")
+
+    stars = members.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
+    for end in "ab":
+        side = {"row": end, "signature": f"signature_{end}"}
+        stars = stars.join(texts.select(*[F.col(k).alias(v) for k, v in side.items()]), end)
+    stars = stars.mapInArrow(promising(least), "a long, b long")
+    for end in "ab":
+        stars = stars.join(texts.select(F.col("row").alias(end), F.col("text").alias(f"text_{end}")), end)
+    links = written(stars.mapInArrow(verified(words, threshold), "a long, b long"), "stars")
 
-    stars = written(members.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct(), "stars")
-    links = check(stars)
     found = components(links)
-    # What is left: pairs of a band in different components, other than those with the smallest node.
-    held = members.join(found.select(F.col("node").alias("row"), "component"), "row", "left").select(
-        "band", "hash", "row", "first", F.coalesce("component", "row").alias("component"))
+    held = members.join(found.select(F.col("node").alias("row"), "component"), "row", "left").withColumn(
+        "component", F.coalesce("component", "row"))
     split = held.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    held = written(held.join(written(split.select("band", "hash"), "split"), ["band", "hash"]), "held")
-    x, y = (held.where("row <> first").select("band", "hash", F.col("row").alias(n), F.col("component").alias(f"of_{n}")) for n in "ab")
-    across = x.join(y, ["band", "hash"]).where("of_a < of_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = check(written(across.distinct().join(stars, ["a", "b"], "left_anti"), "across"))
-    return components(links.unionAll(more)) if not more.isEmpty() else found
+    held = held.join(written(split.select("band", "hash"), "split"), ["band", "hash"])
+    # Every two blocks of a band meet once; a node is sent along once for each block.
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("row"), blocks).cast("int")
+    dealt = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "band", "hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "component",
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
+    more = written(dealt.join(texts, "row").groupBy("band", "hash", "i", "j").applyInArrow(
+        joined(words, threshold, least), "a long, b long"), "across")
+    return found if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
@@ -227,11 +305,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     (null, empty) are equal. Texts of fewer words than a shingle are one shingle. An empty table gives no rows.
     """
     narrow = docs.select(row_key("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint"), "text")
-    kinds = "row long, doc_id long, bag1 long, bag2 long, bands array<long>"
+    kinds = "row long, doc_id long, bag1 long, bag2 long, bands array<long>, signature binary"
     base = written(narrow.mapInArrow(signed(words), kinds).withColumn("uid", F.monotonically_increasing_id()), "bags")
     same = written(base.groupBy("bag1", "bag2").agg(F.min("row").alias("first")), "same")
     nodes = base.join(same.select(F.col("first").alias("row")), "row", "left_semi").dropDuplicates(["row"])
-    found = near_links(docs, nodes.select("row", "bands"), words, threshold)
+    found = near_links(docs, nodes.select("row", "bands", "signature"), words, threshold)
 
     named = same.join(found.select(F.col("node").alias("first"), "component"), "first", "left").select(
         "bag1", "bag2", F.coalesce("component", "first").alias("component"))
