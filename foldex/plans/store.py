@@ -174,8 +174,10 @@ class IndexStore:
         reason = F.coalesce("reject", F.when(self._late(head), "late"))
         found = rows.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
         usable = self._usable(rows, head).where("nth = 0").drop("nth", "index_name", "reject")
-        conflicts = sequence_conflicts(usable).join(usable.select(*CHANGE_COLUMNS).distinct(), "seq")
-        found = found.unionByName(conflicts.select(*CHANGE_COLUMNS, "reason"))
+        conflicts = sequence_conflicts(usable)
+        if not conflicts.isEmpty():
+            named = usable.select(*CHANGE_COLUMNS).join(conflicts, "seq").distinct()
+            found = found.unionByName(named.select(*CHANGE_COLUMNS, "reason"))
         if self.policy.update == "merge":
             base = self.base_rows(head)
             events = usable.select(*CHANGE_COLUMNS)
