@@ -2,10 +2,10 @@
 
 Everything is column expressions. A regular expression gives its matches and, used to split the text,
 the gaps between them, so match positions are running sums of lengths. Candidate strings beyond the
-known forms are scored per character class: a window slides along the string, counts of its
-characters are kept up by one character in and one out, and the window's Shannon entropy follows
-from a table of n log n. Windows above the class's threshold make the span, unless the string is on
-the allow-list.
+known forms are cut where a base span or an allow-listed part stands, and every segment that is left
+is scored per character class: a window slides along it, counts of its characters are kept up by one
+character in and one out, and the window's Shannon entropy follows from a table of n log n. Windows
+above the class's threshold make the span.
 """
 
 from __future__ import annotations
@@ -26,20 +26,22 @@ KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
-#: Bits per character above which a window counts, for strings of hexadecimal digits and for others.
-THRESHOLD = {"hex": 3.0, "mixed": 3.8}
-#: Strings that are no secrets though they look random: identifiers, placeholders, counting, words and numbers side by side.
+#: Parts in an alphabet that has neither two cases nor separators are segments of their own.
+PART = r"(?<![A-Za-z0-9])(?:[a-z0-9]{20,}+|[A-Z0-9]{20,}+|[0-9A-Fa-f]{20,}+)(?![A-Za-z0-9])"
+#: Bits per character above which a window counts: hexadecimal digits; letters of one case with digits; letters of one
+#: case; letters of both cases; both with digits beside letters; words and numbers side by side. Measured figures are in the README.
+THRESHOLD = {"hex": 3.0, "lower": 3.5, "upper": 3.5, "word": 3.9, "letters": 4.0, "mixed": 3.8, "joined": 4.05}
+#: What is no secret though it looks random: identifiers, and parts of strings with placeholders or counting.
 ALLOW = (
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    r"(?i)(?<![0-9a-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-z])",
     r"(?i)example|sample|placeholder|changeme|xxxx|0123456789|1234567890|abcdefgh",
-    r"^(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z]))",
 )
 
 
-def matches(pattern: str, keep: Column | None = None) -> Column:
+def matches(pattern: str, keep: Column | None = None, text: Column | str = "text") -> Column:
     """(start, end, match) of the text's matches; ``keep`` maps all matches to booleans, one each."""
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    gaps = F.split("text", pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
     flags = keep if keep is not None else F.transform(found, lambda x: F.lit(True))
     rows = F.arrays_zip(gaps.alias("gap"), found.alias("found"), flags.alias("keep"))
     empty = F.expr("cast(array() as array<struct<start: int, end: int, found: string>>)")
@@ -90,22 +92,50 @@ def hot_windows(found: Column, least: Column) -> Column:
     return F.get(scanned, F.lit(0))
 
 
-def entropy_spans(candidates: Column, allow: tuple[str, ...]) -> Column:
-    """(start, end, found) of the candidates' random parts."""
-    hexadecimal = lambda s: s.rlike(r"^[0-9A-Fa-f]+$")
-
-    def random_looking(c: Column) -> Column:
-        s = c["found"]
-        mixed = s.rlike("[0-9]") & (hexadecimal(s) & s.rlike("[A-Fa-f]") | s.rlike("[a-z]") & s.rlike("[A-Z]"))
-        for pattern in allow:
-            mixed = mixed & ~s.rlike(pattern)
-        return mixed
-
-    def scored(c: Column) -> Column:
-        least = F.when(hexadecimal(c["found"]), THRESHOLD["hex"]).otherwise(THRESHOLD["mixed"])
-        return F.struct(c["start"].alias("start"), hot_windows(c["found"], least).alias("hot"))
-
-    hot = F.filter(F.transform(F.filter(candidates, random_looking), scored), lambda c: c["hot"]["first"].isNotNull())
+def blanked(text: Column, pattern: str) -> Column:
+    """The text with blanks in place of what matches, as long as before."""
+    rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    parts = F.transform(rows, lambda r: F.concat(r["gap"], F.repeat(F.lit(" "), F.coalesce(F.char_length(r["found"]), F.lit(0)))))
+    return F.when(text.rlike(pattern), F.array_join(parts, "")).otherwise(text)
+
+
+def threshold(s: Column) -> Column:
+    """Bits that a window of the segment ``s`` must exceed, by its class; null for numbers."""
+    lower, upper, digit = s.rlike("[a-z]"), s.rlike("[A-Z]"), s.rlike("[0-9]")
+    plain = s.rlike("^[A-Za-z0-9]+$")
+    return (F.when(~lower & ~upper, F.lit(None).cast("double"))
+            .when(digit & s.rlike("^[0-9A-Fa-f]+$"), THRESHOLD["hex"])
+            .when(plain & digit & ~upper, THRESHOLD["lower"])
+            .when(plain & digit & ~lower, THRESHOLD["upper"])
+            .when(plain & ~(lower & upper), THRESHOLD["word"])
+            .when(lower & upper & ~digit, THRESHOLD["letters"])
+            .when(lower & upper & s.rlike("[A-Za-z][0-9]|[0-9][A-Za-z]"), THRESHOLD["mixed"])
+            .otherwise(THRESHOLD["joined"]))
+
+
+def entropy_spans(candidates: Column, base: Column, allow: tuple[str, ...]) -> Column:
+    """(start, end) of the candidates' random segments outside the ``base`` spans and allow-listed parts."""
+    def replaced(spans: Column, change) -> Column:
+        return F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), change(c).alias("found")))
+
+    def apart(c: Column) -> Column:
+        def step(s: Column, b: Column) -> Column:
+            first, last = F.greatest(b["start"], c["start"]), F.least(b["end"], c["end"])
+            return F.overlay(s, F.repeat(F.lit(" "), last - first), first - c["start"] + 1, last - first)
+        return F.aggregate(F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])), c["found"], step)
+
+    def segments(c: Column) -> Column:
+        own = matches(PART, text=c["found"])
+        rest = F.flatten(F.transform(F.array(blanked(c["found"], PART)), lambda s: matches(CANDIDATE, text=s)))
+        return F.transform(F.concat(own, rest), lambda s: F.struct((c["start"] + s["start"]).alias("start"), s["found"].alias("found")))
+
+    left = replaced(candidates, apart)
+    for pattern in allow:
+        part = rf"(?<![A-Za-z0-9+])[A-Za-z0-9+]*(?:{pattern})[A-Za-z0-9+]*"
+        left = replaced(left, lambda c, part=part: blanked(c["found"], part))
+    scored = F.transform(F.flatten(F.transform(left, segments)), lambda c: F.struct(
+        c["start"].alias("start"), hot_windows(c["found"], threshold(c["found"])).alias("hot")))
+    hot = F.filter(scored, lambda c: c["hot"]["first"].isNotNull())
     return F.transform(hot, lambda c: F.struct(
         (c["start"] + c["hot"]["first"]).alias("start"), (c["start"] + c["hot"]["last"]).alias("end")))
 
@@ -121,7 +151,8 @@ def scan_secrets(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, n_entropy, base_sha256, spans.
 
     Positions are code points, the end exclusive. The base kinds are always reported; random-looking
-    strings are added unless they overlap a base span or match ``allow``. Null text counts as empty: no
+    strings of at least WINDOW characters are added where they lie outside base spans and outside parts (between / _ = -)
+    that match ``allow``. Null text counts as empty: no
     spans, and the hash of an empty list. Repeated rows are scanned each; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -136,10 +167,9 @@ def scan_secrets(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     def kind(name: str) -> Column:
         return F.transform(name, lambda s: F.struct(
             s["start"].alias("start"), F.lit(KINDS.index(name)).alias("kind"), s["end"].alias("end")))
-    based = found.select("doc_id", "assign", "access", "hex", entropy_spans(F.col("candidates"), allow).alias("random"),
+    based = found.select("doc_id", "assign", "access", "hex", "candidates",
                          F.concat(kind("assign"), kind("access"), kind("hex")).alias("base"))
-    apart = F.filter("random", lambda r: ~F.exists("base", lambda b: (r["start"] < b["end"]) & (b["start"] < r["end"])))
-    spans = based.withColumn("entropy", apart)
+    spans = based.withColumn("entropy", entropy_spans(F.col("candidates"), F.col("base"), allow))
     count = lambda name: F.size(name).cast("bigint").alias(f"n_{name}")
     return spans.select(
         "doc_id", count("assign"), count("access"), count("hex"), count("entropy"),

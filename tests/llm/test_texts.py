@@ -316,6 +316,21 @@ def test_prose_and_identifiers_have_no_entropy_spans(documents):
     assert [r.n_entropy for r in secrets.scan_secrets(documents(rows)).collect()] == [0, 0, 0]
 
 
+def test_secrets_of_every_character_class(documents):
+    base36, base32, letters = "k3j9x7q2m8w4z6t1v5b0n", "MFRGG2LTMJQXEZ3KNVWW6Y7P", "qXvRmLpZtBwKcYhNsDfGjUaE"
+    mixed = "qX7vR2mLp9ZtB4wKc8YhN3"
+    rows = [
+        (1, f"key {base36} end", [(4, 25)]), (2, f"key {base32} end", [(4, 28)]), (3, f"key {letters} end", [(4, 28)]),
+        (4, f"see com/example/{mixed} here", [(15, 38)]), (5, f"see com/sample/{base36} here", [(15, 36)]),
+        (6, f"{mixed}/{'AKIA' + 'Q7' * 9}", [(0, 23)]), (7, f"{mixed}_{'0a1b2c3d' * 4}", [(0, 23)]),
+        (8, "aws_secret_token=abcdef123456", []), (9, "my-EXAMPLEqX7vR2mLp9ZtB4wKc8YhN3", []), (10, "12345678909876543210", []),
+        (11, f"a/123e4567-e89b-12d3-a456-426614174000/{mixed}", [(38, 61)]), (12, "some-words-and-numbers-like-2020-or-12-in-a-path", []),
+    ]
+    got = secrets.scan_secrets(documents([(i, t) for i, t, _ in rows])).collect()
+    found = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("entropy")] for r in got}
+    assert found == {i: want for i, _, want in rows}
+
+
 # --- languages ---------------------------------------------------------------------------------
 
 def test_languages_of_held_out_documents(spark, sf_dir):
