@@ -29,6 +29,8 @@ PENALTY = 4.0
 #: The model that is sent to tasks has FEATURES numbers for each of at most so many languages: 512 MB.
 MAX_LANGUAGES = 2048
 UNKNOWN = "und"
+#: A text that no language explains is so many standard deviations of labelled texts less likely than they are.
+DEVIATIONS = 12.0
 
 
 @cache
@@ -116,8 +118,8 @@ def mixtures(p: np.ndarray, n: np.ndarray, starts: np.ndarray, weights: np.ndarr
     return weights, np.add.reduceat(n * np.log(mixed), starts)
 
 
-def chosen(model: np.ndarray, documents: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[int, float]]]:
-    """Per document its languages with their proportions, the largest first."""
+def chosen(model: np.ndarray, documents: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[list[tuple[int, float]]], np.ndarray]:
+    """Per document its languages with their proportions, the largest first; and the log-likelihood of all of them together."""
     n = np.concatenate([c for _, c in documents]).astype(np.float32)
     starts = np.cumsum([0, *[len(f) for f, _ in documents[:-1]]])
     p = model[:, np.concatenate([f for f, _ in documents])]
@@ -127,6 +129,7 @@ def chosen(model: np.ndarray, documents: list[tuple[np.ndarray, np.ndarray]]) ->
     best = alone.argmax(axis=0)
     out = [[(int(b), 1.0)] for b in best]
     score, open_docs = alone.max(axis=0), np.arange(len(documents))
+    likelihood = score.copy()
     for k in range(2, len(model) + 1):
         # The documents that took the last language try the next one.
         parts = [np.arange(starts[d], starts[d] + len(documents[d][0])) for d in open_docs]
@@ -139,26 +142,31 @@ def chosen(model: np.ndarray, documents: list[tuple[np.ndarray, np.ndarray]]) ->
         better = fit - cost > score[open_docs]
         for j in np.flatnonzero(better):
             d = open_docs[j]
-            score[d] = fit[j] - cost[j]
+            score[d], likelihood[d] = fit[j] - cost[j], fit[j]
             out[d] = sorted(((int(top[i, j]), float(w[i, j])) for i in range(k)), key=lambda x: (-x[1], x[0]))
         open_docs = open_docs[better]
         if not len(open_docs):
             break
-    return out
+    return out, likelihood
 
 
-def identified(names: list[str], model: np.ndarray) -> Callable:
+def identified(names: list[str], model: np.ndarray, fit: bool = False) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Predictions; the text is left out, other columns stay."""
+        """Predictions; the text is left out, other columns stay. ``fit`` adds the number of features and the log-likelihood of one."""
         for batch in batches:
             langs: list[list[str]] = []
             shares: list[list[float]] = []
+            features: list[int] = []
+            fits: list[float | None] = []
 
             def flush(some: list[tuple[np.ndarray, np.ndarray]]) -> None:
                 known = [d for d in some if len(d[0])] if names else []
-                found = iter(chosen(model, known) if known else [])
+                found = zip(*chosen(model, known)) if known else iter(())
                 for d in some:
-                    mix = next(found) if names and len(d[0]) else []
+                    mix, likelihood = next(found) if names and len(d[0]) else ([], None)
+                    n = int(d[1].sum())
+                    features.append(n)
+                    fits.append(None if likelihood is None else float(likelihood) / n)
                     langs.append([names[i] for i, _ in mix])
                     shares.append([min(1.0, w) for _, w in mix])
 
@@ -176,7 +184,8 @@ def identified(names: list[str], model: np.ndarray) -> Callable:
                 pa.array([x[0] if x else UNKNOWN for x in langs], pa.string()),
                 pa.array([x[0] if x else 0.0 for x in shares], pa.float64()),
                 pa.array(langs, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64())),
-            ], [*rest, "lang_pred", "score", "langs", "shares"])
+                *([pa.array(features, pa.int64()), pa.array(fits, pa.float64())] if fit else []),
+            ], [*rest, "lang_pred", "score", "langs", "shares", *(["features", "fit"] if fit else [])])
     return run
 
 
@@ -193,13 +202,29 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(identified(names, model), kinds)
 
 
-def in_known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """The documents with a language that holds at least ``least`` of the text; ``und`` ones go."""
+def in_known_language(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
+    """The documents that their languages, one or many, explain; all documents if no language could be learned.
+
+    Texts without letters go, and those whose log-likelihood per feature, under the mixture of all their languages, lies more
+    than ``deviations`` standard deviations below the mean of the labelled texts. The variance is that of labelled
+    texts, and that of single features over the text's number of features, so short texts are judged with care.
+    """
     names, model = language_model(docs)
+    if not names:
+        return docs
+    mean = (model * np.log(model)).sum(axis=1)
+    single = float(((model * np.log(model) ** 2).sum(axis=1) - mean ** 2).max())
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     rows = docs.select(doc, "text")
     kinds = rows.select("doc").schema.add("lang_pred", "string").add("score", "double")
     for name, of in (("langs", T.StringType()), ("shares", T.DoubleType())):
         kinds = kinds.add(name, T.ArrayType(of))
-    found = rows.mapInArrow(identified(names, model), kinds)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
+    kinds = kinds.add("features", "long").add("fit", "double")
+    labels = docs.where(F.col("lang").isNotNull()).select("text").mapInArrow(
+        identified(names, model, fit=True), T.StructType(kinds.fields[1:]))
+    usual = labels.agg(F.avg("fit").alias("mean"), F.var_pop("fit").alias("var")).first()
+    found = rows.mapInArrow(identified(names, model, fit=True), kinds)
+    if usual["mean"] is None:
+        return docs
+    least = usual["mean"] - deviations * F.sqrt(usual["var"] + single / F.col("features"))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("fit") >= least)).select("doc.*")

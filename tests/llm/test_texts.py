@@ -366,3 +366,22 @@ def test_language_stage_keeps_columns(documents, hard_texts):
     docs = table(documents, hard_texts)
     out = languages.in_known_language(docs)
     assert out.dtypes == docs.dtypes and out.count() == sum(any(c.isalpha() for c in t or "") for _, t in hard_texts)
+
+
+def test_language_stage_keeps_clean_mixtures_and_drops_unknown_texts(spark, documents, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    langs = sorted({d.lang for d in docs if d.lang})
+    parts = [" ".join(d.text for d in docs if d.lang == x)[-2000:] for x in langs]
+    rng = np.random.default_rng(4)
+    foreign = " ".join("".join(map(chr, rng.integers(0x3B1, 0x3C9, 6))) for _ in range(300))
+    rows = [(d.doc_id, d.text, d.lang, d.source) for d in docs]
+    rows += [(10_000, " ".join(parts), None, "x"), (10_001, foreign, None, "x"), (10_002, "2020 - 12", None, "x")]
+    assert len(langs) >= 3
+    kept = {r.doc_id for r in languages.in_known_language(documents(rows)).collect()}
+    assert kept & {10_000, 10_001, 10_002} == {10_000}
+    assert kept >= {d.doc_id for d in docs if sum(c.isalpha() for c in d.text or "") > 0.6 * len(d.text or "")}
+
+
+def test_language_stage_passes_everything_when_nothing_is_learned(documents):
+    unlabelled = documents([(1, "some words", None, "a"), (2, None, None, "a"), (5, "held out", "en", "a")])
+    assert languages.in_known_language(unlabelled).count() == 3
