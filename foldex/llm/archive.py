@@ -30,6 +30,8 @@ FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+#: Bounds of an archive before compression: its bytes, unless one record alone has more, and its records.
+BYTES_PER_FILE = 128 << 20
 RECORDS_PER_FILE = 5_000
 
 
@@ -216,11 +218,20 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
     own = F.col("page_id") == F.col("refers_to")
     linked = linked.select("page_id", "url", "html", *[
         F.when(F.coalesce(own, F.lit(False)), None).otherwise(F.col(c)).alias(c) for c in ("refers_to", "refers_url")])
+    # Pages are written by classes of size, each twice the last one's, so that a number of records bounds the bytes.
+    least, longest = BYTES_PER_FILE // RECORDS_PER_FILE, F.octet_length("html") + 4 * F.coalesce(F.octet_length("url"), F.lit(0)) + 1024
+    kind = F.greatest(F.ceil(F.log2(longest / least)), F.lit(0)).cast("int")
+    kinds = sorted(r[0] for r in rows.select(kind.alias("kind")).distinct().collect()) or [0]
+    for k in kinds:
+        write_records(linked.where(kind == k) if len(kinds) > 1 else linked, path, max(1, RECORDS_PER_FILE >> k))
+
+
+def write_records(linked: DataFrame, path: str, records_per_file: int) -> None:
     # A record ends with two line ends: the second is the writer's.
     records = linked.mapInArrow(converted, "record binary").select(
         F.substring("record", 1, F.octet_length("record") - 2).cast("string").alias("value"))
-    records.write.option("lineSep", "\r\n").option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    records.write.mode("append").option("lineSep", "\r\n").option("compression", "gzip").option(
+        "maxRecordsPerFile", records_per_file).text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:

@@ -317,3 +317,16 @@ def test_pipeline_of_hard_texts(spark, documents, hard_texts):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, ""), "test-empty")
     assert docs.count() == 0
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    import gzip
+    monkeypatch.setattr(archive, "BYTES_PER_FILE", 1_000_000)
+    monkeypatch.setattr(archive, "RECORDS_PER_FILE", 100)
+    rows = [(i, f"http://h/{i}", f"{i} " * (50 if i % 3 else 30_000)) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    archive.write_warc(pages, str(tmp_path / "warc"))
+    sizes = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "warc").glob("part-*")]
+    assert max(sizes) <= 1_000_000
+    got = {r.page_id: r.payload_bytes for r in archive.read_warc(spark, str(tmp_path / "warc")).collect()}
+    assert got == {i: len(h) for i, _, h in rows}
