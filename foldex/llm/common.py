@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +49,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             total += n or 0
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def words_in(texts: list[bytes], table: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts, and for each the number of line ends before it.
+
+    ``table`` maps every byte to a byte of a word, a space or a line end; a line end is put between texts. Arrays do
+    the work, so the cost per word is that of its bytes.
+    """
+    data = np.frombuffer(b"\n".join(texts).translate(table), np.uint8)
+    word = (data != 10) & (data != 32)
+    start = word.copy()
+    start[1:] &= ~word[:-1]
+    at = np.flatnonzero(start)
+    inside = np.cumsum(word, dtype=np.int32)
+    edges = np.append(inside[at] - 1, inside[-1] if len(inside) else 0).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data[word]))])
+    return words, np.cumsum(data == 10, dtype=np.int32)[at]
+
+
+def byte_table(words: bytes, breaks: bytes = b"") -> bytes:
+    """A table for ``words_in``: these bytes make words (A to Z in lower case), ``breaks`` end lines, all others are spaces."""
+    return bytes(10 if b in breaks else bytes([b]).lower()[0] if b in words else 32 for b in range(256))

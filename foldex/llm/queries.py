@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldex.llm import archive, exact_dedup, languages, line_dedup, mixing, near_dedup, neighbours, packing, scoring, secrets
+from foldex.llm import (
+    archive,
+    exact_dedup,
+    languages,
+    line_dedup,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    phrases,
+    scoring,
+    secrets,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,8 +73,12 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_scoring, op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op8_neighbours, op9_packing,
-        op10_languages)
+        op10_languages, op11_phrases)
 }

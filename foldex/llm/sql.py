@@ -80,9 +80,45 @@ select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partitio
 from bodies window best as (partition by body order by points desc, doc_id)
 """
 
+PHRASES = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+    select lang, sum(len(w)) as n from words group by lang
+), counts as (
+    select lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') as phrase, count(*) as f
+    from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from words, (select unnest([1, 2, 3, 4]) as size))
+    group by all having count(*) >= 30
+), candidates as (
+    select lang, phrase, size, string_split(phrase, ' ') as w, f as a from counts where size > 1
+), kept as (
+    select * from candidates c where not exists (
+        select 1 from candidates o where o.lang = c.lang and o.size > c.size
+        and contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ') and 100 * o.a >= 80 * c.a)
+), cuts as (
+    select lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') as head, array_to_string(list_slice(w, k + 1, size), ' ') as tail
+    from (select *, unnest(range(1, size)) as k from kept)
+), scored as (
+    select c.lang, c.phrase, c.a, c.k, h.f as l, t.f as r, cast((2000000::hugeint * c.a) // (h.f + t.f) as bigint) as score
+    from cuts c join counts h on h.lang = c.lang and h.phrase = c.head join counts t on t.lang = c.lang and t.phrase = c.tail
+), best as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+)
+select b.lang, row_number() over (partition by b.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+       cast(n as bigint) as n, score
+from best b join totals t on b.lang = t.lang
+qualify row_number() over (partition by b.lang order by score desc, a desc, phrase) <= 2000
+"""
+
 ORACLE_SQL = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_source_mixing": MIXING,
     "op6_warc": WARC,
     "op7_exact_dedup": EXACT_DEDUP,
+    "op11_phrases": PHRASES,
 }
