@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a piece holds about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + (n or 0) > limit:
@@ -69,5 +70,5 @@ def words_in(texts: list[bytes], table: bytes) -> tuple[pa.Array, np.ndarray]:
 
 
 def byte_table(words: bytes, breaks: bytes = b"") -> bytes:
-    """A table for ``words_in``: these bytes make words (A to Z in lower case), ``breaks`` end lines, all others are spaces."""
-    return bytes(10 if b in breaks else bytes([b]).lower()[0] if b in words else 32 for b in range(256))
+    """A table for ``words_in``: these bytes make words (A to Z in lower case), ``breaks`` and U+000A end lines, all others are spaces."""
+    return bytes(10 if b == 10 or b in breaks else bytes([b]).lower()[0] if b in words else 32 for b in range(256))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foldex.llm import (
     archive,
+    chat,
+    divergence,
     exact_dedup,
     languages,
     line_dedup,
@@ -31,6 +33,16 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer() -> str:
+    """Where the installed byte-level tokenizer is."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+#: Fixed value: what both turns of the added conversation say.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
 def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_texts(table(spark, sf_dir, "documents"))
 
@@ -77,8 +89,17 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_conversation(table(spark, sf_dir, "conversations"), -7, [("user", TRICKY), ("assistant", TRICKY)])
+    return chat.read_back(chat.format_conversations(turns, byte_tokenizer()))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_scoring, op2_line_dedup, op3_source_mixing, op4_near_dedup, op5_secrets, op6_warc, op7_exact_dedup, op8_neighbours, op9_packing,
-        op10_languages, op11_phrases)
+        op10_languages, op11_phrases, op12_chat, op13_divergence)
 }

@@ -115,10 +115,66 @@ from best b join totals t on b.lang = t.lang
 qualify row_number() over (partition by b.lang order by score desc, a desc, phrase) <= 2000
 """
 
+CHAT = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+    union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(3 * length('<|endoftext|>') + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
+                + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) as bigint) as formatted_chars
+from turns group by conv_id
+"""
+
+DIVERGENCE = r"""
+with texts as (
+    select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+    from documents
+), words as (
+    select lang, source, d, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from texts
+), kept as (
+    select lang, term, count(*) as total from words group by all having count(distinct d) >= 3
+), counts as (
+    select w.lang, w.source, w.term, count(*) as n from words w join kept k on w.lang = k.lang and w.term = k.term group by all
+), sizes as (
+    select lang, count(*) as v, sum(total) as n from kept group by lang
+), groups as (
+    select g.lang, g.source, coalesce(s.v, 0) as v, coalesce(c.n, 0) as n, coalesce(s.n, 0) as lang_n
+    from (select distinct lang, source from texts) g left join sizes s on s.lang = g.lang
+    left join (select lang, source, sum(n) as n from counts group by all) c on c.lang = g.lang and c.source = g.source
+), ps as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as own,
+           1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.n + g.v) as p,
+           1 + (1000000000::hugeint * (k.total + 1)) // (g.lang_n + g.v) as q
+    from groups g join kept k on k.lang = g.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), pairs as (
+    select a.lang, a.source, b.source as item, cast(coalesce(s.value, 0) as bigint) as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join (select x.lang, x.source, y.source as item, sum((x.p - y.p) * (x.p - y.p) // y.p) as value
+               from ps x join ps y on x.lang = y.lang and x.term = y.term group by all) s
+    on s.lang = a.lang and s.source = a.source and s.item = b.source
+), terms as (
+    select lang, source, term as item, cast((p - q) * (p - q) // q as bigint) as value from ps where own > 0 and p > q
+), parts as (
+    select lang, source, 'pair' as part, item, value from pairs
+    union all select lang, source, 'term', item, value from terms
+)
+select lang, source, part, item, value, cast(row_number() over w as int) as rank from parts
+window w as (partition by lang, source, part order by value desc, item)
+qualify part = 'pair' or row_number() over w <= 200
+"""
+
 ORACLE_SQL = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_source_mixing": MIXING,
     "op6_warc": WARC,
     "op7_exact_dedup": EXACT_DEDUP,
     "op11_phrases": PHRASES,
+    "op12_chat": CHAT,
+    "op13_divergence": DIVERGENCE,
 }
