@@ -58,14 +58,15 @@ def parse_arc(data: bytes) -> Iterator[dict]:
     The field names are those the file declares, or else its version's. Raises ValueError for a line
     that does not fit them and for contents shorter than declared.
     """
-    names, at = FIELDS[1].split(" "), 0
+    names, at, begun = FIELDS[1].split(" "), 0, False
     while at < len(data):
         if data[at] in b"\r\n":
             at += 1
             continue
         end = data.find(b"\n", at)
         values = data[at:end if end >= 0 else len(data)].rstrip(b"\r").decode("utf-8", "replace").split(" ")
-        first = values[0].startswith("filedesc:")
+        # Only the first record heads a file: any other may have such a name.
+        first, begun = not begun and values[0].startswith("filedesc:"), True
         own = next((f.split(" ") for f in FIELDS.values() if len(f.split(" ")) == len(values)), None) if first else names
         if own is None or len(values) != len(own) or not values[-1].isdigit() or end < 0:
             raise ValueError(f"not an ARC header at byte {at}")
@@ -167,7 +168,7 @@ def converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             records = [(r["url"], page_date(r["page_id"]), "text/html", http_response(h or b""))
                        for r, h in zip(rows, utf8(batch.column("html")))]
             out = []
-            for row, arc in zip(rows, parse_arc(arc_file(records, 1 + (n + start // 256) % 2))):
+            for row, arc in zip(rows, parse_arc(arc_file(records, 1 + (n + start // 256) % 2)), strict=True):
                 extra = {"X-Page-ID": str(row["page_id"])} if row["page_id"] is not None else {}
                 target = None
                 if row["refers_to"] is not None:

@@ -90,12 +90,14 @@ def mixed_sources(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     of it still fits, so a source misses its target by half a document at most.
     """
     carried = F.struct(*[F.col(f"`{c}`") for c in carry or []] or [F.lit(0).alias("none")]).alias("doc")
-    narrow = docs.select(carried, F.col("doc_id").cast("bigint"), F.col("source").cast("string"), "text")
+    # Rows of one doc_id that tie otherwise go by their texts, so that reruns agree.
+    narrow = docs.select(carried, F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.xxhash64("text").alias("mark"), "text")
     kinds = narrow.drop("text").schema.add("size", "long").add("n_bytes", "long").add("n_letters", "long")
     sizes = narrow.mapInArrow(measured, kinds)
     key = -F.log(draw()) / quality()
-    ranged = sizes.select("doc", "doc_id", "source", "size", key.alias("key")).repartitionByRange("source", "key", "doc_id")
-    ranged = ranged.sortWithinPartitions("source", "key", "doc_id").withColumn("part", F.spark_partition_id()).drop("key")
+    order = ["source", "key", "doc_id", "size", "mark"]
+    ranged = sizes.select("doc", "doc_id", "source", "size", key.alias("key"), "mark").repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).drop("key", "mark")
     sizes = written(ranged.mapInArrow(running, ranged.limit(0).schema.add("run", "long")), "mix")
 
     # One row per partition and source, and one more per further source of a partition.

@@ -14,6 +14,7 @@ wide windows, clustered ones narrow windows. Equal vectors are one node with its
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,8 @@ PROJECTED, BITS = 4, 12
 #: A curve has so many blocks, or more where a block would hold more vectors than MAX_BLOCK.
 BLOCKS = 16
 MAX_BLOCK = 65_536
+#: Vectors of a block at least: windows over fewer would save nothing.
+LEAST_BLOCK = 128
 #: Vectors from which projections are scaled, and queries from which the window is.
 SCALE_SAMPLE = 4096
 QUERY_SAMPLE = 256
@@ -184,21 +187,25 @@ def ranked(found: DataFrame, top: int) -> DataFrame:
     return pairs.withColumn("place", F.row_number().over(at)).where(F.col("place") <= top).drop("place")
 
 
-def distinct_vectors(embeddings: DataFrame, top: int, every: int) -> tuple[DataFrame, DataFrame]:
-    """Nodes (node, vec, ids: the smallest, ask: whether a query has this vector) and queries (query_id, node)."""
+def usable_rows(embeddings: DataFrame) -> DataFrame:
+    """(row, vec_id, vec, dims, norm) of the rows that take part; ``row`` numbers them in the order of vec_id."""
     rows = embeddings.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>").alias("vector"))
     rows = rows.where("vec_id is not null").mapInArrow(usable, "vec_id long, vec binary, dims int, norm double")
-    rows = written(rows.groupBy("vec_id").agg(F.min(F.struct("vec", "dims", "norm")).alias("v")).select("vec_id", "v.*"), "vectors")
-    usual = rows.groupBy("dims").count().orderBy(F.col("count").desc(), "dims").first()
-    rows = rows.where(F.col("dims") == (usual.dims if usual else 0))
-    smallest = rows.withColumn("nth", F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))).where(F.col("nth") <= top)
-    heads = smallest.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.max("norm").alias("norm"))
+    ordered = rows.repartitionByRange("vec_id", "vec").sortWithinPartitions("vec_id", "vec")
+    return written(ordered.withColumn("row", F.monotonically_increasing_id()), "vectors")
+
+
+def distinct_vectors(rows: DataFrame, top: int, every: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes (node, vec, ids: the first rows, ask: whether a query has this vector) and queries (query, query_id, node)."""
+    smallest = rows.withColumn("nth", F.row_number().over(W.partitionBy("vec").orderBy("row"))).where(F.col("nth") <= top)
+    heads = smallest.groupBy("vec").agg(F.array_sort(F.collect_list(F.struct("row", "vec_id"))).alias("ids"), F.max("norm").alias("norm"))
     asked = rows.where(F.col("vec_id") % every == 0)
     asking = asked.select("vec").distinct().withColumn("asked", F.lit(True))
     nodes = written(heads.join(asking, "vec", "left").select(
-        F.col("ids")[0].alias("node"), "vec", "norm", "ids", F.coalesce("asked", F.lit(False)).alias("ask")), "nodes")
+        F.col("ids")[0]["row"].alias("node"), "vec", "norm", "ids", F.coalesce("asked", F.lit(False)).alias("ask")), "nodes")
     names = written(nodes.where("ask").select("vec", "node"), "asked-nodes")
-    return nodes, written(asked.select(F.col("vec_id").alias("query_id"), "vec").join(names, "vec").select("query_id", "node"), "queries")
+    queries = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "vec")
+    return nodes, written(queries.join(names, "vec").select("query", "query_id", "node"), "queries")
 
 
 def make_curves(nodes: DataFrame, longest: float, seed: int = 17) -> list[Curve]:
@@ -256,14 +263,20 @@ def nearest(embeddings: DataFrame, top: int = 20, every: int = 20, target: float
 
     Nearness is the inner product in double precision, ties go to the smaller vec_id, a row is not its own neighbour.
     Vectors that are null, empty, zero, or hold a null or a non-finite number take no part, nor do rows without
-    vec_id, nor vectors of another length than most. Of rows sharing a vec_id one counts, the smallest by its
-    bytes. An empty table gives no rows.
+    vec_id. Vectors of each length are searched by themselves, one length after another. Rows that share a vec_id are
+    queries and candidates each. An empty table gives no rows.
     """
-    nodes, queries = distinct_vectors(embeddings, top + 1, every)
+    rows = usable_rows(embeddings)
+    lengths = sorted(r.dims for r in rows.select("dims").distinct().collect())  # at most one row per length
+    if not lengths:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.col("norm").alias("score"))
+    return reduce(DataFrame.unionByName, [nearest_of_length(rows.where(F.col("dims") == n), top, every, target) for n in lengths])
+
+
+def nearest_of_length(rows: DataFrame, top: int, every: int, target: float) -> DataFrame:
+    nodes, queries = distinct_vectors(rows, top + 1, every)
     longest, total = nodes.agg(F.max("norm"), F.count(F.lit(1))).first()
-    if not total:
-        return queries.select(F.col("query_id"), F.lit(0).alias("rank"), F.col("node").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
-    size = min(MAX_BLOCK, -(-total // BLOCKS))
+    size = min(MAX_BLOCK, max(LEAST_BLOCK, -(-total // BLOCKS)))
     last = (total - 1) // size
     places = positions(nodes, make_curves(nodes, longest), longest, size, last)
     width = window_width(nodes, places, top, target)
@@ -283,13 +296,13 @@ def nearest(embeddings: DataFrame, top: int = 20, every: int = 20, target: float
     found = windows.groupBy("on", "in", "part").cogroup(blocks.groupBy("curve", "block", "copy")).applyInArrow(
         searched(top + 1), "query long, node long, score double")
 
-    # Each query's nodes spread to their smallest ids, its own left out.
+    # Each query's nodes spread to their first rows, its own left out.
     near = written(ranked(found, top + 1), "near")
-    ids = near.join(nodes.select("node", "ids"), "node").select(F.col("query").alias("asker"), "score", F.explode("ids").alias("vec_id"))
-    at = W.partitionBy("asker").orderBy(F.col("score").desc(), "vec_id")
+    ids = near.join(nodes.select("node", "ids"), "node").select(F.col("query").alias("asker"), "score", F.inline("ids"))
+    at = W.partitionBy("asker").orderBy(F.col("score").desc(), "row")
     lists = ids.withColumn("nth", F.row_number().over(at)).where(F.col("nth") <= top + 1).groupBy("asker").agg(
-        F.array_sort(F.collect_list(F.struct("nth", "vec_id", "score"))).alias("list"))
+        F.array_sort(F.collect_list(F.struct("nth", "row", "vec_id", "score"))).alias("list"))
     mine = queries.join(written(lists, "lists"), F.col("node") == F.col("asker"))
-    others = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, top)
+    others = F.slice(F.filter("list", lambda x: x["row"] != F.col("query")), 1, top)
     return mine.select("query_id", F.posexplode(others).alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).alias("rank"), "hit.vec_id", "hit.score")

@@ -12,6 +12,7 @@ sequence each, one in some thousands.
 from __future__ import annotations
 
 import bisect
+import itertools
 import os
 import zlib
 from collections import Counter, defaultdict
@@ -22,16 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldex.llm.common import utf8, written
+from foldex.llm.common import slices, utf8, words_in, written
 
 CAPACITY = 2048
-#: Short pieces to a group, and nodes of the search of a group.
+#: Short pieces to a group, fillings that the search of a group looks at (its first descent always ends), and those looked
+#: at for a sequence before the fullest is tried.
 GROUP = 8192
-NODES = 6_000
-#: Words whose ids a task keeps.
+NODES = 200_000
+LOOK = 300
+#: Words whose ids a task keeps, and bytes of text worked on at once.
 CACHE = 1_000_000
+TEXT = 4 << 20
 MARKS = (b".", b",", b";", b":", b"!", b"?")
-END = (0).to_bytes(4, "little")
 
 
 # --- search ------------------------------------------------------------------------------------
@@ -79,52 +82,70 @@ class Sizes:
         self.total += size
 
 
-def completions(sizes: Sizes, room: int, width: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` with up to three pieces, the fullest first, ``width`` at most.
+def dominated(filling: list[int], slack: int, free: Callable[[int], int]) -> bool:
+    """Whether one piece that is not in the filling could stand for one or two of its pieces and hold more."""
+    if not slack:
+        return False
+    for i, x in enumerate(filling):
+        if free(x + slack) > x:
+            return True
+        if any(free(x + y + slack) > x + y for y in filling[i + 1:i + 2]):
+            return True
+    return False
 
-    A filling that one larger piece could replace is dominated. So one piece that fills the room is the
-    only answer; more pieces must hold more than the largest single one, and so on.
+
+def fillings(sizes: Sizes, room: int) -> Iterator[tuple[int, ...] | None]:
+    """Ways to fill ``room`` with any number of pieces, depth first, larger pieces first; None for a dominated one.
+
+    ``sizes`` may change while the iterator rests, if it is as before when the iterator goes on.
     """
-    one = sizes.largest(room)
-    if not one:
-        return [()]
-    if one == room:
-        return [(one,)]
-    found: dict[int, tuple[int, ...]] = {one: (one,)}
-    most = one
-
-    def pairs(limit: int, first: int) -> Iterator[tuple[int, int]]:
-        x = sizes.largest(min(limit, first))
-        while x:
-            if 2 * x < limit and x * 2 <= most - (room - limit):
-                return
-            sizes.take(x)
-            y = sizes.largest(min(limit - x, x))
-            sizes.give(x)
-            if y:
-                yield x, y
-            x = sizes.largest(x - 1)
-
-    for pair in pairs(room, room):
-        if sum(pair) > one:
-            found.setdefault(sum(pair), pair)
-            most = max(most, sum(pair))
-            if most == room:
+    used: list[int] = []
+    taken: Counter = Counter()
+    left = limit = room
+
+    def free(most: int) -> int:
+        size = sizes.largest(most)
+        while size and taken[size] >= sizes.counts[size]:
+            size = sizes.largest(size - 1)
+        return size
+
+    while True:
+        while size := free(min(left, limit)):
+            used.append(size)
+            taken[size] += 1
+            left, limit = left - size, size
+        yield None if dominated(used, left, free) else tuple(used)
+        while used:
+            size = used.pop()
+            taken[size] -= 1
+            left, limit = left + size, size - 1
+            if free(limit):
                 break
-    if most < room:
-        z, tries = sizes.largest(room), 0
-        while z and most < room and tries < 64:
-            tries += 1
-            sizes.take(z)
-            for pair in pairs(room - z, z):
-                if z + sum(pair) > most:
-                    most = z + sum(pair)
-                    found.setdefault(most, (z, *pair))
-                if most == room:
-                    break
-            sizes.give(z)
-            z = sizes.largest(z - 1)
-    return [found[s] for s in sorted(found, reverse=True)[:width]]
+        else:
+            return
+
+
+def completions(sizes: Sizes, room: int, spent: list[int]) -> Iterator[tuple[int, ...]]:
+    """The undominated fillings of ``room``: the fullest of the first ``LOOK`` ones first, the others as they come."""
+    if sizes.largest(room) == room:
+        spent[0] += 1
+        return iter([(room,)])  # one piece that fills the room dominates every other filling
+    every = fillings(sizes, room)
+
+    def counted() -> Iterator[tuple[int, ...]]:
+        for filling in every:
+            spent[0] += 1
+            if filling is not None:
+                yield filling
+
+    found = []
+    for filling in itertools.islice(every, LOOK):
+        spent[0] += 1
+        if filling is not None:
+            found.append(filling)
+            if sum(filling) == room:
+                break
+    return itertools.chain(sorted(found, key=sum, reverse=True), counted())
 
 
 def lower_bound(sizes: Counter, capacity: int) -> int:
@@ -149,31 +170,34 @@ def bin_completion(sizes: Counter, capacity: int, nodes: int = NODES) -> list[li
     left = Sizes(sizes)
     bins: list[list[int]] = []
     #: For every open bin the fillings that are still to be tried.
-    choices: list[list[tuple[int, ...]]] = []
-    visited = 0
+    choices: list[Iterator[tuple[int, ...]]] = []
+    spent, first_pass = [0], True
     while len(best) > least:
         if left.total and len(bins) + -(-left.total // capacity) < len(best):
             first = left.largest(capacity)
             left.take(first)
             bins.append([first])
-            choices.append(completions(left, capacity - first)[::-1])
+            choices.append(completions(left, capacity - first, spent))
         else:
+            first_pass = False
             if not left.total and len(bins) < len(best):
                 best = [list(b) for b in bins]
                 continue
-            while bins and not choices[-1]:
-                choices.pop()
-                for size in bins.pop():
-                    left.give(size)
-            if not bins:
-                break
             for size in bins[-1][1:]:
                 left.give(size)
             del bins[-1][1:]
-        visited += 1
-        if visited > max(nodes, 2 * len(best)):
+        if spent[0] > nodes and not first_pass:
+            break
+        while bins and (filling := next(choices[-1], None)) is None:
+            choices.pop()
+            left.give(bins.pop()[0])
+            if bins:
+                for size in bins[-1][1:]:
+                    left.give(size)
+                del bins[-1][1:]
+        if not bins:
             break
-        for size in choices[-1].pop():
+        for size in filling:
             left.take(size)
             bins[-1].append(size)
     return best
@@ -181,51 +205,86 @@ def bin_completion(sizes: Counter, capacity: int, nodes: int = NODES) -> list[li
 
 # --- tokens ------------------------------------------------------------------------------------
 
-class WordIds(dict):
-    """The ids of words as bytes. The tokenizer drops white space, so words can be encoded one by one."""
+#: All bytes are parts of words but the space and the line end.
+AS_IS = bytes(range(256))
+
+
+def lowered(text: bytes) -> bytes:
+    """A to Z lower-cased where that comes to the same before and after normalising: not before a character beyond ASCII,
+    which may be a mark that makes another letter of both."""
+    data = np.frombuffer(text, np.uint8)
+    after = np.append(data[1:], np.uint8(0))
+    return (data + 32 * ((data >= 65) & (data <= 90) & (after < 128)).astype(np.uint8)).tobytes()
+
+
+class WordIds:
+    """The ids of words. The tokenizer drops white space, so words can be encoded one by one; each is encoded once.
+
+    ``flat`` holds the ids of all known words, ``starts`` and ``lengths`` tell where a word's are. Place 0 is the end of a
+    document, an id of 0.
+    """
 
     def __init__(self, path: str):
-        super().__init__({b"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.clear()
 
-    def _encode(self, words: list[bytes]) -> None:
+    def clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.flat, self.starts, self.lengths = np.zeros(1, "<u4"), np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def _encode(self, words: list[bytes], found: dict[bytes, bytes]) -> None:
         for start in range(0, len(words), 10_000):
             some = words[start:start + 10_000]
             encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded))
+            found.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded))
 
-    def _encode_letters(self, words: list[bytes]) -> None:
+    def _encode_letters(self, words: list[bytes], found: dict[bytes, bytes]) -> None:
         """Words of letters are one piece of a text each, so a text of many is encoded at once and cut by pieces."""
         encoded = self.tokenizer.encode(b" ".join(words).decode("utf-8", "replace"), add_special_tokens=False)
         cuts = np.flatnonzero(np.diff(np.array(encoded.word_ids))) + 1
         if len(cuts) + 1 == len(words):
             ids, edges = np.array(encoded.ids, "<u4").tobytes(), [0, *(4 * cuts).tolist(), 4 * len(encoded.ids)]
-            self.update((w, ids[edges[k]:edges[k + 1]]) for k, w in enumerate(words))
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """For each text its ids, 4 bytes each."""
-        split = []
-        for text in texts:
-            # Lower-casing A to Z beforehand makes fewer words; special tokens are left as they stand.
-            words = (text if b"<|" in text else text.lower()).replace(b"\n", b" ").split(b" ")
-            split.append(words)
-        found = [list(map(self.get, words)) for words in split]
-        new = {w for words, ids in zip(split, found) if None in ids for w, x in zip(words, ids) if x is None}
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            self[b""] = b""
+            found.update((w, ids[edges[k]:edges[k + 1]]) for k, w in enumerate(words))
+
+    def learn(self, new: list[bytes]) -> None:
+        found: dict[bytes, bytes] = {}
         # A mark after letters is a token of its own, so only the letters before it are left to encode.
         marked = {w: w[:-1] for w in new if w[-1:] in MARKS and w[:-1].isalpha()}
-        plain = {w for w in (*MARKS, *(marked.get(w, w) for w in new)) if w not in self}
+        plain = list(dict.fromkeys([*MARKS, *(marked.get(w, w) for w in new)]))
         letters = [w for w in plain if (w.isascii() or w.decode("utf-8", "replace").isalpha()) and (w.isalpha() or not w.isascii())]
         for start in range(0, len(letters), 2_000):
-            self._encode_letters(letters[start:start + 2_000])
-        self._encode([w for w in plain if w not in self])
-        self.update((w, self[stem] + self[w[-1:]]) for w, stem in marked.items())
-        return [b"".join(self[w] if x is None else x for w, x in zip(words, ids)) if None in ids else b"".join(ids)
-                for words, ids in zip(split, found)]
+            self._encode_letters(letters[start:start + 2_000], found)
+        self._encode([w for w in plain if w not in found], found)
+        found.update((w, found[stem] + found[w[-1:]]) for w, stem in marked.items())
+        ids = [found[w] for w in new]
+        lengths = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+        self.places.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), "<u4"))
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with a 0 behind, and where each ends."""
+        whole = b"\n".join(t.replace(b"\n", b" ") for t in texts)
+        # Lower-casing beforehand makes fewer words; special tokens are left as they stand.
+        words, text = words_in([whole if b"<|" in whole else lowered(whole)], AS_IS)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.places]
+        if len(self.places) + len(new) > CACHE:
+            self.clear()
+            new = distinct
+        if new:
+            self.learn(new)
+        own = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        order = np.argsort(np.concatenate([text, np.arange(len(texts))]), kind="stable")
+        at = np.concatenate([own[coded.indices.to_numpy()], np.zeros(len(texts), np.int64)])[order]
+        lengths = self.lengths[at]
+        after = np.cumsum(lengths)
+        ids = self.flat[np.repeat(self.starts[at] - after + lengths, lengths) + np.arange(after[-1])]
+        return ids, after[order >= len(text)]
 
 
 #: A worker's word ids, by tokenizer file.
@@ -238,26 +297,25 @@ def piece_rows(path: str, capacity: int, keep_ids: bool) -> Callable:
         if path not in LOADED:
             LOADED[path] = WordIds(path)
         words = LOADED[path]
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                at, number, ids = [], [], []
-                for i, data in enumerate(words.of([t or b"" for t in utf8(batch.column("text"))])):
-                    data += END
-                    for k, begin in enumerate(range(0, len(data), 4 * capacity)):
-                        at.append(i)
-                        number.append(k)
-                        ids.append(data[begin:begin + 4 * capacity])
-                numbers = pa.array(number, pa.int32())
-                columns = {
-                    "doc_id": batch.column("doc_id").take(pa.array(at, pa.int64())), "piece": numbers,
-                    "start": pa.compute.multiply(numbers.cast(pa.int64()), capacity),
-                    "length": pa.array([len(b) // 4 for b in ids], pa.int64()),
-                    "ids_crc32": pa.array(map(zlib.crc32, ids), pa.int64()),
-                }
-                if keep_ids:
-                    columns["ids"] = pa.array(ids, pa.binary())
-                yield pa.RecordBatch.from_pydict(columns)
+        for batch in slices(batches, "text", TEXT):
+            texts = [t or b"" for t in utf8(batch.column("text"))]
+            ids, ends = words.of(texts)
+            starts = np.append(0, ends[:-1])
+            pieces = -(-(ends - starts) // capacity)
+            at = np.repeat(np.arange(len(texts)), pieces)
+            number = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            begin = starts[at] + number * capacity
+            end = np.minimum(begin + capacity, ends[at])
+            data = memoryview(ids).cast("B")
+            parts = [data[4 * i:4 * k] for i, k in zip(begin.tolist(), end.tolist())]
+            columns = {
+                "doc_id": batch.column("doc_id").take(pa.array(at)), "piece": pa.array(number, pa.int32()),
+                "start": pa.array(number * capacity, pa.int64()), "length": pa.array(end - begin, pa.int64()),
+                "ids_crc32": pa.array(map(zlib.crc32, parts), pa.int64()),
+            }
+            if keep_ids:
+                columns["ids"] = pa.array([bytes(p) for p in parts], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
     return run
 
 

@@ -34,7 +34,7 @@ PIECE_END = re.compile(rb"[.,;:!?\n-\r]")
 #: Bits of the array that tells frequent parts: 8 MiB, whatever the corpus.
 SLOTS = 1 << 26
 #: Phrases a task's trie holds, entries of a container before it bursts, word ids, and bytes of text worked on at once.
-ENTRIES = 1_000_000
+ENTRIES = 250_000
 BURST = 16_384
 IDS = 1 << 21
 TEXT = 4 << 20
@@ -254,7 +254,7 @@ def counted(docs: DataFrame, frequent, known: int, orders: tuple[int, ...], min_
     """(lang, phrase, n) of the phrases of these lengths that occur often enough, and the totals of languages."""
     found = docs.mapInArrow(runs(frequent, known, orders), "lang string, prefix string, phrase string, n long")
     # Dealt by prefix, a partition has whole subtrees; the sum needs no further shuffle.
-    summed = found.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
+    summed = found.withColumn("prefix", F.hash("prefix")).repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
     return written(summed.where((F.col("n") >= min_count) | (F.col("phrase") == "")).drop("prefix"), f"phrases-{orders[0]}")
 
 

@@ -114,6 +114,12 @@ def test_archives(spark):
     assert archive.archived(pages(spark, [])).collect() == []
 
 
+def test_pages_named_like_file_headers(spark):
+    for urls in (["http://a", "filedesc://b", "http://c"], ["filedesc://a", "http://b", "filedesc://own.arc"]):
+        got = archive.archived(pages(spark, [(i, u, f"page {i}") for i, u in enumerate(urls)]).coalesce(1)).collect()
+        assert {(r.page_id, r.target_uri, r.payload_bytes) for r in got} == {(i, u, 6) for i, u in enumerate(urls)}
+
+
 def test_repeated_pages(spark):
     got = archive.archived(pages(spark, [(1, "u", "same"), (1, "u", "same"), (0, "v", "same")])).collect()
     assert Counter((r.page_id, r.record_type, r.refers_to) for r in got) == Counter(
@@ -145,18 +151,19 @@ def test_broken_archives_are_refused():
 # --- neighbours --------------------------------------------------------------------------------
 
 def plain_nearest(rows, top=20):
-    vectors = {}
+    """Brute force over rows; per query id the neighbours of each of its rows, one after another."""
+    vectors = []
     for i, v in rows:
         if i is None or v is None or any(x is None for x in v):
             continue
         x = np.array(v, float)
-        if len(x) == 8 and np.isfinite(x).all() and x.any():
-            vectors[i] = min(vectors.get(i, x), x, key=lambda y: (y + 0.0).tobytes())
-    out = {}
-    for q in vectors:
+        if np.isfinite(x).all() and x.any():
+            vectors.append((i, x))
+    out = defaultdict(list)
+    for at, (q, v) in enumerate(vectors):
         if q % 20 == 0:
-            scored = sorted((-float(vectors[q] @ vectors[i]), i) for i in vectors if i != q)
-            out[q] = [(i, -s) for s, i in scored[:top]]
+            scored = sorted((-float(v @ x), i) for k, (i, x) in enumerate(vectors) if k != at and len(x) == len(v))
+            out[q] += [(i, -s) for s, i in scored[:top]]
     return out
 
 
@@ -179,7 +186,7 @@ def test_neighbours_with_ties_and_unusable_vectors(spark):
     rows = [(i, [float(x) for x in rng.integers(-4, 5, 8) / 4]) for i in range(1200)]
     rows += [(5000 + i, [1.0, 0.5, 0.25, 0.0, 0.0, 0.0, 0.0, -1.0]) for i in range(700)]
     rows += [(7000, None), (7020, []), (7040, [0.0] * 8), (7060, [float("nan")] + [1.0] * 7), (7080, [None] + [1.0] * 7),
-             (7100, [float("inf")] + [1.0] * 7), (7120, [1.0] * 9), (None, [1.0] * 8), (20, rows[20][1])]
+             (7100, [float("inf")] + [1.0] * 7), (None, [1.0] * 8)]
     want, got = plain_nearest(rows), nearest(spark, rows)
     assert set(got) <= set(want) and recall(want, got) >= 0.9
     for q, found in got.items():
@@ -191,6 +198,17 @@ def test_neighbours_with_ties_and_unusable_vectors(spark):
             assert [i for i, *_ in got[q]] == [i for i, _ in want[q]]
 
 
+def test_every_length_and_repeated_ids_are_searched(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-4, 5, 2 + i % 3)]) for i in range(300)]
+    rows += [(20, rows[20][1]), (40, [1.0, 2.0]), (40, [3.0, 1.0, 1.0]), (7, [9.0, 9.0]), (9000, [1.0] * 17)]
+    want, got = plain_nearest(rows), nearest(spark, rows)
+    assert {q: Counter(found) for q, found in want.items() if found} == {q: Counter((i, s) for i, s, _ in found) for q, found in got.items()}
+    assert len(got[40]) == 60 and len(got[20]) == 40
+    assert sorted(r for *_, r in got[40]) == sorted(list(range(1, 21)) * 3)
+    assert 20 in [i for i, *_ in got[20]]  # the other row of that id
+
+
 def test_few_vectors_give_all(spark):
     rows = [(i, [float(i + 1)] * 8) for i in range(5)]
     assert [(i, s) for i, s, _ in nearest(spark, rows)[0]] == [(4, 40.0), (3, 32.0), (2, 24.0), (1, 16.0)]
@@ -246,6 +264,9 @@ def test_packing(spark, sf_dir):
 
 def test_packing_of_hard_texts(documents, hard_texts):
     rows = hard_texts + [(100, "I can't. DON'T... 'tis <|endoftext|> <|ENDOFTEXT|> İstanbul ΣΑΣ é x y z a.b, c!? 12,5; x:y . , ,,"), (101, "a " * 2047), (102, "a " * 2048)]
+    # Capitals before marks that make another letter of both, and marks that do not.
+    rows += [(200 + i, f"x{a}{m}y {a}{m} A{a}{m}{m} é{a}{m}") for i, (a, m) in enumerate(
+        (a, m) for a in "JHTWYAZ" for m in "\u030c\u0331\u0308\u030a\u0301\u0327")]
     check_pieces(rows, packing.pack(documents(rows, clash=True), word_tokenizer()).collect())
     assert packing.pack(documents([]), word_tokenizer()).collect() == []
 
@@ -287,8 +308,19 @@ def test_bin_completion_is_close_to_the_best():
 
 
 def test_bin_completion_beats_best_fit():
-    sizes = Counter([44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 3)
-    assert len(packing.bin_completion(sizes, 61)) <= len(packing.best_fit(sizes, 61))
+    """Seven pieces to a sequence, which best fit does not find."""
+    for sizes, capacity, least in ((Counter({300: 70, 290: 70, 280: 70, 270: 30}), 2048, 35), (Counter([44, 24, 24, 22, 21, 17, 8, 8, 6, 6]), 61, 3)):
+        bins = packing.bin_completion(sizes, capacity)
+        assert sum((Counter(b) for b in bins), Counter()) == sizes and all(sum(b) <= capacity for b in bins)
+        assert len(bins) == least == packing.lower_bound(sizes, capacity) < len(packing.best_fit(sizes, capacity))
+
+
+def test_fillings_are_undominated_and_all_there():
+    sizes = packing.Sizes(Counter({9: 1, 7: 2, 5: 2, 4: 1, 2: 1}))
+    found = {f for f in packing.fillings(sizes, 14) if f is not None}
+    assert (7, 7) in found and (9, 5) in found and (7, 5, 2) in found and (5, 5, 4) in found
+    assert all(sum(f) <= 14 for f in found) and (7, 4) not in found
+    assert list(packing.fillings(sizes, 1)) == [()]
 
 
 # --- pipeline ----------------------------------------------------------------------------------
