@@ -25,6 +25,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in system.listStatus(found))
 
 
+def complete(spark: SparkSession, path: str) -> list[str]:
+    """The folders below a folder that a job has written to its end, in order, by one listing."""
+    found, system = _path(spark, f"{path}/*/_SUCCESS")
+    return sorted(entry.getPath().getParent().getName() for entry in system.globStatus(found) or [])
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     found, system = _path(spark, path)
     stream = system.open(found)
@@ -37,7 +43,8 @@ def read_text(spark: SparkSession, path: str) -> str:
 def publish(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a file under a name that must be new; false if someone else has published that name.
 
-    The content is complete before the name appears: it is written aside and renamed without overwriting.
+    The content is complete before the name appears: it is written aside and renamed without overwriting. Where a
+    file system cannot rename without overwriting in one step (object stores), two writers at the same moment may both succeed.
     """
     found, system = _path(spark, path)
     draft, _ = _path(spark, f"{path}.{uuid.uuid4().hex}.draft")

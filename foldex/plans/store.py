@@ -20,6 +20,7 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,8 +132,7 @@ class IndexStore:
 
     def batches(self) -> list[str]:
         """The complete batches of the log."""
-        found = files.names(self.spark, self.log_path)
-        return [n.removeprefix("batch=") for n in found if files.exists(self.spark, f"{self.log_path}/{n}/_SUCCESS")]
+        return [n.removeprefix("batch=") for n in files.complete(self.spark, self.log_path)]
 
     def log(self, batches: Iterable[str] | None = None) -> DataFrame:
         """The rows of the given batches, or of all that are kept."""
@@ -163,8 +163,12 @@ class IndexStore:
         return self._usable(self.log(cut.batches), cut.head)
 
     def upsert(self, documents: DataFrame) -> None:
-        """Indexes documents (``database, collection, uid, doc``; unique keys) outside the feed."""
-        self.append(document_upserts(documents, self.cut().as_of), nth=time.time_ns())
+        """Indexes documents (``database, collection, uid, doc``; unique keys) outside the feed.
+
+        Whatever the clock says, they come after everything that the store holds.
+        """
+        cut = self.cut()
+        self.append(document_upserts(documents, cut.as_of), nth=max(cut.nth + 1, time.time_ns()))
 
     # -- rejects ------------------------------------------------------------------------------
 
@@ -173,15 +177,18 @@ class IndexStore:
         rows, head = self.log(cut.batches), cut.head
         reason = F.coalesce("reject", F.when(self._late(head), "late"))
         found = rows.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
-        usable = self._usable(rows, head).where("nth = 0").drop("nth", "index_name", "reject")
+        pending = self._usable(rows, head)
+        usable = pending.where("nth = 0").drop("nth", "index_name", "reject")
         conflicts = sequence_conflicts(usable)
         if not conflicts.isEmpty():
             named = usable.select(*CHANGE_COLUMNS).join(conflicts, "seq").distinct()
             found = found.unionByName(named.select(*CHANGE_COLUMNS, "reason"))
         if self.policy.update == "merge":
-            base = self.base_rows(head)
-            events = usable.select(*CHANGE_COLUMNS)
-            found = found.unionByName(updates_without_target(events, self.policy, self.config.route, base))
+            # Documents indexed outside the feed are inserts like others, in their place of the order.
+            events, base = self._ordered(pending.select(*CHANGE_COLUMNS, "nth"), cut, self.base_rows(head))
+            lost = updates_without_target(events.drop("nth"), self.policy, self.config.route, base)
+            seq = F.col("seq") if isinstance(events.schema["seq"].dataType, T.LongType) else F.expr(f"seq div {NTH}BD")
+            found = found.unionByName(lost.withColumn("seq", seq.cast("bigint")))
         return found
 
     def rejects(self) -> DataFrame:
@@ -229,26 +236,30 @@ class IndexStore:
             return None
         data = T.StructType([f for f in self.log_schema.fields
                              if f.name not in ("op", "seq", "nth", "reject", "batch", "index_name")])
-        rows = None
-        for folder in sorted(set(commit.bases.values())):
-            own = [i for i, f in commit.bases.items() if f == folder and (indices is None or i in indices)]
-            if own:
-                whole = T.StructType([*data.fields, T.StructField("index_name", T.StringType())])
-                part = self.spark.read.schema(whole).parquet(f"{self.root}/bases/{folder}")
-                part = part.where(F.col("index_name").isin(own))
-                rows = part if rows is None else rows.unionByName(part)
-        if rows is None:
-            rows = self.spark.createDataFrame([], T.StructType([*data.fields, T.StructField("index_name", T.StringType())]))
-        return rows.withColumn("seq", F.lit(commit.as_of_seq).cast("bigint"))
-
-    def _fold(self, events: DataFrame, cut: Cut, base: DataFrame | None, delta_path: str | None) -> DataFrame:
-        head, events = cut.head, events.drop("batch", "index_name", "reject")
+        wanted = {i: f for i, f in commit.bases.items() if indices is None or i in indices}
+        place = T.StructType([T.StructField(c, T.StringType()) for c in ("base", "index_name")])
+        whole = T.StructType([*data.fields, *place.fields])
+        if not wanted:
+            rows = self.spark.createDataFrame([], whole)
+        else:
+            # All folders in one scan; what a folder holds of indices that were rewritten since is pruned.
+            paths = sorted({f"{self.root}/bases/{f}" for f in wanted.values()})
+            rows = self.spark.read.schema(whole).option("basePath", f"{self.root}/bases").parquet(*paths)
+            rows = rows.where(F.concat_ws("/", "base", "index_name").isin([f"{f.removeprefix('base=')}/{i}" for i, f in wanted.items()]))
+        return rows.drop("base").withColumn("seq", F.lit(commit.as_of_seq).cast("bigint"))
+
+    def _ordered(self, events: DataFrame, cut: Cut, base: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+        """``seq`` and ``nth`` as one number in ``seq``, where documents came from outside the feed; a feed alone does without."""
+        head = cut.head
         if head.as_of_nth or any(b.endswith(UPSERT) for b in cut.batches):
-            # ``seq`` and ``nth`` as one number; a feed alone does without.
             order = F.col("seq").cast(ORDER) * F.lit(str(NTH)).cast("decimal(20,0)") + F.col("nth")
             events = events.withColumn("seq", order.cast(ORDER))
             if base is not None:
                 base = base.withColumn("seq", F.lit(str(head.as_of_seq * NTH + head.as_of_nth)).cast(ORDER))
+        return events, base
+
+    def _fold(self, events: DataFrame, cut: Cut, base: DataFrame | None, delta_path: str | None) -> DataFrame:
+        events, base = self._ordered(events.drop("batch", "index_name", "reject"), cut, base)
         return apply_changes(events.drop("nth"), self.policy, self.config.route, base, self.broadcast_rows, delta_path)
 
     def rows(self, cut: Cut | None = None, index: str | None = None, delta_path: str | None = None) -> DataFrame:
@@ -317,7 +328,7 @@ class IndexStore:
         With ``indices``, ``rows`` replace these alone and other indices keep their base folders. Of two
         writers that start from one version, the second fails and leaves the index as it is.
         """
-        head, name = cut.head, uuid.uuid4().hex
+        head, name = cut.head, f"base={uuid.uuid4().hex}"
         known = set(head.bases) | {r.index_name for r in rows.select("index_name").distinct().collect()} if indices is None else indices
         if indices is not None:
             rows = rows.where(F.col("index_name").isin(sorted(indices)))
@@ -329,7 +340,7 @@ class IndexStore:
             out = rows.select(columns).hint("rebalance", "index_name").sortWithinPartitions("index_name", "uid")
             path = f"{self.root}/bases/{name}"
             out.write.option("parquet.bloom.filter.enabled#uid", "true").partitionBy("index_name").parquet(path)
-            there = {n.removeprefix("index_name=") for n in files.names(self.spark, path)}
+            there = {unquote(n.removeprefix("index_name=")) for n in files.names(self.spark, path) if n.startswith("index_name=")}
             bases |= {i: name for i in known if i in there}
             if not there:
                 files.remove(self.spark, path)
@@ -337,8 +348,8 @@ class IndexStore:
         if cut.batches or left_out is not None:
             found = self._left_out(cut)
             found = found if left_out is None else found.unionByName(left_out)
-            found.write.parquet(f"{self.root}/rejects/{name}")
-            rejects = (*rejects, name)
+            found.write.parquet(f"{self.root}/rejects/{name.removeprefix('base=')}")
+            rejects = (*rejects, name.removeprefix("base="))
         kept = set(self.batches())
         batches = tuple(b for b in head.batches if b in kept) + cut.batches
         record = Commit(head.version + 1, cut.as_of, cut.nth, bases, batches, rejects, reason)
@@ -377,7 +388,8 @@ class IndexStore:
     def drop_all(self) -> Commit:
         """Removes every index."""
         cut = self.cut()
-        return self.commit(self.rows(cut).where(F.lit(False)), cut, "drop_all")
+        nothing = (self.base_rows(cut.head) if cut.head.version else self.rows(cut)).where(F.lit(False))
+        return self.commit(nothing, cut, "drop_all", set(cut.head.bases))
 
     def drop_index(self, index: str) -> Commit:
         """Removes one index; the others keep their folders unless the log above touches them."""

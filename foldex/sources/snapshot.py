@@ -26,17 +26,6 @@ def snapshot(table: DataFrame, database: str | Column, collection: str | Column,
     )
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Spreads a table that fits in a few splits over all cores, for work that is heavy per row.
-
-    Tables with enough splits of their own, so all large ones, are left alone.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() * 2 <= cores:
-        return table.repartition(cores, key)
-    return table
-
-
 def scan_collections(documents: DataFrame, collections: list[str]) -> DataFrame:
     """The documents of the given collections; on partitioned tables this prunes partitions."""
     return documents.where(F.col("collection").isin(list(collections)))

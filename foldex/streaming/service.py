@@ -19,12 +19,12 @@ class IndexService:
 
     ``feed`` returns a streaming DataFrame of change rows. The stream only projects and appends: each
     micro-batch is a batch of the log, named by its number, so one that is repeated after a failure
-    replaces itself. Paused time costs nothing, as unread events wait in the source. With
-    ``compact_after`` the log is folded whenever that many batches lie above the newest version.
+    replaces itself. Paused time costs nothing, as unread events wait in the source. The log is folded whenever
+    ``compact_after`` batches lie above the newest version (None: never).
     """
 
     def __init__(self, store: IndexStore, feed: Callable[[], DataFrame], collections: Sequence[str] | None = None,
-                 commit_delay: str = "1 second", files_per_index: int = 1, compact_after: int | None = None):
+                 commit_delay: str = "1 second", files_per_index: int = 1, compact_after: int | None = 256):
         self.store = store
         self.feed = feed
         self.collections = collections

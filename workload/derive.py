@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldex.model import CHANGE_COLUMNS
-from foldex.sources.snapshot import snapshot, spread
+from foldex.sources.snapshot import snapshot
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Spreads a table that fits in a few splits over all cores, for work that is heavy per row.
+
+    Tables with enough splits of their own, so all large ones, are left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() * 2 <= cores else table
+
+
 def uid(key: Column) -> Column:
     return F.lpad(key.cast("string"), 24, "0")
 
