@@ -6,7 +6,7 @@ or facet dimensions. Predicates are columns, combined with ``&`` and ``|``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -169,8 +169,8 @@ class IndexView:
             values = F.col(EXT)[name]
         return F.array_distinct(F.array_compact(values))
 
-    def facet_rows(self) -> DataFrame:
-        """One row per document, facet dimension and distinct value."""
+    def facet_rows(self, carry: Sequence[str] = METADATA) -> DataFrame:
+        """One row per document, facet dimension and distinct value; ``carry`` are the columns that name a document."""
         per_index = self.config.facets_by_index
         names = list(dict.fromkeys([*self.config.facets, *[d for ds in per_index.values() for d in ds]]))
         pairs = []
@@ -181,8 +181,8 @@ class IndexView:
                 own = own | ~F.col("index_name").isin(list(per_index))
             values = F.when(own, self._dimension(name)) if per_index else self._dimension(name)
             pairs.append(_labelled(name, F.coalesce(values, F.array().cast("array<string>"))))
-        rows = self.documents.select(*METADATA, F.explode(F.concat(*pairs)).alias("_f"))
-        return rows.select(*METADATA, "_f.dim", "_f.value")
+        rows = self.documents.select(*carry, F.explode(F.concat(*pairs)).alias("_f"))
+        return rows.select(*carry, "_f.dim", "_f.value")
 
     def facets(self, condition: Column | None = None) -> DataFrame:
         """Documents per facet value, optionally only among the hits of a condition.
@@ -195,14 +195,14 @@ class IndexView:
 
     # -- postings -----------------------------------------------------------------------------
 
-    def postings(self, field: str) -> DataFrame:
+    def postings(self, field: str, carry: Sequence[str] = METADATA) -> DataFrame:
         """Term → document with term frequency, computed inside each document without a shuffle.
 
         The tokens of one document are sorted and the lengths of equal runs counted, so nothing
-        but finished postings leaves a task.
+        but finished postings leaves a task. ``carry`` are the columns that name a document.
         """
         # sort_array and an outer explode keep the optimiser from computing the tokens twice.
-        words = self.documents.select(*METADATA, F.sort_array(self.tokens(field)).alias("_w"))
+        words = self.documents.select(*carry, F.sort_array(self.tokens(field)).alias("_w"))
         positions = F.when(F.size("_w") > 0, F.sequence(F.lit(1), F.size("_w")))
         starts = F.filter(positions, lambda i: (i == 1) | (F.col("_w")[i - 1] != F.col("_w")[i - 2]))
         runs = words.withColumn("_s", starts)
@@ -211,6 +211,6 @@ class IndexView:
             "_s", ends,
             lambda s, e: F.struct(F.col("_w")[s - 1].alias("term"), (e - s).cast("bigint").alias("tf")),
         )
-        rows = runs.select(*METADATA, F.explode_outer(entries).alias("_p"))
-        postings = rows.select(F.col("_p.term").alias("term"), *METADATA, F.col("_p.tf").alias("tf"))
+        rows = runs.select(*carry, F.explode_outer(entries).alias("_p"))
+        postings = rows.select(F.col("_p.term").alias("term"), *carry, F.col("_p.tf").alias("tf"))
         return postings.where(F.col("term").isNotNull())

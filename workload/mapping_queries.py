@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from foldex import Analyzer, ApplyPolicy, FieldRule, IndexConfig, IndexStore, IndexView, all_of, index_documents, match_all, project
 from foldex.functions import mappers as m
+from foldex.plans.postings import InvertedIndex
 from foldex.plans.rebuild import backfill
 from foldex.plans.store import save_table
 from foldex.session import scratch
@@ -338,6 +339,44 @@ def term_query_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.where(view.term("text", "la")).documents.select("_id", "_collection", "source")
 
 
+def inverted_index(spark: SparkSession, sf_dir: str) -> InvertedIndex:
+    """An inverted index that followed its store over a backfill with stale texts and a feed of inserts, updates and deletes."""
+    docs = derive.text_documents(spark, sf_dir)
+    number = F.col("uid").cast("bigint")
+    store = IndexStore(spark, scratch(spark, "store"), TEXT_CONFIG, docs.schema["doc"].dataType)
+    stale = F.col("doc").withField("text", F.lit("la stale text the")).withField("source", F.lit("nowhere"))
+    backfill(docs.where(number % 10 != 3).withColumn("doc", F.when(number % 4 == 1, stale).otherwise(F.col("doc"))))(store)
+    index = InvertedIndex(store)
+    index.refresh()
+    op = F.when(number % 11 == 5, "delete").when(number % 10 == 3, "insert").when(number % 4 == 1, "update")
+    changes = docs.select((number + 1).alias("seq"), op.alias("op"), "database", "collection", "uid", "doc").where("op is not null")
+    store.append(changes)
+    store.compact()
+    index.refresh()
+    return index
+
+
+def term_query_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A term looked up in stored postings."""
+    return inverted_index(spark, sf_dir).term("text", "la").select("_id", "_collection")
+
+
+def match_query_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inverted_index(spark, sf_dir).match("text", "Der TION, pour the").select("_id", "_collection")
+
+
+def term_postings_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inverted_index(spark, sf_dir).postings("text").select("term", "_id", "tf")
+
+
+def facet_counts_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inverted_index(spark, sf_dir).facets()
+
+
+def facet_counts_filtered_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inverted_index(spark, sf_dir).facets({"_collection": "en", "text": "the"})
+
+
 def match_per_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query text is analysed as each index analyses: English keeps its case."""
     view = text_view(spark, sf_dir, TEXT_CONFIG.with_analyzer("en", Analyzer(lower=False)))
@@ -400,6 +439,11 @@ QUERIES = {
     "catalog_table_roundtrip": catalog_table_roundtrip,
     "term_query_stored": term_query_stored,
     "match_per_index": match_per_index,
+    "term_query_index": term_query_index,
+    "match_query_index": match_query_index,
+    "term_postings_index": term_postings_index,
+    "facet_counts_index": facet_counts_index,
+    "facet_counts_filtered_index": facet_counts_filtered_index,
     "keyword_per_collection": keyword_per_collection,
     "stored_per_collection": stored_per_collection,
 }

@@ -121,6 +121,19 @@ ORACLE_SQL = {
     "catalog_table_roundtrip": f"""select lang as index_name, {DOC_ID} as _id, lang as _collection,
         'corpus' as _database, source, n_chars, md5(text) as text_md5 from documents""",
     "term_query_stored": docs("lang as _collection, source", f"list_contains({TOKENS}, 'la')"),
+    "term_query_index": docs("lang as _collection", f"doc_id % 11 <> 5 and list_contains({TOKENS}, 'la')"),
+    "match_query_index": docs("lang as _collection", f"doc_id % 11 <> 5 and list_has_any({TOKENS}, ['der', 'tion', 'pour', 'the'])"),
+    "term_postings_index": f"""
+        with w as (select doc_id, unnest({TOKENS}) as term from documents where doc_id % 11 <> 5)
+        select term, {DOC_ID} as _id, count(*) as tf from w group by term, doc_id""",
+    "facet_counts_index": """
+        with h as (select * from documents where doc_id % 11 <> 5)
+        select 'source' as dim, source as "value", count(*) as n from h group by source
+        union all select '_collection', lang, count(*) from h group by lang""",
+    "facet_counts_filtered_index": f"""
+        with h as (select * from documents where doc_id % 11 <> 5 and lang = 'en' and list_contains({TOKENS}, 'the'))
+        select 'source' as dim, source as "value", count(*) as n from h group by source
+        union all select '_collection', lang, count(*) from h group by lang""",
     "match_per_index": docs("lang as _collection", f"""case when lang = 'en'
         then list_has_any(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+'), ['The', 'LA'])
         else list_has_any({TOKENS}, ['the', 'la']) end"""),
