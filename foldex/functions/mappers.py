@@ -2,7 +2,7 @@
 
 ``to_string, to_date, to_boolean, to_integer, to_long, to_float, to_double`` and ``to_null`` give
 one value, the ``*_list`` forms give all values under the path. A mapper never converts: the
-schema must already hold the asked type.
+schema must already hold the asked type. Documents without a schema are variants, read value by value.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldex.functions.paths import list_path, scalar_path
+from foldex.functions.variants import list_values, scalar_value
 
 
 class TypeMismatch(ValueError):
@@ -42,11 +43,13 @@ class Mapper:
     multi: bool = False
     custom: Callable[[str, Column], Column] | None = None
 
-    def compile(self, doc: Column, schema: T.StructType, path: str, strict: bool = False) -> Mapped:
+    def compile(self, doc: Column, schema: T.StructType | T.VariantType, path: str, strict: bool = False) -> Mapped:
         if self.custom is not None:
             return Mapped(self.custom(path, doc), self.data_type, self.multi)
         if isinstance(self.data_type, T.NullType):
             return Mapped(F.lit(None).cast("string"), T.StringType(), False)
+        if isinstance(schema, T.VariantType):
+            return Mapped((list_values if self.multi else scalar_value)(doc, path, self.data_type), self.data_type, self.multi)
         found = (list_path if self.multi else scalar_path)(doc, schema, path)
         if found is None:
             if strict:

@@ -37,7 +37,7 @@ def _with_default(mapped: Mapped, rule: FieldRule) -> Mapped:
     return Mapped(F.when(empty, default).otherwise(mapped.value), mapped.data_type, True)
 
 
-def _rule_value(rule: FieldRule, doc: Column, schema: T.StructType, config: IndexConfig,
+def _rule_value(rule: FieldRule, doc: Column, schema: T.StructType | T.VariantType, config: IndexConfig,
                 policy: ApplyPolicy) -> Mapped:
     mapped = rule.mapper.compile(doc, schema, rule.field, config.strict_paths)
     apply_default = policy.defaults and rule.default is not None
@@ -129,11 +129,12 @@ def project(docs: DataFrame, config: IndexConfig, policy: ApplyPolicy = DEFAULT_
     """Replaces ``doc`` by the index fields of its collection and adds ``index_name``.
 
     Works on batch and streaming rows alike, in one pass and without a shuffle. Collections
-    without rules keep only their metadata columns.
+    without rules keep only their metadata columns. Documents are structs, variants, or JSON text: with a declared
+    schema that is parsed as such, without one as a variant.
     """
     routed = docs.withColumn("index_name", config.route(F.col("database"), F.col("collection")))
     data_type = docs.schema[doc].dataType
-    if isinstance(data_type, T.StructType):
+    if isinstance(data_type, T.StructType | T.VariantType):
         schemas = {c: data_type for c in config.rules}
         sources = {c: F.col(doc) for c in config.rules}
     else:
@@ -155,21 +156,22 @@ def project(docs: DataFrame, config: IndexConfig, policy: ApplyPolicy = DEFAULT_
 
 
 def _parse_json(docs: DataFrame, config: IndexConfig, doc: str):
-    """JSON documents: one parsed column per declared schema, used only by its collections."""
-    missing = [c for c in config.rules if c not in config.schemas]
-    if missing:
-        raise MappingError(f"no document schema declared for {missing}")
-    parsed, sources, out = {}, {}, docs
+    """JSON documents: one parsed column per declared schema, used only by its collections, and a variant for all others."""
+    parsed, sources, schemas = {}, {}, {}
     for collection in config.rules:
-        schema = config.schemas[collection]
+        schema = schemas[collection] = config.schemas.get(collection, T.VariantType())
         name = next((n for n, (s, _) in parsed.items() if s == schema), f"_doc_{len(parsed)}")
         parsed.setdefault(name, (schema, []))[1].append(collection)
         sources[collection] = F.col(name)
-    out = out.withColumns({
-        name: F.when(F.col("collection").isin(users), F.from_json(plain_json(F.col(doc)), schema))
-        for name, (schema, users) in parsed.items()
+
+    def read(schema: T.DataType) -> Column:
+        text = plain_json(F.col(doc))
+        return F.try_parse_json(text) if isinstance(schema, T.VariantType) else F.from_json(text, schema)
+
+    out = docs.withColumns({
+        name: F.when(F.col("collection").isin(users), read(schema)) for name, (schema, users) in parsed.items()
     })
-    return out, dict(config.schemas), sources
+    return out, schemas, sources
 
 
 def payload_columns(projected: DataFrame) -> list[str]:

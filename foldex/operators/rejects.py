@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from foldex.functions.extended_json import plain_json
 from foldex.functions.running import last_before, order_ranges, running_max
+from foldex.functions.variants import mismatch
 from foldex.model import (
     CHANGE_COLUMNS,
     DELETE,
@@ -18,7 +19,6 @@ from foldex.model import (
     OPS,
     UPDATE,
     ApplyPolicy,
-    FieldRule,
     IndexConfig,
     Router,
     by_collection,
@@ -29,17 +29,6 @@ from foldex.operators.fold import cleared_since_image
 # Fixed value: a document key is the text form of a 12-byte object id.
 OBJECT_ID = "^[0-9a-f]{24}$"
 
-# The JSON types a mapper accepts without conversion, by Spark type name.
-ACCEPTED = {
-    "string": ("STRING",),
-    "timestamp": ("STRING", "TIMESTAMP", "TIMESTAMP_NTZ"),
-    "boolean": ("BOOLEAN",),
-    "int": ("BIGINT",),
-    "bigint": ("BIGINT",),
-    "float": ("DOUBLE", "FLOAT", "DECIMAL", "BIGINT"),
-    "double": ("DOUBLE", "FLOAT", "DECIMAL", "BIGINT"),
-}
-
 
 def row_reason(as_of: int | None = None, key_pattern: str | None = None) -> Column:
     """Why a single change row is unusable, or null; needs no other row."""
@@ -68,30 +57,14 @@ def rejected(events: DataFrame, as_of: int | None = None, key_pattern: str | Non
     return events.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
-def _type_mismatch(rule: FieldRule, doc: Column) -> Column:
-    """Whether the JSON value under a top-level or embedded path has a type the mapper refuses."""
-    wanted = ACCEPTED[rule.mapper.data_type.simpleString()]
-    path = "$." + rule.field
-    kind = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
-    if rule.mapper.multi:
-        allowed = [f"ARRAY<{w}>" for w in wanted] + ["ARRAY<VOID>"]
-    else:
-        allowed = list(wanted)
-    scalar_kind = F.regexp_replace(kind, r"DECIMAL\(\d+,\d+\)", "DECIMAL")
-    return kind.isNotNull() & (kind != "VOID") & ~scalar_kind.isin(allowed)
-
-
 def _mismatch(config: IndexConfig, variant: Column) -> Column:
-    """Whether a rule of the row's collection would have to convert a value of the parsed document."""
+    """Whether a rule of the row's collection would have to convert a value of the parsed document, in whatever arrays."""
     found = F.lit(False)
     for collection, rules in config.rules.items():
-        schema = config.schemas[collection]
         for rule in rules:
             if rule.mapper.custom is not None or isinstance(rule.mapper.data_type, T.NullType):
                 continue
-            if not _embedded(schema, rule.field):
-                continue
-            hit = F.coalesce(_type_mismatch(rule, variant), F.lit(False))
+            hit = F.coalesce(mismatch(variant, rule.field, rule.mapper.data_type, rule.mapper.multi), F.lit(False))
             found = found | ((F.col("collection") == collection) & hit)
     return found
 
@@ -99,14 +72,14 @@ def _mismatch(config: IndexConfig, variant: Column) -> Column:
 def document_reason(changes: DataFrame, config: IndexConfig, doc: str = "doc", strict: bool | None = None) -> Column:
     """Why a change's JSON document cannot be used, or null; documents that are structs have no faults.
 
-    Strict typing (the configuration's by default) also refuses values that a rule would convert; paths
-    through arrays of documents are left to the declared schema.
+    Strict typing (the configuration's by default) also refuses values that a rule would convert or not take,
+    through embedded documents and arrays of documents at any depth.
     """
-    if not isinstance(changes.schema[doc].dataType, T.StringType):
+    data_type = changes.schema[doc].dataType
+    if not isinstance(data_type, T.StringType | T.VariantType):
         return F.lit(None).cast("string")
-    variant = F.try_parse_json(plain_json(F.col(doc)))
-    kind = F.schema_of_variant(variant)
-    unreadable = F.col(doc).isNotNull() & (variant.isNull() | ~kind.startswith("OBJECT"))
+    variant = F.try_parse_json(plain_json(F.col(doc))) if isinstance(data_type, T.StringType) else F.col(doc)
+    unreadable = F.col(doc).isNotNull() & F.try_variant_get(variant, "$", "map<string, variant>").isNull()
     reason = F.when(unreadable, "unreadable_document")
     if config.strict_types if strict is None else strict:
         reason = reason.when(_mismatch(config, variant), "type_mismatch")
@@ -119,16 +92,6 @@ def type_mismatches(events: DataFrame, config: IndexConfig, doc: str = "doc") ->
     return events.select(*CHANGE_COLUMNS, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
-def _embedded(schema: T.StructType, path: str) -> bool:
-    """Whether all but the last step of a path are embedded documents."""
-    data_type: T.DataType = schema
-    for step in path.split("."):
-        if not isinstance(data_type, T.StructType) or step not in data_type.names:
-            return False
-        data_type = data_type[step].dataType
-    return True
-
-
 def sequence_conflicts(events: DataFrame) -> DataFrame:
     """Sequence numbers carried by different events; the same event delivered twice is fine."""
     content = [c for c in events.columns if c not in ("seq", "batch")]

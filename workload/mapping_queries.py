@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from foldex import Analyzer, ApplyPolicy, FieldRule, IndexConfig, IndexStore, IndexView, all_of, index_documents, match_all, project
 from foldex.functions import mappers as m
+from foldex.operators import rejects as R
 from foldex.plans.postings import InvertedIndex
 from foldex.plans.rebuild import backfill
 from foldex.plans.store import save_table
@@ -103,6 +104,52 @@ def numeric_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("_id", "_collection", "n_chars")
 
 
+# -- documents without a schema --------------------------------------------------------------------
+
+
+def as_json(documents: DataFrame) -> DataFrame:
+    """The documents as JSON text; nothing is declared about them."""
+    return documents.withColumn("doc", F.to_json("doc", {"ignoreNullFields": "false"}))
+
+
+def map_variant_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scalar mapper on documents without a schema, through embedded documents, missing and null values."""
+    rules = (
+        rule("status", "status", m.to_string), rule("absent", "absent", m.to_string, default="none"),
+        rule("buyer.segment", "segment", m.to_string), rule("buyer.home.nation", "nation", m.to_string),
+        rule("placed", "placed", m.to_date), rule("buyer.vip", "vip", m.to_boolean), rule("rank", "rank", m.to_integer),
+        rule("cents", "cents", m.to_long), rule("weight", "weight", m.to_float), rule("total", "total", m.to_double),
+        rule("cents", "no_text", m.to_string))
+    rows = project(as_json(derive.order_documents(spark, sf_dir)), IndexConfig(rules={"orders": rules}))
+    return index_documents(rows).drop("index_name", "_collection", "_database")
+
+
+def map_variant_list_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List mappers on documents without a schema, through one and two levels of arrays of documents."""
+    rules = (
+        rule("lines", "lines", m.to_string_list), rule("paragraphs.opening", "openings", m.to_string_list),
+        rule("paragraphs.clauses", "clauses", m.to_string_list), rule("paragraphs.sentences.body", "bodies", m.to_string_list),
+        rule("paragraphs.sentences.size", "sizes", m.to_integer_list), rule("origin.name", "origins", m.to_string_list),
+        rule("origin.missing", "missing", m.to_string_list), rule("paragraphs.number", "numbers", m.to_string_list, default="none"))
+    config = IndexConfig(rules={lang: rules for lang in LANGUAGES})
+    df = index_documents(project(as_json(derive.outline_documents(spark, sf_dir)), config))
+    return df.select(
+        "_id", joined(F.col("lines"), "\n").alias("lines_md5"), joined(F.col("openings")).alias("openings_md5"),
+        joined(F.col("clauses")).alias("clauses_md5"), size(F.col("bodies")).alias("n"), joined(F.col("bodies")).alias("bodies_md5"),
+        F.array_max("sizes").alias("max_size"), F.col("origins")[0].alias("origin"), size(F.col("missing")).alias("n_missing"),
+        joined(F.col("numbers")).alias("numbers_md5"))
+
+
+def strict_types_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that a strict store rejects for a value inside arrays of documents: here long sentences, as numbers."""
+    docs = as_json(derive.outline_documents(spark, sf_dir))
+    number = F.regexp_replace("doc", r'"body":"[^"]{150,}"', '"body":150')
+    changes = docs.select(F.col("uid").cast("bigint").alias("seq"), F.lit("insert").alias("op"), "database", "collection", "uid",
+                          number.alias("doc"))
+    config = IndexConfig(rules={lang: (rule("paragraphs.sentences.body", "bodies", m.to_string_list),) for lang in LANGUAGES})
+    return R.type_mismatches(changes, config).select("uid", "reason")
+
+
 # -- list rules ------------------------------------------------------------------------------------
 
 
@@ -402,6 +449,9 @@ QUERIES = {
     "snapshot_scan": snapshot_scan,
     "source_counts": count_sources,
     "map_scalar": map_scalar,
+    "map_variant_scalar": map_variant_scalar,
+    "map_variant_list_deep": map_variant_list_deep,
+    "strict_types_nested": strict_types_nested,
     "map_embedded": map_embedded,
     "map_null_default": map_null_default,
     "map_date_format": map_date_format,

@@ -40,6 +40,17 @@ ORACLE_SQL = {
         md5(text) as text_md5 from documents""",
     "source_counts": "select 'corpus' as database, lang as collection, count(*) as n from documents group by lang",
     "map_scalar": orders("o_orderstatus as status, o_orderpriority as prio, cast(null as varchar) as absent"),
+    "map_variant_scalar": orders(f"""o_orderstatus as status, 'none' as absent, {SEGMENT} as segment, n_name as nation,
+        strftime(o_orderdate, '%Y-%m-%d') as placed, cast(c_acctbal > 5000 as varchar) as vip,
+        cast(left(o_orderpriority, 1) as integer) as rank, cast(round(o_totalprice * 100) as bigint) as cents,
+        cast(o_totalprice as float) as weight, o_totalprice as total, cast(null as varchar) as no_text"""),
+    "map_variant_list_deep": docs(f"""md5(text) as lines_md5, {join_md5(OPENINGS)} as openings_md5, {join_md5(CLAUSES)} as clauses_md5,
+        cast(len({SENTENCES}) as bigint) as n, {join_md5(SENTENCES)} as bodies_md5,
+        cast(list_max(list_transform({SENTENCES}, lambda s: length(s))) as integer) as max_size, source as origin,
+        cast(0 as bigint) as n_missing,
+        case when len({FOUND}) = 0 then md5('none') else {join_md5(FOUND)} end as numbers_md5"""),
+    "strict_types_nested": f"""select {DOC_ID} as uid, 'type_mismatch' as reason from documents
+        where len(list_filter({SENTENCES}, lambda s: length(s) >= 150 and not contains(s, chr(34)) and not contains(s, chr(92)))) > 0""",
     "map_embedded": orders(f"c_name as buyer, {SEGMENT} as segment, n_name as nation, r_name as region"),
     "map_null_default": orders("cast(null as varchar) as nothing, 'n/a' as note"),
     "map_date_format": orders("""strftime(o_orderdate, '%Y-%m-%d') as placed,
