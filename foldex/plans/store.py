@@ -279,8 +279,10 @@ class IndexStore:
         return IndexView(index_documents(self.rows(index=index)), self.config)
 
     def version(self, number: int) -> IndexView:
-        """Index documents exactly as committed in a version."""
+        """Index documents exactly as committed in a version; version 0 is the empty index."""
         rows = self.base_rows(self.head(number))
+        if rows is None and number == 0:
+            rows = self.spark.createDataFrame([], T.StructType([f for f in self.log_schema.fields if f.name not in ("op", "nth", "reject", "batch")]))
         if rows is None:
             raise LookupError(f"no version {number}")
         return IndexView(index_documents(rows), self.config)

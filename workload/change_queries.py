@@ -24,9 +24,11 @@ from foldex import (
 )
 from foldex.functions import mappers as m
 from foldex.operators import rejects as R
+from foldex.operators.sink import export_changes, sent_actions
 from foldex.plans.rebuild import backfill_rows, reindex, reindex_rows, snapshot_rows
 from foldex.session import scratch
 from foldex.sources.changes import parse_events, stream_table
+from foldex.sources.feed import feed_stream
 from workload import derive
 from workload.mapping_queries import TEXT_CONFIG
 
@@ -317,6 +319,18 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output(store)
 
 
+def stream_feed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a schema from rolling files: stopped in the middle of a file, then started anew from its checkpoint."""
+    path, positions = scratch(spark, "events"), scratch(spark, "positions")
+    fields = tuple(derive.EVENT_FIELDS)
+    events = derive.table(spark, sf_dir, "events").repartitionByRange(3, "event_id").sortWithinPartitions("event_id")
+    derive.raw_events(events, fields).write.text(path)
+    store = IndexStore(spark, scratch(spark, "store"), EVENT_CONFIG, T.StringType(), REPLACE)
+    IndexService(store, lambda: feed_stream(spark, path, 100_000, positions), ALLOWED).drain()
+    IndexService(store, lambda: feed_stream(spark, path), ALLOWED).drain()
+    return output(store)
+
+
 def stream_pause_reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One collection is rebuilt from a snapshot while the feed is paused, then the feed goes on."""
     store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
@@ -400,6 +414,22 @@ def action_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.changes(first.version, second.version, ["event_type", "value", "day"]).select("index_name", "uid", "action", "body")
 
 
+def action_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net changes sent batch by batch, one of them again after a failure that came too late: what a reader of the last batch gets."""
+    store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
+    target, fields = scratch(spark, "actions"), ["event_type", "value", "day"]
+    events = allow_collections(staged.rows, ALLOWED)
+    store.append(events.where(F.col("seq") <= staged.half))
+    first = store.compact().version
+    export_changes(store, target, fields)
+    store.append(events.where(F.col("seq") > staged.half))
+    second = store.compact().version
+    export_changes(store, target, fields)
+    sent = sent_actions(spark, target, after=first)
+    sent.drop("number").write.format("action_batches").option("path", target).option("number", second).mode("append").save()
+    return sent_actions(spark, target, after=first).select("index_name", "uid", "action", "body")
+
+
 QUERIES = {
     "change_normalise": change_normalise,
     "allowlist_filter": allowlist_filter,
@@ -435,4 +465,6 @@ QUERIES = {
     "stream_pause_reindex": stream_pause_reindex,
     "custom_action": custom_action,
     "action_export": action_export,
+    "action_sink": action_sink,
+    "stream_feed_source": stream_feed_source,
 }

@@ -183,4 +183,12 @@ ORACLE_SQL = {
           case when o.uid is null then 'index' when n.uid is null then 'delete' else 'update' end as action, n.body
         from old o full join new n on o.index_name = n.index_name and o.uid = n.uid
         where o.body is distinct from n.body""",
+    "action_sink": f"""with {CHANGES}, {ALLOWED}, early as (select * from allowed where seq <= {HALF}),
+        old as (with {live("early")} select collection as index_name, uid, {BODY} as body from live),
+        new as (with {live("allowed")} select collection as index_name, uid, {BODY} as body from live)
+        select coalesce(o.index_name, n.index_name) as index_name, coalesce(o.uid, n.uid) as uid,
+          case when o.uid is null then 'index' when n.uid is null then 'delete' else 'update' end as action, n.body
+        from old o full join new n on o.index_name = n.index_name and o.uid = n.uid
+        where o.body is distinct from n.body""",
+    "stream_feed_source": applied(),
 }

@@ -63,12 +63,12 @@ def event_doc_type(spark: SparkSession, sf_dir: str) -> T.DataType:
     return changes(spark, sf_dir).schema["doc"].dataType
 
 
-def raw_events(events: DataFrame) -> DataFrame:
+def raw_events(events: DataFrame, fields: tuple[str, ...] = ("event_type", "value", "props")) -> DataFrame:
     """The same feed as JSON change events, one text value per event."""
     rows = changes_of(events)
     op = F.col("op")
     kind = F.when(op == "drop_database", "dropDatabase").otherwise(op)
-    document = F.when(op.isin("insert", "update"), F.struct("doc.event_type", "doc.value", "doc.props"))
+    document = F.when(op.isin("insert", "update"), F.struct(*[f"doc.{f}" for f in fields]))
     key = F.when(
         op.isin("insert", "update", "delete"),
         F.struct(F.struct(F.col("uid").alias("$oid")).alias("_id")),
