@@ -11,6 +11,7 @@ above the class's threshold make the span.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,26 +39,84 @@ ALLOW = (
 )
 
 
+SPANS = "array<struct<start: int, end: int, found: string>>"
+#: Rows of a list that are worked through at once. A list grows by copying, so long ones are put together from short ones.
+CHUNK = 128
+
+
+def running(rows: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> tuple[Column, Column]:
+    """Goes through ``rows`` with a state: the lists that ``step`` gives for each row, joined, and the last state.
+
+    ``step`` maps state and row to the next state and a list of type ``kind``. The time is in proportion to the rows.
+    """
+    empty = F.array().cast(kind)
+
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        # An element of a list of one is made once, however often it is used.
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def of_row(state: Column, row: Column) -> Column:
+        after, out = step(state["state"], row)
+        return F.struct(after.alias("state"), F.concat(state["out"], out).alias("out"))
+
+    def of_chunk(state: Column, chunk: Column) -> Column:
+        whole = F.aggregate(chunk, F.struct(state["state"].alias("state"), empty.alias("out")), of_row)
+        return bound(whole, lambda w: F.struct(w["state"].alias("state"), F.concat(state["parts"], F.array(w["out"])).alias("parts")))
+
+    chunks = bound(rows, lambda r: F.transform(
+        F.sequence(F.lit(0), F.floor((F.greatest(F.size(r), F.lit(1)) - 1) / CHUNK).cast("int")), lambda k: F.slice(r, k * CHUNK + 1, F.lit(CHUNK))))
+    done = F.aggregate(chunks, F.struct(start.alias("state"), F.array().cast(f"array<{kind}>").alias("parts")), of_chunk,
+                       lambda s: F.struct(F.flatten(s["parts"]).alias("out"), s["state"].alias("state")))
+    return done["out"], done["state"]
+
+
 def matches(pattern: str, keep: Column | None = None, text: Column | str = "text") -> Column:
     """(start, end, match) of the text's matches; ``keep`` maps all matches to booleans, one each."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     flags = keep if keep is not None else F.transform(found, lambda x: F.lit(True))
     rows = F.arrays_zip(gaps.alias("gap"), found.alias("found"), flags.alias("keep"))
-    empty = F.expr("cast(array() as array<struct<start: int, end: int, found: string>>)")
+    empty = F.array().cast(SPANS)
 
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + F.char_length(row["gap"])
+    def step(at: Column, row: Column) -> tuple[Column, Column]:
+        start = at + F.char_length(row["gap"])
         end = start + F.char_length(row["found"])
         span = F.struct(start.alias("start"), end.alias("end"), row["found"].alias("found"))
-        return F.struct(
-            F.coalesce(end, start).alias("at"),
-            F.when(row["keep"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+        return F.coalesce(end, start), F.when(row["keep"], F.array(span)).otherwise(empty)
 
-    spans = F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
+    spans, _ = running(rows, F.lit(0), step, SPANS)
     return F.when(F.size(found) > 0, spans).otherwise(empty)
 
 
+def outside(candidates: Column, base: Column) -> Column:
+    """What of the candidates lies outside the ``base`` spans: both go by in order of their starts, once."""
+    columns = lambda c, own: F.struct(c["start"].alias("start"), F.lit(own).alias("own"), c["end"].alias("end"),
+                                      (c["found"] if own else F.lit(None).cast("string")).alias("found"))
+    rows = F.array_sort(F.concat(F.transform(base, lambda b: columns(b, 0)), F.transform(candidates, lambda c: columns(c, 1))))
+
+    def piece(state: Column, end: Column) -> Column:
+        """The open candidate's text from where it is free up to ``end``."""
+        size = end - state["free"]
+        text = F.substring(state["found"], state["free"] - state["start"] + 1, size)
+        span = F.struct(state["free"].alias("start"), end.alias("end"), text.alias("found"))
+        return F.when(size >= WINDOW, F.array(span)).otherwise(F.array().cast(SPANS))
+
+    def step(state: Column, row: Column) -> tuple[Column, Column]:
+        own = row["own"] == 1
+        covered = F.when(own, state["covered"]).otherwise(F.greatest(state["covered"], row["end"]))
+        after = F.struct(
+            covered.alias("covered"), F.when(own, row["start"]).otherwise(state["start"]).alias("start"),
+            F.when(own, row["end"]).otherwise(state["end"]).alias("end"),
+            F.when(own, F.greatest(row["start"], covered)).otherwise(F.greatest(state["free"], row["end"])).alias("free"),
+            F.when(own, row["found"]).otherwise(state["found"]).alias("found"))
+        return after, piece(state, F.when(own, state["end"]).otherwise(F.least(row["start"], state["end"])))
+
+    zero = F.lit(0)
+    first = F.struct(zero.alias("covered"), zero.alias("start"), zero.alias("end"), zero.alias("free"), F.lit("").cast("string").alias("found"))
+    out, last = running(rows, first, step, SPANS)
+    return F.concat(out, piece(last, last["end"]))
+
+
 def hot_windows(found: Column, least: Column) -> Column:
     """(first, last): where the first window above ``least`` bits begins and the last one ends; null if none.
 
@@ -118,18 +177,12 @@ def entropy_spans(candidates: Column, base: Column, allow: tuple[str, ...]) -> C
     def replaced(spans: Column, change) -> Column:
         return F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), change(c).alias("found")))
 
-    def apart(c: Column) -> Column:
-        def step(s: Column, b: Column) -> Column:
-            first, last = F.greatest(b["start"], c["start"]), F.least(b["end"], c["end"])
-            return F.overlay(s, F.repeat(F.lit(" "), last - first), first - c["start"] + 1, last - first)
-        return F.aggregate(F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])), c["found"], step)
-
     def segments(c: Column) -> Column:
         own = matches(PART, text=c["found"])
         rest = F.flatten(F.transform(F.array(blanked(c["found"], PART)), lambda s: matches(CANDIDATE, text=s)))
         return F.transform(F.concat(own, rest), lambda s: F.struct((c["start"] + s["start"]).alias("start"), s["found"].alias("found")))
 
-    left = replaced(candidates, apart)
+    left = outside(candidates, base)
     for pattern in allow:
         part = rf"(?<![A-Za-z0-9+])[A-Za-z0-9+]*(?:{pattern})[A-Za-z0-9+]*"
         left = replaced(left, lambda c, part=part: blanked(c["found"], part))

@@ -385,3 +385,17 @@ def test_language_stage_keeps_clean_mixtures_and_drops_unknown_texts(spark, docu
 def test_language_stage_passes_everything_when_nothing_is_learned(documents):
     unlabelled = documents([(1, "some words", None, "a"), (2, None, None, "a"), (5, "held out", "en", "a")])
     assert languages.in_known_language(unlabelled).count() == 3
+
+
+def test_secrets_in_one_very_long_text(documents):
+    """Tens of thousands of matches in one text: every one is found, in time that grows with them."""
+    import time
+    def scanned(n):
+        text = "\n".join(f"{i:032x} token={i:08d}" for i in range(n))
+        began = time.time()
+        row = secrets.scan_secrets(documents([(1, text)])).first()
+        assert (row.n_hex, row.n_assign) == (n, n)
+        assert row.spans.startswith("hex:0:32,assign:33:47") and row.spans.count(",") == 2 * n - 1
+        return time.time() - began
+    scanned(100)
+    assert scanned(40_000) < 4 * scanned(20_000) + 5
