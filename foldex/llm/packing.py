@@ -29,7 +29,7 @@ CAPACITY = 2048
 #: Short pieces to a group, fillings that the search of a group looks at (its first descent always ends), and those looked
 #: at for a sequence before the fullest is tried.
 GROUP = 8192
-NODES = 200_000
+NODES = 20_000
 LOOK = 300
 #: Words whose ids a task keeps, and bytes of text worked on at once.
 CACHE = 1_000_000

@@ -3,7 +3,8 @@
 Every task counts the phrases of its texts in a trie over word ids. The root holds one container per first word, a hash
 table of what follows; a container that grows too large bursts into one container per second word. When a trie holds
 too many phrases, its largest subtrees are taken out whole and leave the task as runs in the order of their
-words. Runs are dealt by the language and the first two words of a phrase, and summed there.
+words: one row per subtree. Runs are dealt by language and first word and merged there, subtree by subtree; the subtrees of
+frequent first words are split by the second word, into so many parts that no part is large.
 
 Counting goes word by word, pair by pair, and then the longer phrases, because a phrase is never more frequent
 than a part of it: phrases with a rare word, and longer ones with a rare pair, are not counted at all. Which parts are
@@ -34,16 +35,21 @@ PIECE_END = re.compile(rb"[.,;:!?\n-\r]")
 #: Bits of the array that tells frequent parts: 8 MiB, whatever the corpus.
 SLOTS = 1 << 26
 #: Phrases a task's trie holds, entries of a container before it bursts, word ids, and bytes of text worked on at once.
-ENTRIES = 250_000
+ENTRIES = 400_000
 BURST = 16_384
 IDS = 1 << 21
 TEXT = 4 << 20
+#: Occurrences of a first word beyond which its subtree is split, and places of the table that tells into how many parts: words
+#: whose hashes meet there are split alike.
+WHOLE = 1 << 17
+LEVELS = 1 << 16
 #: Copies of the counts of single words in joins: cuts of phrases that begin alike are dealt to them.
 SALTS = 16
 
 
 def slot(lang: bytes, words: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(lang + b"\n" + words) & (SLOTS - 1)
+    """A hash of a phrase, of 63 bits: the lowest tell its slot."""
+    return xxhash.xxh3_64_intdigest(lang + b"\n" + words) & (2**63 - 1)
 
 
 class Trie:
@@ -97,23 +103,26 @@ class Trie:
 
 
 class Counting:
-    """A task's words, trie and runs. ``frequent`` has a bit for each admitted part of up to ``known`` words (0: all are)."""
+    """A task's words, trie and runs. ``frequent`` has a bit for each admitted part of up to ``known`` words (0: all are), ``levels``
+    the powers of two into which the subtrees of words are split."""
 
-    def __init__(self, frequent: np.ndarray | None, known: int, orders: tuple[int, ...]):
-        self.frequent, self.known, self.orders = frequent, known, orders
+    def __init__(self, frequent: np.ndarray | None, levels: np.ndarray | None, known: int, orders: tuple[int, ...]):
+        self.frequent, self.levels, self.known, self.orders = frequent, levels, known, orders
         self.clear()
 
     def clear(self) -> None:
         self.ids: dict[bytes, dict[bytes, int]] = defaultdict(dict)
         self.names: list[bytes] = [b""]
         self.langs: list[bytes] = [b""]
+        self.marks: list[int] = [0]
+        self.splits: list[int] = [0]
         self.counts = np.zeros(1, np.int64)
         self.total: dict[bytes, int] = defaultdict(int)
         self.looked_up = 0
         self.trie = Trie()
 
     def admitted(self, lang: bytes, words: bytes) -> bool:
-        at = slot(lang, words)
+        at = slot(lang, words) & (SLOTS - 1)
         return bool(self.frequent[at >> 3] >> (at & 7) & 1)
 
     def word_ids(self, lang: bytes, words: list[bytes]) -> np.ndarray:
@@ -128,6 +137,9 @@ class Counting:
                     ids[word] = len(self.names)
                     self.names.append(word)
                     self.langs.append(lang)
+                    mark = slot(lang, word) if self.known else 0
+                    self.marks.append(mark)
+                    self.splits.append((1 << int(self.levels[mark & (LEVELS - 1)])) - 1 if self.known else 0)
         return np.fromiter((ids[w] for w in words), np.int64, len(words))
 
     def add(self, lang: bytes, texts: list[bytes]) -> None:
@@ -172,35 +184,39 @@ class Counting:
         return out
 
     def run(self, left: int) -> pa.RecordBatch:
-        """Phrases taken out of the trie, in order."""
+        """Subtrees taken out of the trie: a row for each, or for each part of one, with its phrases in order."""
         firsts, rests, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for word, rest, n in self.trie.take(left):
             firsts.append(np.full(len(rest), word))
             rests.append(rest)
             counts.append(n)
         first, rest, n = map(np.concatenate, (firsts, rests, counts))
-        names, langs = pa.array(self.names, pa.binary()), pa.array(self.langs, pa.binary())
-        ids = [first, rest >> 42, rest >> 21 & (IDS - 1), rest & (IDS - 1)]
-        columns = []
-        for length in (2, 3, 4):
-            mine = (ids[length - 1] > 0) & (ids[length] == 0 if length < 4 else True)
-            parts = [names.take(pa.array(i[mine])) for i in ids[:length]]
-            columns.append((langs.take(pa.array(first[mine])), pc.binary_join_element_wise(*parts[:2], b" "),
-                            pc.binary_join_element_wise(*parts, b" "), pa.array(n[mine])))
-        return self.rows([pa.concat_arrays(c) for c in zip(*columns)])
+        part = np.array(self.marks)[rest >> 42] >> 32 & np.array(self.splits)[first]
+        order = np.lexsort((rest, part, first))
+        first, rest, n, part = first[order], rest[order], n[order], part[order]
+        names, ids = pa.array(self.names, pa.binary()), [rest >> 42, rest >> 21 & (IDS - 1), rest & (IDS - 1)]
+        # What follows the first word, and how often: the words of a phrase are joined length by length.
+        lines, places = [], []
+        for length in range(2, 5):
+            mine = np.flatnonzero((ids[length - 2] > 0) & (ids[length - 1] == 0 if length < 4 else True))
+            rest_of = pc.binary_join_element_wise(*[names.take(pa.array(i[mine])) for i in ids[:length - 1]], b" ")
+            lines.append(pc.binary_join_element_wise(rest_of, pa.array(n[mine]).cast(pa.string()).cast(pa.binary()), b"\t"))
+            places.append(mine)
+        lines = pa.concat_arrays(lines).take(pa.array(np.argsort(np.concatenate(places))))
+        edges = np.flatnonzero(np.append(True, (np.diff(first) != 0) | (np.diff(part) != 0)))
+        runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(edges, len(first)), pa.int32()), lines), b"\n")
+        word = pa.array(first[edges])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.langs, pa.binary()).take(word).cast(pa.string()), names.take(word).cast(pa.string()), pa.array(part[edges], pa.int32()), runs],
+            ["lang", "word", "part", "run"])
 
     def word_rows(self) -> pa.RecordBatch:
         """The counts of words, and under an empty phrase the number of all words of a language."""
         n = np.append(self.counts[1:], list(self.total.values())).astype(np.int64)
-        words = pa.array(self.names[1:] + [b""] * len(self.total), pa.binary())
-        return self.rows([pa.array(self.langs[1:] + list(self.total), pa.binary()), words, words, pa.array(n, pa.int64())])
-
-    @staticmethod
-    def rows(columns: list[pa.Array]) -> pa.RecordBatch:
-        table = pa.table(columns, ["lang", "prefix", "phrase", "n"])
-        table = table.take(pc.sort_indices(table, [("lang", "ascending"), ("phrase", "ascending")])).combine_chunks()
-        texts = [table.column(c).combine_chunks().cast(pa.string()) for c in ("lang", "prefix", "phrase")]
-        return pa.RecordBatch.from_arrays([*texts, table.column("n").combine_chunks()], ["lang", "prefix", "phrase", "n"])
+        langs, words = self.langs[1:] + list(self.total), self.names[1:] + [b""] * len(self.total)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.binary()).cast(pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+            ["lang", "phrase", "n"])
 
     def full(self) -> Iterator[pa.RecordBatch]:
         """Runs that have to leave: part of a large trie, or everything if there are too many words."""
@@ -226,10 +242,10 @@ def pieces_of(text: bytes) -> list[bytes]:
     return [*out, text[start:]]
 
 
-def runs(frequent, known: int, orders: tuple[int, ...]):
-    """Phrases of texts as sorted runs (lang, prefix, phrase, n); a phrase may be in several."""
+def runs(filters, known: int, orders: tuple[int, ...]):
+    """The words of texts (lang, phrase, n), or their longer phrases as runs (lang, word, part, run); each may come several times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counting = Counting(None if frequent is None else frequent.value, known, orders)
+        counting = Counting(*(filters.value if known else (None, None)), known, orders)
         for batch in slices(batches, "text", TEXT):
             of_lang = defaultdict(list)
             for lang, text in zip(utf8(batch.column("lang")), utf8(batch.column("text"))):
@@ -250,27 +266,71 @@ def runs(frequent, known: int, orders: tuple[int, ...]):
     return run
 
 
-def counted(docs: DataFrame, frequent, known: int, orders: tuple[int, ...], min_count: int) -> DataFrame:
-    """(lang, phrase, n) of the phrases of these lengths that occur often enough, and the totals of languages."""
-    found = docs.mapInArrow(runs(frequent, known, orders), "lang string, prefix string, phrase string, n long")
-    # Dealt by prefix, a partition has whole subtrees; the sum needs no further shuffle.
-    summed = found.withColumn("prefix", F.hash("prefix")).repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
-    return written(summed.where((F.col("n") >= min_count) | (F.col("phrase") == "")).drop("prefix"), f"phrases-{orders[0]}")
+def merged(min_count: int):
+    """The frequent phrases (lang, phrase, n) of runs that come in order of language, word and part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, counts = None, {}
+        out: list[tuple] = []
+
+        def frequent() -> list[tuple]:
+            return [(key[0], key[1] + b" " + rest, n) for rest, n in counts.items() if n >= min_count]
+
+        def rows() -> pa.RecordBatch:
+            lang, phrase, n = zip(*out)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.binary()).cast(pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+                ["lang", "phrase", "n"])
+
+        for batch in batches:
+            for lang, word, part, lines in zip(utf8(batch.column("lang")), utf8(batch.column("word")),
+                                               batch.column("part").to_pylist(), batch.column("run").to_pylist()):
+                if (lang, word, part) != key:
+                    out += frequent() if counts else []
+                    key, counts = (lang, word, part), {}
+                for line in lines.split(b"\n"):
+                    rest, _, n = line.rpartition(b"\t")
+                    counts[rest] = counts.get(rest, 0) + int(n)
+            if len(out) > 10_000:
+                yield rows()
+                out = []
+        out += frequent() if counts else []
+        if out:
+            yield rows()
+    return run
+
+
+def counted_words(docs: DataFrame, min_count: int) -> DataFrame:
+    """(lang, phrase, n) of the words that occur often enough, and under an empty phrase the number of all words."""
+    found = docs.mapInArrow(runs(None, 0, (1,)), "lang string, phrase string, n long")
+    summed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return written(summed.where((F.col("n") >= min_count) | (F.col("phrase") == "")), "phrases-1")
+
+
+def counted_phrases(docs: DataFrame, filters, known: int, orders: tuple[int, ...], min_count: int) -> DataFrame:
+    """(lang, phrase, n) of the phrases of these lengths that occur often enough."""
+    found = docs.mapInArrow(runs(filters, known, orders), "lang string, word string, part int, run binary")
+    key = ["lang", "word", "part"]
+    ordered = found.repartition(*key).sortWithinPartitions(*key)
+    return written(ordered.mapInArrow(merged(min_count), "lang string, phrase string, n long"), f"phrases-{orders[0]}")
 
 
-def frequent_slots(phrases: DataFrame):
-    """The bits of frequent phrases, on all executors: SLOTS bits, whatever their number."""
+def part_filters(phrases: DataFrame):
+    """On all executors: the bits of frequent phrases, SLOTS of them, and how words' subtrees are split, LEVELS numbers, whatever the corpus."""
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.array([slot(lang, p) for lang, p in zip(utf8(batch.column("lang")), utf8(batch.column("phrase")))], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63)], ["block", "bit"])
+            at = np.array([slot(lang, p) for lang, p in zip(utf8(batch.column("lang")), utf8(batch.column("phrase")))], np.uint64)
+            at, low = (at & np.uint64(SLOTS - 1)).astype(np.int64), (at & np.uint64(LEVELS - 1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63), pa.array(low), batch.column("n")], ["block", "bit", "low", "n"])
 
     spark = phrases.sparkSession
-    bits = phrases.where("phrase <> ''").mapInArrow(slots, "block long, bit long").groupBy("block").agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toArrow()  # at most SLOTS / 64 rows
+    placed = phrases.where("phrase <> ''").mapInArrow(slots, "block long, bit long, low long, n long")
+    bits = placed.groupBy("block").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toArrow()  # at most SLOTS / 64 rows
     whole = np.zeros(SLOTS // 64, np.int64)
     whole[bits.column("block").to_numpy()] = bits.column("bits").to_numpy()
-    return spark.sparkContext.broadcast(whole.view(np.uint8))
+    large = placed.where(F.col("n") > WHOLE).groupBy("low").agg(F.ceil(F.log2(F.max("n") / WHOLE)).alias("level")).toArrow()  # at most LEVELS
+    levels = np.zeros(LEVELS, np.int64)
+    levels[large.column("low").to_numpy()] = large.column("level").to_numpy()
+    return spark.sparkContext.broadcast((whole.view(np.uint8), levels))
 
 
 def phrase_counts(docs: DataFrame, min_count: int = 30, longest: int = 4) -> DataFrame:
@@ -282,11 +342,12 @@ def phrase_counts(docs: DataFrame, min_count: int = 30, longest: int = 4) -> Dat
         raise ValueError("phrases have two to four words")
     texts = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     frequent = F.col("n") >= min_count
-    words = counted(texts, None, 0, (1,), min_count)
-    found = words.unionByName(counted(texts, frequent_slots(words.where(frequent)), 1, (2,), min_count))
+    words = counted_words(texts, min_count)
+    found = words.unionByName(counted_phrases(texts, part_filters(words.where(frequent)), 1, (2,), min_count))
     if longest == 2:
         return found
-    return found.unionByName(counted(texts, frequent_slots(found.where(frequent)), 2, tuple(range(3, longest + 1)), min_count))
+    longer = counted_phrases(texts, part_filters(found.where(frequent)), 2, tuple(range(3, longest + 1)), min_count)
+    return found.unionByName(longer)
 
 
 def cut_scores(candidates: DataFrame, counts: DataFrame) -> DataFrame:

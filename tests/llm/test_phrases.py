@@ -70,22 +70,27 @@ def test_small_tries_spill_and_burst_alike(monkeypatch):
         monkeypatch.setattr(phrases, name, value)
     rows = corpus()
     batch = pa.RecordBatch.from_pydict({"lang": [r[2] or "und" for r in rows], "text": [r[1] for r in rows]})
-    everything = SimpleNamespace(value=np.full(phrases.SLOTS // 8, 255, np.uint8))
+    filters = SimpleNamespace(value=(np.full(phrases.SLOTS // 8, 255, np.uint8), np.arange(phrases.LEVELS) % 3))
     want = Counter()
     for _, text, lang, _ in rows:
         for piece in re.split(r"[.,;:!?\x0a-\x0d]", re.sub("[A-Z]", lambda m: m[0].lower(), text)):
             words = re.findall(r"[^ \t]+", piece)
             want[lang or "und", ""] += len(words)
             want.update((lang or "und", " ".join(words[i:i + n])) for n in (1, 2, 3, 4) for i in range(len(words) - n + 1))
+    batches = [batch.slice(0, 50), batch.slice(50)]
     found = Counter()
-    for known, orders in ((0, (1,)), (1, (2,)), (2, (3, 4))):
-        some = list(phrases.runs(everything, known, orders)(iter([batch.slice(0, 50), batch.slice(50)])))
-        assert len(some) > 5 or orders == (1,)
-        for run in some:
-            keys = list(zip(run.column("lang").to_pylist(), run.column("phrase").to_pylist()))
-            assert [(a.encode(), b.encode()) for a, b in keys] == sorted((a.encode(), b.encode()) for a, b in keys)
-            for key, n in zip(keys, run.column("n").to_pylist()):
-                found[key] += n
+    for run in phrases.runs(None, 0, (1,))(iter(batches)):
+        for lang, phrase, n in zip(*[run.column(c).to_pylist() for c in ("lang", "phrase", "n")]):
+            found[lang, phrase] += n
+    for known, orders in ((1, (2,)), (2, (3, 4))):
+        some = list(phrases.runs(filters, known, orders)(iter(batches)))
+        assert len(some) > 5
+        runs = pa.Table.from_batches(some).sort_by([("lang", "ascending"), ("word", "ascending"), ("part", "ascending")])
+        assert max(runs.column("part").to_pylist()) == 3
+        for out in phrases.merged(1)(iter(runs.to_batches(max_chunksize=7))):
+            for lang, phrase, n in zip(*[out.column(c).to_pylist() for c in ("lang", "phrase", "n")]):
+                assert (lang, phrase) not in found
+                found[lang, phrase] = n
     assert found == want
 
 
