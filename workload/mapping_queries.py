@@ -13,7 +13,7 @@ from foldex import Analyzer, ApplyPolicy, FieldRule, IndexConfig, IndexStore, In
 from foldex.functions import mappers as m
 from foldex.operators import rejects as R
 from foldex.plans.postings import InvertedIndex
-from foldex.plans.rebuild import backfill
+from foldex.plans.rebuild import RebuildMetrics, backfill, reindex, reindex_changed
 from foldex.plans.store import save_table
 from foldex.session import scratch
 from foldex.sources.snapshot import scan_collections, source_counts
@@ -365,6 +365,29 @@ def stored_index(spark: SparkSession, sf_dir: str, config: IndexConfig = TEXT_CO
     return store
 
 
+def reindex_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log rows that a rebuild writes where few documents differ from the index, and the index after it."""
+    docs = derive.text_documents(spark, sf_dir)
+    number = F.col("uid").cast("bigint")
+    store = IndexStore(spark, scratch(spark, "store"), TEXT_CONFIG, docs.schema["doc"].dataType)
+    changed = F.col("doc").withField("source", F.lit("elsewhere"))
+    backfill(docs.withColumn("doc", F.when(number % 100 == 7, changed).otherwise(F.col("doc"))).where(number % 100 != 8))(store)
+    batch = reindex_changed(docs.where(number % 100 != 9), LANGUAGES, "corpus")(store)
+    log = store.log([batch]).select(F.col("op").alias("kind"), F.col("uid").alias("_id"), F.col("collection").alias("_collection"), "source")
+    view = store.view().documents.select(F.lit("document").alias("kind"), "_id", "_collection", "source")
+    return log.unionByName(view)
+
+
+def reindex_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a rebuild read, indexed and rejected per collection, observed while it wrote."""
+    docs = derive.text_documents(spark, sf_dir)
+    store = IndexStore(spark, scratch(spark, "store"), TEXT_CONFIG, docs.schema["doc"].dataType)
+    metrics = RebuildMetrics(["en", "de"])
+    keyless = docs.withColumn("uid", F.when(F.col("uid").cast("bigint") % 17 != 0, F.col("uid")))
+    reindex(keyless, metrics.collections, "corpus", metrics)(store)
+    return spark.createDataFrame(metrics.rows(), "collection string, n_read bigint, n_indexed bigint, n_rejected bigint")
+
+
 def index_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index documents committed to a store, one folder per index, and read back."""
     back = stored_index(spark, sf_dir).view().documents
@@ -489,6 +512,8 @@ QUERIES = {
     "catalog_table_roundtrip": catalog_table_roundtrip,
     "term_query_stored": term_query_stored,
     "match_per_index": match_per_index,
+    "reindex_incremental": reindex_incremental,
+    "reindex_metrics": reindex_metrics,
     "term_query_index": term_query_index,
     "match_query_index": match_query_index,
     "term_postings_index": term_postings_index,

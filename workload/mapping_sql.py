@@ -132,6 +132,11 @@ ORACLE_SQL = {
     "catalog_table_roundtrip": f"""select lang as index_name, {DOC_ID} as _id, lang as _collection,
         'corpus' as _database, source, n_chars, md5(text) as text_md5 from documents""",
     "term_query_stored": docs("lang as _collection, source", f"list_contains({TOKENS}, 'la')"),
+    "reindex_incremental": "select 'insert' as kind, " + docs("lang as _collection, source", "doc_id % 100 in (7, 8)").removeprefix("select ")
+    + " union all select 'delete', " + docs("lang, null", "doc_id % 100 = 9").removeprefix("select ")
+    + " union all select 'document', " + docs("lang, source", "doc_id % 100 <> 9").removeprefix("select "),
+    "reindex_metrics": """select lang as collection, count(*) as n_read, count(*) filter (where doc_id % 17 <> 0) as n_indexed,
+        count(*) filter (where doc_id % 17 = 0) as n_rejected from documents where lang in ('en', 'de') group by lang""",
     "term_query_index": docs("lang as _collection", f"doc_id % 11 <> 5 and list_contains({TOKENS}, 'la')"),
     "match_query_index": docs("lang as _collection", f"doc_id % 11 <> 5 and list_has_any({TOKENS}, ['der', 'tion', 'pour', 'the'])"),
     "term_postings_index": f"""
