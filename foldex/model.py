@@ -29,6 +29,8 @@ OPS = DOCUMENT_OPS + CONTROL_OPS
 
 NAMESPACE = ("database", "collection")
 CHANGE_COLUMNS = ("seq", "op", *NAMESPACE, "uid")
+#: What a document state holds beside the document; see ``operators.states``.
+STATE_COLUMNS = ("_insert_at", "_delete_at", "_image_at", "_alive")
 EXT = "ext"
 EXT_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 

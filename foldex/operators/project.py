@@ -15,6 +15,7 @@ from foldex.model import (
     EXT,
     EXT_TYPE,
     NAMESPACE,
+    STATE_COLUMNS,
     ApplyPolicy,
     ExtenderContext,
     FieldRule,
@@ -176,7 +177,7 @@ def _parse_json(docs: DataFrame, config: IndexConfig, doc: str):
 
 def payload_columns(projected: DataFrame) -> list[str]:
     """Index fields (and ``ext``) of a projected frame, without keys and change metadata."""
-    reserved = {"seq", "op", *NAMESPACE, "uid", "index_name", "nth", "reject", "batch"}
+    reserved = {"seq", "op", *NAMESPACE, "uid", "index_name", "nth", "reject", "batch", *STATE_COLUMNS}
     return [c for c in projected.columns if c not in reserved]
 
 

@@ -3,6 +3,7 @@
 ``log/``      one folder per batch of change rows, partitioned by index; drop events in one control partition
 ``bases/``    complete rows of single indices, in folders that versions share
 ``rejects/``  changes that compactions left out, with the reason
+``drops/``    drop events that changes may still come below of, where late changes are folded
 ``commits/``  one small file per version: its bases, and by name the batches folded into them
 
 A batch is there once its folder is complete, a version once its file is; the file's name can be published only
@@ -11,6 +12,10 @@ batch that lands after a compaction began is never mistaken for part of it.
 
 Changes are ordered by ``seq``; documents indexed outside the feed come after the feed's head without using up
 its next number: they share the head's ``seq`` and are told apart by ``nth``.
+
+Changes below a version are rejected as late, or folded exactly: with ``late``, bases hold document states (``operators.states``),
+dead ones too, and a compaction accepts whatever lies at most ``late`` below its last ``seq``. Any other commit (a rebuild,
+a clear, a user's action) closes the past: what lies below it is late.
 """
 
 from __future__ import annotations
@@ -27,8 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldex.functions.sizing import BROADCAST_ROWS
-from foldex.model import CHANGE_COLUMNS, CONTROL_OPS, DROP, DROP_DATABASE, NAMESPACE, ApplyPolicy, IndexConfig
-from foldex.operators.barriers import barriers
+from foldex.model import CHANGE_COLUMNS, CONTROL_OPS, DROP, DROP_DATABASE, NAMESPACE, STATE_COLUMNS, ApplyPolicy, IndexConfig
+from foldex.operators import states as S
+from foldex.operators.barriers import barriers, drop_events
 from foldex.operators.export import actions
 from foldex.operators.fold import apply_changes
 from foldex.operators.project import index_documents, payload_columns, project
@@ -44,12 +50,16 @@ REJECT_SCHEMA = "seq bigint, op string, database string, collection string, uid
 UPSERT = "-upsert"
 #: Room for ``nth`` below each ``seq``.
 NTH = 10**19
-ORDER = T.DecimalType(38, 0)
+ORDER = S.ORDER
+DROPS = T.StructType([*[T.StructField(c, T.StringType()) for c in ("op", *NAMESPACE)], T.StructField("seq", ORDER)])
 
 
 @dataclass(frozen=True)
 class Commit:
-    """A version: the last change it covers, a base folder per index, the batches folded into them."""
+    """A version: the last change it covers, a base folder per index, the batches folded into them.
+
+    Where late changes are folded, ``floor`` is the order number from which they are accepted, and ``drops`` names a folder.
+    """
 
     version: int = 0
     as_of_seq: int = BEFORE_ALL
@@ -58,6 +68,8 @@ class Commit:
     batches: tuple[str, ...] = ()
     rejects: tuple[str, ...] = ()
     reason: str = "empty"
+    floor: int | None = None
+    drops: str = ""
 
 
 @dataclass(frozen=True)
@@ -71,16 +83,23 @@ class Cut:
 
 
 class IndexStore:
-    """An index under ``root``; ``doc_type`` is the type of the change rows' ``doc`` column."""
+    """An index under ``root``; ``doc_type`` is the type of the change rows' ``doc`` column.
+
+    ``late`` is how far below the last ``seq`` of a compaction changes may still come; without it none may. Whether it is
+    set is decided with a store's first version; how far may change.
+    """
 
     def __init__(self, spark: SparkSession, root: str, config: IndexConfig, doc_type: T.DataType,
-                 policy: ApplyPolicy | None = None, broadcast_rows: int = BROADCAST_ROWS):
+                 policy: ApplyPolicy | None = None, broadcast_rows: int = BROADCAST_ROWS, late: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.config = config
         self.policy = policy or ApplyPolicy()
         self.doc_type = doc_type
         self.broadcast_rows = broadcast_rows
+        self.late = late
+        if late is not None:
+            S.check_policy(self.policy, config.extender is not None)
         self.log_schema = self._log_schema()
 
     # -- layout ---------------------------------------------------------------------------
@@ -148,10 +167,13 @@ class IndexStore:
         above = tuple(b for b in self.batches() if b not in folded)
         newest = F.max(F.struct("seq", "nth"))
         last = self._usable(self.log(above), head).agg(newest).first()[0] if above else None
-        return Cut(*(tuple(last) if last else (head.as_of_seq, head.as_of_nth)), above, head)
+        reached = (head.as_of_seq, head.as_of_nth)
+        return Cut(*max(reached, tuple(last) if last else reached), above, head)
 
     @staticmethod
     def _late(head: Commit) -> Column:
+        if head.floor is not None:
+            return S.order("seq", "nth", NTH) < F.lit(str(head.floor)).cast(ORDER)
         return (F.col("seq") < head.as_of_seq) | ((F.col("seq") == head.as_of_seq) & (F.col("nth") <= head.as_of_nth))
 
     def _usable(self, rows: DataFrame, head: Commit) -> DataFrame:
@@ -183,7 +205,7 @@ class IndexStore:
         if not conflicts.isEmpty():
             named = usable.select(*CHANGE_COLUMNS).join(conflicts, "seq").distinct()
             found = found.unionByName(named.select(*CHANGE_COLUMNS, "reason"))
-        if self.policy.update == "merge":
+        if self.policy.update == "merge" and self.late is None:  # else the document may still come
             # Documents indexed outside the feed are inserts like others, in their place of the order.
             events, base = self._ordered(pending.select(*CHANGE_COLUMNS, "nth"), cut, self.base_rows(head))
             lost = updates_without_target(events.drop("nth"), self.policy, self.config.route, base)
@@ -222,9 +244,12 @@ class IndexStore:
     def head(self, version: int | None = None) -> Commit:
         """The newest commit, or the one asked for."""
         versions = self._versions()
-        if version is not None:
-            return self._commit(version) if version in versions else Commit()
-        return self._commit(versions[-1]) if versions else Commit()
+        if not versions or version not in (None, *versions):
+            return Commit()
+        found = self._commit(versions[-1] if version is None else version)
+        if (found.floor is None) != (self.late is None):
+            raise ValueError("whether late changes are folded is decided with the first version")
+        return found
 
     def base_rows(self, commit: Commit | None = None, indices: Sequence[str] | None = None) -> DataFrame | None:
         """Index rows of a version, each carrying the ``seq`` the version covers; some indices' only, if named.
@@ -232,13 +257,22 @@ class IndexStore:
         A base that is missing is an error: only an index that was never written is empty.
         """
         commit = commit or self.head()
+        rows = self._base_scan(commit, indices)
+        if rows is None:
+            return None
+        rows = rows if commit.floor is None else rows.where(S.ALIVE).drop(*STATE_COLUMNS)
+        return rows.withColumn("seq", F.lit(commit.as_of_seq).cast("bigint"))
+
+    def _base_scan(self, commit: Commit, indices: Sequence[str] | None) -> DataFrame | None:
+        """The bases of a version as they are written."""
         if not commit.version:
             return None
         data = T.StructType([f for f in self.log_schema.fields
                              if f.name not in ("op", "seq", "nth", "reject", "batch", "index_name")])
         wanted = {i: f for i, f in commit.bases.items() if indices is None or i in indices}
         place = T.StructType([T.StructField(c, T.StringType()) for c in ("base", "index_name")])
-        whole = T.StructType([*data.fields, *place.fields])
+        held = [] if commit.floor is None else S.STATE_FIELDS
+        whole = T.StructType([*data.fields, *held, *place.fields])
         if not wanted:
             rows = self.spark.createDataFrame([], whole)
         else:
@@ -246,14 +280,13 @@ class IndexStore:
             paths = sorted({f"{self.root}/bases/{f}" for f in wanted.values()})
             rows = self.spark.read.schema(whole).option("basePath", f"{self.root}/bases").parquet(*paths)
             rows = rows.where(F.concat_ws("/", "base", "index_name").isin([f"{f.removeprefix('base=')}/{i}" for i, f in wanted.items()]))
-        return rows.drop("base").withColumn("seq", F.lit(commit.as_of_seq).cast("bigint"))
+        return rows.drop("base")
 
     def _ordered(self, events: DataFrame, cut: Cut, base: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
         """``seq`` and ``nth`` as one number in ``seq``, where documents came from outside the feed; a feed alone does without."""
         head = cut.head
         if head.as_of_nth or any(b.endswith(UPSERT) for b in cut.batches):
-            order = F.col("seq").cast(ORDER) * F.lit(str(NTH)).cast("decimal(20,0)") + F.col("nth")
-            events = events.withColumn("seq", order.cast(ORDER))
+            events = events.withColumn("seq", S.order("seq", "nth", NTH))
             if base is not None:
                 base = base.withColumn("seq", F.lit(str(head.as_of_seq * NTH + head.as_of_nth)).cast(ORDER))
         return events, base
@@ -262,12 +295,38 @@ class IndexStore:
         events, base = self._ordered(events.drop("batch", "index_name", "reject"), cut, base)
         return apply_changes(events.drop("nth"), self.policy, self.config.route, base, self.broadcast_rows, delta_path)
 
+    def _drops(self, cut: Cut) -> DataFrame:
+        """Drop events of a cut, and those below it that changes may still come below of."""
+        head, route = cut.head, self.config.route
+        found = drop_events(self.pending(cut).withColumn("seq", S.order("seq", "nth", NTH)), route).drop("index_name")
+        if head.drops:
+            older = self.spark.read.schema(DROPS).parquet(f"{self.root}/drops/{head.drops}")
+            found = found.unionByName(older.where(F.col("seq") >= F.lit(str(head.floor)).cast(ORDER)))
+        return found.select("op", *NAMESPACE, "seq")
+
+    def states(self, cut: Cut, index: str | None = None) -> DataFrame:
+        """The states of all documents, dead ones too, with the batches of a cut folded in; see ``operators.states``."""
+        route, head = self.config.route, cut.head
+        events = self.pending(cut).withColumn("seq", S.order("seq", "nth", NTH))
+        if index is not None:
+            events = events.where(F.col("index_name").isin(index, CONTROL))
+        events = events.drop("batch", "index_name", "reject", "nth")
+        base = self._base_scan(head, None if index is None else [index])
+        # A base that was not rewritten since may hold what the head has forgotten.
+        base = None if base is None else S.forgotten(base, head.floor).drop(S.ALIVE)
+        touched = events.where(~F.col("op").isin(*CONTROL_OPS)).select(*NAMESPACE, "uid")
+        rows = S.combined(base, S.states(events, self.policy, route), self.policy, touched, self.broadcast_rows)
+        return S.settled(rows, barriers(self._drops(cut), self.policy, route, self.broadcast_rows), self.policy)
+
     def rows(self, cut: Cut | None = None, index: str | None = None, delta_path: str | None = None) -> DataFrame:
         """Current index rows: the newest bases with the batches above them folded on top.
 
         With ``delta_path`` a large folded delta is written there at once and read from there.
         """
         cut = cut or self.cut()
+        if self.late is not None:
+            rows = self.states(cut, index).where(S.ALIVE).drop(*STATE_COLUMNS).withColumn("seq", F.lit(cut.as_of).cast("bigint"))
+            return rows if index is None else rows.where(F.col("index_name") == index)
         events, base = self.pending(cut), self.base_rows(cut.head, None if index is None else [index])
         if index is not None:
             events = events.where(F.col("index_name").isin(index, CONTROL))
@@ -331,6 +390,15 @@ class IndexStore:
         writers that start from one version, the second fails and leaves the index as it is.
         """
         head, name = cut.head, f"base={uuid.uuid4().hex}"
+        floor, drops, held = None, "", []
+        if self.late is not None:
+            held = list(STATE_COLUMNS)
+            if S.ALIVE in rows.columns:
+                floor = max(head.floor or 0, (cut.as_of - self.late) * NTH)
+                rows, drops = S.forgotten(rows, floor), self._write_drops(cut, floor)
+            else:
+                floor = cut.as_of * NTH + cut.nth + 1
+                rows = S.inserted(rows, floor - 1)
         known = set(head.bases) | {r.index_name for r in rows.select("index_name").distinct().collect()} if indices is None else indices
         if indices is not None:
             rows = rows.where(F.col("index_name").isin(sorted(indices)))
@@ -338,7 +406,7 @@ class IndexStore:
         if known:
             # Rebalancing gives each index few, evenly sized files and splits a large index over many; within a file keys
             # are in order, and a bloom filter tells which files may hold an id.
-            columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows)]
+            columns = ["uid", *NAMESPACE, "index_name", *payload_columns(rows), *held]
             out = rows.select(columns).hint("rebalance", "index_name").sortWithinPartitions("index_name", "uid")
             path = f"{self.root}/bases/{name}"
             out.write.option("parquet.bloom.filter.enabled#uid", "true").partitionBy("index_name").parquet(path)
@@ -354,14 +422,23 @@ class IndexStore:
             rejects = (*rejects, name.removeprefix("base="))
         kept = set(self.batches())
         batches = tuple(b for b in head.batches if b in kept) + cut.batches
-        record = Commit(head.version + 1, cut.as_of, cut.nth, bases, batches, rejects, reason)
+        record = Commit(head.version + 1, cut.as_of, cut.nth, bases, batches, rejects, reason, floor, drops)
         if not files.publish(self.spark, f"{self.commit_path}/{record.version:020d}.json", json.dumps(asdict(record))):
             raise RuntimeError("the index was committed by someone else meanwhile")
         return record
 
+    def _write_drops(self, cut: Cut, floor: int) -> str:
+        """The last drop of each kind and namespace from ``floor`` on, written for later versions."""
+        name = uuid.uuid4().hex
+        kept = self._drops(cut).where(F.col("seq") >= F.lit(str(floor)).cast(ORDER))
+        kept.groupBy("op", *NAMESPACE).agg(F.max("seq").alias("seq")).write.parquet(f"{self.root}/drops/{name}")
+        return name
+
     def compact(self) -> Commit:
         """Folds the log into new bases of the indices it touches, so later reads fold only what comes after."""
         cut = self.cut()
+        if self.late is not None:
+            return self.commit(self.states(cut), cut, "compact", self.touched(cut))
         draft = f"{self.root}/drafts/{uuid.uuid4().hex}"
         try:
             return self.commit(self.rows(cut, delta_path=draft), cut, "compact", self.touched(cut))
@@ -382,6 +459,8 @@ class IndexStore:
         used = {f for c in kept for f in c.bases.values()}
         for name in {f for c in old for f in c.bases.values()} - used:
             files.remove(self.spark, f"{self.root}/bases/{name}")
+        for name in {c.drops for c in old} - {c.drops for c in kept}:
+            files.remove(self.spark, f"{self.root}/drops/{name}")
         for batch in kept[0].batches:
             files.remove(self.spark, f"{self.log_path}/batch={batch}")
         for commit in old:

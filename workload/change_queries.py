@@ -402,6 +402,20 @@ def store_late_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.rejects().select("seq", "op", "reason")
 
 
+def late_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in three parts out of order, compacted in between: every change has the effect it has in its turn."""
+    staged = StagedFeed(spark, sf_dir)
+    doc_type = derive.event_doc_type(spark, sf_dir)
+    store = IndexStore(spark, scratch(spark, "store"), EVENT_CONFIG, doc_type, REPLACE, late=2 * staged.half + 1)
+    events = allow_collections(staged.rows, ALLOWED)
+    part = F.when(F.col("seq") > staged.half, F.lit(0)).otherwise(1 + F.col("seq") % 2)
+    for number in range(3):
+        store.append(events.where(part == number))
+        if number < 2:
+            store.compact()
+    return output(store)
+
+
 def action_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net changes between two committed versions of the index."""
     store, staged = new_store(spark, sf_dir), StagedFeed(spark, sf_dir)
@@ -460,6 +474,7 @@ QUERIES = {
     "store_overlapping_append": store_overlapping_append,
     "store_upsert_then_feed": store_upsert_then_feed,
     "store_late_rejects": store_late_rejects,
+    "late_fold": late_fold,
     "stream_cdc_apply": stream_cdc_apply,
     "stream_restart": stream_restart,
     "stream_pause_reindex": stream_pause_reindex,

@@ -160,6 +160,7 @@ ORACLE_SQL = {
         'supplier', s_acctbal, '2024-02-03', s_name from supplier""",
     "store_late_rejects": f"""with {CHANGES}, {ALLOWED} select seq, op, 'late' as reason from allowed
         where seq <= {HALF}""",
+    "late_fold": applied(),
     "stream_cdc_apply": applied(),
     "stream_restart": applied(),
     "stream_pause_reindex": f"""with {CHANGES}, {ALLOWED}, rebuilt as (
