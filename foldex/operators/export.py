@@ -14,7 +14,7 @@ from foldex.operators.barriers import Barrier, mark_cleared
 NAMES = {"uid": "_id", "collection": "_collection", "database": "_database", "index_name": "index_name"}
 
 
-def _document_key(policy: ApplyPolicy) -> list[str]:
+def document_key(policy: ApplyPolicy) -> list[str]:
     """What identifies a document in its index: an id may repeat in another namespace of the index."""
     return list(dict.fromkeys(["index_name", *(NAMES[k] for k in policy.key_columns)]))
 
@@ -33,7 +33,7 @@ def _body(df: DataFrame, fields: dict[str, T.DataType], policy: ApplyPolicy) ->
     return F.to_json(F.struct(*metadata, *[value(n).alias(n) for n in fields]), options)
 
 
-def _narrowed(df: DataFrame, keys: list[str], touched: DataFrame | None, cleared: Sequence[Barrier]) -> DataFrame:
+def narrowed(df: DataFrame, keys: list[str], touched: DataFrame | None, cleared: Sequence[Barrier]) -> DataFrame:
     """The documents that changes can have altered: touched themselves, or in a namespace that was cleared."""
     if touched is None:
         return df
@@ -48,15 +48,15 @@ def _narrowed(df: DataFrame, keys: list[str], touched: DataFrame | None, cleared
 
 
 def actions(old: DataFrame, new: DataFrame, policy: ApplyPolicy | None = None, touched: DataFrame | None = None,
-            cleared: Sequence[Barrier] = ()) -> DataFrame:
+            cleared: Sequence[Barrier] = (), outlived: Sequence[Barrier] = ()) -> DataFrame:
     """Action rows ``(index_name, database, collection, uid, action, body)`` that turn ``old`` into ``new``.
 
     One action per document that differs: index (new), update (changed) or delete. A document is
     identified as the policy says. With ``touched`` (document keys) and ``cleared`` (drops), only documents
-    that these can have altered are compared.
+    that these can have altered are compared; ``outlived`` are drops that documents of ``new`` may have outlived.
     """
     policy = policy or ApplyPolicy()
-    keys = _document_key(policy)
+    keys = document_key(policy)
     side = [c for c in ("index_name", "_id", "_collection", "_database") if c in old.columns and c in new.columns]
     keys = [k for k in keys if k in side]
     fields = {f.name: f.dataType for df in (new, old) for f in df.schema.fields if f.name not in side}
@@ -64,10 +64,10 @@ def actions(old: DataFrame, new: DataFrame, policy: ApplyPolicy | None = None, t
     carried = [c for c in side if c not in keys]
 
     def read(df: DataFrame, name: str, cleared: Sequence[Barrier]) -> DataFrame:
-        rows = _narrowed(df, keys, wanted, cleared)
+        rows = narrowed(df, keys, wanted, cleared)
         return rows.select(*keys, *[F.col(c).alias(f"{name}{c}") for c in carried], _body(rows, fields, policy).alias(name))
 
-    both = read(old, "_old", cleared).join(read(new, "_new", ()), keys, "full_outer")
+    both = read(old, "_old", cleared).join(read(new, "_new", outlived), keys, "full_outer")
     changed = F.col("_old") != F.col("_new")
     action = F.when(F.col("_old").isNull(), "index").when(F.col("_new").isNull(), "delete").when(changed, "update")
     names = {c: F.coalesce(f"_new{c}", f"_old{c}") if c in carried else F.col(c) for c in side}

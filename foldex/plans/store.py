@@ -31,11 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldex.functions.sizing import BROADCAST_ROWS
+from foldex.functions.sizing import BROADCAST_ROWS, fits_broadcast
 from foldex.model import CHANGE_COLUMNS, CONTROL_OPS, DROP, DROP_DATABASE, NAMESPACE, STATE_COLUMNS, ApplyPolicy, IndexConfig
 from foldex.operators import states as S
-from foldex.operators.barriers import barriers, drop_events
-from foldex.operators.export import actions
+from foldex.operators.barriers import Barrier, barriers, drop_events
+from foldex.operators.export import actions, document_key, narrowed
 from foldex.operators.fold import apply_changes
 from foldex.operators.project import index_documents, payload_columns, project
 from foldex.operators.read import METADATA, IndexView, with_tokens
@@ -352,19 +352,34 @@ class IndexStore:
         If only compactions lie between them, the log names the keys and namespaces that can differ, and
         nothing else is compared; ``columns`` restricts the documents' fields.
         """
+        pick = lambda df: df.select(*METADATA, *columns) if columns else df
+        before, after = (pick(self.version(n).documents) for n in (old, new))
+        touched, cleared = self._between(old, new)
+        return actions(before, after, self.policy, touched, cleared, cleared if self.late is not None else ())
+
+    def altered(self, old: int, new: int, columns: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
+        """The documents of two versions that the log between them can have altered; None if the log does not tell."""
+        touched, cleared = self._between(old, new)
+        if touched is None:
+            return None
+        keys = document_key(self.policy)
+        before, after = (self.version(n).documents.select(*METADATA, *columns) for n in (old, new))
+        wanted = touched.select(*keys).distinct()
+        wanted = F.broadcast(wanted) if fits_broadcast(wanted, self.broadcast_rows) else wanted
+        return narrowed(before, keys, wanted, cleared), narrowed(after, keys, wanted, cleared if self.late is not None else ())
+
+    def _between(self, old: int, new: int) -> tuple[DataFrame | None, Sequence[Barrier]]:
+        """The document keys and the drops that the log names between two versions; no keys if other commits lie between."""
         first, last = self.head(old), self.head(new)
         between = [self._commit(v) for v in self._versions() if old < v <= new]
         folded = set(last.batches) - set(first.batches)
         told = all(c.reason == "compact" for c in between) and folded <= set(self.batches())
-        pick = lambda df: df.select(*METADATA, *columns) if columns else df
-        before, after = (pick(self.version(n).documents) for n in (old, new))
         if not told:
-            return actions(before, after, self.policy)
+            return None, ()
         log = self.log(sorted(folded)).where("reject is null")
         touched = log.where(F.col("index_name") != CONTROL).select(
             "index_name", F.col("uid").alias("_id"), F.col("collection").alias("_collection"), F.col("database").alias("_database"))
-        cleared = barriers(log.drop("index_name"), self.policy, self.config.route, self.broadcast_rows)
-        return actions(before, after, self.policy, touched, cleared)
+        return touched, barriers(log.drop("index_name"), self.policy, self.config.route, self.broadcast_rows)
 
     # -- commits ------------------------------------------------------------------------------
 
