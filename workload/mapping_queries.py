@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from foldex import Analyzer, ApplyPolicy, FieldRule, IndexConfig, IndexStore, IndexView, all_of, index_documents, match_all, project
 from foldex.functions import mappers as m
 from foldex.operators import rejects as R
+from foldex.plans.counts import MaintainedCounts
 from foldex.plans.postings import InvertedIndex
 from foldex.plans.rebuild import RebuildMetrics, backfill, reindex, reindex_changed
 from foldex.plans.store import save_table
@@ -409,21 +411,47 @@ def term_query_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.where(view.term("text", "la")).documents.select("_id", "_collection", "source")
 
 
-def inverted_index(spark: SparkSession, sf_dir: str) -> InvertedIndex:
-    """An inverted index that followed its store over a backfill with stale texts and a feed of inserts, updates and deletes."""
+def followed_store(spark: SparkSession, sf_dir: str, follow: Callable[[IndexStore], object]) -> tuple:
+    """A store after a backfill with stale texts and a feed of inserts, updates and deletes, and what followed it."""
     docs = derive.text_documents(spark, sf_dir)
     number = F.col("uid").cast("bigint")
     store = IndexStore(spark, scratch(spark, "store"), TEXT_CONFIG, docs.schema["doc"].dataType)
     stale = F.col("doc").withField("text", F.lit("la stale text the")).withField("source", F.lit("nowhere"))
     backfill(docs.where(number % 10 != 3).withColumn("doc", F.when(number % 4 == 1, stale).otherwise(F.col("doc"))))(store)
-    index = InvertedIndex(store)
-    index.refresh()
+    follower = follow(store)
+    follower.refresh()
     op = F.when(number % 11 == 5, "delete").when(number % 10 == 3, "insert").when(number % 4 == 1, "update")
     changes = docs.select((number + 1).alias("seq"), op.alias("op"), "database", "collection", "uid", "doc").where("op is not null")
     store.append(changes)
     store.compact()
-    index.refresh()
-    return index
+    follower.refresh()
+    return store, follower
+
+
+def inverted_index(spark: SparkSession, sf_dir: str) -> InvertedIndex:
+    return followed_store(spark, sf_dir, InvertedIndex)[1]
+
+
+def maintained_counts(spark: SparkSession, sf_dir: str) -> MaintainedCounts:
+    """Counts that followed a store, at last over a drop of its French documents."""
+    store, counts = followed_store(spark, sf_dir, MaintainedCounts)
+    french = derive.text_documents(spark, sf_dir).where(F.col("collection") == "fr")
+    store.append(french.select("database", "collection").distinct().select(
+        F.lit(store.head().as_of_seq + 1).cast("bigint").alias("seq"), F.lit("drop").alias("op"), "database", "collection",
+        F.lit(None).cast("string").alias("uid"), F.lit(None).cast(french.schema["doc"].dataType).alias("doc")))
+    store.compact()
+    counts.refresh()
+    return counts
+
+
+def collection_size_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per collection from signed counts alone."""
+    return maintained_counts(spark, sf_dir).sizes()
+
+
+def facet_counts_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per facet value from signed counts alone."""
+    return maintained_counts(spark, sf_dir).facets()
 
 
 def term_query_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,6 +546,8 @@ QUERIES = {
     "match_query_index": match_query_index,
     "term_postings_index": term_postings_index,
     "facet_counts_index": facet_counts_index,
+    "collection_size_maintained": collection_size_maintained,
+    "facet_counts_maintained": facet_counts_maintained,
     "facet_counts_filtered_index": facet_counts_filtered_index,
     "keyword_per_collection": keyword_per_collection,
     "stored_per_collection": stored_per_collection,

@@ -146,6 +146,13 @@ ORACLE_SQL = {
         with h as (select * from documents where doc_id % 11 <> 5)
         select 'source' as dim, source as "value", count(*) as n from h group by source
         union all select '_collection', lang, count(*) from h group by lang""",
+    "collection_size_maintained": """
+        select 'corpus' as _database, lang as _collection, count(*) as n from documents
+        where doc_id % 11 <> 5 and lang <> 'fr' group by lang""",
+    "facet_counts_maintained": """
+        with h as (select * from documents where doc_id % 11 <> 5 and lang <> 'fr')
+        select 'source' as dim, source as "value", count(*) as n from h group by source
+        union all select '_collection', lang, count(*) from h group by lang""",
     "facet_counts_filtered_index": f"""
         with h as (select * from documents where doc_id % 11 <> 5 and lang = 'en' and list_contains({TOKENS}, 'the'))
         select 'source' as dim, source as "value", count(*) as n from h group by source
