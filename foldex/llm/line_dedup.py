@@ -1,14 +1,15 @@
 """Line deduplication: documents probe a sharded minimal perfect hash over line hashes.
 
-Long enough lines are hashed to 128 bits, once per document. Hashes found in enough documents are
-the keys of the index; a line that no rule can drop is never in it. The keys are dealt to shards by
-their first half. Each shard holds a minimal perfect hash (levels of bit arrays, a key's place
-being the rank of its bit) and arrays in that order: the second half of the hash as fingerprint, the number
-of documents, and the document that keeps the line. Line hashes of documents go to their shard and
-probe the arrays; only hits come back. Texts are never joined by line.
+Long enough lines are hashed to 128 bits, once per document. All distinct hashes are the keys of the
+index. They are dealt to shards by their first half. Each shard holds a minimal perfect hash (levels of bit
+arrays, a key's place being the rank of its bit) and compact arrays in that order: the second half of the hash
+as fingerprint, and the number of documents in four bytes, larger numbers as the largest. A third array holds the
+document that keeps the line, only for lines of enough documents; its place is the rank among those. Line
+hashes of documents go to their shard and probe the arrays, whose counts decide; only lines to drop come back.
+Texts are never joined by line.
 
 A line that very many documents share sends them all to one shard. The counts tell how many probes
-a shard will get, so its arrays are copied and its probes are dealt to the copies at random.
+a shard will get, so the arrays of shards with many are copied and their probes are dealt to the copies at random.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from pyspark.sql import functions as F
 from foldex.llm.common import WHITE, row_key, utf8, written
 
 GAMMA = 2.0
-MAX_SHARDS = 4096
 SHARD_KEYS = 50_000
 PROBES = 1_000_000
+#: The largest count of the count arrays; stands for all larger ones.
+COUNTED = 2**32 - 1
+#: Stands for a null id, below all others.
+NO_ID = -2**63
 
 
 def mixed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -93,46 +97,51 @@ def line_hashes(min_chars: int):
     return run
 
 
-def build_shard(table: pa.Table) -> pa.Table:
-    """One row with a shard's index."""
-    keys = table.column("hash").to_numpy().view(np.uint64)
-    # Keys that share 64 of their 128 bits cannot share a place; the later ones go beside the hash.
-    first = np.zeros(len(keys), bool)
-    first[np.unique(keys, return_index=True)[1]] = True
-    bits, sizes = build_hash(keys[first])
-    order = np.concatenate([np.flatnonzero(first)[np.argsort(places(bits, sizes, keys[first]))], np.flatnonzero(~first)])
-    def column(name, kind, fill=0):
-        return table.column(name).fill_null(fill).to_numpy().astype(kind)[order].tobytes()
-    return pa.table({
-        "shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
-        "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
-        "sizes": pa.array([sizes], pa.list_(pa.int64())),
-        "extra": pa.array([keys[~first].tobytes()], pa.binary()),
-        "prints": pa.array([column("print", np.int64)], pa.binary()),
-        "counts": pa.array([column("n", np.int64)], pa.binary()),
-        "keepers": pa.array([column("keeper", np.int64, -2**63)], pa.binary()),
-    })
+def build_shard(min_docs: int):
+    def run(table: pa.Table) -> pa.Table:
+        """One row with a shard's index."""
+        keys = table.column("hash").to_numpy().view(np.uint64)
+        # Keys that share 64 of their 128 bits cannot share a place; the later ones go beside the hash.
+        first = np.zeros(len(keys), bool)
+        first[np.unique(keys, return_index=True)[1]] = True
+        bits, sizes = build_hash(keys[first])
+        order = np.concatenate([np.flatnonzero(first)[np.argsort(places(bits, sizes, keys[first]))], np.flatnonzero(~first)])
+        counts = np.minimum(table.column("n").to_numpy()[order], COUNTED).astype(np.uint32)
+        keepers = table.column("keeper").fill_null(NO_ID).to_numpy()[order]
+        return pa.table({
+            "shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
+            "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
+            "sizes": pa.array([sizes], pa.list_(pa.int64())),
+            "extra": pa.array([keys[~first].tobytes()], pa.binary()),
+            "prints": pa.array([table.column("print").to_numpy()[order].tobytes()], pa.binary()),
+            "counts": pa.array([counts.tobytes()], pa.binary()),
+            "keepers": pa.array([keepers[counts >= min_docs].tobytes()], pa.binary()),
+        })
+    return run
 
 
 def probe(min_docs: int):
     def run(probes: pa.Table, index: pa.Table) -> pa.Table:
-        """The probes whose line goes: it is in the index and the document is not its keeper."""
+        """The probes whose line goes: enough documents hold it and the document is not its keeper."""
         if not index.num_rows or not probes.num_rows:
             return probes.select(["row", "hash"]).slice(0, 0)
         shard = index.to_pylist()[0]
         sizes = shard["sizes"]
         bits = np.unpackbits(np.frombuffer(shard["bits"], np.uint8), count=sum(sizes)).astype(bool)
-        prints, counts, keepers = (np.frombuffer(shard[c], np.int64) for c in ("prints", "counts", "keepers"))
+        prints, keepers = (np.frombuffer(shard[c], np.int64) for c in ("prints", "keepers"))
+        frequent = np.frombuffer(shard["counts"], np.uint32) >= min_docs
         keys = probes.column("hash").to_numpy().view(np.uint64)
-        own, doc = probes.column("print").to_numpy(), probes.column("doc_id").fill_null(-2**63).to_numpy()
+        own, doc = probes.column("print").to_numpy(), probes.column("doc_id").fill_null(NO_ID).to_numpy()
         at = places(bits, sizes, keys)
         found = (at >= 0) & (prints[at] == own)
         extra = np.frombuffer(shard["extra"], np.uint64)
         for i, key in enumerate(extra, len(prints) - len(extra)):
             same = (keys == key) & (prints[i] == own)
             at[same], found = i, found | same
-        gone = found & (counts[at] >= min_docs) & (keepers[at] != doc)
-        return probes.select(["row", "hash"]).filter(pa.array(gone))
+        hit = np.flatnonzero(found & frequent[at])
+        rank = np.cumsum(frequent) - 1
+        gone = hit[keepers[rank[at[hit]]] != doc[hit]]
+        return probes.select(["row", "hash"]).take(pa.array(gone))
     return run
 
 
@@ -162,23 +171,23 @@ def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     narrow = docs.select(row_key("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint"), "text")
     lines = written(narrow.mapInArrow(line_hashes(min_chars), "row long, doc_id long, hash long, print long"), "lines")
     keys = lines.groupBy("hash", "print").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
-    keys = written(keys.where(F.col("n") >= min_docs), "line-keys")
+    keys = written(keys, "line-keys")
 
-    total = lines.count()
-    shards = min(MAX_SHARDS, max(64, keys.count() // SHARD_KEYS))
+    size = keys.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("probes")).first()
+    shards = max(64, size["keys"] // SHARD_KEYS)
     shard = F.pmod("hash", F.lit(shards)).cast("int")
     index = keys.withColumn("shard", shard).groupBy("shard").applyInArrow(
-        build_shard, "shard int, bits binary, sizes array<long>, extra binary, prints binary, counts binary, keepers binary")
-    # A shard gets its even share of all probes, and one for each document that holds one of its keys.
-    load = F.lit(total / shards) + F.sum("n")
-    copies = keys.groupBy(shard.alias("shard")).agg(
-        F.ceil(load / max(1.0, min(PROBES, 2 * total / shards))).cast("int").alias("copies"))
-    # What is broadcast is at most MAX_SHARDS rows of two integers, or one row for each task of the probing.
-    copies = written(copies, "line-shards")
-    probes = lines.withColumn("shard", shard).join(F.broadcast(copies), "shard").withColumn(
-        "copy", F.pmod(F.xxhash64("row", "hash"), "copies").cast("int"))
-    each = copies.select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    dealt = index.join(F.broadcast(each), "shard")
+        build_shard(min_docs), "shard int, bits binary, sizes array<long>, extra binary, prints binary, counts binary, keepers binary")
+    # A shard gets as many probes as its keys have documents. Only shards with more than twice their even share, or with more than
+    # PROBES, are copied, so what is broadcast has one row of two integers for each of at most shards / 2 such shards,
+    # and for each task's worth of probes.
+    copies = F.ceil(F.sum("n") / max(1.0, min(PROBES, 2 * size["probes"] / shards))).cast("int")
+    hot = written(keys.groupBy(shard.alias("shard")).agg(copies.alias("copies")).where("copies > 1"), "line-shards")
+    copy = F.coalesce(F.pmod(F.xxhash64("row", "hash"), "copies").cast("int"), F.lit(0))
+    probes = lines.withColumn("shard", shard).join(F.broadcast(hot), "shard", "left").select(
+        *lines.columns, "shard", copy.alias("copy"))
+    dealt = index.join(F.broadcast(hot), "shard", "left").select(
+        *index.columns, F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
     hits = probes.groupBy("shard", "copy").cogroup(dealt.groupBy("shard", "copy")).applyInArrow(
         probe(min_docs), "row long, hash long")
     # At most the distinct lines of one document.
