@@ -9,9 +9,12 @@ number. Points are made in order of time, only up to the time by which all regis
 
 Documents with equal bags are one node. Nodes that share a band are compared with the band's smallest node first,
 which joins most of a group of copies. What is left are pairs of a band in different components. Blocks of nodes
-meet for them: signatures are compared, the most similar pairs are verified first, and a pair that links have
-meanwhile joined is passed over. So no pairs leave a task but links, yet no pair that shares a band is left out
-unless its signatures differ far more than chance lets similar bags differ. Every link is verified on whole bags.
+meet for them, first with their signatures alone: only nodes with a promising partner stay. They meet again with their
+texts: the most similar pairs are verified first, and a pair that links have meanwhile joined is passed over. So no
+pairs leave a task but links. With ``agree`` = 0 every pair that shares a band is promising; above it, pairs are left out
+whose signatures agree in a smaller share of registers. Every link is verified on whole bags.
+
+A row is known by a number that the first written table gives it, its text by two hashes of 64 bits each.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldex.llm.common import row_key, utf8, written
@@ -32,8 +35,8 @@ THRESHOLD = 0.8
 #: 21 bands of 6 registers: a pair of similarity 0.8 shares a band with probability 0.998.
 BANDS, ROWS = 21, 6
 REGISTERS = BANDS * ROWS
-#: Signatures of similar bags agree in a smaller share than the similarity by this with probability 0.0004.
-SLACK = 0.12
+#: Pairs whose signatures agree in a smaller share of registers are not verified: of pairs of similarity 0.8 a share of 0.0004. With 0, all are verified.
+AGREE = 0.68
 #: Nodes of a band that meet another as many in one task.
 BLOCK = 1000
 U = np.uint64
@@ -151,27 +154,41 @@ def promising(least: float) -> Callable:
     return run
 
 
+def apart(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The promising pairs of two blocks of a band (``side`` 1 and 2, or 0: both), as places in ``table``, and how far they agree.
+
+    Pairs of different components for which this is the first band they share.
+    """
+    side, node = table.column("side").to_numpy(), table.column("node").to_numpy()
+    component, here = table.column("component").to_numpy(), table.column("band")[0].as_py()
+    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    band = np.stack(table.column("bands").to_pylist())
+    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+    found = []
+    for i in left:
+        other = right[(component[right] != component[i]) & ((side[i] != 0) | (node[right] > node[i]))]
+        share = (signature[other] == signature[i]).mean(axis=1)
+        keep = share >= least
+        if here:
+            keep[keep] = ~(band[other[keep], :here] == band[i, :here]).any(axis=1)
+        found.append((np.full(keep.sum(), i), other[keep], share[keep]))
+    a, b, share = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    return a, b, share
+
+
+def partnered(least: float) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        """The nodes with a promising partner in these blocks."""
+        a, b, _ = apart(table, least)
+        return table.select(["band", "hash", "i", "j", "node", "component", "side"]).take(pa.array(np.union1d(a, b).astype(np.int64)))
+    return run
+
+
 def joined(words: int, threshold: float, least: float) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        """Links between components, from two blocks of a band (``side`` 1 and 2, or 0: both).
-
-        Looks at pairs for which this is the first band they share and whose signatures agree enough, the
-        most similar first, while their components are apart.
-        """
-        side, row = table.column("side").to_numpy(), table.column("row").to_numpy()
-        component, here = table.column("component").to_numpy(), table.column("band")[0].as_py()
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        band = np.stack(table.column("bands").to_pylist())
-        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-        found = []
-        for i in left:
-            other = right[(component[right] != component[i]) & ((side[i] != 0) | (row[right] > row[i]))]
-            share = (signature[other] == signature[i]).mean(axis=1)
-            keep = share >= least
-            if here:
-                keep[keep] = ~(band[other[keep], :here] == band[i, :here]).any(axis=1)
-            found.append((np.full(keep.sum(), i), other[keep], share[keep]))
-        a, b, share = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        """Links between components: the most similar promising pairs first, while their components are apart."""
+        component, node = table.column("component").to_numpy(), table.column("node").to_numpy()
+        a, b, share = apart(table, least)
         hashes, bags, texts = WordHashes(), {}, {i: table.column("text")[int(i)] for i in {*a.tolist(), *b.tolist()}}
         parent = {c: c for c in component.tolist()}
 
@@ -191,7 +208,7 @@ def joined(words: int, threshold: float, least: float) -> Callable[[pa.Table], p
             x, y = top(int(component[i])), top(int(component[j]))
             if x != y and similarity(bag_of(i), bag_of(j)) >= threshold:
                 parent[x] = y
-                links.append((int(row[i]), int(row[j])))
+                links.append((int(node[i]), int(node[j])))
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
     return run
 
@@ -213,10 +230,10 @@ def signed(words: int) -> Callable:
                     names = [xxhash.xxh3_128_digest(b[0].tobytes() + b[1].tobytes()) for b in held]
                     halves = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays([
-                        batch.column("row"), batch.column("doc_id"), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
+                        batch.column("row"), batch.column("check"), batch.column("doc_id"), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
                         pa.array([f if len(b[0]) else [] for f, b in zip(found, held)], pa.list_(pa.int64())),
                         pa.array([x.tobytes() for x in short(times)], pa.binary()),
-                    ], ["row", "doc_id", "bag1", "bag2", "bands", "signature"])
+                    ], ["row", "check", "doc_id", "bag1", "bag2", "bands", "signature"])
                     start, held, size = i + 1, [], 0
     return run
 
@@ -260,70 +277,84 @@ def components(links: DataFrame) -> DataFrame:
 
 # --- operator ----------------------------------------------------------------------------------
 
-def near_links(docs: DataFrame, nodes: DataFrame, words: int, threshold: float) -> DataFrame:
-    """(node, component) of the nodes that have a verified link; ``nodes``: row, bands, signature."""
-    least = threshold - SLACK
-    banded = nodes.select("row", F.posexplode("bands").alias("band", "hash"))
-    shared = banded.groupBy("band", "hash").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+def text_key() -> list[Column]:
+    """Two independent hashes of a document's id and text, ``row`` and ``check``."""
+    return [row_key("doc_id", "text").alias("row"), F.xxhash64(F.lit("check"), "doc_id", "text").alias("check")]
+
+
+def near_links(docs: DataFrame, nodes: DataFrame, words: int, threshold: float, agree: float) -> DataFrame:
+    """(node, component) of the nodes that have a verified link; ``nodes``: node, row, check, bands, signature."""
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
+    shared = banded.groupBy("band", "hash").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
     shared = written(shared.where("n > 1"), "buckets")
     members = written(banded.join(shared, ["band", "hash"]), "members")
-    some = members.select("row").distinct()
     # Always by sorting: a broadcast that fits small inputs only would make them look cheaper than they are.
-    texts = docs.select(row_key("doc_id", "text").alias("row"), "text").join(some.hint("merge"), "row", "left_semi")
-    texts = written(texts.dropDuplicates(["row"]).join(nodes, "row"), "texts")
+    some = nodes.join(members.select("node").distinct().hint("merge"), "node", "left_semi")
+    texts = docs.select(*text_key(), "text").join(some.hint("merge"), ["row", "check"]).drop("row", "check")
+    texts = written(texts.dropDuplicates(["node"]), "texts")
 
-    stars = members.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
+    stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     for end in "ab":
-        side = {"row": end, "signature": f"signature_{end}"}
+        side = {"node": end, "signature": f"signature_{end}"}
         stars = stars.join(texts.select(*[F.col(k).alias(v) for k, v in side.items()]), end)
-    stars = stars.mapInArrow(promising(least), "a long, b long")
+    stars = stars.mapInArrow(promising(agree), "a long, b long")
     for end in "ab":
-        stars = stars.join(texts.select(F.col("row").alias(end), F.col("text").alias(f"text_{end}")), end)
+        stars = stars.join(texts.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}")), end)
     links = written(stars.mapInArrow(verified(words, threshold), "a long, b long"), "stars")
 
     found = components(links)
-    held = members.join(found.select(F.col("node").alias("row"), "component"), "row", "left").withColumn(
-        "component", F.coalesce("component", "row"))
+    held = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = held.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     held = held.join(written(split.select("band", "hash"), "split"), ["band", "hash"])
-    # Every two blocks of a band meet once; a node is sent along once for each block.
+    # Every two blocks of a band meet once; a node's signature is sent along once for each block.
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("row"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "band", "hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "component",
+        "band", "hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component",
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
-    more = written(dealt.join(texts, "row").groupBy("band", "hash", "i", "j").applyInArrow(
-        joined(words, threshold, least), "a long, b long"), "across")
+    met = ["band", "hash", "i", "j"]
+    some = written(dealt.join(texts.drop("text"), "node").groupBy(*met).applyInArrow(partnered(agree), dealt.schema), "partnered")
+    more = written(some.join(texts, "node").groupBy(*met).applyInArrow(joined(words, threshold, agree), "a long, b long"), "across")
     return found if more.isEmpty() else components(links.unionByName(more))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+def classified(docs: DataFrame, words: int, threshold: float, agree: float) -> DataFrame:
+    """Per document: row, check, doc_id, class_id, class_size and kept."""
+    narrow = docs.select(*text_key(), F.col("doc_id").cast("bigint"), "text")
+    kinds = "row long, check long, doc_id long, bag1 long, bag2 long, bands array<long>, signature binary"
+    base = written(narrow.mapInArrow(signed(words), kinds).withColumn("node", F.monotonically_increasing_id()), "bags")
+    same = written(base.groupBy("bag1", "bag2").agg(F.min("node").alias("first")), "same")
+    nodes = base.join(same.select(F.col("first").alias("node")), "node", "left_semi")
+    found = near_links(docs, nodes.select("node", "row", "check", "bands", "signature"), words, threshold, agree)
+
+    named = same.join(found.select(F.col("node").alias("first"), "component"), "first", "left").select(
+        "bag1", "bag2", F.coalesce("component", "first").alias("component"))
+    rows = base.select("row", "check", "doc_id", "node", "bag1", "bag2").join(written(named, "named"), ["bag1", "bag2"])
+    rows = written(rows.select("row", "check", "doc_id", "node", "component"), "classes")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
+    classes = written(rows.groupBy("component").agg(best.alias("best"), F.count(F.lit(1)).alias("class_size")), "class-heads")
+    return rows.join(classes, "component").select(
+        "row", "check", "doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("node") == F.col("best.node")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, agree: float = AGREE) -> DataFrame:
     """Per document: row (its row key), doc_id, class_id, class_size and kept.
 
     Documents linked by similarity of at least ``threshold``, directly or over others, form a class, named by its
     smallest doc_id (null last), whose document is kept; of repeated rows one is kept. Texts without words
     (null, empty) are equal. Texts of fewer words than a shingle are one shingle. An empty table gives no rows.
+    Pairs whose signatures agree in a smaller share than ``agree`` are not verified; with 0, all pairs of a band are.
     """
-    narrow = docs.select(row_key("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint"), "text")
-    kinds = "row long, doc_id long, bag1 long, bag2 long, bands array<long>, signature binary"
-    base = written(narrow.mapInArrow(signed(words), kinds).withColumn("uid", F.monotonically_increasing_id()), "bags")
-    same = written(base.groupBy("bag1", "bag2").agg(F.min("row").alias("first")), "same")
-    nodes = base.join(same.select(F.col("first").alias("row")), "row", "left_semi").dropDuplicates(["row"])
-    found = near_links(docs, nodes.select("row", "bands", "signature"), words, threshold)
+    return classified(docs, words, threshold, agree).drop("check")
 
-    named = same.join(found.select(F.col("node").alias("first"), "component"), "first", "left").select(
-        "bag1", "bag2", F.coalesce("component", "first").alias("component"))
-    rows = base.select("row", "doc_id", "uid", "bag1", "bag2").join(written(named, "named"), ["bag1", "bag2"])
-    rows = written(rows.select("row", "doc_id", "uid", "component"), "classes")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
-    classes = written(rows.groupBy("component").agg(best.alias("best"), F.count(F.lit(1)).alias("class_size")), "class-heads")
-    return rows.join(classes, "component").select(
-        "row", "doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("best.uid")).alias("kept"))
 
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, agree: float = AGREE) -> DataFrame:
+    """The documents, one of each class of ``near_duplicates``, with all their columns.
 
-def without_near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, one of each class."""
-    kept = near_duplicates(docs, words, threshold).where("kept").select("row")
+    The document of the smallest doc_id stays (null last). Of rows with equal id and text one stays. One of the
+    documents without words stays, null or empty. An empty table stays empty.
+    """
+    kept = classified(docs, words, threshold, agree).where("kept").select("row", "check")
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = docs.select(doc, row_key("doc_id", "text").alias("row"))
-    return rows.join(kept, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
+    rows = docs.select(doc, *text_key())
+    return rows.join(kept, ["row", "check"], "left_semi").dropDuplicates(["row", "check"]).select("doc.*")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from foldex.llm import exact_dedup, languages, line_dedup, near_dedup, scoring, secrets
@@ -143,6 +144,17 @@ def test_perfect_hash_is_minimal_and_rejects_strangers():
     assert line_dedup.build_hash(np.zeros(0, np.uint64))[1] == []
 
 
+def test_shards_index_every_line_and_keep_ids_of_frequent_ones():
+    keys = pa.table({"shard": pa.array([3] * 4, pa.int32()), "hash": [11, 12, 12, 13], "print": [1, 2, 3, 4],
+                     "n": [1, 5, 2**40, 4], "keeper": [70, None, 90, 91]})
+    index = line_dedup.build_shard(5)(keys)
+    row = index.to_pylist()[0]
+    assert len(row["prints"]) == 8 * 4 and len(row["counts"]) == 4 * 4 and len(row["keepers"]) == 8 * 2
+    probes = pa.table({"row": [1, 2, 3, 4, 5, 6, 7], "hash": [11, 12, 12, 12, 12, 13, 14], "print": [1, 2, 3, 3, 9, 4, 4],
+                       "doc_id": pa.array([5, 5, 5, 90, 5, 5, 5], pa.int64())})
+    assert line_dedup.probe(5)(probes, index).column("row").to_pylist() == [2, 3]
+
+
 # --- exact copies ------------------------------------------------------------------------------
 
 def test_exact_copies(documents, hard_texts):
@@ -229,6 +241,23 @@ def test_many_copies_of_one_text_make_few_pairs(documents):
     assert {r.class_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+@pytest.mark.parametrize("agree", [0.0, near_dedup.AGREE])
+def test_pairs_of_all_blocks_are_verified(documents, monkeypatch, agree):
+    """Chains of texts that only meet across blocks of a band, with every pair verified or only promising ones."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rng = np.random.default_rng(3)
+    rows = []
+    for chain in range(3):
+        words = [f"c{chain}w{i}" for i in range(120)]
+        for step in range(20):
+            words[int(rng.integers(120))] = f"c{chain}n{step}"
+            rows.append((100 * chain + step, " ".join(words)))
+    by = defaultdict(list)
+    for r in near_dedup.near_duplicates(documents(rows), agree=agree).collect():
+        by[r.class_id].append(r.doc_id)
+    assert Counter(tuple(sorted(m)) for m in by.values()) == plain_classes(rows)
+
+
 def test_near_stage_keeps_columns_and_one_of_each(documents):
     docs = table(documents, [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words are here now"), (4, None)])
     out = near_dedup.without_near_duplicates(docs)
