@@ -96,8 +96,8 @@ def _groups(config: IndexConfig, schemas: dict[str, T.StructType]) -> list[tuple
     return groups
 
 
-def _unify(name: str, branches: list[tuple[list[str], Mapped]]) -> tuple[Column, T.DataType]:
-    """One column for an index field that several collections fill."""
+def _unify(name: str, branches: list[tuple[list[str], Mapped]], rows: set[str] | None = None) -> tuple[Column, T.DataType]:
+    """One column for an index field that several collections fill; plain if all collections of the ``rows`` fill it alike."""
     if len({m.data_type.simpleString() for _, m in branches}) > 1:
         raise MappingError(f"index field '{name}' has different types in different collections")
     multi = any(m.multi for _, m in branches)
@@ -108,6 +108,8 @@ def _unify(name: str, branches: list[tuple[list[str], Mapped]]) -> tuple[Column,
             return F.when(m.value.isNotNull(), F.array(m.value))
         return m.value
 
+    if rows is not None and set(branches[0][0]) == rows:
+        return shaped(branches[0][1]), T.ArrayType(element) if multi else element
     collection = F.col("collection")
     value = reduce(
         lambda chain, b: chain.when(collection.isin(b[0]), shaped(b[1])), branches[1:],
@@ -126,13 +128,18 @@ def _extension(config: IndexConfig, doc: Column, target: dict[str, Column]) -> C
 
 
 def project(docs: DataFrame, config: IndexConfig, policy: ApplyPolicy = DEFAULT_POLICY,
-            doc: str = "doc") -> DataFrame:
+            doc: str = "doc", ruled_only: bool = False) -> DataFrame:
     """Replaces ``doc`` by the index fields of its collection and adds ``index_name``.
 
     Works on batch and streaming rows alike, in one pass and without a shuffle. Collections
     without rules keep only their metadata columns. Documents are structs, variants, or JSON text: with a declared
     schema that is parsed as such, without one as a variant.
+
+    With ``ruled_only`` rows of collections without rules are left out. A field that all other collections fill by the same
+    rules then is a plain expression, so comparisons with it reach the scan.
     """
+    if ruled_only:
+        docs = docs.where(F.col("collection").isin(list(config.rules)))
     routed = docs.withColumn("index_name", config.route(F.col("database"), F.col("collection")))
     data_type = docs.schema[doc].dataType
     if isinstance(data_type, T.StructType | T.VariantType):
@@ -146,7 +153,8 @@ def project(docs: DataFrame, config: IndexConfig, policy: ApplyPolicy = DEFAULT_
         compiled = compile_rules(rules, sources[names[0]], schemas[names[0]], config, policy)
         for field_name, mapped in compiled.items():
             branches.setdefault(field_name, []).append((names, mapped))
-    unified = {name: _unify(name, b) for name, b in branches.items()}
+    rows = set(config.rules) if ruled_only else None
+    unified = {name: _unify(name, b, rows) for name, b in branches.items()}
     fields = {name: value for name, (value, _) in unified.items()}
 
     kept = [F.col(c) for c in docs.columns if c != doc]

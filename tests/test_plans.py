@@ -29,6 +29,22 @@ def test_document_operators_do_not_shuffle(spark, sf_dir, name):
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
+def test_ranges_reach_the_scan_of_the_documents(spark, sf_dir):
+    text = plan(mapping_queries.QUERIES["numeric_range"](spark, sf_dir))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text)[1]
+    assert "GreaterThanOrEqual(n_chars,500)" in pushed and "LessThanOrEqual(n_chars,5000)" in pushed and "CASE" not in text
+
+
+def test_projection_of_ruled_collections_only(spark, sf_dir):
+    docs = derive.text_documents(spark, sf_dir)
+    config = IndexConfig(rules={"de": (FieldRule("n_chars", "n_chars", m.to_long), FieldRule("lang", "source", m.to_string)),
+                                "en": (FieldRule("n_chars", "n_chars", m.to_long),)})
+    some, every = (index_documents(project(docs, config, ruled_only=only)) for only in (True, False))
+    columns = ["_id", "_collection", "n_chars", "source"]
+    wanted = every.where(F.col("_collection").isin("de", "en")).select(columns).collect()
+    assert sorted(some.select(columns).collect()) == sorted(wanted) and 0 < len(wanted) < every.count()
+
+
 def test_rebuild_does_not_shuffle(spark, sf_dir):
     text = plan(change_queries.reindex_collections(spark, sf_dir))
     assert text.count("Exchange") == text.count("REPARTITION_BY_NUM")

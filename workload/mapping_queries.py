@@ -101,7 +101,7 @@ def map_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numeric_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = text_view(spark, sf_dir)
+    view = text_view(spark, sf_dir, ruled_only=True)
     hits = view.where(view.between("n_chars", 500, 5000)).documents
     return hits.select("_id", "_collection", "n_chars")
 
@@ -242,8 +242,9 @@ TEXT_RULES = (
 TEXT_CONFIG = IndexConfig(rules={lang: TEXT_RULES for lang in LANGUAGES}, facets=("source", "_collection"))
 
 
-def text_view(spark: SparkSession, sf_dir: str, config: IndexConfig = TEXT_CONFIG) -> IndexView:
-    return IndexView(index_documents(project(derive.text_documents(spark, sf_dir), config)), config)
+def text_view(spark: SparkSession, sf_dir: str, config: IndexConfig = TEXT_CONFIG, ruled_only: bool = False) -> IndexView:
+    projected = project(derive.text_documents(spark, sf_dir), config, ruled_only=ruled_only)
+    return IndexView(index_documents(projected), config)
 
 
 def project_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
