@@ -194,7 +194,8 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
     Learned from ``text`` and ``lang`` of documents that are not held out and have a ``lang``; a null
     doc_id is not held out. ``score`` is the share of the predicted language. Texts that are null or have no
-    letter are ``und`` with score 0, as all are if nothing could be learned. Every row is predicted.
+    letter are ``und`` with score 0, as all are if nothing could be learned. Every row is predicted, repeated rows too, and
+    whole texts however long; equal texts get equal results but for rounding. Of languages that are equally likely the first by name is taken. An empty table gives no rows.
     """
     names, model = language_model(docs)
     rows = docs.select(F.col("doc_id").cast("bigint"), held_out().alias("held_out"), "text")
@@ -208,6 +209,7 @@ def in_known_language(docs: DataFrame, deviations: float = DEVIATIONS) -> DataFr
     Texts without letters go, and those whose log-likelihood per feature, under the mixture of all their languages, lies more
     than ``deviations`` standard deviations below the mean of the labelled texts. The variance is that of labelled
     texts, and that of single features over the text's number of features, so short texts are judged with care.
+    Repeated rows are judged alike; texts are judged whole; all columns stay. An empty table stays empty.
     """
     names, model = language_model(docs)
     if not names:

@@ -373,6 +373,83 @@ def test_languages_of_held_out_documents(spark, sf_dir):
     assert all(0 <= r.score <= 1 and abs(sum(r.shares) - 1) < 1e-3 for r in got)
 
 
+def plain_features(text):
+    """Counts of hashed trigrams of letters, with 0 between words, one character after another."""
+    codes, inside = [0], False
+    for c in (text or "").lower():
+        if c.isalpha() or inside:
+            codes.append(ord(c) if c.isalpha() else 0)
+        inside = c.isalpha()
+    codes.append(0)
+    out = Counter()
+    for x, y, z in zip(codes, codes[1:], codes[2:]):
+        h = (x * 0x9E3779B1 + y * 0x85EBCA77 + z * 0xC2B2AE3D) % 2**32
+        out[((h ^ (h >> 15)) * 0x2C1B3C6D % 2**32) >> (32 - languages.BITS)] += 1
+    return out if any(codes) else Counter()
+
+
+def plain_languages(rows):
+    """Per row its languages with their shares, the largest first, in plain loops over (doc_id, text, lang)."""
+    model = defaultdict(Counter)
+    for i, text, lang in rows:
+        if lang is not None and (i is None or zlib.crc32(str(i).encode()) % 4 != 2):
+            model[lang].update(plain_features(text))
+    total = {lang: n.total() + languages.SMOOTHING * languages.FEATURES for lang, n in model.items()}
+
+    def p(lang, feature):
+        return (model[lang][feature] + languages.SMOOTHING) / total[lang]
+
+    def fitted(n, names):
+        weights = {x: 1 / len(names) for x in names}
+        for _ in range(languages.ROUNDS):
+            share = Counter()
+            for f, count in n.items():
+                parts = {x: weights[x] * p(x, f) for x in names}
+                for x in names:
+                    share[x] += count * parts[x] / sum(parts.values())
+            weights = {x: share[x] / n.total() for x in names}
+        return weights, sum(count * math.log(sum(weights[x] * p(x, f) for x in names)) for f, count in n.items())
+
+    out = []
+    for _, text, _ in rows:
+        n, names = plain_features(text), sorted(model)
+        if not n or not names:
+            out.append([])
+            continue
+        alone = {x: sum(count * math.log(p(x, f)) for f, count in n.items()) for x in names}
+        best = max(names, key=lambda x: alone[x])
+        score, found = alone[best], [(best, 1.0)]
+        every, _ = fitted(n, names)
+        order = sorted(names, key=lambda x: -every[x])
+        for k in range(2, len(names) + 1):
+            weights, fit = fitted(n, order[:k])
+            gain = fit - languages.PENALTY * (k - 1) * math.log(n.total() + 1)
+            if gain <= score:
+                break
+            score, found = gain, sorted(weights.items(), key=lambda x: -x[1])
+        out.append(found)
+    return out
+
+
+def test_languages_equal_plain_version(spark, documents, hard_texts, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(150).collect()
+    body = {x: " ".join(d.text or "" for d in docs if d.lang == x) for x in sorted({d.lang for d in docs if d.lang})}
+    some = list(body)
+    rows = [(d.doc_id, d.text, d.lang) for d in docs]
+    rows += [(20_000 + i, body[x][:1500] + " " + body[y][:500 + 400 * i], None) for i, (x, y) in enumerate(zip(some, some[1:]))]
+    rows += [(30_000, " ".join(t[:1200] for t in body.values()), None), (30_001, "x", None), (30_002, "qzx jjkq", None)]
+    rows += [(40_000 + i, t[:3000] if t else t, None) for i, (_, t) in enumerate(hard_texts)]
+    got = {r.doc_id: r for r in languages.predict_languages(documents([(i, t, x, "a") for i, t, x in rows])).collect()}
+    assert len(got) == len(rows)
+    several = 0
+    for (i, _, _), want in zip(rows, plain_languages(rows)):
+        row = got[i]
+        assert (row.lang_pred, sorted(row.langs)) == (want[0][0] if want else "und", sorted(x for x, _ in want)), i
+        assert dict(zip(row.langs, row.shares)) == pytest.approx(dict(want), abs=2e-3), i
+        several += len(want) > 1
+    assert several >= len(some) - 1
+
+
 def test_mixed_languages(spark, documents, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     english, french = (" ".join(d.text for d in docs if d.lang == x)[:3000] for x in ("en", "fr"))
