@@ -11,6 +11,7 @@ from foldex.functions.running import last_before, order_ranges, running_max
 from foldex.functions.variants import mismatch
 from foldex.model import (
     CHANGE_COLUMNS,
+    CONTROL_OPS,
     DELETE,
     DOCUMENT_OPS,
     DROP_DATABASE,
@@ -73,7 +74,8 @@ def document_reason(changes: DataFrame, config: IndexConfig, doc: str = "doc", s
     """Why a change's JSON document cannot be used, or null; documents that are structs have no faults.
 
     Strict typing (the configuration's by default) also refuses values that a rule would convert or not take,
-    through embedded documents and arrays of documents at any depth.
+    through embedded documents and arrays of documents at any depth. A drop is known by its namespace: whatever
+    it carries as a document is not looked at.
     """
     data_type = changes.schema[doc].dataType
     if not isinstance(data_type, T.StringType | T.VariantType):
@@ -83,7 +85,7 @@ def document_reason(changes: DataFrame, config: IndexConfig, doc: str = "doc", s
     reason = F.when(unreadable, "unreadable_document")
     if config.strict_types if strict is None else strict:
         reason = reason.when(_mismatch(config, variant), "type_mismatch")
-    return reason
+    return F.when(~F.coalesce(F.col("op").isin(*CONTROL_OPS), F.lit(False)), reason)
 
 
 def type_mismatches(events: DataFrame, config: IndexConfig, doc: str = "doc") -> DataFrame:

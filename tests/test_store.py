@@ -214,6 +214,22 @@ def test_rejects_of_unreadable_and_conflicting_changes(spark, folder):
         store.compact()
 
 
+def test_drops_count_whatever_document_they_carry(spark, folder):
+    schema = spark.createDataFrame([], "doc struct<value:bigint>").schema["doc"].dataType
+    rules = [FieldRule("value", "value", m.to_long)]
+    config = IndexConfig(rules={"c0": rules, "c1": rules}, schemas={"c0": schema}, strict_types=True)
+    store = IndexStore(spark, folder("store"), config, spark.createDataFrame([], "doc string").schema["doc"].dataType)
+    rows = [(1, "insert", "db0", "c0", "a", '{"value": 1}'), (2, "insert", "db0", "c1", "b", '{"value": 1}'),
+            (3, "insert", "db1", "c1", "c", '{"value": 1}'), (4, "drop", "db0", "c0", None, "{broken"),
+            (5, "drop", "db0", "c1", None, '{"value": "text"}'), (6, "insert", "db0", "c0", "d", '{"value": 2}'),
+            (7, "drop_database", "db1", None, None, "[1]"), (8, "insert", "db1", "c1", "e", "{broken")]
+    store.append(spark.createDataFrame(rows, "seq bigint, op string, database string, collection string, uid string, doc string"))
+    for _ in range(2):
+        assert {r._id: r.value for r in store.view().documents.collect()} == {"d": 2}
+        assert {(r.seq, r.reason) for r in store.rejects().collect()} == {(8, "unreadable_document")}
+        store.compact()
+
+
 # -- layout ------------------------------------------------------------------------------------------
 
 
