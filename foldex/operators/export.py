@@ -34,26 +34,29 @@ def _body(df: DataFrame, fields: dict[str, T.DataType], policy: ApplyPolicy) ->
 
 
 def narrowed(df: DataFrame, keys: list[str], touched: DataFrame | None, cleared: Sequence[Barrier]) -> DataFrame:
-    """The documents that changes can have altered: touched themselves, or in a namespace that was cleared."""
+    """The documents that changes can have altered: touched themselves (distinct keys), or in a namespace that was cleared."""
     if touched is None:
         return df
-    hits = df.join(touched, keys, "left_semi")
+    # Joins that add nothing but a mark stay above what was computed of a row, so that texts behind a digest do not move.
+    marked = df.join(touched.withColumn("_touched", F.lit(True)), keys, "left" if cleared else "inner")
+    hits = marked.where("_touched").select(df.columns)
     if not cleared:
         return hits
     back = {v: k for k, v in NAMES.items()}
-    rest = df.join(touched, keys, "left_anti").withColumnsRenamed(back).withColumn("_none", F.lit(None).cast("bigint"))
+    rest = marked.where("_touched is null").select(df.columns).withColumnsRenamed(back).withColumn("_none", F.lit(None).cast("bigint"))
     marked = mark_cleared(rest.withColumn("_first", F.lit(-(2**63) + 1).cast("bigint")), list(cleared), "_first")
     gone = marked.where("_cleared").drop("_cleared", "_first", "_none").withColumnsRenamed(NAMES)
     return hits.unionByName(gone.select(hits.columns))
 
 
 def actions(old: DataFrame, new: DataFrame, policy: ApplyPolicy | None = None, touched: DataFrame | None = None,
-            cleared: Sequence[Barrier] = (), outlived: Sequence[Barrier] = ()) -> DataFrame:
+            cleared: Sequence[Barrier] = (), outlived: Sequence[Barrier] = (), digests: bool = False) -> DataFrame:
     """Action rows ``(index_name, database, collection, uid, action, body)`` that turn ``old`` into ``new``.
 
     One action per document that differs: index (new), update (changed) or delete. A document is
     identified as the policy says. With ``touched`` (document keys) and ``cleared`` (drops), only documents
     that these can have altered are compared; ``outlived`` are drops that documents of ``new`` may have outlived.
+    With ``digests`` the body is only its digest, and no text is moved.
     """
     policy = policy or ApplyPolicy()
     keys = document_key(policy)
@@ -64,8 +67,12 @@ def actions(old: DataFrame, new: DataFrame, policy: ApplyPolicy | None = None, t
     carried = [c for c in side if c not in keys]
 
     def read(df: DataFrame, name: str, cleared: Sequence[Barrier]) -> DataFrame:
-        rows = narrowed(df, keys, wanted, cleared)
-        return rows.select(*keys, *[F.col(c).alias(f"{name}{c}") for c in carried], _body(rows, fields, policy).alias(name))
+        if digests:
+            rows = narrowed(df.select(*side, F.md5(_body(df, fields, policy)).alias(name)), keys, wanted, cleared)
+        else:
+            rows = narrowed(df, keys, wanted, cleared)
+            rows = rows.withColumn(name, _body(rows, fields, policy))
+        return rows.select(*keys, *[F.col(c).alias(f"{name}{c}") for c in carried], name)
 
     both = read(old, "_old", cleared).join(read(new, "_new", outlived), keys, "full_outer")
     changed = F.col("_old") != F.col("_new")

@@ -169,18 +169,22 @@ class IndexView:
             values = F.col(EXT)[name]
         return F.array_distinct(F.array_compact(values))
 
-    def facet_rows(self, carry: Sequence[str] = METADATA) -> DataFrame:
-        """One row per document, facet dimension and distinct value; ``carry`` are the columns that name a document."""
+    def facet_values(self) -> list[tuple[str, Column]]:
+        """The facet dimensions, each with a document's distinct values; null where its index does not show the dimension."""
         per_index = self.config.facets_by_index
         names = list(dict.fromkeys([*self.config.facets, *[d for ds in per_index.values() for d in ds]]))
-        pairs = []
+        found = []
         for name in names:
             shown_in = [i for i, ds in per_index.items() if name in ds]
             own = F.col("index_name").isin(shown_in)
             if name in self.config.facets:
                 own = own | ~F.col("index_name").isin(list(per_index))
-            values = F.when(own, self._dimension(name)) if per_index else self._dimension(name)
-            pairs.append(_labelled(name, F.coalesce(values, F.array().cast("array<string>"))))
+            found.append((name, F.when(own, self._dimension(name)) if per_index else self._dimension(name)))
+        return found
+
+    def facet_rows(self, carry: Sequence[str] = METADATA) -> DataFrame:
+        """One row per document, facet dimension and distinct value; ``carry`` are the columns that name a document."""
+        pairs = [_labelled(name, F.coalesce(values, F.array().cast("array<string>"))) for name, values in self.facet_values()]
         rows = self.documents.select(*carry, F.explode(F.concat(*pairs)).alias("_f"))
         return rows.select(*carry, "_f.dim", "_f.value")
 

@@ -1,9 +1,9 @@
 """Inverted index of a store: postings that are written once and kept up, so that term queries read no texts.
 
 ``documents/`` (document number → key), ``blocks/`` (term → documents) and ``dead/`` (numbers that no longer count) have one
-folder per segment; ``commits/`` names the segments of each version. A block holds the documents of one term among
-65,536 document numbers in a row, as distances from the first number, with term frequencies. So a term that every document has is
-many blocks, and no row grows with the corpus. Blocks are written in buckets of terms, in order of terms, with a bloom
+folder per segment; ``commits/`` names the segments of each version. A block holds documents of one term among
+65,536 document numbers in a row, as distances from the first number, with term frequencies; it comes from one task, and blocks
+of several tasks may share a range. So a term that every document has is many blocks, and no row grows with the corpus. Blocks are written in buckets of terms, in order of terms, with a bloom
 filter on the term: a query opens the files of its buckets and reads the row groups that may hold its terms.
 
 A segment covers what changed between two versions of the store. Changed and deleted documents are marked dead in older
@@ -22,6 +22,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldex.functions.blocks import PIECES, block_pieces
 from foldex.functions.sizing import fits_broadcast
 from foldex.operators.read import METADATA, IndexView
 from foldex.plans import files
@@ -111,7 +112,7 @@ class InvertedIndex:
     def _changed(self, head: Segments, version: int, name: str, draft: str) -> DataFrame:
         """Marks what changed since as dead and returns the documents as they are now."""
         now = self.store.version(version).documents
-        actions = self.store.changes(head.store_version, version, self._columns(now))
+        actions = self.store.changes(head.store_version, version, self._columns(now), digests=True)
         keys = {"index_name": "index_name", "uid": "_id", "collection": "_collection", "database": "_database"}
         actions.select(*[F.col(a).alias(b) for a, b in keys.items()], "action").write.parquet(f"{draft}/changed")
         changed = self.spark.read.parquet(f"{draft}/changed")
@@ -126,18 +127,16 @@ class InvertedIndex:
         numbered = self.spark.read.schema(numbered.schema).parquet(f"{draft}/documents")
         keys = numbered.select("doc_no", *METADATA).sortWithinPartitions("doc_no")
         keys.write.option("parquet.bloom.filter.enabled#_id", "true").parquet(f"{self.root}/documents/segment={name}")
-        view, carry = IndexView(numbered, self.config), ("doc_no", "index_name")
-        rows = [view.postings(f, carry).select(F.lit(f).alias("field"), "term", *carry, F.col("tf").cast("int")) for f in self.fields]
-        if self.config.facets or self.config.facets_by_index:
-            rows.append(view.facet_rows(carry).select(
-                F.concat(F.lit(FACET), "dim").alias("field"), F.col("value").alias("term"), *carry, F.lit(1).alias("tf")))
-        every = reduce(DataFrame.unionByName, rows)
-        offset = F.col("doc_no").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-        entries = F.sort_array(F.collect_list(F.struct(offset.alias("offset"), "tf")))  # at most one per number of the block
-        blocks = every.groupBy("index_name", "field", "term", F.shiftright("doc_no", BLOCK_BITS).alias("block")).agg(entries.alias("e"))
-        blocks = blocks.select("index_name", "term", "block", F.size("e").cast("bigint").alias("n"), F.col("e.offset").alias("offsets"),
-                               F.col("e.tf").alias("tfs"), "field", self._bucket(F.col("term")).alias("bucket"))
-        out = blocks.hint("rebalance", "field", "bucket").sortWithinPartitions("field", "bucket", "term", "index_name", "block")
+        view = IndexView(numbered, self.config)
+        found = [(f, view.tokens(f)) for f in self.fields] + [(FACET + d, v) for d, v in view.facet_values()]
+        tokens = [v.cast("array<string>").alias(f"tokens_{k}") for k, (_, v) in enumerate(found)]
+        pieces = numbered.select("doc_no", "index_name", *tokens).mapInArrow(block_pieces([n for n, _ in found], BLOCK_BITS), PIECES)
+        pieces = pieces.withColumn("bucket", self._bucket(F.col("term"))).hint("rebalance", "field", "bucket")
+        pieces = pieces.sortWithinPartitions("field", "bucket", "term", "index_name", "block")
+        number = lambda o: o.cast("int").bitwiseAND(F.lit(0xFFFF))
+        tfs = F.coalesce("large", F.transform("tfs", lambda t: t.cast("int")))
+        out = pieces.select("index_name", "term", "block", F.size("offsets").cast("bigint").alias("n"),
+                            F.transform("offsets", number).alias("offsets"), tfs.alias("tfs"), "field", "bucket")
         out.write.option("parquet.bloom.filter.enabled#term", "true").partitionBy("field", "bucket").parquet(f"{self.root}/blocks/segment={name}")
 
     def _bucket(self, term: Column) -> Column:
@@ -176,7 +175,7 @@ class InvertedIndex:
         return rows.select("segment", (F.shiftleft("block", BLOCK_BITS) + F.col("e.offsets")).alias("doc_no"), *carry, F.col("e.tfs").alias("tf"))
 
     def _hits(self, field: str, terms: dict[str | None, Sequence[str]], head: Segments) -> DataFrame:
-        """Live numbers of documents with one of the terms; terms may differ for single indices (None: all others)."""
+        """Numbers of documents, dead ones too, with one of the terms; terms may differ for single indices (None: all others)."""
         every = sorted({t for ts in terms.values() for t in ts})
         if not every:
             return self.spark.createDataFrame([], "segment string, doc_no bigint")
@@ -187,7 +186,7 @@ class InvertedIndex:
             rules = [(F.col("index_name") == i) & F.col("term").isin(list(terms[i])) for i in own]
             blocks = blocks.where(reduce(or_, rules, ~F.col("index_name").isin(own) & F.col("term").isin(list(terms.get(None, ())))))
         found = self._numbers(blocks).select(*NUMBER)
-        return self._live(found.distinct() if len(every) > 1 else found, head)
+        return found.distinct() if len(every) > 1 else found
 
     def _term_hits(self, field: str, value: str, head: Segments) -> DataFrame:
         name = field if field in self.fields else FACET + field
@@ -200,7 +199,7 @@ class InvertedIndex:
         return self._hits(field, dict(zip(analyzers, words)), head)
 
     def _keys(self, hits: DataFrame, head: Segments) -> DataFrame:
-        return self._read("documents", DOCUMENTS, head.segments).join(hits, list(NUMBER), "left_semi").select(*METADATA)
+        return self.documents(head).join(hits, list(NUMBER), "left_semi").select(*METADATA)
 
     def term(self, field: str, value: str) -> DataFrame:
         """Keys of the documents with an exact term in an indexed field, or a value in a facet dimension."""
@@ -215,9 +214,11 @@ class InvertedIndex:
     def postings(self, field: str) -> DataFrame:
         """Term → document with term frequency, from the blocks."""
         head = self.head()
-        rows = self._live(self._numbers(self.blocks(head).where(F.col("field") == field), "term"), head)
-        keys = self._read("documents", DOCUMENTS, head.segments)
-        return rows.join(keys, list(NUMBER)).select("term", *METADATA, F.col("tf").cast("bigint"))
+        # Numbers that are dead have no key here. A place in the list of segments is shorter than a segment's name.
+        place = lambda df: df.withColumn("segment", F.array_position(F.lit(list(head.segments)), F.col("segment")).cast("int"))
+        rows = place(self._numbers(self.blocks(head).where(F.col("field") == field), "term"))
+        # Numbers are unique and spread evenly over tasks, so those of one task are hashed and its postings need no sort.
+        return rows.join(place(self.documents(head)).hint("shuffle_hash"), list(NUMBER)).select("term", *METADATA, F.col("tf").cast("bigint"))
 
     def facets(self, among: dict[str, str] | None = None) -> DataFrame:
         """Documents per facet value; with ``among`` only of those that have all these terms (field → term).

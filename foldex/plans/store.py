@@ -346,16 +346,16 @@ class IndexStore:
             raise LookupError(f"no version {number}")
         return IndexView(index_documents(rows), self.config)
 
-    def changes(self, old: int, new: int, columns: Sequence[str] | None = None) -> DataFrame:
+    def changes(self, old: int, new: int, columns: Sequence[str] | None = None, digests: bool = False) -> DataFrame:
         """Actions that turn one version into a later one.
 
         If only compactions lie between them, the log names the keys and namespaces that can differ, and
-        nothing else is compared; ``columns`` restricts the documents' fields.
+        nothing else is compared; ``columns`` restricts the documents' fields. With ``digests`` bodies are digests.
         """
         pick = lambda df: df.select(*METADATA, *columns) if columns else df
         before, after = (pick(self.version(n).documents) for n in (old, new))
         touched, cleared = self._between(old, new)
-        return actions(before, after, self.policy, touched, cleared, cleared if self.late is not None else ())
+        return actions(before, after, self.policy, touched, cleared, cleared if self.late is not None else (), digests)
 
     def altered(self, old: int, new: int, columns: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
         """The documents of two versions that the log between them can have altered; None if the log does not tell."""

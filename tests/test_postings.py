@@ -4,12 +4,14 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from foldex import ApplyPolicy, FieldRule, IndexConfig, IndexStore
 from foldex.functions import mappers as m
 from foldex.functions.analysis import Analyzer
+from foldex.functions.blocks import block_pieces
 from foldex.plans import postings as postings_module
 from foldex.plans.postings import InvertedIndex
 
@@ -133,3 +135,86 @@ def test_queries_read_no_texts(built):
 def test_facet_counts_add_up_blocks(built):
     text = plan(built.facets())
     assert "Generate" not in text and "offsets" not in "".join(re.findall(r"ReadSchema: (.*)", text))
+
+
+def test_pieces_of_any_batches():
+    """Whatever a task holds at a time, every token is in one piece; many nulls, several indices, frequencies beyond 16 bits."""
+    rng, rows = random.Random(7), []
+    for i in range(300):
+        words = rng.choices(["a", "b", "ü", "x1", None], k=rng.randint(0, 5)) if rng.random() < 0.8 else None
+        rows.append({"doc_no": i * 7 + (1 << 33) * (i % 2), "index_name": rng.choice(["i", "j"]), "tokens_0": words, "tokens_1": ["a"] if i % 3 else None})
+    rows[5]["tokens_0"] = ["a"] * 40_000 + ["b"]
+    rng.shuffle(rows)
+    kinds = pa.schema([("doc_no", pa.int64()), ("index_name", pa.string()), ("tokens_0", pa.list_(pa.string())), ("tokens_1", pa.list_(pa.string()))])
+    whole = pa.RecordBatch.from_pylist(rows, kinds)
+    want = Counter((f, r["index_name"], t, r["doc_no"]) for r in rows for f, k in (("f", "tokens_0"), ("g", "tokens_1")) for t in r[k] or () if t is not None)
+    for size, tokens in ((300, 1 << 21), (40, 100), (300, 1), (1, 50)):
+        batches = [whole.slice(k, size) for k in range(0, 300, size)]
+        got = Counter()
+        for piece in block_pieces(["f", "g"], 4, tokens)(iter([*batches, whole.slice(0, 0)])):
+            for p in piece.to_pylist():
+                tfs = p["large"] or p["tfs"]
+                assert (p["large"] is None) != (p["tfs"] is None) and len(tfs) == len(p["offsets"]) and p["offsets"] == sorted(set(p["offsets"]))
+                for o, tf in zip(p["offsets"], tfs):
+                    key = (p["field"], p["index_name"], p["term"], p["block"] * 16 + o)
+                    assert 0 <= o < 16 and key not in got
+                    got[key] = tf
+        assert got == want
+    assert not list(block_pieces(["f", "g"], 16)(iter([whole.slice(0, 0)])))
+
+
+def test_offsets_of_all_16_bits(spark, folder):
+    """Numbers above 32,767 in their block, which travel as signed ones, come back as they were."""
+    batch = pa.RecordBatch.from_pylist([{"doc_no": n, "index_name": "i", "tokens_0": ["a"]} for n in (0, 32_767, 32_768, 65_535)])
+    (piece,) = block_pieces(["f"], 16)(iter([batch]))
+    assert [o & 0xFFFF for o in piece.column("offsets").to_pylist()[0]] == [0, 32_767, 32_768, 65_535]
+
+
+def joined(df):
+    """The joins of a plan that has not run yet, each with the columns of its sides."""
+    found = []
+
+    def walk(node):
+        kids = [node.children().apply(k) for k in range(node.children().size())]
+        if "Join" in node.nodeName():
+            found.append((node.nodeName(), [{k.output().apply(i).name() for i in range(k.output().size())} for k in kids]))
+        for kid in kids:
+            walk(kid)
+
+    walk(df._jdf.queryExecution().sparkPlan())
+    return found
+
+
+def test_comparing_versions_moves_digests(spark, folder):
+    """Documents meet as keys and digests, with drops too; what they say differs is what bodies say."""
+    store = new_store(spark, folder)
+    rng = random.Random(11)
+    store.append(frame(spark, feed(rng, 1, 40)))
+    store.compact()
+    store.append(frame(spark, feed(rng, 41, 30) + [(90, "drop", "db0", "c1", None, None)]))
+    store.compact()
+    of = lambda df: sorted((r.index_name, r.database, r.collection, r.uid, r.action) for r in df.collect())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = store.changes(1, 2, ["text", "tags"], digests=True)
+        joins = joined(found)
+        assert len(joins) >= 3 and not any({"text", "tags"} & s for _, sides in joins for s in sides)
+        assert of(found) == of(store.changes(1, 2, ["text", "tags"])) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_dead_numbers_leave_the_keys(spark, folder):
+    """Postings are neither sorted nor met with the dead: only documents are."""
+    store = new_store(spark, folder)
+    index = InvertedIndex(store)
+    for seq, text in ((1, "red"), (2, "fox")):
+        store.append(frame(spark, [(seq, "insert", "db0", "c0", "u1", {"text": text, "tags": [], "n": seq})]))
+        store.compact()
+        index.refresh()
+    found = index.postings("text")
+    assert [(r.term, r._id, r.tf) for r in found.collect()] == [("fox", "u1", 1)]
+    joins = joined(found)
+    assert sorted(name for name, _ in joins) == ["BroadcastHashJoin", "ShuffledHashJoin"]
+    assert all("term" not in side for name, sides in joins if name == "BroadcastHashJoin" for side in sides)
