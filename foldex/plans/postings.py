@@ -30,6 +30,8 @@ from foldex.plans.store import IndexStore
 
 #: Document numbers that one block covers, as a power of two.
 BLOCK_BITS = 16
+#: Changed documents up to which hashes of their keys, one long each, are broadcast before texts move.
+HASHES = 1 << 20
 FACET = "facet:"
 NUMBER = ("segment", "doc_no")
 DOCUMENTS = "doc_no bigint, index_name string, _id string, _collection string, _database string, segment string"
@@ -118,7 +120,12 @@ class InvertedIndex:
         changed = self.spark.read.parquet(f"{draft}/changed")
         gone = self.documents(head).join(changed.where("action <> 'index'").select(*METADATA), list(METADATA), "left_semi")
         gone.select(F.col("segment").alias("dead_segment"), F.col("doc_no").alias("dead_no")).write.parquet(f"{self.root}/dead/segment={name}")
-        return now.join(changed.where("action <> 'delete'").select(*METADATA), list(METADATA), "left_semi")
+        wanted = changed.where("action <> 'delete'").select(*METADATA)
+        hashes = wanted.select(F.xxhash64(*METADATA).alias("_hash")).distinct()
+        if fits_broadcast(hashes, HASHES):
+            # Texts of nearly all other documents stay where they are; the join on keys decides.
+            now = now.join(F.broadcast(hashes), F.xxhash64(*METADATA) == F.col("_hash"), "left_semi")
+        return now.join(wanted, list(METADATA), "left_semi")
 
     def _write(self, documents: DataFrame, name: str, draft: str) -> None:
         """Numbers the documents, written aside once so that numbers stay, and writes their blocks."""

@@ -218,3 +218,17 @@ def test_dead_numbers_leave_the_keys(spark, folder):
     joins = joined(found)
     assert sorted(name for name, _ in joins) == ["BroadcastHashJoin", "ShuffledHashJoin"]
     assert all("term" not in side for name, sides in joins if name == "BroadcastHashJoin" for side in sides)
+
+
+def test_texts_of_unchanged_documents_stay(spark, folder):
+    """Where the index follows its store, documents meet broadcast hashes of the changed keys before their texts move."""
+    store = new_store(spark, folder)
+    index = InvertedIndex(store)
+    for seq in (1, 2):
+        store.append(frame(spark, [(seq, "insert", "db0", "c0", f"u{seq}", {"text": "red", "tags": [], "n": seq})]))
+        store.compact()
+        head = index.refresh() if seq == 1 else index.head()
+    found = index._changed(head, 2, "next", folder("draft"))
+    hashed = [sides for name, sides in joined(found) if name == "BroadcastHashJoin" and sides[1] == {"_hash"}]
+    assert len(hashed) == 1 and "text" in hashed[0][0]
+    assert [(r._id, r.text) for r in found.collect()] == [("u2", "red")]
