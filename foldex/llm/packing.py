@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldex.llm.common import slices, utf8, words_in, written
+from foldex.llm.common import slices, utf8, written
 
 CAPACITY = 2048
 #: Short pieces to a group, fillings that the search of a group looks at (its first descent always ends), and those looked
@@ -34,7 +34,6 @@ LOOK = 300
 #: Words whose ids a task keeps, and bytes of text worked on at once.
 CACHE = 1_000_000
 TEXT = 4 << 20
-MARKS = (b".", b",", b";", b":", b"!", b"?")
 
 
 # --- search ------------------------------------------------------------------------------------
@@ -205,8 +204,57 @@ def bin_completion(sizes: Counter, capacity: int, nodes: int = NODES) -> list[li
 
 # --- tokens ------------------------------------------------------------------------------------
 
-#: All bytes are parts of words but the space and the line end.
-AS_IS = bytes(range(256))
+#: Kinds of bytes: spaces, letters, digits, marks, apostrophes, ends of texts, bytes beyond ASCII.
+SPACE, LETTER, DIGIT, MARK, APOSTROPHE, END, BEYOND = range(7)
+
+
+def byte_kinds(apart: bool) -> bytes:
+    """The kind of every byte; if words are not to come ``apart``, all but spaces and ends are as beyond ASCII, where nothing is cut."""
+    kinds = np.full(256, BEYOND, np.uint8)
+    if apart:
+        kinds[:128] = MARK
+        kinds[48:58], kinds[65:91], kinds[97:123], kinds[39] = DIGIT, LETTER, LETTER, APOSTROPHE
+    kinds[32], kinds[10] = SPACE, END
+    return kinds.tobytes()
+
+
+def cut_pairs() -> bytes:
+    """1 where a word starts at a byte, by 8 times the kind of the byte before and its own.
+
+    The tokenizer never joins letters, digits and marks, and keeps digits apart. It may join a byte beyond ASCII with any
+    neighbour but a digit behind it, and an apostrophe with marks or the letters behind it. Normalising never
+    joins an ASCII character with what stands before it.
+    """
+    cuts = np.zeros((32, 8), np.uint8)
+    cuts[[SPACE, END], 1:] = cuts[:, END] = 1
+    cuts[[LETTER, DIGIT, MARK, BEYOND], DIGIT] = cuts[[LETTER, DIGIT], MARK] = cuts[[DIGIT, MARK], LETTER] = 1
+    return cuts.tobytes()
+
+
+KINDS, CUTS = {apart: byte_kinds(apart) for apart in (False, True)}, cut_pairs()
+
+
+def cut_words(text: bytes, apart: bool) -> pa.Array:
+    """The words of texts that each end with a line end, a word by itself. If they are to come ``apart``, their letters,
+    digits and marks are words."""
+    kinds = np.frombuffer(bytearray(text.translate(KINDS[apart])), np.uint8)
+    data = np.frombuffer(text, np.uint8)
+    if apart:
+        # U+00C0 to U+027F are letters, but for two signs; lower-cased, U+0130 is a letter and a mark.
+        at = np.flatnonzero(data - np.uint8(0xC3) <= 6)
+        first, second = data[at], data[at + 1]
+        sure = (second & 0xC0) == 0x80
+        for character in "\u00d7\u00f7\u0130":
+            lead, rest = character.encode()
+            sure &= (first != lead) | (second != rest)
+        kinds[at[sure] + 1] = LETTER
+    word = kinds != SPACE
+    pairs = kinds.copy()
+    pairs[1:] |= kinds[:-1] << 3
+    start = np.flatnonzero(np.frombuffer(pairs.tobytes().translate(CUTS), bool))
+    inside = np.cumsum(word, dtype=np.int32)
+    edges = np.append(inside[start] - 1, inside[-1]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(data[word])])
 
 
 def lowered(text: bytes) -> bytes:
@@ -218,7 +266,7 @@ def lowered(text: bytes) -> bytes:
 
 
 class WordIds:
-    """The ids of words. The tokenizer drops white space, so words can be encoded one by one; each is encoded once.
+    """The ids of words, encoded one by one: letters, digits and marks, which the tokenizer never joins; each is encoded once.
 
     ``flat`` holds the ids of all known words, ``starts`` and ``lengths`` tell where a word's are. Place 0 is the end of a
     document, an id of 0.
@@ -227,64 +275,88 @@ class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        #: Whether an id ends a word of letters; none is known to if some byte at a word's end would have no id.
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix and all(byte + suffix in vocabulary for byte in ByteLevel.alphabet()):
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.places: dict[bytes, int] = {b"\n": 0}
         self.flat, self.starts, self.lengths = np.zeros(1, "<u4"), np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def _encode(self, words: list[bytes], found: dict[bytes, bytes]) -> None:
-        for start in range(0, len(words), 10_000):
-            some = words[start:start + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            found.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded))
-
-    def _encode_letters(self, words: list[bytes], found: dict[bytes, bytes]) -> None:
-        """Words of letters are one piece of a text each, so a text of many is encoded at once and cut by pieces."""
-        encoded = self.tokenizer.encode(b" ".join(words).decode("utf-8", "replace"), add_special_tokens=False)
-        cuts = np.flatnonzero(np.diff(np.array(encoded.word_ids))) + 1
-        if len(cuts) + 1 == len(words):
-            ids, edges = np.array(encoded.ids, "<u4").tobytes(), [0, *(4 * cuts).tolist(), 4 * len(encoded.ids)]
-            found.update((w, ids[edges[k]:edges[k + 1]]) for k, w in enumerate(words))
+        #: Calls that used a word since words were last dropped.
+        self.uses = np.zeros(1, np.int32)
+
+    def drop_rare(self) -> None:
+        """Drops the words used once only since the last time, or all if that leaves many."""
+        keep = self.uses > 1
+        keep[0] = True
+        if keep.sum() > CACHE // 2:
+            return self.clear()
+        words = list(itertools.compress(self.places, keep.tolist()))
+        self.places = {}
+        self.places.update(zip(words, itertools.count()))
+        self.flat, self.lengths = self.flat[np.repeat(keep, self.lengths)], self.lengths[keep]
+        self.starts, self.uses = np.cumsum(self.lengths) - self.lengths, np.zeros(len(words), np.int32)
+
+    def _encode(self, words: list[bytes]) -> tuple[list[np.ndarray], list[int]]:
+        """The ids of some words, each encoded by itself, and how many each has."""
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        ids = [np.array(e.ids, "<u4") for e in encoded]
+        return ids, [len(i) for i in ids]
+
+    def _encode_letters(self, words: list[bytes]) -> tuple[list[np.ndarray], list[int] | np.ndarray]:
+        """The same for words of letters. Almost all are one piece of a text each, whose last id tells, so a text of many is
+        encoded at once. As every word has an id that ends a piece, as many such ids as words mean that all are."""
+        text = b" ".join(words).decode("utf-8", "replace")
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        last = np.flatnonzero(self.last[ids])
+        return ([ids], np.diff(last, prepend=-1)) if len(last) == len(words) else self._encode(words)
 
     def learn(self, new: list[bytes]) -> None:
-        found: dict[bytes, bytes] = {}
-        # A mark after letters is a token of its own, so only the letters before it are left to encode.
-        marked = {w: w[:-1] for w in new if w[-1:] in MARKS and w[:-1].isalpha()}
-        plain = list(dict.fromkeys([*MARKS, *(marked.get(w, w) for w in new)]))
-        letters = [w for w in plain if (w.isascii() or w.decode("utf-8", "replace").isalpha()) and (w.isalpha() or not w.isascii())]
-        for start in range(0, len(letters), 2_000):
-            self._encode_letters(letters[start:start + 2_000], found)
-        self._encode([w for w in plain if w not in found], found)
-        found.update((w, found[stem] + found[w[-1:]]) for w, stem in marked.items())
-        ids = [found[w] for w in new]
-        lengths = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-        self.places.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(lengths) - lengths)
-        self.lengths = np.append(self.lengths, lengths)
-        self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), "<u4"))
+        letters, others = [], []
+        for w in new:
+            (letters if w.isalpha() or not w.isascii() and w.decode("utf-8", "replace").isalpha() else others).append(w)
+        flat, lengths = [self.flat], [self.lengths]
+        for words, encode in ((letters, self._encode_letters), (others, self._encode)):
+            for start in range(0, len(words), 2_000):
+                ids, sizes = encode(words[start:start + 2_000])
+                flat.extend(ids)
+                lengths.append(np.asarray(sizes, np.int64))
+        self.places.update(zip(itertools.chain(letters, others), itertools.count(len(self.starts))))
+        self.flat, self.lengths = np.concatenate(flat), np.concatenate(lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.uses = np.append(self.uses, np.zeros(len(new), np.int32))
+
+    def find(self, words: np.ndarray) -> np.ndarray:
+        """Where the words' ids are; -1 for unknown words."""
+        return np.fromiter(map(self.places.get, words.tolist(), itertools.repeat(-1)), np.int64, len(words))
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with a 0 behind, and where each ends."""
-        whole = b"\n".join(t.replace(b"\n", b" ") for t in texts)
+        whole = b"".join(t.replace(b"\n", b" ") + b"\n" for t in texts)
         # Lower-casing beforehand makes fewer words; special tokens are left as they stand.
-        words, text = words_in([whole if b"<|" in whole else lowered(whole)], AS_IS)
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.places]
-        if len(self.places) + len(new) > CACHE:
-            self.clear()
-            new = distinct
-        if new:
-            self.learn(new)
-        own = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
-        order = np.argsort(np.concatenate([text, np.arange(len(texts))]), kind="stable")
-        at = np.concatenate([own[coded.indices.to_numpy()], np.zeros(len(texts), np.int64)])[order]
+        plain = b"<|" not in whole
+        coded = cut_words(lowered(whole) if plain else whole, plain).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        own = self.find(distinct)
+        if (own < 0).any():
+            if len(self.places) + (own < 0).sum() > CACHE:
+                self.drop_rare()
+                own = self.find(distinct)
+            new = own < 0
+            self.learn(distinct[new].tolist())
+            own[new] = self.find(distinct[new])
+        self.uses[own] += 1
+        at = own[coded.indices.to_numpy()]
         lengths = self.lengths[at]
         after = np.cumsum(lengths)
         ids = self.flat[np.repeat(self.starts[at] - after + lengths, lengths) + np.arange(after[-1])]
-        return ids, after[order >= len(text)]
+        return ids, after[at == 0]
 
 
 #: A worker's word ids, by tokenizer file.
@@ -345,7 +417,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bo
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset, and its ``ids`` if asked for.
 
     A document is its text's ids (null text: none) and a 0, so an empty one is a piece of one id.
-    ``tokenizer`` is the path of a tokenizer that drops white space, on every executor. Repeated rows are
+    ``tokenizer`` is the path, on every executor, of a tokenizer that lower-cases, drops white space and never joins letters,
+    digits and marks. Repeated rows are
     packed each. An empty table gives no pieces. Sequences of full pieces have negative numbers.
     """
     narrow = docs.select(F.col("doc_id").cast("bigint"), "text")

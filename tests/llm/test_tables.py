@@ -271,6 +271,40 @@ def test_packing_of_hard_texts(documents, hard_texts):
     assert packing.pack(documents([]), word_tokenizer()).collect() == []
 
 
+def same_ids(words, texts):
+    ids, ends = words.of([t.encode() for t in texts])
+    for text, start, end in zip(texts, np.append(0, ends[:-1]), ends):
+        assert ids[start:end].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids + [0], ascii(text)
+
+
+def test_words_are_encoded_once_whatever_stands_by_them():
+    words = packing.WordIds(word_tokenizer())
+    same_ids(words, ["Word word, (word) word!! word###", "élan élan, élan... 12 word21 21.12 don't don't,"])
+    assert set(words.places) == {b"\n", *"word , ( ) !! ### élan ... 1 2 . don't".encode().split()}
+
+
+def test_ids_of_cut_words():
+    """Every place where letters, digits, marks and apostrophes meet characters beyond ASCII, with words dropped on the way."""
+    odd = [*"éÉßçñ×÷İſKÅΣς漢é각ªº²٣—«’\x85\xa0\u3000\u0338\u0301\u0307😀\ufb01", "e\u0301", "\u1100\u1161"]
+    plain = [*"abstIEJH019.,;'\"<>=#-\t\x0b\x1c\n   ", "'s", "'LL", "don't"]
+    words = packing.WordIds(word_tokenizer())
+    same_ids(words, [f"a{c},b {c}.x {c} {c}5 .{c} {c}'s" for c in odd] + [f"{a}{b}{c}" for a in plain for b in odd for c in plain])
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        same_ids(words, ["".join(rng.choice(odd if rng.random() < 0.2 else plain) for _ in range(20)) for _ in range(30)])
+    same_ids(words, ["Élan, x<|endoftext|>Y's 12 <|ENDOFTEXT|>."])
+
+
+def test_words_used_again_are_kept(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 12)
+    words = packing.WordIds(word_tokenizer())
+    for k in range(4):
+        same_ids(words, ["the same words", f"and some{'abcd'[k]} other{'abcd'[k]}, new{'abcd'[k]}"])
+        assert {b"the", b"same", b"words", b"and", b"\n"} <= set(words.places) and len(words.places) <= 12
+    same_ids(words, [" ".join(f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz")])
+    same_ids(words, ["the same words"])
+
+
 def test_ids_come_along(documents):
     got = packing.pack(documents([(1, "some words")]), word_tokenizer(), keep_ids=True).first()
     assert zlib.crc32(got.ids) == got.ids_crc32 and len(got.ids) == 4 * got.length
