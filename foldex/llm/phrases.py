@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ PIECE_END = re.compile(rb"[.,;:!?\n-\r]")
 
 #: Bits of the array that tells frequent parts: 8 MiB, whatever the corpus.
 SLOTS = 1 << 26
-#: Phrases a task's trie holds, entries of a container before it bursts, word ids, and bytes of text worked on at once.
+#: Phrases a task's trie holds, entries of a container before it bursts, word ids, and bytes of a language's text, or of runs, worked
+#: on at once (the rows of a slice hold up to four times as many, of all languages).
 ENTRIES = 400_000
 BURST = 16_384
 IDS = 1 << 21
@@ -47,9 +49,22 @@ LEVELS = 1 << 16
 SALTS = 16
 
 
-def slot(lang: bytes, words: bytes) -> int:
-    """A hash of a phrase, of 63 bits: the lowest tell its slot."""
-    return xxhash.xxh3_64_intdigest(lang + b"\n" + words) & (2**63 - 1)
+def slot(lang: bytes, word: bytes) -> int:
+    """A hash of a word, of 63 bits: the lowest tell its slot."""
+    return xxhash.xxh3_64_intdigest(lang + b"\n" + word) & (2**63 - 1)
+
+
+def pair_slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hashes of pairs, from those of their words alone: a pair's text is not needed."""
+    mixed = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ right.astype(np.uint64)
+    for odd, shift in ((0xBF58476D1CE4E5B9, 29), (0x94D049BB133111EB, 32)):
+        mixed = (mixed ^ mixed >> np.uint64(shift)) * np.uint64(odd)
+    return ((mixed ^ mixed >> np.uint64(31)) & np.uint64(2**63 - 1)).astype(np.int64)
+
+
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with room for ``size`` numbers at least."""
+    return values if size <= len(values) else np.append(values, np.zeros(max(size - len(values), len(values)), values.dtype))
 
 
 class Trie:
@@ -61,45 +76,73 @@ class Trie:
     def __init__(self):
         self.containers: dict[int, dict] = {}
         self.burst: dict[int, dict[int, dict]] = {}
-        self.sizes: dict[int, int] = defaultdict(int)
         self.entries = 0
 
     def add(self, first: np.ndarray, rest: np.ndarray, n: np.ndarray) -> None:
         """Adds distinct phrases in order, with their counts."""
         edges = np.flatnonzero(np.diff(first, prepend=-1, append=-1))
+        words, edges = first[edges[:-1]].tolist(), edges.tolist()
         rest, n = rest.tolist(), n.tolist()
-        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            word = int(first[start])
-            if word in self.burst:
+        for word, start, end in zip(words, edges, edges[1:]):
+            container = self.containers.get(word)
+            if container is not None:
+                self.entries -= len(container)
+                for key, count in zip(rest[start:end], n[start:end]):
+                    container[key] = container.get(key, 0) + count
+            elif word in self.burst:
                 children = self.burst[word]
                 for key, count in zip(rest[start:end], n[start:end]):
                     container = children.setdefault(key >> 42, {})
-                    before = len(container)
+                    self.entries += key not in container
                     container[key] = container.get(key, 0) + count
-                    self.sizes[word] += len(container) - before
-                    self.entries += len(container) - before
                 continue
-            container = self.containers.setdefault(word, {})
-            before = len(container)
-            for key, count in zip(rest[start:end], n[start:end]):
-                container[key] = container.get(key, 0) + count
-            self.sizes[word] += len(container) - before
-            self.entries += len(container) - before
+            else:
+                container = self.containers[word] = dict(zip(rest[start:end], n[start:end]))
+            self.entries += len(container)
             if len(container) > BURST:
                 children = self.burst[word] = {}
                 for key, count in self.containers.pop(word).items():
                     children.setdefault(key >> 42, {})[key] = count
 
-    def take(self, left: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Takes out whole subtrees, the largest first, until at most ``left`` phrases stay: first word, rests and counts."""
-        for word in sorted(self.sizes, key=self.sizes.get, reverse=True):
+    def taken(self, left: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Takes out whole subtrees, the largest first, until at most ``left`` phrases stay: first words, how many phrases
+        begin with each, and the rests and counts of all."""
+        sizes = {word: len(container) for word, container in self.containers.items()}
+        sizes |= {word: sum(map(len, children.values())) for word, children in self.burst.items()}
+        words, parts = [], []
+        for word in sorted(sizes, key=sizes.get, reverse=True):
             if self.entries <= left:
-                return
-            parts = [self.containers.pop(word)] if word in self.containers else list(self.burst.pop(word).values())
-            size = self.sizes.pop(word)
-            self.entries -= size
-            yield (word, np.fromiter((k for p in parts for k in p), np.int64, size),
-                   np.fromiter((c for p in parts for c in p.values()), np.int64, size))
+                break
+            words.append(word)
+            parts += [self.containers.pop(word)] if word in self.containers else self.burst.pop(word).values()
+            self.entries -= sizes[word]
+        many = np.fromiter(map(sizes.get, words), np.int64, len(words))
+        return (np.array(words, np.int64), many, np.fromiter(chain.from_iterable(parts), np.int64, many.sum()),
+                np.fromiter(chain.from_iterable(p.values() for p in parts), np.int64, many.sum()))
+
+    def take(self, left: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """What ``taken`` takes out, subtree by subtree: first word, rests and counts."""
+        words, many, rest, n = self.taken(left)
+        for word, end, size in zip(words.tolist(), np.cumsum(many).tolist(), many.tolist()):
+            yield word, rest[end - size:end], n[end - size:end]
+
+
+def counted(ids: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct phrases of ``n`` words that begin at ``at``, in order: first words, rests and counts."""
+    key = ids[at]
+    for k in range(1, min(n, 3)):
+        key = key << 21 | ids[at + k]
+    if n < 4:
+        key.sort()
+        edges = np.flatnonzero(np.diff(key, prepend=-1))
+        many, key = np.diff(edges, append=len(key)), key[edges]
+        return key >> 21 * (n - 1), key << 21 * (4 - n) & (2**63 - 1), many
+    last = ids[at + 3]
+    order = np.lexsort((last, key))
+    key, last = key[order], last[order]
+    edges = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(last, prepend=-1) != 0))
+    many, key, last = np.diff(edges, append=len(key)), key[edges], last[edges]
+    return key >> 42, key << 21 & (2**63 - 1) | last, many
 
 
 class Counting:
@@ -114,33 +157,37 @@ class Counting:
         self.ids: dict[bytes, dict[bytes, int]] = defaultdict(dict)
         self.names: list[bytes] = [b""]
         self.langs: list[bytes] = [b""]
-        self.marks: list[int] = [0]
-        self.splits: list[int] = [0]
+        self.marks = np.zeros(1, np.int64)
+        self.splits = np.zeros(1, np.int64)
         self.counts = np.zeros(1, np.int64)
         self.total: dict[bytes, int] = defaultdict(int)
         self.looked_up = 0
         self.trie = Trie()
 
-    def admitted(self, lang: bytes, words: bytes) -> bool:
-        at = slot(lang, words) & (SLOTS - 1)
-        return bool(self.frequent[at >> 3] >> (at & 7) & 1)
+    def admitted(self, marks: np.ndarray) -> np.ndarray:
+        at = marks & (SLOTS - 1)
+        return (self.frequent[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
     def word_ids(self, lang: bytes, words: list[bytes]) -> np.ndarray:
-        """Ids from 1 on; 0 for words that are not frequent."""
+        """Ids of distinct words, from 1 on; 0 for words that are not frequent."""
         ids = self.ids[lang]
-        for word in words:
-            if word not in ids:
-                self.looked_up += 1
-                if self.known and not self.admitted(lang, word):
-                    ids[word] = 0
-                else:
-                    ids[word] = len(self.names)
-                    self.names.append(word)
-                    self.langs.append(lang)
-                    mark = slot(lang, word) if self.known else 0
-                    self.marks.append(mark)
-                    self.splits.append((1 << int(self.levels[mark & (LEVELS - 1)])) - 1 if self.known else 0)
-        return np.fromiter((ids[w] for w in words), np.int64, len(words))
+        out = np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
+        unseen = np.flatnonzero(out < 0)
+        new = [words[i] for i in unseen.tolist()]
+        self.looked_up += len(new)
+        kept, size = np.ones(len(new), bool), len(self.names)
+        if self.known:
+            marks = np.fromiter((slot(lang, word) for word in new), np.int64, len(new))
+            kept = self.admitted(marks)
+        out[unseen] = np.where(kept, size - 1 + np.cumsum(kept), 0)
+        ids.update(zip(new, out[unseen].tolist()))
+        self.names += compress(new, kept.tolist())
+        self.langs += [lang] * (len(self.names) - size)
+        self.marks, self.splits = grown(self.marks, len(self.names)), grown(self.splits, len(self.names))
+        if self.known:
+            self.marks[size:len(self.names)] = marks[kept]
+            self.splits[size:len(self.names)] = (1 << self.levels[marks[kept] & (LEVELS - 1)]) - 1
+        return out
 
     def add(self, lang: bytes, texts: list[bytes]) -> None:
         words, piece = words_in(texts, WORDS)
@@ -152,7 +199,7 @@ class Counting:
             raise ValueError(f"a piece of text has more than {IDS // 2} different frequent words")
         ids = own[coded.indices.to_numpy()]
         if self.orders == (1,):
-            self.counts = np.append(self.counts, np.zeros(max(0, len(self.names) - len(self.counts)), np.int64))
+            self.counts = grown(self.counts, len(self.names))
             self.counts[own] += np.bincount(coded.indices.to_numpy(), minlength=len(own))
             self.total[lang] += len(words)
             return
@@ -160,39 +207,21 @@ class Counting:
         pair = (ids[:-1] > 0) & (ids[1:] > 0) & (piece[:-1] == piece[1:])
         if self.known > 1:
             at = np.flatnonzero(pair)
-            keys, back = np.unique(ids[at] << 21 | ids[at + 1], return_inverse=True)
-            pair[at] = self.frequent_pairs(lang, keys)[back]
+            pair[at] = self.admitted(pair_slots(self.marks[ids[at]], self.marks[ids[at + 1]]))
         for n in self.orders:
             run = pair[:len(ids) - n + 1].copy()
             for k in range(1, n - 1):
                 run &= pair[k:len(ids) - n + 1 + k]
             at = np.flatnonzero(run)
             if len(at):
-                rest = np.zeros(len(at), np.int64)
-                for k in range(1, 4):
-                    rest = rest << 21 | (ids[at + k] if k < n else 0)
-                order = np.lexsort((rest, ids[at]))
-                first, rest = ids[at][order], rest[order]
-                edges = np.flatnonzero(np.append(True, (np.diff(first) != 0) | (np.diff(rest) != 0)))
-                self.trie.add(first[edges], rest[edges], np.diff(edges, append=len(rest)))
-
-    def frequent_pairs(self, lang: bytes, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), bool)
-        for i, key in enumerate(keys.tolist()):
-            words = self.names[key >> 21] + b" " + self.names[key & (IDS - 1)]
-            out[i] = self.admitted(lang, words)
-        return out
+                self.trie.add(*counted(ids, at, n))
 
     def run(self, left: int) -> pa.RecordBatch:
         """Subtrees taken out of the trie: a row for each, or for each part of one, with its phrases in order."""
-        firsts, rests, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for word, rest, n in self.trie.take(left):
-            firsts.append(np.full(len(rest), word))
-            rests.append(rest)
-            counts.append(n)
-        first, rest, n = map(np.concatenate, (firsts, rests, counts))
-        part = np.array(self.marks)[rest >> 42] >> 32 & np.array(self.splits)[first]
-        order = np.lexsort((rest, part, first))
+        words, many, rest, n = self.trie.taken(left)
+        first = np.repeat(words, many)
+        part = self.marks[rest >> 42] >> 32 & self.splits[first]
+        order = np.lexsort((rest, first << 31 | part))
         first, rest, n, part = first[order], rest[order], n[order], part[order]
         names, ids = pa.array(self.names, pa.binary()), [rest >> 42, rest >> 21 & (IDS - 1), rest & (IDS - 1)]
         # What follows the first word, and how often: the words of a phrase are joined length by length.
@@ -212,7 +241,7 @@ class Counting:
 
     def word_rows(self) -> pa.RecordBatch:
         """The counts of words, and under an empty phrase the number of all words of a language."""
-        n = np.append(self.counts[1:], list(self.total.values())).astype(np.int64)
+        n = np.append(self.counts[1:len(self.names)], list(self.total.values())).astype(np.int64)
         langs, words = self.langs[1:] + list(self.total), self.names[1:] + [b""] * len(self.total)
         return pa.RecordBatch.from_arrays(
             [pa.array(langs, pa.binary()).cast(pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
@@ -246,7 +275,7 @@ def runs(filters, known: int, orders: tuple[int, ...]):
     """The words of texts (lang, phrase, n), or their longer phrases as runs (lang, word, part, run); each may come several times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counting = Counting(*(filters.value if known else (None, None)), known, orders)
-        for batch in slices(batches, "text", TEXT):
+        for batch in slices(batches, "text", 4 * TEXT):
             of_lang = defaultdict(list)
             for lang, text in zip(utf8(batch.column("lang")), utf8(batch.column("text"))):
                 if text:
@@ -266,36 +295,51 @@ def runs(filters, known: int, orders: tuple[int, ...]):
     return run
 
 
-def merged(min_count: int):
-    """The frequent phrases (lang, phrase, n) of runs that come in order of language, word and part."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, counts = None, {}
-        out: list[tuple] = []
+def summed(tables: list[pa.Table]) -> pa.Table:
+    """The counts (n) of equal phrases (subtree, rest)."""
+    sums = pa.concat_tables(tables).group_by(["subtree", "rest"], use_threads=False).aggregate([("n", "sum")])
+    return sums.rename_columns(["subtree", "rest", "n"])
 
-        def frequent() -> list[tuple]:
-            return [(key[0], key[1] + b" " + rest, n) for rest, n in counts.items() if n >= min_count]
 
-        def rows() -> pa.RecordBatch:
-            lang, phrase, n = zip(*out)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.binary()).cast(pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
-                ["lang", "phrase", "n"])
+def merged(min_count: int):
+    """The frequent phrases (lang, phrase, n) of runs that come in order of language, word and part."""
+    def rows(of: pa.RecordBatch, first: np.ndarray, sums: pa.Table) -> pa.RecordBatch:
+        """The frequent ones of some sums, whose subtrees begin at the rows ``first`` of a batch."""
+        sums = sums.filter(pc.greater_equal(sums["n"], min_count)).combine_chunks()
+        lang, word = (of.column(c).take(pa.array(first)).take(sums["subtree"].combine_chunks()) for c in ("lang", "word"))
+        rest = sums["rest"].combine_chunks()
+        phrase = pc.binary_join_element_wise(word.cast(rest.type), rest, pa.scalar(b" ", rest.type))
+        return pa.RecordBatch.from_arrays([lang.cast(pa.string()), phrase.cast(pa.string()), sums["n"].combine_chunks()], ["lang", "phrase", "n"])
 
-        for batch in batches:
-            for lang, word, part, lines in zip(utf8(batch.column("lang")), utf8(batch.column("word")),
-                                               batch.column("part").to_pylist(), batch.column("run").to_pylist()):
-                if (lang, word, part) != key:
-                    out += frequent() if counts else []
-                    key, counts = (lang, word, part), {}
-                for line in lines.split(b"\n"):
-                    rest, _, n = line.rpartition(b"\t")
-                    counts[rest] = counts.get(rest, 0) + int(n)
-            if len(out) > 10_000:
-                yield rows()
-                out = []
-        out += frequent() if counts else []
-        if out:
-            yield rows()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The subtree that may go on: its row and its sums, of which all but the first are not yet added up.
+        row, sums = None, []
+        for batch in slices(batches, "run", TEXT):
+            keys = batch.select(["lang", "word", "part"])
+            new = np.zeros(len(keys), bool)
+            for column in keys.columns:
+                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            if row and row.select(["lang", "word", "part"]).to_pylist() != keys.slice(0, 1).to_pylist():
+                yield rows(row, np.zeros(1, np.int64), summed(sums))
+                sums = []
+            subtree, first = np.cumsum(new), np.append(0, np.flatnonzero(new))
+            lines = pc.split_pattern(batch.column("run"), b"\n")
+            halves = pc.split_pattern(lines.flatten(), b"\t", max_splits=1, reverse=True).flatten()
+            found = summed([pa.table({
+                "subtree": subtree[pc.list_parent_indices(lines).to_numpy()], "rest": halves.take(pa.array(np.arange(0, len(halves), 2))),
+                "n": halves.take(pa.array(np.arange(1, len(halves), 2))).cast(pa.string()).cast(pa.int64())})])
+            if len(first) > 1:
+                sums.append(found.filter(pc.equal(found["subtree"], 0)))
+                yield rows(batch, first, summed(sums))
+                inner = pc.and_(pc.greater(found["subtree"], 0), pc.less(found["subtree"], len(first) - 1))
+                yield rows(batch, first, found.filter(inner))
+                found, sums = found.filter(pc.equal(found["subtree"], len(first) - 1)), []
+            row = batch.slice(int(first[-1]), 1)
+            sums.append(found.set_column(0, "subtree", pa.array(np.zeros(len(found), np.int64))))
+            if sum(map(len, sums[1:])) > max(ENTRIES, len(sums[0])):
+                sums = [summed(sums)]
+        if row:
+            yield rows(row, np.zeros(1, np.int64), summed(sums))
     return run
 
 
@@ -318,8 +362,11 @@ def part_filters(phrases: DataFrame):
     """On all executors: the bits of frequent phrases, SLOTS of them, and how words' subtrees are split, LEVELS numbers, whatever the corpus."""
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.array([slot(lang, p) for lang, p in zip(utf8(batch.column("lang")), utf8(batch.column("phrase")))], np.uint64)
-            at, low = (at & np.uint64(SLOTS - 1)).astype(np.int64), (at & np.uint64(LEVELS - 1)).astype(np.int64)
+            words = [(lang, *phrase.partition(b" ")) for lang, phrase in zip(utf8(batch.column("lang")), utf8(batch.column("phrase")))]
+            at = np.array([slot(lang, word) for lang, word, _, _ in words], np.int64)
+            pairs = np.array([space != b"" for _, _, space, _ in words], bool)
+            at[pairs] = pair_slots(at[pairs], np.array([slot(lang, second) for lang, _, space, second in words if space], np.int64))
+            at, low = at & (SLOTS - 1), at & (LEVELS - 1)
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63), pa.array(low), batch.column("n")], ["block", "bit", "low", "n"])
 
     spark = phrases.sparkSession

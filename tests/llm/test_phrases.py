@@ -94,6 +94,35 @@ def test_small_tries_spill_and_burst_alike(monkeypatch):
     assert found == want
 
 
+def test_pairs_cost_no_hash_of_their_own(monkeypatch):
+    """A task hashes each word once and no pair: the hashes of pairs follow from those of their words."""
+    rows, asked, slot = corpus(), [], phrases.slot
+    monkeypatch.setattr(phrases, "slot", lambda lang, words: asked.append((lang, words)) or slot(lang, words))
+    batch = pa.RecordBatch.from_pydict({"lang": [r[2] or "und" for r in rows], "text": [r[1] for r in rows]})
+    filters = SimpleNamespace(value=(np.full(phrases.SLOTS // 8, 255, np.uint8), np.zeros(phrases.LEVELS, np.int64)))
+    assert list(phrases.runs(filters, 2, (3, 4))(iter([batch, batch])))
+    assert len(asked) == len(set(asked)) and not any(b" " in words for _, words in asked)
+
+
+def test_hashes_of_pairs_tell_order_and_language():
+    words = [phrases.slot(lang, word) for lang in (b"en", b"de") for word in (b"a", b"b", b"c")]
+    left, right = (np.array([p[i] for p in ((x, y) for x in words for y in words)]) for i in (0, 1))
+    hashes = phrases.pair_slots(left, right)
+    assert len(set(hashes.tolist())) == len(words) ** 2 and hashes.min() >= 0
+
+
+def test_a_subtree_over_many_batches_is_merged_whole(monkeypatch):
+    """Its lines are added up once there are enough of them, whatever the batches; the next subtree is another."""
+    monkeypatch.setattr(phrases, "TEXT", 10)
+    monkeypatch.setattr(phrases, "ENTRIES", 3)
+    runs = [("en", "a", 0, b"b\t2\nb c\t1")] * 20 + [("en", "a", 1, b"b\t1")] + [("en", "b", 1, b"b\t3\nc\t1")] * 2 + [("es", "b", 1, b"b\t4")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*runs)], ["lang", "word", "part", "run"])
+    for size in (1, 2, 21, 24):
+        pieces = [batch.slice(i, size) for i in range(0, len(batch), size)]
+        found = [tuple(r.values()) for out in phrases.merged(2)(iter(pieces)) for r in out.to_pylist()]
+        assert sorted(found) == [("en", "a b", 40), ("en", "a b c", 20), ("en", "b b", 6), ("en", "b c", 2), ("es", "b b", 4)]
+
+
 def test_a_trie_takes_out_whole_subtrees():
     trie = Trie()
     for _ in range(2):
